@@ -37,14 +37,11 @@ def total_ion_scale(df: DataFrame) -> DataFrame:
 def clean(df: DataFrame, threshold: float = INTENSITY_THRESHOLD) -> DataFrame:
     """All cleaning steps; spectra left without a peak are dropped.
 
-    Keeping only spectra with a peak inside the window and a positive base peak is the same
-    as cleaning first and testing for an empty list, but leaves the costly expression to the
-    projection alone instead of also running it in the filter.
+    A highest peak other than zero inside the window is what leaves a peak after cleaning.
+    Testing that first keeps the costly expression out of the filter.
     """
-    limit = F.col("precursor") + peaks.PRECURSOR_MARGIN
-    survives = F.exists(
-        "peaks", lambda p: (p["mz"] <= limit) & p["intensity"].isNotNull() & (p["intensity"] != 0)
-    )
+    in_window = peaks.within_precursor(F.col("peaks"), F.col("precursor"))
+    survives = F.array_max(in_window["intensity"]) != 0.0
     return df.where(survives).withColumn(
         "peaks", peaks.clean_peaks(F.col("peaks"), F.col("precursor"), threshold)
     )

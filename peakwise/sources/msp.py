@@ -98,7 +98,7 @@ def parse_blocks(
     if mode not in ("PERMISSIVE", "DROPMALFORMED", "FAILFAST"):
         raise ValueError(f"unknown mode {mode!r}")
     id_column = "smile" if id_tag == ANNOTATED_TAG else "spectrum_id"
-    clean_text = F.btrim(F.col("block"), F.lit(" \t\r\n﻿"))
+    clean_text = F.btrim(F.col("block"), F.lit(" \t\r\n\ufeff"))
     record = bind(
         F.split(clean_text, r"\s*[\r\n]\s*"),
         lambda lines: F.struct(
