@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from peakwise.operators import peak_rows
-
 KEY_LENGTH = 14
 
 
@@ -46,14 +44,13 @@ def dedupe_by_smile(df: DataFrame) -> DataFrame:
     return first_row(df, "smile", "structure_key")
 
 
-def pool_by_structure(spectra: DataFrame) -> DataFrame:
-    """Pooled peaks of each structure as peak rows.
+def pool_by_structure(rows: DataFrame) -> DataFrame:
+    """Pooled peaks of each structure, from peak rows with
+    ``structure_key, smile, precursor, ordinal, pos, mz, intensity``.
 
-    Needs ``structure_key, smile, precursor, ordinal, peaks``.  The peaks of a structure in
-    pooled order are its rows by ``(ordinal, pos)``; ``smile`` and ``precursor`` are those of
-    its first spectrum.  Structures whose first ``smile`` repeats one of a smaller key are
-    left out.
+    The peaks of a structure in pooled order are its rows by ``(ordinal, pos)``; ``smile``
+    and ``precursor`` become those of its first spectrum.  Structures whose first ``smile``
+    repeats one of a smaller key are left out.
     """
-    first = dedupe_by_smile(first_per_key(spectra, "structure_key", ("smile", "precursor")))
-    rows = peak_rows.explode_peaks(spectra, "structure_key", "ordinal")
-    return rows.join(first, "structure_key")
+    first = dedupe_by_smile(first_per_key(rows, "structure_key", ("smile", "precursor")))
+    return rows.drop("smile", "precursor").join(first, "structure_key")
