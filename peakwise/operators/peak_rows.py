@@ -92,12 +92,12 @@ def merge_peaks(
     range over the tolerance however many peaks the key owns, so ordering them within the
     key is safe.  ``carry`` names columns that are constant per key.
 
-    m/z values are summed as decimals, which gives the same mean in whatever order the
-    partial sums arrive.
+    The mean of one or two peaks is that of the plain floating sum.  More are summed as
+    decimals, which gives the same mean in whatever order the partial sums arrive.
     """
     cells = rows.groupBy(key, *carry, _cell(F.col("mz"), tolerance).alias("_cell")).agg(
         F.count(F.lit(1)).alias("_n"),
-        F.sum(F.col("mz").cast("decimal(25,12)")).alias("_mz"),
+        F.sum(F.col("mz").cast("decimal(28,16)")).alias("_mz"),
         F.sum("intensity").alias("_intensity"),
         F.min("mz").alias("_low"),
         F.max("mz").alias("_high"),
@@ -106,13 +106,14 @@ def merge_peaks(
     gap = F.col("_low") - F.lag("_high").over(along)
     chained = cells.withColumn("_new", F.coalesce((gap > tolerance).cast("int"), F.lit(1)))
     chained = chained.withColumn("chain", F.sum("_new").over(along))
-    mean = F.sum("_mz").cast("double") / F.sum("_n")
-    # A single peak keeps its exact m/z.
-    mean = F.when(F.sum("_n") == 1, F.min("_low")).otherwise(mean)
+    count = F.sum("_n")
+    few = F.min("_low") + F.when(count == 2, F.max("_high")).otherwise(F.lit(0.0))
+    total = F.when(count <= 2, few).otherwise(F.sum("_mz").cast("double"))
+    mean = total / count
     return chained.groupBy(key, *carry, "chain").agg(
         round_even(round_even(mean, 3), 2).alias("mz"),
         F.sum("_intensity").alias("intensity"),
-        F.sum("_n").alias("n_merged"),
+        count.alias("n_merged"),
     )
 
 
