@@ -35,5 +35,5 @@ def occupied_bins(values: Column, resolution: float, max_mz: float) -> Column:
     """Sorted distinct bins of an array of m/z values."""
     return bind(
         F.transform(values, lambda v: bin_index(v, resolution, max_mz)),
-        lambda b: F.array_sort(F.array_distinct(b)),
+        lambda b: F.sort_array(F.array_distinct(b)),
     )

@@ -91,12 +91,21 @@ def merge_close_peaks(peaks: Column, tolerance: float) -> Column:
     A merged peak has the mean m/z (three, then two decimals) and the summed intensity.
     """
 
-    def merged(chain: Column) -> Column:
-        mean = _total(chain, "mz") / F.size(chain)
-        return _peak(round_even(round_even(mean, 3), 2), _total(chain, "intensity"))
-
-    def chains(ordered: Column) -> Column:
-        positions = F.sequence(F.lit(1), F.greatest(F.size(ordered), F.lit(1)))
+    def rounded(mz: Column) -> Column:
+        return round_even(round_even(mz, 3), 2)
+
+    def chain_peak(ordered: Column, start: Column, length: Column) -> Column:
+        only = F.get(ordered, start - 1)
+        chain = F.slice(ordered, start, length)
+        return F.when(
+            length == 1, _peak(rounded(only["mz"]), only["intensity"])
+        ).otherwise(_peak(rounded(_total(chain, "mz") / length), _total(chain, "intensity")))
+
+    def merged(ordered: Column) -> Column:
+        # 1-based positions where a chain starts; sequence(1, 0) would count down.
+        positions = F.when(F.size(ordered) > 0, F.sequence(F.lit(1), F.size(ordered))).otherwise(
+            F.array().cast("array<int>")
+        )
         starts = F.filter(
             positions,
             lambda i: (i == 1)
@@ -106,18 +115,15 @@ def merge_close_peaks(peaks: Column, tolerance: float) -> Column:
             starts,
             lambda st: F.transform(
                 st,
-                lambda start, j: F.slice(
-                    ordered, start, F.coalesce(F.get(st, j + 1), F.size(ordered) + 1) - start
+                lambda start, j: chain_peak(
+                    ordered,
+                    start,
+                    F.coalesce(F.get(st, j + 1), F.size(ordered) + 1) - start,
                 ),
             ),
         )
 
-    return bind(
-        F.array_sort(peaks),
-        lambda ordered: F.transform(
-            F.filter(chains(ordered), lambda chain: F.size(chain) > 0), merged
-        ),
-    )
+    return bind(F.sort_array(peaks), merged)
 
 
 def neutral_loss(precursor: Column, mz: Column) -> Column:

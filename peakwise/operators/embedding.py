@@ -19,6 +19,9 @@ from pyspark.sql import types as T
 #: Spectra turned into dense rows at a time: 64 x 70,000 float32 take 18 MB.
 DENSE_ROWS = 64
 
+#: Largest weight table, as doubles, that is broadcast.
+BROADCAST_BYTES = 256 << 20
+
 
 def _loaded(key: str, load: Callable):
     """The predictor of this worker process; functions shipped by value share no globals, so
@@ -85,14 +88,20 @@ def sparse_linear(
 ) -> DataFrame:
     """First dense layer on binary input: the sum of the weight rows of the occupied bins.
 
-    ``weights`` is ``(bin, w ARRAY)`` with at most one row per grid point.  Each dimension is
-    an aggregate of its own, so bins are the only thing exploded and every task adds up its
-    spectra before the shuffle.  Meant for layers up to a few hundred wide; give wider ones
-    to :func:`embed_spectra` with :class:`peakwise.models.SparseDense`.
+    ``weights`` is ``(bin, w ARRAY)`` with one row per grid point.  It is counted first and
+    broadcast when it is small, so the bins of a spectrum stay together and are added up
+    ahead of the shuffle; a larger table is joined by bin.  Each dimension is an aggregate
+    of its own, which suits layers up to a few hundred wide; give wider ones to
+    :func:`embed_spectra` with :class:`peakwise.models.SparseDense`.
     """
+    weights = weights.select("bin", *[F.get("w", F.lit(d)).alias(f"_{d}") for d in range(width)])
+    if weights.count() * width * 8 <= BROADCAST_BYTES:
+        weights = F.broadcast(weights)
     rows = df.select(key, F.explode("bins").alias("bin")).join(weights, "bin")
     sums = rows.groupBy(key).agg(
-        *[F.sum(F.get("w", F.lit(d)).cast("double")).alias(f"_{d}") for d in range(width)]
+        *[F.sum(F.col(f"_{d}").cast("double")).alias(f"_{d}") for d in range(width)]
     )
-    values = [F.greatest(F.col(f"_{d}"), F.lit(0.0)) if relu else F.col(f"_{d}") for d in range(width)]
+    values = [
+        F.greatest(F.col(f"_{d}"), F.lit(0.0)) if relu else F.col(f"_{d}") for d in range(width)
+    ]
     return sums.select(key, F.array(*values).alias("activation"))

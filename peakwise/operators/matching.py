@@ -194,7 +194,7 @@ def wide_results(
     gathered = (
         ranked.where(F.col("rank") <= n)
         .groupBy(key)
-        .agg(F.array_sort(F.collect_list(entry)).alias("_top"))
+        .agg(F.sort_array(F.collect_list(entry)).alias("_top"))
     )
     return gathered.select(
         F.col(key).alias("Unique_ID"),

@@ -141,7 +141,7 @@ def collect_bins(bins: DataFrame, key: str, *carry: str) -> DataFrame:
     per grid point."""
     return (
         bins.groupBy(key, *carry)
-        .agg(F.array_sort(F.collect_list("bin")).alias("bins"))
+        .agg(F.sort_array(F.collect_list("bin")).alias("bins"))
         .withColumn("len_frag", F.size("bins"))
     )
 

@@ -1,7 +1,7 @@
 """Identification of annotated and unannotated spectra, and retrieval evaluation.
 
-Each job writes its predictions once below ``work_path`` and ranks from that table, so
-inference runs once per spectrum.  Results come back in long form (``rank`` per candidate);
+Each job writes what it reads twice below ``work_path``: cleaned annotated spectra and the
+predictions.  Parsing and inference then run once per spectrum.  Results come back in long form (``rank`` per candidate);
 :mod:`peakwise.operators.matching` has the wide form.
 """
 
@@ -31,17 +31,25 @@ class Settings:
         return grid_size(self.resolution, self.max_mz)
 
 
-def features_annotated(
+def cleaned_annotated(
     spectra: DataFrame, molecules: DataFrame, settings: Settings = Settings()
 ) -> DataFrame:
+    """Cleaned records with the structure key of their molecule."""
+    cleaned = records.clean(
+        spectra.select("smile", "precursor", "ordinal", "peaks"), settings.intensity_threshold
+    )
+    return masses.attach_properties(cleaned, molecules).where(
+        F.col("structure_key").isNotNull()
+    )
+
+
+def features_annotated(cleaned: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Sparse records of pooled structures: ``structure_key, smile, precursor, bins, len_frag``.
 
-    Peaks are merged per structure before the representative is joined, so what the join
-    moves is bounded per structure.
+    Reads :func:`cleaned_annotated` twice, once without peaks; pass a written table.  Peaks
+    are merged per structure before the representative is joined, so what the join moves is
+    bounded per structure.
     """
-    cleaned = masses.attach_properties(
-        records.clean(spectra, settings.intensity_threshold), molecules
-    ).where(F.col("structure_key").isNotNull())
     first = pooling.dedupe_by_smile(
         pooling.first_per_key(cleaned, "structure_key", ("smile", "precursor"))
     )
@@ -58,7 +66,10 @@ def features_annotated(
 
 def features_unannotated(spectra: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Sparse records of the first spectrum per id; the one shuffle is the de-duplication."""
-    cleaned = records.clean(spectra, settings.intensity_threshold)
+    cleaned = records.clean(
+        spectra.select("spectrum_id", "precursor", "ordinal", "peaks"),
+        settings.intensity_threshold,
+    )
     first = records.precursor_cutoff(pooling.dedupe_by_id(cleaned))
     return records.encode(first, settings.tolerance, settings.resolution, settings.max_mz).select(
         "spectrum_id", "precursor", "mz", "ints", "bins", "len_frag"
@@ -74,6 +85,22 @@ def predict(
     return write_table(embedded.drop(*drop), work_path)
 
 
+def predict_annotated(
+    spectra: DataFrame,
+    molecules: DataFrame,
+    load: Callable,
+    work_path: str,
+    settings: Settings,
+    **model: object,
+) -> DataFrame:
+    """Clean, pool, encode and embed; cleaned spectra and predictions are written."""
+    cleaned = write_table(
+        cleaned_annotated(spectra, molecules, settings), f"{work_path}/cleaned"
+    )
+    features = features_annotated(cleaned, settings)
+    return predict(features, load, f"{work_path}/predictions", settings, **model)
+
+
 def identify_annotated(
     spectra: DataFrame,
     molecules: DataFrame,
@@ -90,9 +117,7 @@ def identify_annotated(
     ``(library_id, smile, inchikey, exact_mass, fp_bits, embedding)``.  A structure is
     identified by its ``smile``.
     """
-    predictions = predict(
-        features_annotated(spectra, molecules, settings), load, work_path, settings, **model
-    )
+    predictions = predict_annotated(spectra, molecules, load, work_path, settings, **model)
     queries = annotated_queries(predictions, molecules, ion_mode)
     keyed = masses.with_library_key(library, ion_mode)
     ranked = matching.top_candidates(
@@ -127,7 +152,11 @@ def identify_unannotated(
 ) -> DataFrame:
     """Ranked candidates of unannotated spectra."""
     predictions = predict(
-        features_unannotated(spectra, settings), load, work_path, settings, **model
+        features_unannotated(spectra, settings),
+        load,
+        f"{work_path}/predictions",
+        settings,
+        **model,
     )
     queries = masses.with_measured_mass_key(predictions, key_mode)
     keyed = masses.with_library_key(library, ion_mode)
@@ -156,13 +185,7 @@ def evaluate_retrieval(
     **model: object,
 ) -> Retrieval:
     """Top-1 to top-5 accuracy of annotated spectra, masses always in positive mode."""
-    predictions = predict(
-        features_annotated(spectra, molecules, settings),
-        load,
-        f"{work_path}/predictions",
-        settings,
-        **model,
-    )
+    predictions = predict_annotated(spectra, molecules, load, work_path, settings, **model)
     queries = annotated_queries(predictions, molecules, "+")
     keyed = masses.with_library_key(library, "+")
     ranked = matching.top_candidates(

@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from peakwise.functions.bind import bind
-
 ANNOTATED_TAG = "smile:"
 NAMED_TAG = "Name:"
 _PRECURSOR = "Precursor:"
@@ -61,22 +59,27 @@ def read_blocks(
     )
 
 
-def _header(lines: Column, tag: str) -> Column:
+# Blanks within a line, and a peak line: two tokens, the first one starting with a digit.
+_BLANK = r"[^\S\r\n]"
+_PEAK_LINE = rf"(?m)^{_BLANK}*([0-9]\S*){_BLANK}+(\S+)"
+
+
+def _header(tag: str) -> Column:
     """Text after ``tag`` on the last line starting with it; null without such a line."""
-    line = F.try_element_at(F.filter(lines, lambda s: s.startswith(tag)), F.lit(-1))
-    return F.btrim(F.substr(line, F.lit(len(tag) + 1)), F.lit(" \t"))
+    line = F.lit(rf"(?m)^{_BLANK}*{tag}{_BLANK}*([^\r\n]*)")
+    last = F.try_element_at(F.regexp_extract_all("block", line, F.lit(1)), F.lit(-1))
+    return F.rtrim(last, F.lit(" \t"))
 
 
-def _peaks(lines: Column) -> Column:
-    tokens = F.filter(
-        F.transform(F.filter(lines, lambda s: s.rlike("^[0-9]")), lambda s: F.split(s, r"\s+")),
-        lambda t: F.size(t) >= 2,
-    )
-    return F.transform(
-        tokens,
-        lambda t: F.struct(
-            F.get(t, F.lit(0)).try_cast("double").alias("mz"),
-            F.get(t, F.lit(1)).try_cast("double").alias("intensity"),
+def _peaks() -> Column:
+    def token(group: int) -> Column:
+        return F.regexp_extract_all("block", F.lit(_PEAK_LINE), F.lit(group))
+
+    return F.zip_with(
+        token(1),
+        token(2),
+        lambda mz, intensity: F.struct(
+            mz.try_cast("double").alias("mz"), intensity.try_cast("double").alias("intensity")
         ),
     )
 
@@ -98,23 +101,21 @@ def parse_blocks(
     if mode not in ("PERMISSIVE", "DROPMALFORMED", "FAILFAST"):
         raise ValueError(f"unknown mode {mode!r}")
     id_column = "smile" if id_tag == ANNOTATED_TAG else "spectrum_id"
-    clean_text = F.btrim(F.col("block"), F.lit(" \t\r\n\ufeff"))
-    record = bind(
-        F.split(clean_text, r"\s*[\r\n]\s*"),
-        lambda lines: F.struct(
-            F.btrim(F.substr(F.get(lines, F.lit(0)), F.lit(len(id_tag) + 1)), F.lit(" \t")).alias("id"),
-            _header(lines, _PRECURSOR).alias("precursor_text"),
-            _header(lines, _ADDUCT).alias("adduct"),
-            _peaks(lines).alias("peaks"),
-        ),
+    first_line = rf"^\x{{FEFF}}?\s*{id_tag}{_BLANK}*([^\r\n]*)"
+    record = F.struct(
+        F.rtrim(F.regexp_extract("block", first_line, 1), F.lit(" \t")).alias(id_column),
+        _header(_PRECURSOR).alias("precursor_text"),
+        _header(_ADDUCT).alias("adduct"),
+        _peaks().alias("peaks"),
     )
-    parsed = blocks.select("ordinal", "block", record.alias("r")).select(
+    # A generator is parsed once per block; a filter on a projection would parse again.
+    parsed = blocks.select("ordinal", "block", F.inline(F.array(record))).select(
         "ordinal",
-        F.col("r.id").alias(id_column),
-        F.col("r.precursor_text").alias("precursor_text"),
-        F.col("r.precursor_text").try_cast("double").alias("precursor"),
-        F.col("r.adduct").alias("adduct"),
-        F.col("r.peaks").alias("peaks"),
+        id_column,
+        "precursor_text",
+        F.col("precursor_text").try_cast("double").alias("precursor"),
+        "adduct",
+        "peaks",
         "block",
     )
     malformed = (F.col("precursor_text").isNotNull() & F.col("precursor").isNull()) | F.exists(

@@ -204,15 +204,18 @@ def _cleaned(spark, sf_dir) -> DataFrame:
     return peak_rows.clean(views.peak_rows(spark, sf_dir), "spectrum_id")
 
 
-def _merged(spark, sf_dir, tolerance: float = records.TOLERANCE) -> DataFrame:
-    return peak_rows.merge_peaks(
-        _cleaned(spark, sf_dir), "spectrum_id", tolerance, carry=("precursor",)
-    )
+def _kept(spark, sf_dir) -> DataFrame:
+    """Surviving peaks.  Total-ion scaling moves no peak, so features do without it."""
+    return peak_rows.intensity_threshold(_scaled(spark, sf_dir)).drop("base_pct")
+
+
+def _merged(spark, sf_dir) -> DataFrame:
+    return peak_rows.merge_peaks(_kept(spark, sf_dir), "spectrum_id", carry=("precursor",))
 
 
 def _peak_values(rows: DataFrame) -> DataFrame:
     return rows.select(
-        "spectrum_id", _r("mz").alias("mz"), _r("intensity").alias("intensity")
+        "spectrum_id", _r("mz").alias("mz"), _r("intensity", 10).alias("intensity")
     )
 
 
@@ -233,7 +236,7 @@ def base_peak_scale(spark, sf_dir):
 
 @query
 def intensity_threshold(spark, sf_dir):
-    return _peak_values(peak_rows.intensity_threshold(_scaled(spark, sf_dir)))
+    return _peak_values(_kept(spark, sf_dir))
 
 
 @query
@@ -243,9 +246,9 @@ def total_ion_scale(spark, sf_dir):
 
 @query
 def peak_group(spark, sf_dir):
-    merged = _merged(spark, sf_dir, WIDE_TOLERANCE)
+    merged = peak_rows.merge_peaks(_cleaned(spark, sf_dir), "spectrum_id", WIDE_TOLERANCE)
     return merged.select(
-        "spectrum_id", "mz", _r("intensity").alias("intensity"), "n_merged"
+        "spectrum_id", "mz", _r("intensity", 10).alias("intensity"), "n_merged"
     )
 
 
@@ -265,7 +268,7 @@ def unzip_peaks(spark, sf_dir):
             "spectrum_id",
             "pos",
             _r(F.get("mz", F.col("pos"))).alias("mz"),
-            _r("ints").alias("ints"),
+            _r("ints", 10).alias("ints"),
         )
     )
 
@@ -305,7 +308,7 @@ def sparse_encode(spark, sf_dir):
 
 
 def _row_features(spark, sf_dir) -> DataFrame:
-    return peak_rows.encode(_cleaned(spark, sf_dir), "spectrum_id")
+    return peak_rows.encode(_kept(spark, sf_dir), "spectrum_id")
 
 
 @query
