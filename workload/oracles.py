@@ -7,7 +7,7 @@ _CTE: dict[str, tuple[tuple[str, ...], str]] = {
     "rows_": (
         (),
         """SELECT o_orderkey AS spectrum_id, o_totalprice / 400 AS precursor,
-                  l_extendedprice / 150 AS mz, l_quantity * l_quantity AS intensity
+                  l_extendedprice / 150 AS mz, l_quantity * l_quantity + sqrt(l_extendedprice) / 100 AS intensity
            FROM orders JOIN lineitem ON o_orderkey = l_orderkey""",
     ),
     "windowed": (("rows_",), "SELECT * FROM rows_ WHERE mz <= precursor + 0.5"),
@@ -116,7 +116,7 @@ _CTE: dict[str, tuple[tuple[str, ...], str]] = {
     "order_peaks": (
         (),
         """SELECT l_orderkey AS ordinal, l_extendedprice / 150 AS mz,
-                  l_quantity * l_quantity AS intensity
+                  l_quantity * l_quantity + sqrt(l_extendedprice) / 100 AS intensity
            FROM lineitem""",
     ),
     "record_rows": (
@@ -338,7 +338,7 @@ _COSINE = "round(cosine, 6)"
 _ANNOTATED = {"cosine": _COSINE, "SMILE": "smile", "Tanimoto": "round(tanimoto, 6)"}
 _UNANNOTATED = {"cosine": _COSINE, "SMILE": "smile", "InChIKey": "inchikey"}
 
-_PEAK_VALUES = "SELECT spectrum_id, round(mz, 6) AS mz, round(intensity, 10) AS intensity FROM "
+_PEAK_VALUES = "SELECT spectrum_id, round(mz, 6) AS mz, round(intensity, 6) AS intensity FROM "
 _FEATURE_TEXT = "SELECT id AS spectrum_id, round(precursor, 6) AS precursor, bins, len_frag FROM features"
 _VECTOR_SUMS = "width, round(total, 3) AS total, round(weighted, 3) AS weighted"
 _ACCURACY = """SELECT r::INTEGER AS rank, hits, round(hits * 100.0 / n, 6) AS pct,
@@ -409,7 +409,7 @@ def oracles() -> dict[str, str]:
         "intensity_threshold": _with(_PEAK_VALUES + "kept", "kept"),
         "total_ion_scale": _with(_PEAK_VALUES + "cleaned", "cleaned"),
         "peak_group": _with(
-            """SELECT id AS spectrum_id, mz, round(intensity, 10) AS intensity, n_merged
+            """SELECT id AS spectrum_id, mz, round(intensity, 6) AS intensity, n_merged
                FROM merged""",
             "merged",
             tolerance=20,
@@ -419,7 +419,7 @@ def oracles() -> dict[str, str]:
         ),
         "unzip_peaks": _with(
             """SELECT name AS spectrum_id, pos::INTEGER AS pos, round(mz, 6) AS mz,
-                      round(intensity, 10) AS ints
+                      round(intensity, 6) AS ints
                FROM record_kept""",
             "record_kept",
         ),
@@ -434,7 +434,7 @@ def oracles() -> dict[str, str]:
         "pool_by_structure": _with(
             """SELECT f.structure_key, f.smile, round(f.precursor, 6) AS precursor,
                       o_orderkey AS ordinal, l_linenumber AS pos,
-                      round(l_extendedprice / 150, 6) AS mz, l_quantity * l_quantity AS intensity
+                      round(l_extendedprice / 150, 6) AS mz, l_quantity * l_quantity + sqrt(l_extendedprice) / 100 AS intensity
                FROM (SELECT o_custkey AS structure_key,
                             arg_min(o_orderstatus || '-' || (o_custkey // 2), o_orderkey) AS smile,
                             arg_min(o_totalprice / 400, o_orderkey) AS precursor

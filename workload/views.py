@@ -34,7 +34,10 @@ def order_peaks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_orderkey").alias("spectrum_id"),
         F.col("l_linenumber").alias("pos"),
         (F.col("l_extendedprice") / 150).alias("mz"),
-        (F.col("l_quantity") * F.col("l_quantity")).alias("intensity"),
+        # The root keeps shares of a total off the decimals where rounding ties.
+        (F.col("l_quantity") * F.col("l_quantity") + F.sqrt("l_extendedprice") / 100).alias(
+            "intensity"
+        ),
     )
 
 
