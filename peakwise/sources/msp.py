@@ -32,10 +32,11 @@ def read_blocks(
     the first line with text to be an id line.  ``whole_files`` reads each file as one value
     and also accepts text ahead of the first id line; use it for files of moderate size.
     """
-    reader = spark.read.option("wholetext", True) if whole_files else spark.read.option(
-        "lineSep", "\n" + id_tag
-    )
-    text = reader.text(path).select(
+    if whole_files:
+        text = spark.read.text(path, wholetext=True)
+    else:
+        text = spark.read.text(path, lineSep="\n" + id_tag)
+    text = text.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("seq"),

@@ -1,0 +1,89 @@
+import numpy as np
+from pyspark.sql import functions as F
+
+from peakwise import models
+from peakwise.operators import embedding
+
+N_BINS = 500
+
+
+def features(spark, n=150, seed=1):
+    rng = np.random.default_rng(seed)
+    rows = [
+        (f"s{i}", sorted({int(b) for b in rng.integers(0, N_BINS, rng.integers(1, 30))}))
+        for i in range(n)
+    ]
+    return rows, spark.createDataFrame(rows, "spectrum_id string, bins array<int>")
+
+
+def network(path, widths=(N_BINS, 16, 4), seed=2):
+    rng = np.random.default_rng(seed)
+    arrays = {}
+    for i, (a, b) in enumerate(zip(widths, widths[1:])):
+        arrays[f"w{i}"], arrays[f"b{i}"] = rng.normal(size=(a, b)), rng.normal(size=b)
+    np.savez(path, **arrays)
+    return arrays
+
+
+def forward(arrays, bins):
+    x = np.zeros(N_BINS)
+    x[bins] = 1
+    for i in range(len(arrays) // 2):
+        x = x @ arrays[f"w{i}"] + arrays[f"b{i}"]
+        if i < len(arrays) // 2 - 1:
+            x = np.maximum(x, 0)
+    return x
+
+
+def test_sparse_network(spark, tmp_path):
+    arrays = network(tmp_path / "net.npz")
+    rows, df = features(spark)
+    load = models.SparseDense(str(tmp_path / "net.npz"))
+    got = embedding.embed_spectra(df, load, n_bins=N_BINS, dense=False)
+    assert dict(got.dtypes)["embedding"] == "array<float>"
+    by_id = {r.spectrum_id: r.embedding for r in got.collect()}
+    for key, bins in rows:
+        np.testing.assert_allclose(by_id[key], forward(arrays, bins), rtol=1e-5, atol=1e-5)
+
+
+def test_dense_matrix_reaches_the_model_in_small_batches(spark):
+    rows, df = features(spark, n=200)
+
+    def load():
+        def predict(matrix):
+            assert matrix.shape[1] == N_BINS and matrix.shape[0] <= 64
+            assert matrix.dtype == np.float32
+            return np.stack([matrix.sum(axis=1), matrix @ np.arange(N_BINS)], axis=1)
+
+        return predict
+
+    got = embedding.embed_spectra(df, load, n_bins=N_BINS).collect()
+    assert {r.spectrum_id: r.embedding for r in got} == {
+        key: [float(len(bins)), float(sum(bins))] for key, bins in rows
+    }
+
+
+def test_model_per_ion_mode(spark):
+    _, df = features(spark)
+    df = df.withColumn("ion_mode", F.when(F.length("spectrum_id") == 2, "+").otherwise("-"))
+    constant = lambda value: lambda: lambda bins: np.full((len(bins), 1), value)
+    got = embedding.embed_by_mode(
+        df, {"+": constant(1.0), "-": constant(2.0)}, n_bins=N_BINS, dense=False
+    ).collect()
+    assert len(got) == 150
+    assert all(r.embedding == [1.0 if r.ion_mode == "+" else 2.0] for r in got)
+
+
+def test_sparse_linear_broadcast_and_joined(spark, monkeypatch):
+    rows, df = features(spark)
+    rng = np.random.default_rng(4)
+    w = rng.normal(size=(N_BINS, 3))
+    weights = spark.createDataFrame(
+        [(i, [float(x) for x in row]) for i, row in enumerate(w)], "bin int, w array<double>"
+    )
+    for limit in (embedding.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(embedding, "BROADCAST_BYTES", limit)
+        got = embedding.sparse_linear(df, weights, 3).collect()
+        by_id = {r.spectrum_id: r.activation for r in got}
+        for key, bins in rows:
+            np.testing.assert_allclose(by_id[key], np.maximum(w[bins].sum(axis=0), 0), atol=1e-9)
