@@ -16,10 +16,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from peakwise.session import shared_path
+from peakwise.sources.tables import write_table
+
 #: Rows per side of a tile.  Two blocks of 384 doubles take 25 MB, their products 134 MB
 #: per 4096 x 4096 tile, computed a strip of queries at a time.
 TILE_ROWS = 4096
 
+#: Masses whose block counts are broadcast: 100 MB as a hash table.
+BROADCAST_KEYS = 2_000_000
+
 #: Cosines are compared at this many decimals, so copies of a molecule tie.
 COSINE_DIGITS = 12
 
@@ -35,7 +41,7 @@ def candidate_counts(queries: DataFrame, library: DataFrame) -> DataFrame:
 
 
 def match_candidates(queries: DataFrame, library: DataFrame) -> DataFrame:
-    """Matched queries with their candidate set in brief: size, first and last structure.
+    """Matched queries with their candidate set in brief: its size, first and last id.
 
     The library is reduced per mass before the join, so the output is one row per matched
     query.
@@ -45,8 +51,8 @@ def match_candidates(queries: DataFrame, library: DataFrame) -> DataFrame:
         .groupBy("mass_key")
         .agg(
             F.count(F.lit(1)).alias("n_candidates"),
-            F.min("smile").alias("first_smile"),
-            F.max("smile").alias("last_smile"),
+            F.min("library_id").alias("first_candidate"),
+            F.max("library_id").alias("last_candidate"),
         )
     )
     return queries.join(groups, "mass_key")
@@ -54,17 +60,32 @@ def match_candidates(queries: DataFrame, library: DataFrame) -> DataFrame:
 
 def unmatched_queries(queries: DataFrame, library: DataFrame) -> DataFrame:
     """Queries without a candidate, those without a mass key included."""
-    return queries.join(library.select("mass_key"), "mass_key", "left_anti")
+    return queries.join(library.select("mass_key").distinct(), "mass_key", "left_anti")
 
 
-def _tiles(queries: DataFrame, library: DataFrame, tile_rows: int):
-    """Both sides with ``tile = (q, l)``: rows repeat only for the blocks they face."""
+def _block_counts(queries: DataFrame, library: DataFrame, tile_rows: int) -> DataFrame:
+    """Per matched mass: candidates and the blocks of either side, from the keys alone.
+
+    The table is written and counted.  Up to :data:`BROADCAST_KEYS` masses it is broadcast,
+    which saves moving the embeddings once only to learn their blocks; beyond that it is
+    joined like any other table.
+    """
     blocks_of = lambda n: F.ceil(F.col(n) / tile_rows).cast("int")
     q_sizes = queries.groupBy("mass_key").agg(F.count(F.lit(1)).alias("_nq"))
     l_sizes = library.groupBy("mass_key").agg(F.count(F.lit(1)).alias("n_candidates"))
     blocks = q_sizes.join(l_sizes, "mass_key").select(
-        "mass_key", "n_candidates", blocks_of("_nq").alias("_qb"), blocks_of("n_candidates").alias("_lb")
+        "mass_key",
+        "n_candidates",
+        blocks_of("_nq").alias("_qb"),
+        blocks_of("n_candidates").alias("_lb"),
     )
+    blocks = write_table(blocks, shared_path(queries.sparkSession, "blocks"))
+    return F.broadcast(blocks) if blocks.count() <= BROADCAST_KEYS else blocks
+
+
+def _tiles(queries: DataFrame, library: DataFrame, tile_rows: int):
+    """Both sides with ``tile = (q, l)``: rows repeat only for the blocks they face."""
+    blocks = _block_counts(queries, library, tile_rows)
 
     def spread(side: DataFrame, id_column: str, own: str, own_n: str, other: str, other_n: str):
         block = F.pmod(F.xxhash64(id_column), F.col(own_n)).cast("int")
@@ -72,10 +93,8 @@ def _tiles(queries: DataFrame, library: DataFrame, tile_rows: int):
         return side.select("*", block.alias(own), faced.alias(other)).drop("_qb", "_lb")
 
     q = spread(queries.join(blocks, "mass_key"), "spectrum_id", "_q", "_qb", "_l", "_lb")
-    lib = spread(
-        library.join(blocks.drop("n_candidates"), "mass_key"), "library_id", "_l", "_lb", "_q", "_qb"
-    )
-    return q, lib
+    lib = spread(library.join(blocks, "mass_key"), "library_id", "_l", "_lb", "_q", "_qb")
+    return q, lib.drop("n_candidates")
 
 
 def _tile_ranker(
@@ -155,7 +174,8 @@ def top_candidates(
     does ``n_candidates``.  Equal cosines rank by the library columns in their order, null
     cosines (zero vectors) last.  Queries without a candidate have no rows.
 
-    Both frames are read more than once.  Pass written tables when they are costly.
+    The keys of both frames are read ahead of the rest, when this is called.  Pass written
+    tables when the frames are costly.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 

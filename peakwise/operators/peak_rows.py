@@ -105,7 +105,8 @@ def merge_peaks(
     along = Window.partitionBy(key).orderBy("_cell")
     gap = F.col("_low") - F.lag("_high").over(along)
     chained = cells.withColumn("_new", F.coalesce((gap > tolerance).cast("int"), F.lit(1)))
-    chained = chained.withColumn("chain", F.sum("_new").over(along))
+    so_far = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    chained = chained.withColumn("chain", F.sum("_new").over(so_far))
     count = F.sum("_n")
     few = F.min("_low") + F.when(count == 2, F.max("_high")).otherwise(F.lit(0.0))
     total = F.when(count <= 2, few).otherwise(F.sum("_mz").cast("double"))

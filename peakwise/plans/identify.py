@@ -65,15 +65,20 @@ def features_annotated(cleaned: DataFrame, settings: Settings = Settings()) -> D
 
 
 def features_unannotated(spectra: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Sparse records of the first spectrum per id; the one shuffle is the de-duplication."""
+    """Sparse records of the first spectrum per id.
+
+    The one shuffle is the de-duplication.  Spectra are encoded ahead of it: bins are half
+    the size of the peaks they come from.
+    """
     cleaned = records.clean(
         spectra.select("spectrum_id", "precursor", "ordinal", "peaks"),
         settings.intensity_threshold,
     )
-    first = records.precursor_cutoff(pooling.dedupe_by_id(cleaned))
-    return records.encode(first, settings.tolerance, settings.resolution, settings.max_mz).select(
-        "spectrum_id", "precursor", "mz", "ints", "bins", "len_frag"
+    encoded = records.encode(cleaned, settings.tolerance, settings.resolution, settings.max_mz)
+    features = encoded.select(
+        "spectrum_id", "precursor", "ordinal", "mz", "ints", "bins", "len_frag"
     )
+    return records.precursor_cutoff(pooling.dedupe_by_id(features)).drop("ordinal")
 
 
 def predict(

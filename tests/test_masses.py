@@ -61,12 +61,12 @@ def test_formula_mass(spark, formula, mass):
 
 def test_molecules_without_a_mass_never_match(spark):
     library = masses.with_library_key(
-        spark.createDataFrame([("a", 100.0), ("b", None)], "smile string, exact_mass double"), "+"
+        spark.createDataFrame([(7, "a", 100.0), (8, "b", None)], "library_id long, smile string, exact_mass double"), "+"
     )
     assert {r.smile: r.mass_key for r in library.collect()} == {"a": 101007, "b": None}
     queries = spark.createDataFrame([(1, 101007), (2, None), (3, 5)], "spectrum_id int, mass_key long")
     matched = matching.match_candidates(queries, library).collect()
-    assert [(r.spectrum_id, r.n_candidates, r.first_smile) for r in matched] == [(1, 1, "a")]
+    assert [(r.spectrum_id, r.n_candidates, r.first_candidate) for r in matched] == [(1, 1, 7)]
     missing = matching.unmatched_queries(queries, library).collect()
     assert sorted(r.spectrum_id for r in missing) == [2, 3]
 

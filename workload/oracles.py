@@ -494,8 +494,8 @@ def oracles() -> dict[str, str]:
                FROM orders LEFT JOIN customer
                  ON c_name = 'Customer#' || lpad((o_custkey + 100)::VARCHAR, 9, '0')""",
         "candidates": _with(
-            """SELECT spectrum_id, mass_key, count(*) AS n_candidates, min(smile) AS first_smile,
-                      max(smile) AS last_smile
+            """SELECT spectrum_id, mass_key, count(*) AS n_candidates,
+                      min(library_id) AS first_candidate, max(library_id) AS last_candidate
                FROM part_queries JOIN part_library USING (mass_key)
                GROUP BY spectrum_id, mass_key""",
             "part_queries",
