@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from peakwise import models
@@ -87,3 +88,52 @@ def test_sparse_linear_broadcast_and_joined(spark, monkeypatch):
         by_id = {r.spectrum_id: r.activation for r in got}
         for key, bins in rows:
             np.testing.assert_allclose(by_id[key], np.maximum(w[bins].sum(axis=0), 0), atol=1e-9)
+
+
+def _field(number, payload):
+    """A length-delimited or varint protobuf field."""
+
+    def varint(n):
+        out = b""
+        while n > 127:
+            out += bytes([n & 127 | 128])
+            n >>= 7
+        return out + bytes([n])
+
+    if isinstance(payload, int):
+        return varint(number << 3) + varint(payload)
+    if isinstance(payload, str):
+        payload = payload.encode()
+    return varint(number << 3 | 2) + varint(len(payload)) + payload
+
+
+def _matmul_onnx(w):
+    """An ONNX file multiplying its ``x`` of shape (rows, bins) with ``w``."""
+
+    def value(name, width):
+        dims = _field(1, _field(2, "rows")) + _field(1, _field(1, width))
+        tensor_type = _field(1, 1) + _field(2, dims)
+        return _field(1, name) + _field(2, _field(1, tensor_type))
+
+    weights = (
+        _field(1, w.shape[0]) + _field(1, w.shape[1]) + _field(2, 1) + _field(8, "w")
+        + _field(9, w.astype("<f4").tobytes())
+    )
+    node = _field(1, "x") + _field(1, "w") + _field(2, "y") + _field(4, "MatMul")
+    graph = (
+        _field(1, node) + _field(2, "g") + _field(5, weights)
+        + _field(11, value("x", w.shape[0])) + _field(12, value("y", w.shape[1]))
+    )
+    return _field(1, 8) + _field(7, graph) + _field(8, _field(1, "") + _field(2, 17))
+
+
+def test_onnx_network(spark, tmp_path):
+    pytest.importorskip("onnxruntime")
+    w = np.random.default_rng(6).normal(size=(N_BINS, 3))
+    path = tmp_path / "net.onnx"
+    path.write_bytes(_matmul_onnx(w))
+    rows, df = features(spark)
+    got = embedding.embed_spectra(df, models.OnnxModel(str(path), flat=True), n_bins=N_BINS)
+    by_id = {r.spectrum_id: r.embedding for r in got.collect()}
+    for key, bins in rows:
+        np.testing.assert_allclose(by_id[key], w[bins].sum(axis=0), rtol=1e-4, atol=1e-4)
