@@ -75,7 +75,11 @@ def embed_spectra(
 
 
 def embed_by_mode(df: DataFrame, loaders: dict[str, Callable], **options) -> DataFrame:
-    """:func:`embed_spectra` with one model per ``ion_mode``."""
+    """:func:`embed_spectra` with one model per ``ion_mode``.
+
+    Reads ``df`` once per mode, so that no worker holds both models for one task; pass
+    written features.
+    """
     branches = [
         embed_spectra(df.where(F.col("ion_mode") == mode), load, **options)
         for mode, load in loaders.items()

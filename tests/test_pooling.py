@@ -95,3 +95,26 @@ def test_merging_moves_bounded_rows_for_a_hot_key(spark):
     got = merged.collect()
     assert len(got) == len(set(cells.tolist()))
     assert sum(r.n_merged for r in got) == n
+
+
+def test_first_rows_are_cut_ahead_of_the_shuffle(spark):
+    df = spark.createDataFrame([("a", 1)], "spectrum_id string, ordinal long")
+    plan = pooling.dedupe_by_id(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 2
+
+
+def test_unannotated_features_keep_the_first_surviving_spectrum(spark):
+    schema = (
+        "spectrum_id string, precursor double, ordinal long, "
+        "peaks array<struct<mz:double,intensity:double>>"
+    )
+    spectra = [
+        ("a", 100.0, 1, [(300.0, 1.0)]),  # nothing inside the window
+        ("a", 200.0, 2, [(150.0, 1.0), (20.0, 0.5)]),
+        ("a", 300.0, 3, [(10.0, 1.0)]),
+        ("heavy", 1000.5, 4, [(10.0, 1.0)]),  # first of its id, and too heavy
+        ("heavy", 500.0, 5, [(10.0, 1.0)]),
+    ]
+    got = identify.features_unannotated(spark.createDataFrame(spectra, schema)).collect()
+    assert [(r.spectrum_id, r.precursor, r.mz) for r in got] == [("a", 200.0, [150.0, 20.0])]
+    assert got[0].bins == brute_bins(200.0, brute_clean(200.0, spectra[1][3]))

@@ -628,7 +628,9 @@ class NegatedWeights(views.VectorWeights):
 @query
 def embed_by_mode(spark, sf_dir):
     mode = F.when(F.col("spectrum_id") % 2 == 0, "+").otherwise("-")
-    features = _row_features(spark, sf_dir).withColumn("ion_mode", mode)
+    features = tables.write_table(
+        _row_features(spark, sf_dir).withColumn("ion_mode", mode), shared_path(spark, "features")
+    )
     loaders = {"+": views.VectorWeights(sf_dir), "-": NegatedWeights(sf_dir)}
     embedded = embedding.embed_by_mode(features, loaders, n_bins=views.N_BINS, dense=False)
     return _vector_summary(embedded, "spectrum_id", "ion_mode")
@@ -637,9 +639,16 @@ def embed_by_mode(spark, sf_dir):
 # ---------------------------------------------------------------- whole jobs
 
 
+def _molecule_table(spark, sf_dir) -> DataFrame:
+    """The library as a file, the way it is handed to a job."""
+    return tables.write_table(
+        views.customers_as_molecules(spark, sf_dir), shared_path(spark, "library")
+    )
+
+
 @query
 def identify_annotated(spark, sf_dir):
-    molecules = views.customers_as_molecules(spark, sf_dir)
+    molecules = _molecule_table(spark, sf_dir)
     ranked = identify.identify_annotated(
         msp.read_annotated(spark, views.annotated_msp(spark, sf_dir)),
         molecules.select("smile", "inchikey", "exact_mass", "fp_bits"),
@@ -655,7 +664,7 @@ def identify_annotated(spark, sf_dir):
 def identify_unannotated(spark, sf_dir):
     ranked = identify.identify_unannotated(
         msp.read_named(spark, views.named_msp(spark, sf_dir)),
-        views.customers_as_molecules(spark, sf_dir),
+        _molecule_table(spark, sf_dir),
         views.VectorWeights(sf_dir),
         shared_path(spark, "predictions"),
         dense=False,
@@ -665,7 +674,7 @@ def identify_unannotated(spark, sf_dir):
 
 @query
 def evaluate_retrieval(spark, sf_dir):
-    molecules = views.customers_as_molecules(spark, sf_dir)
+    molecules = _molecule_table(spark, sf_dir)
     result = identify.evaluate_retrieval(
         msp.read_annotated(spark, views.annotated_msp(spark, sf_dir)),
         molecules.select("smile", "inchikey", "exact_mass", "fp_bits"),
