@@ -16,10 +16,18 @@ from peakwise.functions.rounding import round_even
 from peakwise.operators import records
 
 
-def explode_peaks(df: DataFrame, *keep: str) -> DataFrame:
-    """Records to peak rows with the position of each peak."""
-    return df.select(*keep, F.posexplode("peaks").alias("pos", "peak")).select(
-        *keep, "pos", F.col("peak.mz").alias("mz"), F.col("peak.intensity").alias("intensity")
+def explode_peaks(df: DataFrame, *keep: str, position: bool = False) -> DataFrame:
+    """Records to peak rows, with ``pos`` of each peak on request.
+
+    Without it a scan only reads the peak fields used later on.
+    """
+    if position:
+        rows = df.select(*keep, F.posexplode("peaks").alias("pos", "peak"))
+        keep = (*keep, "pos")
+    else:
+        rows = df.select(*keep, F.explode("peaks").alias("peak"))
+    return rows.select(
+        *keep, F.col("peak.mz").alias("mz"), F.col("peak.intensity").alias("intensity")
     )
 
 

@@ -176,7 +176,7 @@ def test_single_steps_compose_to_clean(spark):
 @pytest.mark.parametrize("tolerance", [0.01, 0.5, 0.0])
 def test_peak_rows_equal_records(spark, tolerance):
     df = frame(spark, *random_spectra(200, seed=4))
-    rows = peak_rows.explode_peaks(df, "spectrum_id", "precursor").drop("pos")
+    rows = peak_rows.explode_peaks(df, "spectrum_id", "precursor")
     by_rows = peak_rows.encode(peak_rows.clean(rows, "spectrum_id"), "spectrum_id", tolerance)
     by_record = records.encode(records.precursor_cutoff(records.clean(df)), tolerance)
     assert {r.spectrum_id: r.bins for r in by_rows.collect()} == {
@@ -206,3 +206,18 @@ def test_chains_cover_all_peaks(spark, mzs):
 def test_clean_runs_the_expression_once(spark):
     plan = records.clean(frame(spark, ("a", 1.0, [])))._jdf.queryExecution().optimizedPlan()
     assert plan.toString().count("array_max") == 2  # one per scaling step
+
+
+def test_exploded_rows_know_their_position(spark):
+    df = frame(spark, ("a", 1.0, [(5.0, 1.0), (4.0, 2.0)]))
+    rows = peak_rows.explode_peaks(df, "spectrum_id", position=True).collect()
+    assert [(r.pos, r.mz, r.intensity) for r in rows] == [(0, 5.0, 1.0), (1, 4.0, 2.0)]
+
+
+def test_merging_written_records_reads_only_mz(spark, work):
+    from peakwise.sources.tables import write_table
+
+    written = write_table(frame(spark, ("a", 1.0, [(1.0, 2.0)])), work)
+    merged = peak_rows.merge_peaks(peak_rows.explode_peaks(written, "spectrum_id"), "spectrum_id")
+    plan = merged.select("spectrum_id", "mz")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<spectrum_id:string,peaks:array<struct<mz:double>>>" in plan
