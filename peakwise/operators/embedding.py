@@ -98,13 +98,13 @@ def sparse_linear(
     of its own, which suits layers up to a few hundred wide; give wider ones to
     :func:`embed_spectra` with :class:`peakwise.models.SparseDense`.
     """
-    weights = weights.select("bin", *[F.get("w", F.lit(d)).alias(f"_{d}") for d in range(width)])
+    weights = weights.select(
+        "bin", *[F.get("w", F.lit(d)).cast("double").alias(f"_{d}") for d in range(width)]
+    )
     if weights.count() * width * 8 <= BROADCAST_BYTES:
         weights = F.broadcast(weights)
     rows = df.select(key, F.explode("bins").alias("bin")).join(weights, "bin")
-    sums = rows.groupBy(key).agg(
-        *[F.sum(F.col(f"_{d}").cast("double")).alias(f"_{d}") for d in range(width)]
-    )
+    sums = rows.groupBy(key).agg(*[F.sum(f"_{d}").alias(f"_{d}") for d in range(width)])
     values = [
         F.greatest(F.col(f"_{d}"), F.lit(0.0)) if relu else F.col(f"_{d}") for d in range(width)
     ]

@@ -68,7 +68,7 @@ _CTE: dict[str, tuple[tuple[str, ...], str]] = {
     "vector_library": (
         (),
         """SELECT 'V' || vec_id AS smile, upper(md5('V' || vec_id)) AS inchikey,
-                  nullif(label, 9) AS mass_key, label + 1.007276 AS precursor_mz, embedding
+                  nullif(label, 9) AS mass_key, label + 1.007276::DOUBLE AS precursor_mz, embedding
            FROM embeddings""",
     ),
     "vector_pairs": (
@@ -554,7 +554,7 @@ def oracles() -> dict[str, str]:
             """SELECT spectrum_id, bucket::INTEGER AS bucket, smile, round(tanimoto, 6) AS tanimoto,
                       round(cosine, 6) AS cosine, t.n_candidates,
                       CASE WHEN bucket = 1 THEN inchikey END AS inchikey,
-                      CASE WHEN bucket = 1 THEN round(precursor_mz, 6)::DOUBLE END AS precursor_mz
+                      CASE WHEN bucket = 1 THEN round(precursor_mz, 6) END AS precursor_mz
                FROM vector_top t JOIN buckets b USING (spectrum_id)
                WHERE rank = coalesce(hit_rank, 1)""",
             "vector_top",

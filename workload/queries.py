@@ -606,11 +606,9 @@ def embed_spectra(spark, sf_dir):
 
 @query
 def sparse_linear(spark, sf_dir):
-    activations = embedding.sparse_linear(
-        _row_features(spark, sf_dir).select("spectrum_id", "bins"),
-        views.weights(spark, sf_dir),
-        views.WIDTH,
-    )
+    weights = tables.write_table(views.weights(spark, sf_dir), shared_path(spark, "weights"))
+    features = _row_features(spark, sf_dir).select("spectrum_id", "bins")
+    activations = embedding.sparse_linear(features, weights, views.WIDTH)
     layer = activations.select(
         "spectrum_id", F.col("activation").cast("array<float>").alias("embedding")
     )
