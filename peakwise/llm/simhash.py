@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from peakwise.llm.components import connected_components
-from peakwise.llm.worker import ranges, roots
+from peakwise.llm.worker import merged, ranges
 from peakwise.session import shared_path
 from peakwise.sources.tables import write_table
 
@@ -38,8 +38,8 @@ TILE_HOMES = 2048
 #: Crowded anchors that are broadcast, 16 bytes each; more of them are joined.
 BROADCAST_ANCHORS = 1_000_000
 
-#: Pairs compared at a time: 16 MB for each array of them.
-PAIRS = 2_000_000
+#: Pairs compared at a time: 8 MB for each array of them.
+PAIRS = 1_000_000
 
 
 def text_fingerprint(text: bytes | None, width: int = SHINGLE_WORDS) -> int:
@@ -169,36 +169,26 @@ def _replicas(reps: DataFrame, max_distance: int, homes_only: bool) -> DataFrame
 
 
 def _compare(max_distance: int):
-    """Tasks over replicas sorted by anchor, salt and homes first: links between them."""
+    """Tasks over replicas sorted by anchor, salt and homes first.  They return as many links
+    as connect what is connected within a batch, at most one per replica."""
     import pyarrow as pa
 
-    def links_of(homes, home_group, fps, group):
-        """Links between homes and fingerprints of equal groups, both sorted by group."""
+    def connect(root, homes, home_group, fps, group):
+        """``root`` over homes, then fingerprints, after linking those of equal groups.  Both
+        are sorted by group; pairs exist a bounded number at a time."""
         first = np.searchsorted(home_group, group, "left")
         count = np.searchsorted(home_group, group, "right") - first
-        found = []
-        row = 0
-        while row < len(fps):
-            upto = np.searchsorted(np.cumsum(count[row:]), PAIRS, "right") + row
-            upto = max(int(upto), row + 1)
-            left, place = ranges(count[row:upto])
-            for cut in range(0, len(left), 8 * PAIRS):
-                a = fps[row:upto][left[cut : cut + 8 * PAIRS]]
-                at = first[row:upto][left[cut : cut + 8 * PAIRS]] + place[cut : cut + 8 * PAIRS]
-                b = homes[at]
-                far = np.bitwise_count((a ^ b).view(np.uint64))
-                near = (far <= max_distance) & (a != b)
-                found.append(np.stack([a[near], b[near]]))
-            row = upto
-        return np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
-
-    def forest(links):
-        """As few links as keep the same fingerprints connected."""
-        nodes, ends = np.unique(links, return_inverse=True)
-        ends = ends.reshape(links.shape)
-        root = roots(len(nodes), ends[0], ends[1])
-        away = root != np.arange(len(nodes))
-        return nodes[away], nodes[root[away]]
+        upto = np.cumsum(count)
+        done = 0
+        while done < (upto[-1] if len(upto) else 0):
+            pair = np.arange(done, min(done + PAIRS, int(upto[-1])))
+            row = np.searchsorted(upto, pair, "right")
+            home = first[row] + pair - (upto[row] - count[row])
+            far = np.bitwise_count((fps[row] ^ homes[home]).view(np.uint64))
+            near = far <= max_distance
+            root = merged(root, len(homes) + row[near], home[near])
+            done += PAIRS
+        return root
 
     def compare(batches):
         homes = np.empty(0, np.int64)
@@ -222,10 +212,14 @@ def _compare(max_distance: int):
             new[1:] = (both[order][1:] != both[order][:-1]).any(axis=1)
             number[order] = np.cumsum(new)
             asked = kind != 1
-            links = links_of(
-                homes, number[: len(homes)], fps[asked], number[len(homes) :][asked]
+            nodes = np.concatenate([homes, fps[asked]])
+            root = connect(
+                np.arange(len(nodes)), homes, number[: len(homes)], fps[asked],
+                number[len(homes) :][asked],
             )
-            a, b = forest(links)
+            a, b = nodes, nodes[root]
+            linked = a != b
+            a, b = a[linked], b[linked]
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     return compare

@@ -7,19 +7,22 @@ from collections.abc import Callable
 import numpy as np
 
 
-def kept(key: str, make: Callable):
-    """``make()``, made once per Python worker and key.
+def kept(slot: str, key: str, make: Callable):
+    """``make()``, made once per Python worker, slot and key.
 
-    Functions are shipped by value and so share no globals; the slot is an attribute of a
-    module of the worker, which later tasks of the same worker find again.
+    A slot holds one value: another key replaces it.  Functions are shipped by value and so
+    share no globals; slots are attributes of a module of the worker, which later tasks of the
+    same worker find again.
     """
     import sys
     import types
 
     slots = sys.modules.setdefault("_peakwise_llm_slots", types.ModuleType("_slots"))
-    if not hasattr(slots, key):
-        setattr(slots, key, make())
-    return getattr(slots, key)
+    held = getattr(slots, slot, None)
+    if held is None or held[0] != key:
+        held = (key, make())
+        setattr(slots, slot, held)
+    return held[1]
 
 
 def ranges(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -30,19 +33,19 @@ def ranges(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return row, np.arange(len(row)) - starts[row]
 
 
-def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Smallest node reachable from each of ``n`` nodes over the links ``a[i] - b[i]``."""
-    root = np.arange(n)
-    while len(a):
+def merged(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``root`` names the smallest known node reachable from each node; the result also follows
+    the links ``a[i] - b[i]``."""
+    while True:
         low, high = np.minimum(root[a], root[b]), np.maximum(root[a], root[b])
-        open_links = low != high
-        if not open_links.any():
-            break
-        a, b = a[open_links], b[open_links]
-        np.minimum.at(root, high[open_links], low[open_links])
+        apart = low != high
+        if not apart.any():
+            return root
+        a, b = a[apart], b[apart]
+        root = root.copy()
+        np.minimum.at(root, high[apart], low[apart])
         while True:
             jumped = root[root]
             if (jumped == root).all():
                 break
             root = jumped
-    return root
