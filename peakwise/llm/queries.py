@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peakwise.llm import simhash
+from peakwise.llm import decontaminate, mixing, simhash, token_file, toxicity
+from peakwise.session import shared_path
+
+#: Tokenizer of the token files.
+TOKENIZER = "word_bpe_49k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,8 +24,50 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tokenizer_path() -> str:
+    """The public tokenizer's file, a package every executor has."""
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document written to token files and read back."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = token_file.write_token_files(
+        docs, shared_path(spark, "token-files"), tokenizer_path()
+    )
+    return token_file.read_digests(spark, path)
+
+
+def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words taken of every document by the mix of its source."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    held_out = toxicity.fold_of() == 0
+    return model.score(docs).select(
+        "doc_id", held_out.alias("held_out"), "score", "predicted"
+    )
+
+
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.benchmark_passages(docs, _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op5_token_files": op5_token_files,
+    "op7_mix_sources": op7_mix_sources,
+    "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
 ORACLES: dict[str, str] = {}
