@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peakwise.llm import decontaminate, mixing, simhash, token_file, toxicity
+from peakwise.llm import decontaminate, embedding_dedup, mixing, simhash, token_file, toxicity
 from peakwise.session import shared_path
 
 #: Tokenizer of the token files.
@@ -40,6 +40,12 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file.read_digests(spark, path)
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector."""
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return embedding_dedup.embedding_components(vectors)
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken of every document by the mix of its source."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -66,6 +72,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op5_token_files": op5_token_files,
+    "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_mix_sources": op7_mix_sources,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
