@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peakwise.llm import decontaminate, embedding_dedup, mixing, simhash, token_file, toxicity
+from peakwise.llm import decontaminate, embedding_dedup, mixing, simhash, token_file, toxicity, url_rules
 from peakwise.session import shared_path
 
 #: Tokenizer of the token files.
@@ -31,6 +31,23 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+#: Verdict, host and path of the rules for pages.
+URL_RULES = (
+    ("block", "net", "/"),
+    ("allow", "example.net", "/en/"),
+    ("block", "example.com", "/de/"),
+    ("allow", "org", "/fr/"),
+)
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the url of every page."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_rules.filter_urls(pages, URL_RULES).select(
+        "page_id", "host", "path", "rule", "verdict"
+    )
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document written to token files and read back."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -71,10 +88,79 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op4_url_filter": op4_url_filter,
     "op5_token_files": op5_token_files,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_mix_sources": op7_mix_sources,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
-ORACLES: dict[str, str] = {}
+# Columns of `documents` that the mix needs, and the targets of its sources.
+_MIX = r'''
+WITH d AS (
+  SELECT doc_id, source, md5(coalesce(doc_id::VARCHAR, '')) AS k,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size
+  FROM documents
+), s AS (
+  SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source
+), w AS (
+  SELECT *, source_size * 2.0::DOUBLE AS cap,
+         [5.0, 2.0, 1.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS weight
+  FROM s
+), r AS (
+  SELECT *, cap / weight AS room, sum(source_size) OVER ()::DOUBLE * 1.5::DOUBLE AS total,
+         coalesce(sum(cap) OVER before, 0) AS capped, sum(weight) OVER after AS weights
+  FROM w
+  WINDOW before AS (ORDER BY cap / weight, source NULLS LAST
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+         after AS (ORDER BY cap / weight, source NULLS LAST
+                   ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+), l AS (
+  SELECT *, max((total - capped) / weights) FILTER (WHERE (total - capped) / weights <= room)
+              OVER () AS level
+  FROM r
+), t AS (
+  SELECT source, source_size,
+         CASE WHEN level IS NULL OR room <= level THEN cap ELSE weight * level END AS target
+  FROM l
+), b AS (
+  SELECT *, round(target)::BIGINT AS budget,
+         CASE WHEN source_size > 0 THEN round(target)::BIGINT // source_size ELSE 0 END AS epochs
+  FROM t
+)
+SELECT doc_id, size, source_size, target,
+       epochs * size + greatest(0, least(size, budget - epochs * source_size -
+         coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY k, size
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+       ))::BIGINT AS taken
+FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source
+'''
+
+_URLS = r'''
+WITH u AS (
+  SELECT page_id, contains(url, '://') AS sound,
+         regexp_extract(substr(url, strpos(url, '://') + 3), '^([^/?#]*)([^?#]*)', 1) AS h,
+         regexp_extract(substr(url, strpos(url, '://') + 3), '^([^/?#]*)([^?#]*)', 2) AS p
+  FROM pages
+), v AS (
+  SELECT page_id, CASE WHEN sound THEN translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                   'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
+         CASE WHEN sound THEN p ELSE '' END AS path
+  FROM u
+), w AS (
+  SELECT *, CASE
+    WHEN ends_with('.' || host, '.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN ends_with('.' || host, '.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN ends_with('.' || host, '.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN ends_with('.' || host, '.net') AND starts_with(path, '/') THEN 'net/'
+  END AS rule FROM v
+)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict
+FROM w
+'''
+
+ORACLES: dict[str, str] = {
+    "op4_url_filter": _URLS,
+    "op7_mix_sources": _MIX,
+}
