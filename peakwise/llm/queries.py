@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peakwise.llm import decontaminate, embedding_dedup, mixing, simhash, token_file, toxicity, url_rules
+from peakwise.llm import decontaminate, embedding_dedup, html_text, lm_score, mixing, simhash, token_file, toxicity, url_rules, warc
 from peakwise.session import shared_path
 
 #: Tokenizer of the token files.
@@ -31,6 +31,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pseudo-likelihood of every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lm_score.score_documents(docs)
+
+
 #: Verdict, host and path of the rules for pages.
 URL_RULES = (
     ("block", "net", "/"),
@@ -79,6 +85,25 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back."""
+    path = warc.write_archives(_table(spark, sf_dir, "pages"), shared_path(spark, "archives"))
+    records = warc.read_archives(spark, path, payloads=False).where("kind = 'record'")
+    return records.select(
+        warc.page_of(F.col("record_id")).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.page_of(F.col("refers_to")).alias("refers_to"),
+    )
+
+
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract_text(pages)
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages in every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -88,10 +113,13 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op3_lm_score": op3_lm_score,
     "op4_url_filter": op4_url_filter,
     "op5_token_files": op5_token_files,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_mix_sources": op7_mix_sources,
+    "op8_warc_salvage": op8_warc_salvage,
+    "op9_html_text": op9_html_text,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
@@ -161,6 +189,7 @@ FROM w
 '''
 
 ORACLES: dict[str, str] = {
+    "op3_lm_score": op3_lm_score,
     "op4_url_filter": _URLS,
     "op7_mix_sources": _MIX,
 }
