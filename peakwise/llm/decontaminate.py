@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peakwise.llm.worker import ranges
+from peakwise.llm.worker import numbered, ranges
 
 #: Largest share of an item's words that may be edited: similarity 0.8 or more.
 EDIT_SHARE = 0.2
@@ -411,14 +411,9 @@ def clean_documents(
     Rows are judged one by one, so a row is not dropped for another with the same id or
     without one.
     """
-    from peakwise.session import shared_path
-    from peakwise.sources.tables import write_table
-
-    columns = docs.columns
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    numbered = write_table(numbered, shared_path(docs.sparkSession, "numbered"))
+    rows = numbered(docs, "numbered")
     passages = benchmark_passages(
-        numbered.select("_row", text), benchmark, edit_share, recall, "_row", text
+        rows.select("__row", text), benchmark, edit_share, recall, "__row", text
     )
-    leaked = passages.select(F.col("doc_id").alias("_row")).distinct()
-    return numbered.join(leaked, "_row", "left_anti").select(*columns)
+    leaked = passages.select(F.col("doc_id").alias("__row")).distinct()
+    return rows.join(leaked, "__row", "left_anti").select(*docs.columns)

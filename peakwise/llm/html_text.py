@@ -284,12 +284,12 @@ def extract_text(pages: DataFrame, html: str = "html") -> DataFrame:
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(h) for h in batch.column("_html").to_pylist()]
+            texts = [main_text(h) for h in batch.column("__html").to_pylist()]
             columns = [batch.column(c) for c in names]
             columns.append(pa.array(texts, pa.string()))
             yield pa.RecordBatch.from_arrays(columns, names=[*names, "text"])
 
-    rows = pages.select(*names, F.col(html).alias("_html"))
+    rows = pages.select(*names, F.col(html).alias("__html"))
     return rows.mapInArrow(extract, schema).withColumn(
         "n_chars", F.char_length("text").cast("bigint")
     )

@@ -288,11 +288,11 @@ def score_documents(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = [vocabulary.encode(t).tobytes() for t in batch.column("_text").to_pylist()]
+            ids = [vocabulary.encode(t).tobytes() for t in batch.column("__text").to_pylist()]
             columns = [batch.column(c) for c in names] + [pa.array(ids, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=[*names, "ids"])
 
-    encoded = docs.select(*names, F.col(text).alias("_text")).mapInArrow(
+    encoded = docs.select(*names, F.col(text).alias("__text")).mapInArrow(
         encode, T.StructType([*schema.fields, T.StructField("ids", T.BinaryType())])
     )
     encoded = write_table(encoded, shared_path(spark, "lm-ids"))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from peakwise.llm.worker import carried, numbered
 from peakwise.session import shared_path
 from peakwise.sources.tables import write_table
 
@@ -90,9 +91,12 @@ def mix(
     """
     spark = docs.sparkSession
     made = ("size", "source_size", "target", "taken")
-    kept = [c for c in docs.columns if c not in (text, *made)]
+    packed, others = carried(docs, doc_id, source, text, *made)
+    kept = [doc_id, source]
     key = F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary"))
-    sized = docs.select(*kept, word_count(F.col(text)).alias("size"), key.alias("_key"))
+    sized = docs.select(
+        *kept, *packed, word_count(F.col(text)).alias("size"), key.alias("_key")
+    )
     sized = write_table(sized, shared_path(spark, "sizes"))
 
     counted = sized.groupBy(F.col(source).alias("source")).agg(
@@ -135,6 +139,7 @@ def mix(
     last = F.greatest(F.lit(0).cast("bigint"), F.least(F.col("size"), rest))
     return rows.select(
         *kept,
+        *others,
         "size",
         "source_size",
         "target",
@@ -156,22 +161,21 @@ def mixed_documents(
     The document at a source's cut ends after the last word taken; columns other than the
     text are left as they are.  Documents without words have nothing to take and are left out.
     """
-    columns = docs.columns
-    spark = docs.sparkSession
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    numbered = write_table(numbered, shared_path(spark, "numbered"))
+    rows = numbered(docs, "numbered")
     shares = mix(
-        numbered.select("_row", doc_id, source, text), weights, share, max_epochs, doc_id,
+        rows.select("__row", doc_id, source, text), weights, share, max_epochs, doc_id,
         source, text,
-    ).where("taken > 0").select("_row", "size", "taken")
-    whole = F.expr("taken div size").cast("int")
-    part = (F.col("taken") % F.col("size")).cast("int")
+    ).where("taken > 0").select("__row", F.col("size").alias("__size"), "taken")
+    whole = F.expr("taken div __size").cast("int")
+    part = (F.col("taken") % F.col("__size")).cast("int")
     copies = F.concat(
-        F.array_repeat(F.col("size").cast("int"), whole),
+        F.array_repeat(F.col("__size").cast("int"), whole),
         F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<int>")),
     )
-    rows = numbered.join(shares, "_row").withColumn("_words", F.explode(copies))
+    shares = shares.select("__row", "__size", F.explode(copies).alias("__words"))
+    rows = rows.join(shares, "__row")
     spaced = F.regexp_extract_all(F.col(text), F.lit(r"([\x20\x09-\x0D]*" + WORD + ")"), F.lit(1))
-    cut = F.array_join(F.slice(spaced, F.lit(1), F.col("_words")), "")
-    text_column = F.when(F.col("_words") < F.col("size"), cut).otherwise(F.col(text))
-    return rows.withColumn(text, text_column).select(*columns)
+    cut = F.array_join(F.slice(spaced, F.lit(1), F.col("__words")), "")
+    whole_text = F.col("__words") == F.col("__size")
+    text_column = F.when(whole_text, F.col(text)).otherwise(cut)
+    return rows.withColumn(text, text_column).select(*docs.columns)

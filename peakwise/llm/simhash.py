@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from peakwise.llm.components import connected_components
-from peakwise.llm.worker import merged, ranges
+from peakwise.llm.worker import merged, numbered, ranges
 from peakwise.session import shared_path
 from peakwise.sources.tables import write_table
 
@@ -308,16 +308,11 @@ def one_per_component(
     """
     from pyspark.sql.window import Window
 
-    columns = docs.columns
-    spark = docs.sparkSession
-    # A row is named by its place in a written copy of the ids, not by its id, which may
-    # repeat or be null.
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    numbered = write_table(numbered, shared_path(spark, "numbered"))
+    rows = numbered(docs, "numbered")
     classes = simhash_components(
-        numbered.select("_row", doc_id, text), width, max_distance, doc_id, text
+        rows.select("__row", doc_id, text), width, max_distance, doc_id, text
     )
     candidates = classes.where(F.col(doc_id).eqNullSafe(F.col("component_id")))
-    best = Window.partitionBy("component_fp").orderBy("fp", "_row")
-    chosen = candidates.withColumn("_n", F.row_number().over(best)).where("_n = 1").select("_row")
-    return numbered.join(chosen, "_row", "left_semi").select(*columns)
+    best = Window.partitionBy("component_fp").orderBy("fp", "__row")
+    chosen = candidates.withColumn("__n", F.row_number().over(best)).where("__n = 1")
+    return rows.join(chosen.select("__row"), "__row", "left_semi").select(*docs.columns)

@@ -248,21 +248,21 @@ def fit_evidence(labelled: DataFrame) -> tuple[dict, dict]:
 
 
 def _with_features(rows: DataFrame, model: tuple[dict, dict], key: str) -> DataFrame:
-    """``rows`` without ``_text`` but with ``_features``."""
+    """``rows`` without ``__text`` but with ``__features``."""
     import pyarrow as pa
 
-    names = [c for c in rows.columns if c != "_text"]
-    schema = rows.select(*names).schema.add("_features", T.ArrayType(T.DoubleType()))
+    names = [c for c in rows.columns if c != "__text"]
+    schema = rows.select(*names).schema.add("__features", T.ArrayType(T.DoubleType()))
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         evidence = kept("evidence", key, lambda: WordEvidence(*model))
         for batch in batches:
-            features = [evidence.features(t) for t in batch.column("_text").to_pylist()]
+            features = [evidence.features(t) for t in batch.column("__text").to_pylist()]
             columns = [batch.column(c) for c in names]
             columns.append(pa.array(features, pa.list_(pa.float64())))
-            yield pa.RecordBatch.from_arrays(columns, names=[*names, "_features"])
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, "__features"])
 
-    return rows.select(*names, "_text").mapInArrow(compute, schema)
+    return rows.select(*names, "__text").mapInArrow(compute, schema)
 
 
 def fit_curve(features: np.ndarray, labels: np.ndarray) -> np.ndarray:
@@ -308,11 +308,11 @@ class ToxicityModel:
         if self.weights is None:
             score = F.lit(0.0)
             return docs.withColumn("score", score).withColumn("predicted", F.lit(0))
-        rows = _with_features(docs.withColumn("_text", F.col(text)), self.tables, self.key)
+        rows = _with_features(docs.withColumn("__text", F.col(text)), self.tables, self.key)
         total = F.lit(float(self.weights[-1]))
         for i, w in enumerate(self.weights[:-1]):
-            total = total + F.get("_features", F.lit(i)) * float(w)
-        rows = rows.withColumn("score", 1 / (1 + F.exp(-total))).drop("_features")
+            total = total + F.get("__features", F.lit(i)) * float(w)
+        rows = rows.withColumn("score", 1 / (1 + F.exp(-total))).drop("__features")
         return rows.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
@@ -348,13 +348,30 @@ def fit(
         return ToxicityModel(({}, {}), None)
     if sum(r["n"] for r in sizes.values()) <= BROADCAST_LABELS:
         known = F.broadcast(known)
-    rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(known, "_id")
-    tables = fit_evidence(rows.where("_fold < 4").select("cls", "_text"))
+    rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("__text")).join(known, "_id")
+    tables = fit_evidence(rows.where("_fold < 4").select("cls", "__text"))
     digest = F.xxhash64(F.col("_id").cast("string"))
-    curve = rows.where("_fold = 4").select(digest.alias("_digest"), "cls", "_text")
+    curve = rows.where("_fold = 4").select(digest.alias("_digest"), "cls", "__text")
     model = ToxicityModel(tables, None)
-    found = _with_features(curve, tables, model.key).orderBy("_digest", "cls", "_features")
+    found = _with_features(curve, tables, model.key).orderBy("_digest", "cls", "__features")
     found = found.limit(curve_rows).toArrow()
-    features = np.array(found["_features"].to_pylist(), dtype=np.float64)
+    features = np.array(found["__features"].to_pylist(), dtype=np.float64)
     model.weights = fit_curve(features, found["cls"].to_numpy().astype(np.float64))
     return model
+
+
+def ordinary_documents(
+    docs: DataFrame,
+    labels: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    label: str = "toxic",
+) -> DataFrame:
+    """The rows of ``docs`` that a model learnt from their labels does not predict toxic."""
+    model = fit(docs, labels, doc_id, text, label)
+    rows = docs.select(
+        F.col(text).alias("__scored"),
+        F.struct(*[F.col(f"`{c}`").alias(c) for c in docs.columns]).alias("__row"),
+    )
+    clean = model.score(rows, "__scored").where("predicted = 0")
+    return clean.select(*[F.col("__row")[c].alias(c) for c in docs.columns])

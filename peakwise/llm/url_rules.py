@@ -159,8 +159,8 @@ def filter_urls(
     spark = pages.sparkSession
     name = _ship(spark, rules)
     made = ["host", "path", "rule", "verdict"]
-    pages = pages.withColumn("_url", F.col(url)).drop(*made)
-    names = [c for c in pages.columns if c != "_url"]
+    pages = pages.withColumn("__url", F.col(url)).drop(*made)
+    names = [c for c in pages.columns if c != "__url"]
     schema = pages.select(*names).schema
     for column in made:
         schema = schema.add(column, "string")
@@ -170,7 +170,7 @@ def filter_urls(
 
         listed = kept("url_rules", name, lambda: RuleFile(SparkFiles.get(name)))
         for batch in batches:
-            split = [host_and_path(u) for u in batch.column("_url").to_pylist()]
+            split = [host_and_path(u) for u in batch.column("__url").to_pylist()]
             verdicts = listed.judge(split)
             columns = [batch.column(c) for c in names]
             columns += [
@@ -181,7 +181,7 @@ def filter_urls(
             ]
             yield pa.RecordBatch.from_arrays(columns, names=[*names, *made])
 
-    return pages.select(*names, "_url").mapInArrow(judge, schema)
+    return pages.select(*names, "__url").mapInArrow(judge, schema)
 
 
 def _ship(spark: SparkSession, rules: Iterable[tuple[str, str, str]]) -> str:

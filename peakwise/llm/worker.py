@@ -5,6 +5,32 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: Names with this prefix are the operators' own; they never meet a frame's other columns.
+OWN = "__"
+
+
+def numbered(df: DataFrame, label: str) -> DataFrame:
+    """A written copy of ``df`` with ``__row``, a number of its own for every row.
+
+    Rows are then named by their place, not by an id, which may repeat or be null.
+    """
+    from peakwise.session import shared_path
+    from peakwise.sources.tables import write_table
+
+    rows = df.withColumn(f"{OWN}row", F.monotonically_increasing_id())
+    return write_table(rows, shared_path(df.sparkSession, label))
+
+
+def carried(df: DataFrame, *but: str) -> tuple[list, list]:
+    """Columns of ``df`` but those named, as one struct ``__others``, and its fields again."""
+    others = [c for c in df.columns if c not in but]
+    if not others:
+        return [], []
+    packed = F.struct(*[F.col(f"`{c}`").alias(c) for c in others]).alias(f"{OWN}others")
+    return [packed], [F.col(f"{OWN}others")[c].alias(c) for c in others]
 
 
 def kept(slot: str, key: str, make: Callable):
