@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peakwise.llm.worker import kept
+from peakwise.llm.worker import carried, kept, slices
 from peakwise.session import shared_path
 from peakwise.sources.tables import write_table
 
@@ -42,7 +42,13 @@ CURVE_ROWS = 50_000
 BROADCAST_LABELS = 4_000_000
 
 #: Words whose evidence a worker remembers, about 150 bytes each.
-REMEMBERED = 1_000_000
+REMEMBERED = 250_000
+
+#: Bytes of texts that a task works on at a time.
+SLICE_BYTES = 4 << 20
+
+#: Words spelt at a time: 3 MB for each array of their letters.
+SPELT = 40_000
 
 START, END = "\x02", "\x03"
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -113,17 +119,19 @@ class WordEvidence(dict):
         gain = np.where(place > 0, np.log(chances[1] + 1e-12) - np.log(chances[0] + 1e-12), 0.0)
         self.update(zip(words, np.bincount(word, gain, len(words)).tolist()))
 
-    def features(self, text: str | None) -> list[float]:
-        """Evidence of a text by its length; zeros without words."""
-        words = words_of(text)
+    def features(self, texts: list[str | None]) -> list[list[float]]:
+        """Evidence of each text by its length; zeros without words."""
+        documents = [words_of(t) for t in texts]
+        if len(self) > REMEMBERED:
+            self.clear()
+        new = [w for w in set().union(*documents) if w not in self]
+        for cut in range(0, len(new), SPELT):
+            self.learn(new[cut : cut + SPELT])
+        return [self._features(words) for words in documents]
+
+    def _features(self, words: list[str]) -> list[float]:
         if not words:
             return [0.0] * N_FEATURES
-        new = [w for w in set(words) if w not in self]
-        if new:
-            if len(self) > REMEMBERED:
-                self.clear()
-                new = list(set(words))
-            self.learn(new)
         gains = np.fromiter(map(self.__getitem__, words), np.float64, len(words))
         best = np.sort(np.fromiter(map(self.__getitem__, set(words)), np.float64))[::-1][:3]
         strong = gains[gains > 2.0].sum()
@@ -182,8 +190,9 @@ def _word_documents(labelled: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = (Counter(), Counter())
-            for cls, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found[cls].update(set(words_of(text)))
+            for part in slices(batch, 1, SLICE_BYTES):
+                for cls, text in zip(*(c.to_pylist() for c in part.columns)):
+                    found[cls].update(set(words_of(text)))
             for cls, words in enumerate(found):
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -251,16 +260,18 @@ def _with_features(rows: DataFrame, model: tuple[dict, dict], key: str) -> DataF
     """``rows`` without ``__text`` but with ``__features``."""
     import pyarrow as pa
 
+    tables = rows.sparkSession.sparkContext.broadcast(model)
     names = [c for c in rows.columns if c != "__text"]
     schema = rows.select(*names).schema.add("__features", T.ArrayType(T.DoubleType()))
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        evidence = kept("evidence", key, lambda: WordEvidence(*model))
+        evidence = kept("evidence", key, lambda: WordEvidence(*tables.value))
         for batch in batches:
-            features = [evidence.features(t) for t in batch.column("__text").to_pylist()]
-            columns = [batch.column(c) for c in names]
-            columns.append(pa.array(features, pa.list_(pa.float64())))
-            yield pa.RecordBatch.from_arrays(columns, names=[*names, "__features"])
+            for part in slices(batch, "__text", SLICE_BYTES):
+                features = evidence.features(part.column("__text").to_pylist())
+                columns = [part.column(c) for c in names]
+                columns.append(pa.array(features, pa.list_(pa.float64())))
+                yield pa.RecordBatch.from_arrays(columns, names=[*names, "__features"])
 
     return rows.select(*names, "__text").mapInArrow(compute, schema)
 
@@ -304,15 +315,17 @@ class ToxicityModel:
         Without a label of either class to learn from all scores are 0.  Columns named like
         a result are replaced.
         """
-        docs = docs.drop("score", "predicted")
+        packed, others = carried(docs, "score", "predicted")
         if self.weights is None:
-            score = F.lit(0.0)
-            return docs.withColumn("score", score).withColumn("predicted", F.lit(0))
-        rows = _with_features(docs.withColumn("__text", F.col(text)), self.tables, self.key)
+            return docs.select(*packed).select(
+                *others, F.lit(0.0).alias("score"), F.lit(0).alias("predicted")
+            )
+        rows = docs.select(F.col(text).alias("__text"), *packed)
+        rows = _with_features(rows, self.tables, self.key)
         total = F.lit(float(self.weights[-1]))
         for i, w in enumerate(self.weights[:-1]):
             total = total + F.get("__features", F.lit(i)) * float(w)
-        rows = rows.withColumn("score", 1 / (1 + F.exp(-total))).drop("__features")
+        rows = rows.select(*others, (1 / (1 + F.exp(-total))).alias("score"))
         return rows.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -51,6 +51,19 @@ def kept(slot: str, key: str, make: Callable):
     return held[1]
 
 
+def slices(batch, column: int | str, size: int) -> Iterator:
+    """Runs of an Arrow batch's rows with up to so many bytes in a column, and a row at least."""
+    import pyarrow.compute as pc
+
+    ends = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy())
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        upto = max(at + 1, int(np.searchsorted(ends, before + size, "right")))
+        yield batch.slice(at, upto - at)
+        at = upto
+
+
 def ranges(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Row of each element and its place within the row, for rows of the given lengths."""
     counts = np.asarray(counts, dtype=np.int64)
