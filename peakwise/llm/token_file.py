@@ -15,6 +15,7 @@ byte's four lengths in a table.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from peakwise.llm.worker import kept
+from peakwise.llm.worker import kept, ranges, slices
 from peakwise.session import shared_path
 from peakwise.sources.tables import write_table
 
@@ -34,8 +35,14 @@ BLOCK_IDS = 1 << 18
 #: Documents per file, on average.
 FILE_DOCS = 50_000
 
+# Fixed value: single ASCII characters that are pieces of their own after letters.
+PUNCTUATION = frozenset('!"#$%&()*+,-./:;<=>?@[]^_`{|}~' + chr(92))
+
+#: Bytes of texts or ids that a task works on at a time.
+SLICE_BYTES = 4 << 20
+
 #: Chunks and pieces of text remembered by a worker, about 200 bytes each.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 
 # The pre-tokenization pattern of tokenizers whose texts split into chunks.
 CHUNK_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -62,76 +69,135 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
+        self.type = _id_type(self.tokenizer)
+        self.pieces = _Remembered(self._piece)
+        #: Remembered chunks, their ids one after the other, and where each one's begin and end.
+        self.known = None
+        self.flat = np.empty(0, self.type)
+        self.cuts = np.zeros(1, dtype=np.int64)
         self.find = regex.compile(CHUNK_PATTERN).findall
         self.odd = regex.compile(r"[\x00-\x1f\x7f-\xa0\u0250-\U0010ffff]|<\|").search
-        self.chunks: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.tokenize = self.tokenizer.model.tokenize
         # Byte-level names: printable bytes name themselves, others the code points from 256.
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         other = [b for b in range(256) if b not in plain]
         self.names = {b: b for b in plain} | {b: 256 + i for i, b in enumerate(other)}
-        self.chunked = f'"{CHUNK_PATTERN}"' in json.dumps(
-            json.loads(self.tokenizer.to_str())["pre_tokenizer"], ensure_ascii=False
-        ).replace("\\\\", "\\") and '"Lowercase"' in self.tokenizer.to_str()
+        parts = json.loads(self.tokenizer.to_str())
+        steps = parts["pre_tokenizer"].get("pretokenizers", []) if parts["pre_tokenizer"] else []
+        lower = {"type": "Lowercase"} in ((parts["normalizer"] or {}).get("normalizers") or [])
+        self.chunked = lower and bool(steps) and (
+            steps[0].get("pattern") == {"Regex": CHUNK_PATTERN}
+        )
 
     def _piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            name = piece.encode().decode("latin-1").translate(self.names)
-            tokens = self.model.tokenize(name)
-            ids = np.array([t.id for t in tokens], dtype="<u4").tobytes()
-            self.pieces[piece] = ids
-        return ids
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        encodings = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in encodings]
-
-    def _learn(self, chunks: list[str]) -> None:
-        odd = []
-        for chunk in chunks:
-            if self.odd(chunk):
-                odd.append(chunk)
-                continue
-            low = chunk.lower()
-            if low.isalpha():
-                self.chunks[chunk] = self._piece(low)
-            else:
-                self.chunks[chunk] = b"".join(map(self._piece, self.find(low)))
-        self.chunks.update(zip(odd, self._whole(odd)))
-
-    def __call__(self, text: str | None) -> bytes:
-        """Ids of a text as little-endian unsigned 32-bit integers; none for null."""
-        if not text:
-            return b""
-        # str.split() also cuts at these four, which the tokenizer keeps.
-        if not self.chunked or any(c in text for c in "\x1c\x1d\x1e\x1f"):
-            return self._whole([text])[0]
-        chunks = text.split()
-        try:
-            return b"".join(map(self.chunks.__getitem__, chunks))
-        except KeyError:
-            pass
-        if len(self.chunks) > REMEMBERED or len(self.pieces) > REMEMBERED:
-            self.chunks.clear()
-            self.pieces.clear()
-        self._learn([c for c in set(chunks) if c not in self.chunks])
-        return b"".join(map(self.chunks.__getitem__, chunks))
-
-
-def code(ranks: np.ndarray) -> tuple[bytes, bytes]:
-    """Control and data bytes of ranks below 2 ** 32."""
+        if not piece.isascii():
+            piece = piece.encode().decode("latin-1").translate(self.names)
+        return array(self.type, [t.id for t in self.tokenize(piece)]).tobytes()
+
+    def _chunk(self, chunk: str) -> bytes:
+        if chunk.isascii():
+            if chunk.isalpha():
+                return self.pieces[chunk.lower()]
+            if chunk[-1:] in PUNCTUATION and chunk[:-1].isalpha():
+                return self.pieces[chunk[:-1].lower()] + self.pieces[chunk[-1]]
+        if self.odd(chunk):
+            return self._whole(chunk)
+        return b"".join(map(self.pieces.__getitem__, self.find(chunk.lower())))
+
+    def _whole(self, text: str) -> bytes:
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return array(self.type, ids).tobytes()
+
+    def __call__(self, text: str | None) -> list[int]:
+        """Ids of a text; none for null."""
+        import pyarrow as pa
+
+        return self.rows(pa.array([text], pa.string()))[0].tolist()
+
+    def rows(self, texts, end: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of an Arrow array of texts, one after the other and each followed by ``end``, and
+        how many each text has.  Equal chunks are looked up once."""
+        import pyarrow.compute as pc
+
+        texts = texts.fill_null("")
+        if self.chunked:
+            split = pc.ascii_split_whitespace(texts)
+            ends = np.cumsum(np.diff(split.offsets.to_numpy()))
+            coded = split.flatten().dictionary_encode()
+            flat, cuts, index = self._ids_of(coded.dictionary)
+            index = index[coded.indices.to_numpy()]
+        else:
+            ends = np.arange(1, len(texts) + 1)
+            index = np.arange(len(texts))
+            flat, cuts = self._joined([self._whole(t) for t in texts.to_pylist()])
+        # One more entry, the end of each text.
+        flat = np.concatenate([flat, np.array(end, self.type)])
+        index = np.insert(index, ends, len(cuts) - 1)
+        cuts = np.append(cuts, len(flat))
+        ends = ends + np.arange(1, len(ends) + 1)
+        counts = np.diff(cuts)[index]
+        upto = np.cumsum(counts)
+        result = flat[np.repeat(cuts[index] - upto + counts, counts) + np.arange(counts.sum())]
+        return result, np.diff(np.concatenate([[0], upto])[ends], prepend=0)
+
+    def _joined(self, ids: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        flat = np.frombuffer(b"".join(ids), self.type)
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // flat.itemsize
+        return flat, np.concatenate([[0], np.cumsum(lengths)])
+
+    def _ids_of(self, chunks) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct chunks: a table of them, its cuts, and each chunk's entry."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        known = chunks.slice(0, 0) if self.known is None else self.known
+        at = pc.index_in(chunks, value_set=known)
+        new = chunks.filter(at.is_null())
+        flat, cuts = self._joined([self._chunk(c) if c else b"" for c in new.to_pylist()])
+        index = at.fill_null(-1).to_numpy().astype(np.int64)
+        index[index < 0] = len(known) + np.arange(len(new))
+        flat = np.concatenate([self.flat, flat])
+        cuts = np.concatenate([self.cuts, cuts[1:] + self.cuts[-1]])
+        if len(known) + len(new) <= REMEMBERED:
+            self.known, self.flat, self.cuts = pa.concat_arrays([known, new]), flat, cuts
+        return flat, cuts, index
+
+
+class _Remembered(dict):
+    """Values by key, worked out when first asked for; the first so many stay."""
+
+    def __init__(self, make: Callable):
+        self.make = make
+
+    def __missing__(self, key):
+        value = self.make(key)
+        if len(self) < REMEMBERED:
+            self[key] = value
+        return value
+
+
+def _id_type(tokenizer) -> str:
+    """Two bytes for each id if all fit, else four."""
+    return "H" if tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "I"
+
+
+def code(ranks: np.ndarray, counts: np.ndarray):
+    """Control and data bytes of documents one after the other, each from a control byte of its
+    own, and where each document's control and data bytes end."""
     ranks = ranks.astype("<u4")
     longer = (ranks > 0xFF).astype(np.uint8)
     longer += ranks > 0xFFFF
     longer += ranks > 0xFFFFFF
-    lanes = np.zeros(-(-len(ranks) // 4) * 4, dtype=np.uint8)
-    lanes[: len(ranks)] = longer
+    padded = -(-counts // 4) * 4
+    row, place = ranges(counts)
+    lanes = np.zeros(padded.sum(), dtype=np.uint8)
+    lanes[(np.cumsum(padded) - padded)[row] + place] = longer
     a, b, c, d = lanes.reshape(-1, 4).T
     control = a | b << 2 | c << 4 | d << 6
     used = np.arange(4, dtype=np.uint8) <= longer[:, None]
-    return control.tobytes(), ranks.view(np.uint8).reshape(-1, 4)[used].tobytes()
+    data = ranks.view(np.uint8).reshape(-1, 4)[used]
+    data_ends = np.concatenate([[0], np.cumsum(longer + np.int64(1))])[np.cumsum(counts)]
+    return control, np.cumsum(padded) // 4, data, data_ends
 
 
 def decode(control: bytes, data: bytes, counts: np.ndarray) -> np.ndarray:
@@ -154,32 +220,32 @@ def tokenized(
     docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, doc_id: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
-    """``(doc_id, ids BINARY)``: a document's ids and ``end_id``, unsigned, little-endian, of
-    two bytes each if every id fits, else of four."""
+    """``(doc_id, ids BINARY)``: a document's ids and ``end_id`` as :class:`ChunkEncoder` has
+    them."""
     import pyarrow as pa
 
-    wide = "<u2" if _vocabulary(tokenizer_path) <= 1 << 16 else "<u4"
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = kept("encoder", tokenizer_path, lambda: ChunkEncoder(tokenizer_path))
-        end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
-            ids = [
-                np.frombuffer(encoder(t) + end, "<u4").astype(wide).tobytes()
-                for t in batch.column(1).to_pylist()
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"]
-            )
+            for rows in slices(batch, 1, SLICE_BYTES):
+                ids, counts = encoder.rows(rows.column(1), (end_id,))
+                ends = np.cumsum(counts) * ids.itemsize
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column(0), _binary(ids, ends)], names=["doc_id", "ids"]
+                )
 
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), text)
     return rows.mapInArrow(encode, "doc_id bigint, ids binary")
 
 
-def _vocabulary(tokenizer_path: str) -> int:
-    from tokenizers import Tokenizer
+def _binary(values: np.ndarray, ends: np.ndarray):
+    """Arrow array of the bytes of ``values`` cut at ``ends``."""
+    import pyarrow as pa
 
-    return Tokenizer.from_file(tokenizer_path).get_vocab_size(with_added_tokens=True)
+    offsets = np.concatenate([[0], ends]).astype(np.int32)
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))]
+    return pa.Array.from_buffers(pa.binary(), len(ends), buffers)
 
 
 def _id_ranks(table: DataFrame, wide: str, n_ids: int) -> np.ndarray:
@@ -189,8 +255,9 @@ def _id_ranks(table: DataFrame, wide: str, n_ids: int) -> np.ndarray:
     def count(batches):
         total = np.zeros(n_ids, dtype=np.int64)
         for batch in batches:
-            flat = np.frombuffer(b"".join(batch.column(0).to_pylist()), wide)
-            total += np.bincount(flat, minlength=n_ids)
+            for rows in slices(batch, 0, SLICE_BYTES):
+                flat = np.frombuffer(b"".join(rows.column(0).to_pylist()), wide)
+                total += np.bincount(flat, minlength=n_ids)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array(seen), pa.array(total[seen])], names=["id", "n"]
@@ -234,10 +301,12 @@ def write_token_files(
     corpus-wide ranks.
     """
     import pyarrow as pa
+    from tokenizers import Tokenizer
 
     spark = docs.sparkSession
-    n_ids = max(_vocabulary(tokenizer_path), end_id + 1)
-    wide = "<u2" if _vocabulary(tokenizer_path) <= 1 << 16 else "<u4"
+    tokenizer = Tokenizer.from_file(tokenizer_path)
+    n_ids = max(tokenizer.get_vocab_size(with_added_tokens=True), end_id + 1)
+    wide = {"H": "<u2", "I": "<u4"}[_id_type(tokenizer)]
     stage = shared_path(spark, "token-ids")
     tokenized(docs, tokenizer_path, end_id, doc_id, text).write.option(
         "compression", "zstd"
@@ -248,22 +317,22 @@ def write_token_files(
 
     def encode(batches):
         for batch in batches:
-            ids = batch.column(0).fill_null(np.iinfo(np.int64).min).to_numpy()
-            coded, counts = [], []
-            for raw in batch.column(1).to_pylist():
-                values = ranks[np.frombuffer(raw, wide)]
-                counts.append(len(values))
-                coded.append(code(values))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.searchsorted(bounds, ids, "left").astype(np.int32)),
-                    batch.column(0),
-                    pa.array(counts, pa.int64()),
-                    pa.array([c for c, _ in coded], pa.binary()),
-                    pa.array([d for _, d in coded], pa.binary()),
-                ],
-                names=["file", "doc_id", "n", "control", "data"],
-            )
+            for rows in slices(batch, 1, SLICE_BYTES):
+                key = rows.column(0).fill_null(np.iinfo(np.int64).min).to_numpy()
+                raw = rows.column(1).to_pylist()
+                values = ranks[np.frombuffer(b"".join(raw), wide)]
+                counts = np.fromiter(map(len, raw), np.int64, len(raw)) // np.dtype(wide).itemsize
+                control, control_ends, data, data_ends = code(values, counts)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.searchsorted(bounds, key, "left").astype(np.int32)),
+                        rows.column(0),
+                        pa.array(counts),
+                        _binary(control, control_ends),
+                        _binary(data, data_ends),
+                    ],
+                    names=["file", "doc_id", "n", "control", "data"],
+                )
 
     names = ["file", "block", "n_ids", "doc_ids", "counts", "control", "data"]
 
