@@ -21,8 +21,8 @@ WEIGHTS = (5, 2, 1)
 TOTAL_SHARE = 1.5
 MAX_EPOCHS = 2
 
-#: Documents per key range, on average: ranges are prefixes of a uniform key.
-RANGE_ROWS = 20_000
+#: Documents per key range at most, on average: ranges are prefixes of a uniform key.
+RANGE_ROWS = 4_000
 
 # Fixed value: characters that end a word.
 WORD = r"[^\x20\x09-\x0D]+"
