@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peakwise.llm.worker import numbered, ranges
+from peakwise.llm.worker import numbered, ranges, slices
 
 #: Largest share of an item's words that may be edited: similarity 0.8 or more.
 EDIT_SHARE = 0.2
@@ -43,6 +43,9 @@ RARE_ITEMS = 3
 #: Words of items held by a task at a time, 40 bytes each; more items take more passes.
 SLICE_WORDS = 2_000_000
 
+#: Bytes of texts that a task searches at a time.
+SLICE_BYTES = 8 << 20
+
 #: Windows walked and candidates aligned at a time.
 WINDOWS = 200_000
 ALIGNED = 4096
@@ -310,8 +313,8 @@ def _matches(index: ItemIndex):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = index.number
         margin = int(index.lengths.max()) + int(index.edits.max()) + 1
-        for batch in batches:
-            gap = np.full(margin, -1, np.int32)
+        gap = np.full(margin, -1, np.int32)
+        for batch in (part for whole in batches for part in slices(whole, 1, SLICE_BYTES)):
             parts, begins, at = [gap], [], margin
             for text in batch.column(1).to_pylist():
                 get = number.get

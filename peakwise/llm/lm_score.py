@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from peakwise.llm.worker import slices
 from peakwise.session import shared_path
 from peakwise.sources.tables import write_table
 
@@ -42,6 +43,9 @@ STRIDE = 16
 BATCH = 512
 RATE = 0.15
 
+#: Bytes of texts or ids that a task works on at a time.
+SLICE_BYTES = 4 << 20
+
 #: Tokens scored at a time: 8 MB for each array of hidden values.
 CHUNK = 1 << 16
 #: Parameters are summed in units of this.
@@ -68,8 +72,9 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: Counter = Counter()
-            for t in batch.column(0).to_pylist():
-                found.update(words_of(t))
+            for part in slices(batch, 0, SLICE_BYTES):
+                for t in part.column(0).to_pylist():
+                    found.update(words_of(t))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())],
                 names=["word", "n"],
@@ -231,7 +236,7 @@ def _train_round(encoded: DataFrame, start: np.ndarray, turn: int) -> np.ndarray
         squares = np.full(Network.SIZE, 0.01, dtype=np.float32)
         seen = 0
         rest = (np.empty((0, len(WINDOW)), np.int64), np.empty(0, np.int64))
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 0, SLICE_BYTES)):
             padded, places, _ = _padded(batch.column(0).to_pylist())
             at = places[turn::STRIDE]
             context = np.stack([padded[at + w] for w in WINDOW], axis=1)
@@ -287,7 +292,7 @@ def score_documents(
     schema = docs.select(*names).schema
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "__text", SLICE_BYTES)):
             ids = [vocabulary.encode(t).tobytes() for t in batch.column("__text").to_pylist()]
             columns = [batch.column(c) for c in names] + [pa.array(ids, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=[*names, "ids"])
@@ -305,7 +310,7 @@ def score_documents(
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = Network(values)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "ids", SLICE_BYTES)):
             padded, places, n = _padded(batch.column("ids").to_pylist())
             found = net.log_probabilities(padded, places) + extra[padded[places]]
             ends = np.concatenate([[0], np.cumsum(found)])[np.cumsum(n)]

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from peakwise.llm.components import connected_components
-from peakwise.llm.worker import merged, numbered, ranges
+from peakwise.llm.worker import merged, numbered, ranges, slices
 from peakwise.session import shared_path
 from peakwise.sources.tables import write_table
 
@@ -31,6 +31,9 @@ GOLAY_BITS = 23
 GOLAY_GENERATOR = 0xAE3
 GOLAY_RADIUS = 3
 
+#: Bytes of texts that a task works on at a time.
+SLICE_BYTES = 8 << 20
+
 #: Homes of an anchor that one task compares its replicas with; an anchor with more is
 #: compared by several tasks, each with a share of the replicas.
 TILE_HOMES = 2048
@@ -78,14 +81,16 @@ def fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS, text: str = "text"
     schema = docs.select(*kept_columns).schema.add("fp", T.LongType())
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
+        for batch in (
+            part for whole in batches for part in slices(whole, "__text", SLICE_BYTES)
+        ):
+            texts = batch.column("__text").to_pylist()
             values = np.fromiter((text_fingerprint(t, width) for t in texts), "<u8", len(texts))
             columns = [batch.column(i) for i in range(len(kept_columns))]
             columns.append(pa.array(values.view("<i8")))
             yield pa.RecordBatch.from_arrays(columns, names=[*kept_columns, "fp"])
 
-    rows = docs.select(*kept_columns, F.col(text).cast("binary").alias("_text"))
+    rows = docs.select(*kept_columns, F.col(text).cast("binary").alias("__text"))
     return rows.mapInArrow(compute, schema)
 
 
