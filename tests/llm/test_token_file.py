@@ -1,0 +1,105 @@
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from peakwise.llm import queries, token_file
+from peakwise.session import shared_path
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(queries.tokenizer_path())
+
+
+def library_ids(tokenizer, text):
+    return [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
+
+
+def test_query_against_the_library(spark, tokenizer):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()
+    start, expected = 0, []
+    for doc_id, text in sorted(map(tuple, docs)):
+        ids = library_ids(tokenizer, text)
+        crc = zlib.crc32(np.array(ids, "<u4").tobytes())
+        expected.append((doc_id, start, len(ids), crc))
+        start += len(ids)
+    df = queries.op5_token_files(spark, SF_DIR)
+    assert df.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+    assert sorted(map(tuple, df.collect())) == expected
+
+
+ODD = ["", " ", "a\x1cb \x1d", "<|endoftext|> x<|startoftext|>y", "don't WE'LL 's ''s", "é É İ ΣΑΣ",
+       "x²½ 12a3", "日本語 text", "a b c\x85d", "é ́x", "_a__b_ --", "🙂🙂 ok",
+       "\x00\x01 \x7f", "ﬁ Ǆ ŉ", "%%%&&&***", "A" * 3000]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(max_size=60) | st.sampled_from(ODD) | st.text("aé'1 \t%<|>²Σ\x1c", max_size=30))
+def test_chunked_ids_are_the_library_s(tokenizer, text):
+    encoder = token_file.ChunkEncoder(queries.tokenizer_path())
+    assert encoder.chunked
+    for _ in range(2):
+        assert encoder(text) == library_ids(tokenizer, text)[:-1]
+
+
+def test_other_tokenizers_encode_whole_texts():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder = token_file.ChunkEncoder(path)
+    text = "Two  words, and\nmore."
+    assert not encoder.chunked
+    ids = Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+    assert encoder(text) == ids
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([0, 1, 255, 256, 65535, 65536, 2**24 - 1, 2**24, 2**32 - 1])
+                         | st.integers(0, 2**32 - 1), max_size=9), max_size=6))
+def test_codes_round_trip(documents):
+    flat = [x for d in documents for x in d]
+    counts = np.array([len(d) for d in documents], dtype=np.int64)
+    control, control_ends, data, data_ends = token_file.code(np.array(flat, np.uint32), counts)
+    ranks = token_file.decode(control.tobytes(), data.tobytes(), counts)
+    assert ranks.tolist() == flat
+    sizes = np.diff(control_ends, prepend=0), np.diff(data_ends, prepend=0)
+    for d, n_control, n_data in zip(documents, *sizes):
+        assert n_control == -(-len(d) // 4)
+        assert n_data == sum(max(1, (x.bit_length() + 7) // 8) for x in d)
+
+
+def test_nulls_repeated_ids_long_texts_and_extra_columns(spark, tokenizer):
+    texts = {1: None, 2: "", 5: "beta " * 20_000, 3: "gamma alpha", 9: "delta"}
+    rows = [(i, t, 7, "x") for i, t in texts.items()]
+    rows += [(3, "gamma alpha", 7, "x"), (3, "alpha", 7, "y"), (None, "no id", 7, "z")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, n int, ids string")
+    path = token_file.write_token_files(
+        docs, shared_path(spark, "tokens"), queries.tokenizer_path(), file_docs=2, block_ids=3)
+    got = sorted(map(tuple, token_file.read_token_files(spark, path).collect()),
+                 key=lambda r: r[1])
+    assert [r[0] for r in got] == [None, 1, 2, 3, 3, 3, 5, 9]
+    start = 0
+    for doc_id, at, n, ids in got:
+        assert at == start and n == len(ids)
+        start += n
+    expected = sorted(library_ids(tokenizer, t) for _, t, _, _ in rows)
+    assert sorted(r[3] for r in got) == expected
+    blocks = spark.read.parquet(f"{path}/blocks")
+    assert blocks.select("file").distinct().count() > 1
+    # Frequent ids are short.
+    ranks = {r["id"]: r["rank"] for r in spark.read.parquet(f"{path}/ranks").collect()}
+    assert ranks[library_ids(tokenizer, "beta")[0]] == 0
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id bigint, text string")
+    path = token_file.write_token_files(docs, shared_path(spark, "t"), queries.tokenizer_path())
+    assert token_file.read_digests(spark, path).count() == 0
