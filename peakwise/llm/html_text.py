@@ -218,7 +218,8 @@ def _first_pass(block: Block, main: int) -> bool | None:
 
 
 def _second_pass(blocks: list[Block], labels: list[bool | None], whole: bool) -> list[bool]:
-    """Open blocks inherit from the nearest decided block, at equal distance the next one."""
+    """Open blocks inherit from the nearest decided block, headings from the next one; at equal
+    distance one block of main text is enough."""
     n = len(blocks)
     lengths = [len(b.text) for b in blocks]
     before: list[tuple[int, bool] | None] = [None] * n
@@ -234,11 +235,12 @@ def _second_pass(blocks: list[Block], labels: list[bool | None], whole: bool) ->
     result = []
     for i, label in enumerate(labels):
         if label is None:
-            if after[i] and (not before[i] or blocks[i].tag in HEADINGS
-                             or after[i][0] <= before[i][0]):
+            if after[i] and (not before[i] or blocks[i].tag in HEADINGS):
                 label = after[i][1]
+            elif before[i] and (not after[i] or before[i][0] != after[i][0]):
+                label = min(x for x in (before[i], after[i]) if x)[1]
             elif before[i]:
-                label = before[i][1]
+                label = before[i][1] or after[i][1]
             else:
                 label = whole
         result.append(label)

@@ -1,0 +1,84 @@
+import zlib
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from peakwise.llm import queries, toxicity
+from tests.llm import test_decontaminate, test_mixing, test_simhash, test_token_file
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    """Rows ahead of each stage and after the last."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    found = [docs.collect()]
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SF_DIR)
+        found.append(docs.collect())
+        docs = spark.createDataFrame(found[-1], docs.schema)
+    return found
+
+
+def test_toxic_documents_go(spark, stages):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    model = toxicity.fit(docs, spark.read.parquet(f"{SF_DIR}/labels.parquet"))
+    toxic = {r.doc_id for r in model.score(docs).where("predicted = 1").collect()}
+    assert sorted(stages[1]) == sorted(r for r in stages[0] if r.doc_id not in toxic)
+
+
+def test_one_of_each_group_stays(stages):
+    rows = test_simhash.expected([(r.doc_id, r.text) for r in stages[1]])
+    least = {c for _, _, c in rows}
+    assert sorted(stages[2]) == sorted(r for r in stages[1] if r.doc_id in least)
+
+
+def test_benchmark_passages_go(spark, stages):
+    items = [test_decontaminate.words(r.text) for r in
+             spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()]
+    clean = [r for r in stages[2] if all(
+        test_decontaminate.least_edits(w, test_decontaminate.words(r.text)) > len(w) // 5
+        for w in items if w)]
+    assert sorted(stages[3]) == sorted(clean)
+    assert len(clean) < len(stages[2])
+
+
+def test_sources_are_mixed(stages):
+    expected, _ = test_mixing.taken([(r.doc_id, r.source, r.text) for r in stages[3]])
+    words = {}
+    for r in stages[4]:
+        words[r.doc_id] = words.get(r.doc_id, 0) + test_mixing.words(r.text)
+    assert words == {i: n for i, _, n in expected if n}
+
+
+def test_all_of_the_mix_is_tokenized(stages):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(queries.tokenizer_path())
+    expected = []
+    for r in stages[4]:
+        ids = test_token_file.library_ids(tokenizer, r.text)
+        expected.append((r.doc_id, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+    rows = sorted(stages[5], key=lambda r: r.start)
+    assert sorted((r.doc_id, r.n_tokens, r.ids_crc32) for r in rows) == sorted(expected)
+    assert [r.doc_id for r in rows] == sorted(r.doc_id for r in rows)
+    assert [r.start for r in rows] == np.cumsum([0, *(r.n_tokens for r in rows[:-1])]).tolist()
+
+
+def test_run_gives_the_rows_of_the_last_stage(spark, stages):
+    assert sorted(corpus_pipeline.run(spark, SF_DIR).collect()) == sorted(stages[-1])
+
+
+def test_stages_take_odd_rows(spark):
+    rows = [(1, None, "en", "s", 0, "a"), (None, "x y", None, None, None, "b"), (3, "", "", "", 0, "c"),
+            (3, "word " * 50_000, "en", "s", 1, "d"), (3, "", "", "", 0, "c")]
+    schema = ("doc_id bigint, text string, lang string, source string, n_chars bigint, "
+              "`size` string")
+    for docs in (spark.createDataFrame(rows, schema), spark.createDataFrame([], schema)):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, SF_DIR)
+            if name != "token_files":
+                assert out.columns == docs.columns
+            out.collect()
