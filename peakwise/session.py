@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -19,7 +18,8 @@ DEFAULTS = {
     "spark.ui.enabled": "false",
 }
 
-_local_scratch: dict[str, str] = {}
+#: Paths handed out, by application.
+_made: dict[str, list[str]] = {}
 
 
 def build_session(app_name: str, master: str | None = None, **conf: str) -> SparkSession:
@@ -37,14 +37,27 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
 def shared_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local master may go without that setting: all its tasks share one machine.
+    Only a local master may go without that setting: all its tasks share one machine, and the
+    path is below the session's warehouse.  :func:`release` removes what was written.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        app = spark.sparkContext.applicationId
-        if app not in _local_scratch:
-            _local_scratch[app] = tempfile.mkdtemp(prefix="peakwise-")
-        base = _local_scratch[app]
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Remove everything written to paths of :func:`shared_path` in this application.
+
+    Call it when the results are written: frames that read those tables can no longer run.
+    Returns how many paths there were.
+    """
+    paths = _made.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return len(paths)

@@ -1,21 +1,28 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from peakwise.session import build_session  # noqa: E402
+from peakwise.session import build_session, release  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session(
-        "tests", "local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="6g"
-    )
-    session.sparkContext.setLogLevel("ERROR")
-    yield session
-    session.stop()
+    with tempfile.TemporaryDirectory(prefix="peakwise-tests-") as folder:
+        session = build_session(
+            "tests",
+            "local[8]",
+            spark__sql__shuffle__partitions="8",
+            spark__driver__memory="6g",
+            spark__checkpoint__dir=folder,
+        )
+        session.sparkContext.setLogLevel("ERROR")
+        yield session
+        release(session)
+        session.stop()
 
 
 @pytest.fixture()

@@ -1,6 +1,9 @@
+import os
+
 import pytest
 
-from peakwise.session import shared_path
+from peakwise.session import release, shared_path
+from peakwise.sources.tables import write_table
 
 
 class FakeContext:
@@ -24,3 +27,20 @@ def test_shared_paths_are_new_and_below_the_named_folder():
 def test_a_cluster_must_name_its_folder():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_path(FakeSession(None), "x")
+
+
+def test_a_local_session_writes_below_its_warehouse():
+    session = FakeSession(None)
+    session.sparkContext = type("Local", (), {"master": "local[2]", "applicationId": "local"})()
+    session.conf["spark.sql.warehouse.dir"] = "file:/data/warehouse"
+    assert shared_path(session, "x").startswith("file:/data/warehouse/scratch/x-")
+
+
+def test_a_run_s_tables_are_removed(spark):
+    release(spark)
+    path = shared_path(spark, "table")
+    table = write_table(spark.range(5), path)
+    assert table.count() == 5 and os.path.exists(path.removeprefix("file:"))
+    assert release(spark) == 1
+    assert not os.path.exists(path.removeprefix("file:"))
+    assert release(spark) == 0
