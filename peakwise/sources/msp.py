@@ -17,6 +17,9 @@ NAMED_TAG = "Name:"
 _PRECURSOR = "Precursor:"
 _ADDUCT = "Adduct:"
 
+#: Files whose first records are broadcast, 200 bytes each; more are joined.
+BROADCAST_FILES = 200_000
+
 _PEAK_LIST = T.ArrayType(
     T.StructType([T.StructField("mz", T.DoubleType()), T.StructField("intensity", T.DoubleType())])
 )
@@ -28,9 +31,9 @@ def read_blocks(
     """Scan files into ``(ordinal, block)``.
 
     ``ordinal`` is ``struct(file, start, seq, part)`` and sorts in file order: split offset,
-    then record within the split, then block within the record.  The default scan expects
-    the first line with text to be an id line.  ``whole_files`` reads each file as one value
-    and also accepts text ahead of the first id line; use it for files of moderate size.
+    then record within the split, then block within the record.  Text ahead of a file's first
+    id line belongs to no block.  ``whole_files`` reads each file as one value; use it for
+    files of moderate size.
     """
     if whole_files:
         text = spark.read.text(path, wholetext=True)
@@ -43,13 +46,18 @@ def read_blocks(
         F.col("value"),
     )
     if not whole_files:
-        # The separator swallows the tag of every record but the first of a file.
-        value = F.col("value")
-        text = text.withColumn(
-            "value",
-            F.when(value.rlike(rf"^\x{{FEFF}}?\s*{id_tag}"), value).otherwise(
-                F.concat(F.lit(id_tag), value)
-            ),
+        # The separator swallows the tag of every record but the first of a file, which holds
+        # its own tag or none.  One row per file says which record that is.
+        first = text.groupBy(F.col("file").alias("_file")).agg(
+            F.min(F.when(F.col("start") == 0, F.col("seq"))).alias("_first")
+        )
+        if len(text.inputFiles()) <= BROADCAST_FILES:
+            first = F.broadcast(first)
+        value = F.when(F.col("seq") == F.col("_first"), F.col("value")).otherwise(
+            F.concat(F.lit(id_tag), "value")
+        )
+        text = text.join(first, F.col("file") == F.col("_file")).select(
+            "file", "start", "seq", value.alias("value")
         )
     # Indented id lines (and all of them in whole files) are found here.
     pieces = F.split(F.col("value"), rf"(?m)^(?=\s*{id_tag})")
@@ -132,7 +140,15 @@ def parse_blocks(
     else:
         parsed = parsed.withColumn("_corrupt", F.when(malformed, F.col("block"))).drop("block")
     if inherit_headers:
-        parsed = _fill_from_previous(parsed, ["precursor_text", "precursor", "adduct"])
+        # A malformed precursor stays one: text and number travel together.
+        number = F.struct("precursor_text", "precursor")
+        parsed = parsed.withColumn(
+            "precursor", F.when(F.col("precursor_text").isNotNull(), number)
+        )
+        parsed = _fill_from_previous(parsed, ["precursor", "adduct"])
+        parsed = parsed.withColumns(
+            {c: F.col("precursor")[c] for c in ("precursor_text", "precursor")}
+        )
     return parsed.where(F.col(id_column) != "")
 
 

@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from peakwise.functions.chem import formula_mass
+
 #: Column layouts of the two published kinds of library, as ``{source: target}``.
 MOL2VEC_COLUMNS = {"smile": "smile", "up_molvec": "embedding", "inchikey": "inchikey"}
 CHEMBERTA_COLUMNS = {"smiles": "smile", "cls_embedding": "embedding", "inchikey": "inchikey"}
@@ -17,17 +19,21 @@ def read_library(
     path: str,
     columns: Mapping[str, str] = MOL2VEC_COLUMNS,
     keep: tuple[str, ...] = (),
+    formula: str | None = None,
 ) -> DataFrame:
     """Library Parquet under the names the operators use.
 
     ``library_id`` numbers rows by file split and position.  Taken straight from the scan it
     is the same on every attempt of a task, which is what spreading copies of one molecule
-    over tasks relies on.
+    over tasks relies on.  ``formula`` names a column of molecular formulas that gives
+    ``exact_mass``; molecules whose formula is not one have a null mass.
     """
+    masses = [formula_mass(F.col(formula)).alias("exact_mass")] if formula else []
     return spark.read.parquet(path).select(
         F.monotonically_increasing_id().alias("library_id"),
         *[F.col(source).alias(target) for source, target in columns.items()],
         *keep,
+        *masses,
     )
 
 

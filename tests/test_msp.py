@@ -129,3 +129,39 @@ def test_ion_mode_belongs_to_the_source(spark, tmp_path):
     both = msp.union_ion_modes(msp.read_named(spark, path), msp.read_named(spark, path))
     counts = {r.ion_mode: r["count"] for r in both.groupBy("ion_mode").count().collect()}
     assert counts == {"+": 4, "-": 4}
+
+
+@pytest.mark.parametrize("whole_files", [False, True])
+def test_text_ahead_of_the_first_id_line_is_no_spectrum(spark, tmp_path, whole_files):
+    for name, text in {
+        "a.msp": "# exported by tool\n\nName: A\nPrecursor: 5\n1 2\n",
+        "b.msp": "\ufeffName: B\n3 4\nName: C\n5 6\n",
+        "c.msp": "only a note\n",
+        "d.msp": "\n  Name: D\n7 8\n",
+    }.items():
+        (tmp_path / name).write_text(text)
+    got = msp.read_named(spark, str(tmp_path), whole_files=whole_files).collect()
+    assert sorted((r.spectrum_id, len(r.peaks)) for r in got) == [
+        ("A", 1), ("B", 1), ("C", 1), ("D", 1)]
+
+
+def test_a_malformed_precursor_is_not_filled(spark, tmp_path):
+    path = tmp_path / "f.msp"
+    path.write_text("Name: A\nPrecursor: 200.0\n1 2\nName: B\nPrecursor: x300\n1 2\n"
+                    "Name: C\n1 2\nName: D\nPrecursor: 7\n1 2\nName: E\n1 2\n")
+    got = {r.spectrum_id: (r.precursor_text, r.precursor) for r in
+           msp.read_named(spark, str(path), inherit_headers=True).collect()}
+    assert got == {"A": ("200.0", 200.0), "B": ("x300", None), "C": ("x300", None),
+                   "D": ("7", 7.0), "E": ("7", 7.0)}
+
+
+def test_jobs_leave_out_malformed_blocks_and_write_them(spark, tmp_path, work):
+    from peakwise.plans import identify
+
+    path = tmp_path / "f.msp"
+    path.write_text("Name: A\nPrecursor: 200.0\n50.0 2\n60.0 abc\nName: B\nPrecursor: 200\n"
+                    "50.0 2\n70.0 1\n")
+    kept = identify.sound_spectra(msp.read_named(spark, str(path)), work)
+    assert [r.spectrum_id for r in kept.collect()] == ["B"] and "_corrupt" not in kept.columns
+    rejected = spark.read.parquet(f"{work}/rejected").collect()
+    assert len(rejected) == 1 and "60.0 abc" in rejected[0]._corrupt
