@@ -12,7 +12,10 @@ from pyspark.sql import functions as F
 from peakwise.functions.bind import bind
 from peakwise.functions.rounding import round_even
 
-PRECURSOR_MARGIN = 0.5
+PRECURSOR_MARGIN = 0.5  # fixed value
+
+#: What m/z are summed as: exact for any order and number of peaks.
+MZ_DECIMAL = "decimal(28,16)"
 
 
 def _peak(mz: Column, intensity: Column) -> Column:
@@ -88,18 +91,27 @@ def clean_peaks(peaks: Column, precursor: Column, threshold: float) -> Column:
 def merge_close_peaks(peaks: Column, tolerance: float) -> Column:
     """Chains of peaks whose neighbours differ by at most ``tolerance``, as one peak each.
 
-    A merged peak has the mean m/z (three, then two decimals) and the summed intensity.
+    A merged peak has the mean m/z (three, then two decimals) and the summed intensity.  The
+    mean is the sum of decimals over the count, whatever the count.
     """
 
     def rounded(mz: Column) -> Column:
         return round_even(round_even(mz, 3), 2)
 
+    def mean(chain: Column, length: Column) -> Column:
+        zero = F.lit(0).cast("decimal(37,16)")
+        total = F.aggregate(
+            chain, zero, lambda t, p: (t + p["mz"].cast(MZ_DECIMAL)).cast("decimal(37,16)")
+        )
+        return total.cast("double") / length
+
     def chain_peak(ordered: Column, start: Column, length: Column) -> Column:
         only = F.get(ordered, start - 1)
         chain = F.slice(ordered, start, length)
         return F.when(
-            length == 1, _peak(rounded(only["mz"]), only["intensity"])
-        ).otherwise(_peak(rounded(_total(chain, "mz") / length), _total(chain, "intensity")))
+            length == 1,
+            _peak(rounded(only["mz"].cast(MZ_DECIMAL).cast("double")), only["intensity"]),
+        ).otherwise(_peak(rounded(mean(chain, length)), _total(chain, "intensity")))
 
     def merged(ordered: Column) -> Column:
         # 1-based positions where a chain starts; sequence(1, 0) would count down.

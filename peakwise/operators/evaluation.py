@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from peakwise.functions.similarity import same_structure, tanimoto
 
+# Ranks that count, the bucket of queries with candidates but no hit, and the
+# Tanimoto similarity of a match.
 MAX_RANK = 5
-MISS = 11  # fixed value: bucket of queries with candidates but no hit
+MISS = 11
 MATCH_THRESHOLD = 0.95
 
 

@@ -1,8 +1,9 @@
 """Steps over peak rows (one row per peak).
 
 Groups are reduced by partial aggregates and joined back instead of being gathered: a
-spectrum or structure that owns a third of all peaks costs its tasks a few rows, and
-adaptive execution splits its side of the join.
+spectrum or structure that owns a third of all peaks costs its tasks a few rows.  The reduced
+table is written ahead of the join, since adaptive execution splits a hot key only where both
+sides come straight from a shuffle.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from pyspark.sql.window import Window
 from peakwise.functions import binning, peaks
 from peakwise.functions.rounding import round_even
 from peakwise.operators import records
+from peakwise.session import shared_path
+from peakwise.sources.tables import write_table
 
 
 def explode_peaks(df: DataFrame, *keep: str, position: bool = False) -> DataFrame:
@@ -49,6 +52,7 @@ def base_peak_scale(rows: DataFrame, key: str) -> DataFrame:
     base = rows.groupBy(key).agg(
         F.max("intensity").alias("_base"), F.min("intensity").alias("_low")
     )
+    base = write_table(base, shared_path(rows.sparkSession, "base-peaks"))
     top = F.when(F.col("_base") < 0, F.try_divide(F.col("_low"), F.col("_base")) * 100.0)
     return (
         rows.join(base, key)
@@ -71,6 +75,7 @@ def intensity_threshold(
 
 def total_ion_scale(rows: DataFrame, key: str) -> DataFrame:
     total = rows.groupBy(key).agg(F.sum("intensity").alias("_total"))
+    total = write_table(total, shared_path(rows.sparkSession, "total-ions"))
     return (
         rows.join(total, key)
         .withColumn("intensity", F.try_divide(F.col("intensity"), F.col("_total")))
@@ -100,12 +105,12 @@ def merge_peaks(
     range over the tolerance however many peaks the key owns, so ordering them within the
     key is safe.  ``carry`` names columns that are constant per key.
 
-    The mean of one or two peaks is that of the plain floating sum.  More are summed as
-    decimals, which gives the same mean in whatever order the partial sums arrive.
+    Means are sums of decimals over the count, as in :mod:`peakwise.functions.peaks`: the same
+    in whatever order partial sums arrive.
     """
     cells = rows.groupBy(key, *carry, _cell(F.col("mz"), tolerance).alias("_cell")).agg(
         F.count(F.lit(1)).alias("_n"),
-        F.sum(F.col("mz").cast("decimal(28,16)")).alias("_mz"),
+        F.sum(F.col("mz").cast(peaks.MZ_DECIMAL)).alias("_mz"),
         F.sum("intensity").alias("_intensity"),
         F.min("mz").alias("_low"),
         F.max("mz").alias("_high"),
@@ -116,9 +121,7 @@ def merge_peaks(
     so_far = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     chained = chained.withColumn("chain", F.sum("_new").over(so_far))
     count = F.sum("_n")
-    few = F.min("_low") + F.when(count == 2, F.max("_high")).otherwise(F.lit(0.0))
-    total = F.when(count <= 2, few).otherwise(F.sum("_mz").cast("double"))
-    mean = total / count
+    mean = F.sum("_mz").cast("double") / count
     return chained.groupBy(key, *carry, "chain").agg(
         round_even(round_even(mean, 3), 2).alias("mz"),
         F.sum("_intensity").alias("intensity"),

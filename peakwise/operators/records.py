@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from peakwise.functions import binning, peaks
 
+# The published defaults.
 TOLERANCE = 0.01
 RESOLUTION = 0.01
 MAX_MZ = 700

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from peakwise.functions import binning, peaks
 from peakwise.functions.rounding import round_even
-from peakwise.operators import peak_rows, records
+from peakwise.operators import matching, peak_rows, records
 
 SCHEMA = (
     "spectrum_id string, precursor double, peaks array<struct<mz:double,intensity:double>>"
@@ -184,6 +184,56 @@ def test_peak_rows_equal_records(spark, tolerance):
     }
 
 
+def test_chains_of_three_decimals_have_one_mean_by_both_paths(spark):
+    rng = np.random.default_rng(9)
+    spectra = []
+    for i in range(3000):
+        start = round(float(rng.uniform(50, 600)), 3)
+        steps = rng.integers(1, 10, int(rng.integers(2, 8))) / 1000
+        mzs = [start, *(round(start + float(x), 3) for x in np.cumsum(steps))]
+        spectra.append((f"s{i}", 900.0, [(m, 1.0) for m in mzs]))
+    df = frame(spark, *spectra)
+    rows = peak_rows.explode_peaks(df, "spectrum_id", "precursor")
+    by_rows = {r.spectrum_id: r.bins for r in peak_rows.encode(rows, "spectrum_id").collect()}
+    by_record = {r.spectrum_id: r.bins for r in records.encode(df, 0.01).collect()}
+    assert len(by_rows) == 3000 and by_rows == by_record
+
+
+def skewed_joins(df):
+    """Joins of the final adaptive plan that were split."""
+    df.write.format("noop").mode("overwrite").save()
+    query = df._jdf.queryExecution()
+    query.executedPlan().execute().count()
+    return query.executedPlan().toString().count("skew=true")
+
+
+def test_a_spectrum_with_a_third_of_all_peaks_is_split(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "32",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128k",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    hot = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 5000)
+    rows = spark.range(0, 300_000, 1, 8).select(
+        hot.cast("string").alias("spectrum_id"), F.lit(900.0).alias("precursor"),
+        (F.col("id") % 600 + 50.5).alias("mz"), (F.col("id") % 97 + 1.0).alias("intensity"))
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        for scale in (peak_rows.base_peak_scale, peak_rows.total_ion_scale):
+            assert skewed_joins(scale(rows, "spectrum_id")) >= 1
+        keyed = rows.select(F.col("spectrum_id").cast("int").alias("mass_key"), "mz")
+        library = keyed.where("mass_key % 2 = -1 or mass_key % 4 = 0").select(
+            "mass_key", F.col("mass_key").alias("library_id"))
+        assert skewed_joins(matching.match_candidates(keyed, library)) >= 1
+        assert skewed_joins(matching.unmatched_queries(keyed, library)) >= 1
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_negative_base_peak(spark):
     df = frame(spark, ("n", 100.0, [(1.0, -5.0), (2.0, -10.0)]))
     rows = peak_rows.explode_peaks(df, "spectrum_id", "precursor")
