@@ -1,10 +1,11 @@
 """Candidates of a query: library molecules with the same mass key, ranked by cosine.
 
-Pairs of a query and a molecule never become rows.  Both sides of a mass key are cut into
-blocks, every pair of blocks is one tile, and a tile hands on only the best ``n`` molecules
-per query.  A mass shared by a third of the library is many tiles of bounded size; an
-ordinary mass is a single one.  Ranking is exact: each molecule meets each query of its mass
-in exactly one tile.
+Pairs of a query and a molecule never become rows.  Masses of ordinary size are packed into
+buckets by a digest of their key, so that the number of tasks' groups follows the data and not
+the number of masses.  Both sides of a mass shared by more rows are cut into blocks, and every
+pair of blocks is one tile.  A tile hands on only the best ``n`` molecules per query.  Ranking
+is exact: each molecule meets each query of its mass in exactly one tile.  Tiles carry ids,
+vectors and the columns that decide ties; the rest is joined to the ranked rows.
 """
 
 from __future__ import annotations
@@ -26,25 +27,19 @@ TILE_ROWS = 4096
 #: Masses whose block counts are broadcast: 100 MB as a hash table.
 BROADCAST_KEYS = 2_000_000
 
+#: Components of vectors gathered at a time for the pairs of a bucket: 64 MB each side.
+GATHERED = 8_000_000
+
 #: Cosines are compared at this many decimals, so copies of a molecule tie.
 COSINE_DIGITS = 12
 
 
-def candidate_counts(queries: DataFrame, library: DataFrame) -> DataFrame:
-    """Matched queries with the size of their candidate set (``n_candidates``)."""
-    sizes = (
-        library.where(F.col("mass_key").isNotNull())
-        .groupBy("mass_key")
-        .agg(F.count(F.lit(1)).alias("n_candidates"))
-    )
-    return queries.join(sizes, "mass_key")
-
-
 def match_candidates(queries: DataFrame, library: DataFrame) -> DataFrame:
     """Matched queries with their candidate set in brief: its size, first and last id.
 
     The library is reduced per mass before the join, so the output is one row per matched
-    query.
+    query.  The reduced library is written: only a join of two scans lets adaptive execution
+    split the queries of a mass that many share.
     """
     groups = (
         library.where(F.col("mass_key").isNotNull())
@@ -55,16 +50,20 @@ def match_candidates(queries: DataFrame, library: DataFrame) -> DataFrame:
             F.max("library_id").alias("last_candidate"),
         )
     )
+    groups = write_table(groups, shared_path(queries.sparkSession, "mass-groups"))
     return queries.join(groups, "mass_key")
 
 
 def unmatched_queries(queries: DataFrame, library: DataFrame) -> DataFrame:
     """Queries without a candidate, those without a mass key included."""
-    return queries.join(library.select("mass_key").distinct(), "mass_key", "left_anti")
+    masses = library.select("mass_key").where("mass_key is not null").distinct()
+    masses = write_table(masses, shared_path(queries.sparkSession, "masses"))
+    return queries.join(masses, "mass_key", "left_anti")
 
 
-def _block_counts(queries: DataFrame, library: DataFrame, tile_rows: int) -> DataFrame:
-    """Per matched mass: candidates and the blocks of either side, from the keys alone.
+def _block_counts(queries: DataFrame, library: DataFrame, tile_rows: int):
+    """Per matched mass: candidates and the blocks of either side, from the keys alone, and the
+    number of buckets for masses of one block.
 
     The table is written and counted.  Up to :data:`BROADCAST_KEYS` masses it is broadcast,
     which saves moving the embeddings once only to learn their blocks; beyond that it is
@@ -75,22 +74,37 @@ def _block_counts(queries: DataFrame, library: DataFrame, tile_rows: int) -> Dat
     l_sizes = library.groupBy("mass_key").agg(F.count(F.lit(1)).alias("n_candidates"))
     blocks = q_sizes.join(l_sizes, "mass_key").select(
         "mass_key",
+        "_nq",
         "n_candidates",
         blocks_of("_nq").alias("_qb"),
         blocks_of("n_candidates").alias("_lb"),
     )
     blocks = write_table(blocks, shared_path(queries.sparkSession, "blocks"))
-    return F.broadcast(blocks) if blocks.count() <= BROADCAST_KEYS else blocks
+    small = (F.col("_qb") == 1) & (F.col("_lb") == 1)
+    rows = F.when(small, F.col("_nq") + F.col("n_candidates")).otherwise(0)
+    n_masses, n_rows = blocks.agg(F.count(F.lit(1)), F.sum(rows)).first()
+    buckets = max(1, -(-(n_rows or 0) // tile_rows))
+    blocks = blocks.drop("_nq")
+    return (F.broadcast(blocks) if n_masses <= BROADCAST_KEYS else blocks), buckets
 
 
 def _tiles(queries: DataFrame, library: DataFrame, tile_rows: int):
-    """Both sides with ``tile = (q, l)``: rows repeat only for the blocks they face."""
-    blocks = _block_counts(queries, library, tile_rows)
+    """Both sides with ``tile = (_tile, _q, _l)``: a bucket of masses, or a mass with the blocks
+    of either side; rows repeat only for the blocks they face."""
+    blocks, buckets = _block_counts(queries, library, tile_rows)
+    small = (F.col("_qb") == 1) & (F.col("_lb") == 1)
+    bucket = F.pmod(F.xxhash64("mass_key"), F.lit(buckets))
+    # Buckets and masses of their own have different signs of _q.
+    tile = F.when(small, bucket).otherwise(F.col("mass_key"))
 
     def spread(side: DataFrame, id_column: str, own: str, own_n: str, other: str, other_n: str):
         block = F.pmod(F.xxhash64(id_column), F.col(own_n)).cast("int")
         faced = F.explode(F.sequence(F.lit(0), F.col(other_n) - 1))
-        return side.select("*", block.alias(own), faced.alias(other)).drop("_qb", "_lb")
+        rows = side.select("*", tile.alias("_tile"), small.alias("_small"),
+                           block.alias(own), faced.alias(other))
+        return rows.withColumn("_q", F.when(F.col("_small"), -1).otherwise(F.col("_q"))).drop(
+            "_qb", "_lb", "_small"
+        )
 
     q = spread(queries.join(blocks, "mass_key"), "spectrum_id", "_q", "_qb", "_l", "_lb")
     lib = spread(library.join(blocks, "mass_key"), "library_id", "_l", "_lb", "_q", "_qb")
@@ -131,6 +145,36 @@ def _tile_ranker(
             scores[rows, positions[:, k]] = -np.inf
         return positions, values
 
+    def by_mass(q, lib, q_mass, lib_mass):
+        """Positions and cosines of the best of each query, masses one after the other; both
+        sides are unit vectors, the library in the order of ties."""
+        by_key = np.argsort(lib_mass, kind="stable")
+        keys = lib_mass[by_key]
+        first = np.searchsorted(keys, q_mass, "left")
+        count = np.searchsorted(keys, q_mass, "right") - first
+        rows, places, values = [], [], []
+        start = 0
+        while start < len(q):
+            # Some queries at a time: so many gathered components at most.
+            limit = max(1, GATHERED // max(1, q.shape[1]))
+            upto = int(np.searchsorted(np.cumsum(count[start:]), limit, "right")) + start
+            upto = max(upto, start + 1)
+            some = count[start:upto]
+            row = np.repeat(np.arange(start, upto), some)
+            place = np.arange(len(row)) - np.repeat(np.cumsum(some) - some, some)
+            at = by_key[first[row] + place]
+            scores = np.round(np.einsum("ij,ij->i", q[row], lib[at]), digits)
+            scores[np.isnan(scores)] = -2.0
+            order = np.lexsort((at, -scores, row))
+            row, at, scores = row[order], at[order], scores[order]
+            rank = np.arange(len(row)) - np.repeat(np.cumsum(some) - some, some)
+            kept = rank < n
+            rows.append(row[kept])
+            places.append(at[kept])
+            values.append(scores[kept])
+            start = upto
+        return tuple(np.concatenate(x) for x in (rows, places, values))
+
     def rank_tile(queries: pa.Table, library: pa.Table) -> pa.Table:
         if not len(queries) or not len(library):
             return schema.empty_table()
@@ -141,18 +185,23 @@ def _tile_ranker(
         with np.errstate(divide="ignore", invalid="ignore"):
             q = q / np.linalg.norm(q, axis=1, keepdims=True)
             lib = lib / np.linalg.norm(lib, axis=1, keepdims=True)
-        parts = []
-        strip = max(1, 4_000_000 // len(lib))
-        for start in range(0, len(q), strip):
-            scores = np.round(q[start : start + strip] @ lib.T, digits)
-            # -2 is below any cosine: a zero vector ranks last, with a null cosine.
-            scores[np.isnan(scores)] = -2.0
-            parts.append(best(scores))
-        positions = np.concatenate([p for p, _ in parts])
-        values = np.concatenate([v for _, v in parts]).ravel()
-        query_rows = pa.array(np.repeat(np.arange(len(q)), positions.shape[1]))
-        columns = [queries[c].take(query_rows) for c in query_columns]
-        columns += [library[c].take(pa.array(positions.ravel())) for c in library_columns]
+        if queries["_q"][0].as_py() < 0:
+            masses = [t["mass_key"].to_numpy() for t in (queries, library)]
+            query_rows, positions, values = by_mass(q, lib, *masses)
+        else:
+            parts = []
+            strip = max(1, 4_000_000 // len(lib))
+            for start in range(0, len(q), strip):
+                scores = np.round(q[start : start + strip] @ lib.T, digits)
+                # -2 is below any cosine: a zero vector ranks last, with a null cosine.
+                scores[np.isnan(scores)] = -2.0
+                parts.append(best(scores))
+            positions = np.concatenate([p for p, _ in parts])
+            values = np.concatenate([v for _, v in parts]).ravel()
+            query_rows = np.repeat(np.arange(len(q)), positions.shape[1])
+            positions = positions.ravel()
+        columns = [queries[c].take(pa.array(query_rows)) for c in query_columns]
+        columns += [library[c].take(pa.array(positions)) for c in library_columns]
         columns.append(pa.array(values, mask=values < -1.5))
         return pa.table(columns, names=query_columns + library_columns + ["cosine"]).cast(schema)
 
@@ -184,24 +233,32 @@ def top_candidates(
         for c in library_columns
         if not isinstance(library.schema[c].dataType, (T.ArrayType, T.MapType, T.StructType))
     ]
-    q = queries.select("spectrum_id", *query_columns, "mass_key", "embedding")
-    lib = library.select("library_id", *library_columns, "mass_key", "embedding").where(
+    later = [c for c in library_columns if c not in order]
+    q = queries.select("spectrum_id", "mass_key", "embedding")
+    lib = library.select("library_id", *order, "mass_key", "embedding").where(
         F.col("mass_key").isNotNull()
     )
     q, lib = _tiles(q, lib, tile_rows)
 
-    kept_q = ["spectrum_id", *query_columns, "n_candidates"]
-    kept_l = list(library_columns)
+    kept_q = ["spectrum_id", "n_candidates"]
+    kept_l = ["library_id", *order] if later else order
     fields = [T.StructField(c, q.schema[c].dataType) for c in kept_q]
     fields += [T.StructField(c, lib.schema[c].dataType) for c in kept_l]
     schema = T.StructType([*fields, T.StructField("cosine", T.DoubleType())])
     rank_tile = _tile_ranker(n, kept_q, kept_l, order, to_arrow_schema(schema))
-    tile = ["mass_key", "_q", "_l"]
+    tile = ["_tile", "_q", "_l"]
     best = q.groupBy(*tile).cogroup(lib.groupBy(*tile)).applyInArrow(rank_tile, schema)
     by_cosine = Window.partitionBy("spectrum_id").orderBy(
         F.col("cosine").desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in order]
     )
-    return best.withColumn("rank", F.row_number().over(by_cosine)).where(F.col("rank") <= n)
+    ranked = best.withColumn("rank", F.row_number().over(by_cosine)).where(F.col("rank") <= n)
+    if query_columns:
+        ranked = ranked.join(queries.select("spectrum_id", *query_columns), "spectrum_id")
+    if later:
+        ranked = ranked.join(library.select("library_id", *later), "library_id")
+    return ranked.select(
+        "spectrum_id", *query_columns, "n_candidates", *library_columns, "cosine", "rank"
+    )
 
 
 def wide_results(
