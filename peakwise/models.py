@@ -29,29 +29,3 @@ class SparseDense:
             return x
 
         return predict
-
-
-class OnnxModel:
-    """A network exported to ONNX with one input of shape ``(rows, 1, bins)``, or
-    ``(rows, bins)`` with ``flat=True``."""
-
-    def __init__(self, path: str, flat: bool = False):
-        self.path = path
-        self.flat = flat
-
-    def __call__(self):
-        try:
-            import onnxruntime
-        except ImportError as error:
-            raise ImportError("OnnxModel needs onnxruntime on the executors") from error
-        options = onnxruntime.SessionOptions()
-        options.intra_op_num_threads = 1
-        session = onnxruntime.InferenceSession(self.path, options)
-        name = session.get_inputs()[0].name
-        flat = self.flat
-
-        def predict(matrix: np.ndarray) -> np.ndarray:
-            batch = matrix if flat else matrix[:, None, :]
-            return session.run(None, {name: batch})[0].reshape(len(matrix), -1)
-
-        return predict

@@ -7,7 +7,7 @@ worker, so weights are never broadcast or captured in a closure.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
 import numpy as np
@@ -19,20 +19,30 @@ from pyspark.sql import types as T
 #: Spectra turned into dense rows at a time: 64 x 70,000 float32 take 18 MB.
 DENSE_ROWS = 64
 
+#: Dimensions of a layer summed in one row.
+BLOCK_WIDTH = 64
+
+#: The bin every spectrum has, for the bias.
+BIAS_BIN = -1
+
 #: Largest weight table, as doubles, that is broadcast.
 BROADCAST_BYTES = 256 << 20
 
 
 def _loaded(key: str, load: Callable):
-    """The predictor of this worker process; functions shipped by value share no globals, so
-    it is kept on a module of the worker."""
+    """The predictor of this worker process.
+
+    Functions shipped by value share no globals, so it is kept on a module of the worker.  A
+    worker keeps one model: another key replaces it.
+    """
     import sys
     import types
 
-    cache = sys.modules.setdefault("_peakwise_models", types.ModuleType("_peakwise_models"))
-    if not hasattr(cache, key):
-        setattr(cache, key, load())
-    return getattr(cache, key)
+    slot = sys.modules.setdefault("_peakwise_model", types.ModuleType("_peakwise_model"))
+    if getattr(slot, "key", None) != key:
+        slot.model = None  # frees the old one before the new one is read
+        slot.key, slot.model = key, load()
+    return slot.model
 
 
 def embed_spectra(
@@ -77,8 +87,7 @@ def embed_spectra(
 def embed_by_mode(df: DataFrame, loaders: dict[str, Callable], **options) -> DataFrame:
     """:func:`embed_spectra` with one model per ``ion_mode``.
 
-    Reads ``df`` once per mode, so that no worker holds both models for one task; pass
-    written features.
+    Reads ``df`` once per mode, so that no task needs both models; pass written features.
     """
     branches = [
         embed_spectra(df.where(F.col("ion_mode") == mode), load, **options)
@@ -88,24 +97,46 @@ def embed_by_mode(df: DataFrame, loaders: dict[str, Callable], **options) -> Dat
 
 
 def sparse_linear(
-    df: DataFrame, weights: DataFrame, width: int, key: str = "spectrum_id", relu: bool = True
+    df: DataFrame,
+    weights: DataFrame,
+    width: int,
+    key: str = "spectrum_id",
+    relu: bool = True,
+    bias: Sequence[float] | None = None,
 ) -> DataFrame:
-    """First dense layer on binary input: the sum of the weight rows of the occupied bins.
-
-    ``weights`` is ``(bin, w ARRAY)`` with one row per grid point.  It is counted first and
-    broadcast when it is small, so the bins of a spectrum stay together and are added up
-    ahead of the shuffle; a larger table is joined by bin.  Each dimension is an aggregate
-    of its own, which suits layers up to a few hundred wide; give wider ones to
-    :func:`embed_spectra` with :class:`peakwise.models.SparseDense`.
+    """First dense layer on binary input: the bias plus the weight rows of the occupied bins.
+
+    ``weights`` is ``(bin, w ARRAY)`` with at most one row per grid point.  A layer of any width
+    is summed in blocks of :data:`BLOCK_WIDTH` dimensions, one row per block.  The bias is the
+    weight row of a bin that every spectrum has, so that bins without a weight row add nothing
+    and spectra without any other keep their bias.  The table is counted first and broadcast
+    when it is small, so the bins of a spectrum are added up ahead of the shuffle; a larger one
+    is joined by bin.
     """
-    weights = weights.select(
-        "bin", *[F.get("w", F.lit(d)).cast("double").alias(f"_{d}") for d in range(width)]
-    )
+    spark = df.sparkSession
+    n_blocks = -(-width // BLOCK_WIDTH)
+    start = [float(x) for x in (bias if bias is not None else [0.0] * width)]
+    if len(start) != width:
+        raise ValueError(f"{len(start)} values of bias for a width of {width}")
+    rows = weights.select(F.col("bin").cast("int").alias("bin"), F.col("w").cast("array<double>"))
+    rows = rows.unionByName(spark.createDataFrame([(BIAS_BIN, start)], "bin int, w array<double>"))
+    parts = [F.slice("w", b * BLOCK_WIDTH + 1, BLOCK_WIDTH) for b in range(n_blocks)]
+    rows = rows.select("bin", F.posexplode(F.array(*parts)).alias("_block", "_w"))
     if weights.count() * width * 8 <= BROADCAST_BYTES:
-        weights = F.broadcast(weights)
-    rows = df.select(key, F.explode("bins").alias("bin")).join(weights, "bin")
-    sums = rows.groupBy(key).agg(*[F.sum(f"_{d}").alias(f"_{d}") for d in range(width)])
-    values = [
-        F.greatest(F.col(f"_{d}"), F.lit(0.0)) if relu else F.col(f"_{d}") for d in range(width)
-    ]
-    return sums.select(key, F.array(*values).alias("activation"))
+        rows = F.broadcast(rows)
+    bins = F.concat(F.col("bins").cast("array<int>"), F.array(F.lit(BIAS_BIN)))
+    found = df.select(key, F.explode(bins).alias("bin")).join(rows, "bin")
+    places = range(min(width, BLOCK_WIDTH))
+    # A block's last places are null where the width is no multiple of the block's.
+    sums = found.groupBy(key, "_block").agg(
+        *[F.sum(F.get("_w", F.lit(i))).alias(f"_{i}") for i in places]
+    )
+    value = lambda i: F.greatest(F.col(f"_{i}"), F.lit(0.0)) if relu else F.col(f"_{i}")
+    whole = F.array(*[F.when(F.col(f"_{i}").isNotNull(), value(i)) for i in places])
+    blocks = sums.select(key, F.struct("_block", F.array_compact(whole).alias("_v")).alias("_part"))
+    if n_blocks == 1:
+        return blocks.select(key, F.col("_part._v").alias("activation"))
+    ordered = F.array_sort(F.collect_list("_part"))
+    return blocks.groupBy(key).agg(
+        F.flatten(F.transform(ordered, lambda p: p["_v"])).alias("activation")
+    )

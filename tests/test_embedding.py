@@ -90,50 +90,61 @@ def test_sparse_linear_broadcast_and_joined(spark, monkeypatch):
             np.testing.assert_allclose(by_id[key], np.maximum(w[bins].sum(axis=0), 0), atol=1e-9)
 
 
-def _field(number, payload):
-    """A length-delimited or varint protobuf field."""
-
-    def varint(n):
-        out = b""
-        while n > 127:
-            out += bytes([n & 127 | 128])
-            n >>= 7
-        return out + bytes([n])
-
-    if isinstance(payload, int):
-        return varint(number << 3) + varint(payload)
-    if isinstance(payload, str):
-        payload = payload.encode()
-    return varint(number << 3 | 2) + varint(len(payload)) + payload
-
-
-def _matmul_onnx(w):
-    """An ONNX file multiplying its ``x`` of shape (rows, bins) with ``w``."""
-
-    def value(name, width):
-        dims = _field(1, _field(2, "rows")) + _field(1, _field(1, width))
-        tensor_type = _field(1, 1) + _field(2, dims)
-        return _field(1, name) + _field(2, _field(1, tensor_type))
-
-    weights = (
-        _field(1, w.shape[0]) + _field(1, w.shape[1]) + _field(2, 1) + _field(8, "w")
-        + _field(9, w.astype("<f4").tobytes())
-    )
-    node = _field(1, "x") + _field(1, "w") + _field(2, "y") + _field(4, "MatMul")
-    graph = (
-        _field(1, node) + _field(2, "g") + _field(5, weights)
-        + _field(11, value("x", w.shape[0])) + _field(12, value("y", w.shape[1]))
+def test_sparse_linear_of_full_width_with_bias(spark):
+    rng = np.random.default_rng(7)
+    width = 4096
+    w, bias = rng.normal(size=(20, width)), rng.normal(size=width)
+    weights = spark.createDataFrame(
+        [(i, row.tolist()) for i, row in enumerate(w)], "bin int, w array<double>"
     )
-    return _field(1, 8) + _field(7, graph) + _field(8, _field(1, "") + _field(2, 17))
+    rows = [("a", [0, 3, 19]), ("none", []), ("unknown", [50_000]), ("b", [5, 60_000])]
+    df = spark.createDataFrame(rows, "spectrum_id string, bins array<int>")
+    layer = embedding.sparse_linear(df, weights, width, bias=bias, relu=False)
+    got = {r.spectrum_id: r.activation for r in layer.collect()}
+    for key, bins in rows:
+        expected = w[[b for b in bins if b < 20]].sum(axis=0) + bias
+        np.testing.assert_allclose(got[key], expected, atol=1e-9)
+    with pytest.raises(ValueError):
+        embedding.sparse_linear(df, weights, width, bias=[1.0])
 
 
-def test_onnx_network(spark, tmp_path):
-    pytest.importorskip("onnxruntime")
-    w = np.random.default_rng(6).normal(size=(N_BINS, 3))
-    path = tmp_path / "net.onnx"
-    path.write_bytes(_matmul_onnx(w))
-    rows, df = features(spark)
-    got = embedding.embed_spectra(df, models.OnnxModel(str(path), flat=True), n_bins=N_BINS)
-    by_id = {r.spectrum_id: r.embedding for r in got.collect()}
-    for key, bins in rows:
-        np.testing.assert_allclose(by_id[key], w[bins].sum(axis=0), rtol=1e-4, atol=1e-4)
+def test_a_worker_keeps_one_model(spark):
+    rows = spark.createDataFrame([("a", [1, 2])], "spectrum_id string, bins array<int>").coalesce(1)
+
+    def load():
+        import sys
+
+        class Model:
+            def __call__(self, bins):
+                import gc
+
+                kind = type(self).__name__
+                alive = [o for o in gc.get_objects() if type(o).__name__ == kind]
+                slot = sys.modules["_peakwise_model"]
+                assert slot.model is self
+                return np.full((len(bins), 1), float(len(alive)))
+
+        Model.__name__ = "ModelUnderTest"
+        return Model()
+
+    for _ in range(5):
+        got = embedding.embed_spectra(rows, load, n_bins=N_BINS, dense=False).collect()
+        assert [r.embedding for r in got] == [[1.0]]
+
+
+def test_all_vectors_reach_the_weight_table(spark, work, monkeypatch):
+    """More vectors than grid points: rows are sums over all vectors of a remainder."""
+    from workload import views
+
+    rng = np.random.default_rng(8)
+    vectors = rng.normal(size=(23, 3)).astype("float32")
+    spark.createDataFrame(
+        [(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id bigint, embedding array<float>"
+    ).write.parquet(f"{work}/embeddings.parquet")
+    monkeypatch.setattr(views, "N_BINS", 7)
+    rows = {r.bin: r.w for r in views.weights(spark, work).collect()}
+    predict = views.vector_model(spark, work)()
+    for b in range(7):
+        total = vectors[b::7].astype(float).sum(axis=0)
+        np.testing.assert_allclose(rows[b], total)
+        np.testing.assert_allclose(predict([np.array([b])])[0], np.maximum(total, 0))
