@@ -1,14 +1,17 @@
 """Identification of annotated and unannotated spectra, and retrieval evaluation.
 
-Each job writes what it reads twice below ``work_path``: cleaned annotated spectra and the
-predictions.  Parsing and inference then run once per spectrum.  Results come back in long form (``rank`` per candidate);
-:mod:`peakwise.operators.matching` has the wide form.
+Each job writes what it reads twice below ``work_path``: cleaned annotated spectra, the
+predictions and the keyed queries.  Parsing and inference then run once per spectrum.  Blocks
+that the parser marked as malformed take no part; their text is written to ``rejected``.
+Results come back in long form (``rank`` per candidate); :mod:`peakwise.operators.matching`
+has the wide form.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +34,15 @@ class Settings:
         return grid_size(self.resolution, self.max_mz)
 
 
+def sound_spectra(spectra: DataFrame, work_path: str) -> DataFrame:
+    """Spectra without the malformed blocks, whose text goes to ``work_path/rejected``."""
+    if "_corrupt" not in spectra.columns:
+        return spectra
+    rejected = spectra.where(F.col("_corrupt").isNotNull()).select("ordinal", "_corrupt")
+    write_table(rejected, f"{work_path}/rejected")
+    return spectra.where(F.col("_corrupt").isNull()).drop("_corrupt")
+
+
 def cleaned_annotated(
     spectra: DataFrame, molecules: DataFrame, settings: Settings = Settings()
 ) -> DataFrame:
@@ -99,6 +111,7 @@ def predict_annotated(
     **model: object,
 ) -> DataFrame:
     """Clean, pool, encode and embed; cleaned spectra and predictions are written."""
+    spectra = sound_spectra(spectra, work_path)
     cleaned = write_table(
         cleaned_annotated(spectra, molecules, settings), f"{work_path}/cleaned"
     )
@@ -123,7 +136,9 @@ def identify_annotated(
     identified by its ``smile``.
     """
     predictions = predict_annotated(spectra, molecules, load, work_path, settings, **model)
-    queries = annotated_queries(predictions, molecules, ion_mode)
+    queries = write_table(
+        annotated_queries(predictions, molecules, ion_mode), f"{work_path}/queries"
+    )
     keyed = masses.with_library_key(library, ion_mode)
     ranked = matching.top_candidates(
         queries,
@@ -145,6 +160,36 @@ def annotated_queries(predictions: DataFrame, molecules: DataFrame, ion_mode: st
     )
 
 
+def identify_by_mode(
+    spectra: DataFrame,
+    library: DataFrame,
+    loaders: dict[str, Callable],
+    work_path: str,
+    settings: Settings = Settings(),
+    key_mode: str = "truncate",
+    **model: object,
+) -> DataFrame:
+    """Unannotated spectra of both ion modes in one job, each with its mode's model and masses.
+
+    ``spectra`` come from :func:`peakwise.sources.msp.union_ion_modes`, ``loaders`` are by
+    mode.  The result has ``ion_mode``.
+    """
+    ranked = [
+        identify_unannotated(
+            spectra.where(F.col("ion_mode") == mode),
+            library,
+            load,
+            f"{work_path}/{'positive' if mode == '+' else 'negative'}",
+            mode,
+            settings,
+            key_mode,
+            **model,
+        ).withColumn("ion_mode", F.lit(mode))
+        for mode, load in loaders.items()
+    ]
+    return reduce(DataFrame.unionByName, ranked)
+
+
 def identify_unannotated(
     spectra: DataFrame,
     library: DataFrame,
@@ -156,6 +201,7 @@ def identify_unannotated(
     **model: object,
 ) -> DataFrame:
     """Ranked candidates of unannotated spectra."""
+    spectra = sound_spectra(spectra, work_path)
     predictions = predict(
         features_unannotated(spectra, settings),
         load,
@@ -191,7 +237,9 @@ def evaluate_retrieval(
 ) -> Retrieval:
     """Top-1 to top-5 accuracy of annotated spectra, masses always in positive mode."""
     predictions = predict_annotated(spectra, molecules, load, work_path, settings, **model)
-    queries = annotated_queries(predictions, molecules, "+")
+    queries = write_table(
+        annotated_queries(predictions, molecules, "+"), f"{work_path}/queries"
+    )
     keyed = masses.with_library_key(library, "+")
     ranked = matching.top_candidates(
         queries,
