@@ -100,17 +100,20 @@ _CTE: dict[str, tuple[tuple[str, ...], str]] = {
     "buckets": (("hits",), "SELECT *, coalesce(hit_rank, 11) AS bucket FROM hits"),
     "weights": (
         (),
-        """SELECT vec_id, least((SELECT count(*) FROM embeddings), 70000) AS n_weights,
-                  unnest(embedding)::DOUBLE AS w, generate_subscripts(embedding, 1) AS dim
-           FROM embeddings""",
+        """SELECT vec_id % n_weights AS vec_id, n_weights, dim, sum(w) AS w
+           FROM (SELECT vec_id, least((SELECT count(*) FROM embeddings), 70000) AS n_weights,
+                        unnest(embedding)::DOUBLE AS w, generate_subscripts(embedding, 1) AS dim
+                 FROM embeddings)
+           GROUP BY vec_id % n_weights, n_weights, dim""",
     ),
     # MSP records
     "spectra": (
         (),
         """SELECT o_orderkey AS ordinal, c_name AS smile, 'order-' || (o_orderkey // 2) AS name,
                   o_orderstatus AS status, c_custkey AS custkey,
-                  100 + floor((c_acctbal + 1000) / 50) * 5.0 + 1.007276
-                    + o_orderkey % 10 * 0.0001 AS precursor
+                  CASE WHEN o_orderkey % 50 <> 7 THEN
+                    100 + floor((c_acctbal + 1000) / 50) * 5.0 + 1.007276
+                      + o_orderkey % 10 * 0.0001 END AS precursor
            FROM orders JOIN customer ON o_custkey = c_custkey""",
     ),
     "order_peaks": (
@@ -177,6 +180,18 @@ _CTE: dict[str, tuple[tuple[str, ...], str]] = {
         """SELECT name AS id, precursor, mz, intensity
            FROM record_kept JOIN named_first USING (name, ordinal)""",
     ),
+    "named_positive_source": (
+        ("record_kept",),
+        """SELECT name AS id, precursor, mz, intensity FROM record_kept
+           WHERE status <> 'F' AND (name, ordinal) IN (
+             SELECT (name, min(ordinal)) FROM record_kept WHERE status <> 'F' GROUP BY name)""",
+    ),
+    "named_negative_source": (
+        ("record_kept",),
+        """SELECT name AS id, precursor, mz, intensity FROM record_kept
+           WHERE status = 'F' AND (name, ordinal) IN (
+             SELECT (name, min(ordinal)) FROM record_kept WHERE status = 'F' GROUP BY name)""",
+    ),
     "row_source": (
         ("cleaned",),
         "SELECT spectrum_id AS id, precursor, mz, intensity FROM cleaned",
@@ -202,8 +217,8 @@ def _feature_ctes(source: str, tolerance: float = 0.01) -> dict[str, tuple[tuple
         "merged": (
             ("chained",),
             """SELECT id, precursor, chain, sum(intensity) AS intensity, count(*) AS n_merged,
-                      round_even(round_even(sum(mz) / count(*) * 1000, 0) / 1000 * 100, 0) / 100
-                        AS mz
+                      round_even(round_even(sum(mz::VARCHAR::DECIMAL(28, 16))::DOUBLE
+                        / count(*) * 1000, 0) / 1000 * 100, 0) / 100 AS mz
                FROM chained GROUP BY id, precursor, chain""",
         ),
         "light": (("merged",), "SELECT * FROM merged WHERE precursor <= 1000"),
@@ -255,9 +270,25 @@ def _feature_ctes(source: str, tolerance: float = 0.01) -> dict[str, tuple[tuple
     }
 
 
-def _with(select: str, *needs: str, source: str = "row_source", tolerance: float = 0.01) -> str:
-    """``select`` under the common table expressions it needs, in dependency order."""
+def _with(
+    select: str,
+    *needs: str,
+    source: str = "row_source",
+    tolerance: float = 0.01,
+    sign: int = 1,
+) -> str:
+    """``select`` under the common table expressions it needs, in dependency order.
+
+    ``sign`` is that of the ion mode: of the proton's mass in library keys, and of what the
+    mode's model returns.
+    """
     known = {**_CTE, **_feature_ctes(source, tolerance), **_job_ctes()}
+    if sign < 0:
+        known = {
+            name: (needed, body.replace("exact_mass + 1.007276", "exact_mass - 1.007276")
+                   .replace("list(value ORDER BY dim)", "list(-value ORDER BY dim)"))
+            for name, (needed, body) in known.items()
+        }
     ordered: list[str] = []
 
     def add(name: str) -> None:
@@ -294,7 +325,7 @@ def _job_ctes() -> dict[str, tuple[tuple[str, ...], str]]:
             ("annotated_queries", "library"),
             _ranked(
                 f"""SELECT spectrum_id, l.smile, l.inchikey, truth, l.embedding AS vector,
-                           {similarity}
+                           round(l.exact_mass + 1.007276, 3) AS precursor_mz, {similarity}
                     FROM annotated_queries q JOIN library l USING (mass_key)"""
             ),
         ),
@@ -308,7 +339,8 @@ def _job_ctes() -> dict[str, tuple[tuple[str, ...], str]]:
         ),
         "annotated_hits": (
             ("annotated_top",),
-            """SELECT spectrum_id, min(CASE WHEN tanimoto >= 0.95 THEN rank END) AS hit_rank
+            """SELECT spectrum_id, min(CASE WHEN tanimoto >= 0.95 THEN rank END) AS hit_rank,
+                      max(n_candidates) AS n_candidates
                FROM annotated_top GROUP BY spectrum_id""",
         ),
         "named_ranked": (
@@ -520,12 +552,6 @@ def oracles() -> dict[str, str]:
             "SELECT vec_id, tanimoto >= 0.4 AS same_structure FROM neighbour_tanimoto",
             "neighbour_tanimoto",
         ),
-        "rank_candidates": _with(
-            """SELECT spectrum_id, rank::INTEGER AS rank, smile, n_candidates,
-                      round(cosine, 6) AS cosine
-               FROM vector_ranked WHERE rank <= 20""",
-            "vector_ranked",
-        ),
         "topn_candidates": _with(
             """SELECT spectrum_id, rank::INTEGER AS rank, smile, n_candidates,
                       round(cosine, 6) AS cosine
@@ -564,7 +590,16 @@ def oracles() -> dict[str, str]:
             f"SELECT id AS spectrum_id, len_frag, {_VECTOR_SUMS} FROM vector_sums", "vector_sums"
         ),
         "sparse_linear": _with(
-            f"SELECT id AS spectrum_id, {_VECTOR_SUMS} FROM vector_sums", "vector_sums"
+            """SELECT spectrum_id, count(*)::INTEGER AS width, round(sum(value), 3) AS total,
+                      round(sum(value * dim), 3) AS weighted
+               FROM (SELECT id AS spectrum_id, dim,
+                            greatest(sum(w) + 0.25::DOUBLE * ((dim - 1) % 4), 0)::FLOAT::DOUBLE
+                              AS value
+                     FROM bins JOIN weights ON vec_id = bin % n_weights
+                     GROUP BY id, dim)
+               GROUP BY spectrum_id""",
+            "bins",
+            "weights",
         ),
         "embed_by_mode": _with(
             """SELECT id AS spectrum_id, CASE WHEN id % 2 = 0 THEN '+' ELSE '-' END AS ion_mode,
@@ -585,4 +620,46 @@ def oracles() -> dict[str, str]:
             "annotated_hits",
             source="annotated_source",
         ),
+        "retrieval_histogram": _with(
+            """SELECT coalesce(hit_rank, 11)::INTEGER AS bucket, count(*) AS n_queries,
+                      sum(n_candidates)::BIGINT AS sum_candidates,
+                      min(n_candidates) AS min_candidates, max(n_candidates) AS max_candidates
+               FROM annotated_hits GROUP BY bucket""",
+            "annotated_hits",
+            source="annotated_source",
+        ),
+        "retrieval_detail": _with(
+            """SELECT spectrum_id, coalesce(hit_rank, 11)::INTEGER AS bucket, smile,
+                      round(tanimoto, 6) AS tanimoto, round(cosine, 6) AS cosine, t.n_candidates,
+                      CASE WHEN hit_rank = 1 THEN inchikey END AS inchikey,
+                      CASE WHEN hit_rank = 1 THEN round(precursor_mz, 6) END AS precursor_mz
+               FROM annotated_top t JOIN annotated_hits h USING (spectrum_id)
+               WHERE rank = coalesce(hit_rank, 1)""",
+            "annotated_top",
+            "annotated_hits",
+            source="annotated_source",
+        ),
+        "identify_by_mode": " UNION ALL ".join(
+            "SELECT * FROM ("
+            + _with(
+                f"""SELECT spectrum_id, '{mode}' AS ion_mode, rank::INTEGER AS rank, smile,
+                           n_candidates, round(cosine, 6) AS cosine
+                    FROM named_ranked WHERE rank <= 5""",
+                "named_ranked",
+                source=source,
+                sign=sign,
+            )
+            + ")"
+            for mode, sign, source in (
+                ("+", 1, "named_positive_source"),
+                ("-", -1, "named_negative_source"),
+            )
+        ),
+        "library_formula": """SELECT smile, round(mass, 6)::DOUBLE AS exact_mass,
+                   CAST(round(round(mass::DOUBLE - 1.007276, 3) * 1000) AS BIGINT) AS mass_key
+               FROM (SELECT 'P' || p_partkey AS smile,
+                            CASE WHEN p_size % 10 <> 0 THEN
+                              p_size * 12.0 + (p_partkey % 60 + 1) * 1.00782503223
+                                + 14.00307400443 + 2 * 15.99491461957 + 34.968852682 END AS mass
+                     FROM part)""",
     }

@@ -159,7 +159,7 @@ def _vector_summary(predictions: DataFrame, *columns: str) -> DataFrame:
 
 def _embedded(spark, sf_dir, features: DataFrame) -> DataFrame:
     return embedding.embed_spectra(
-        features, views.VectorWeights(sf_dir), n_bins=views.N_BINS, dense=False
+        features, views.vector_model(spark, sf_dir), n_bins=views.N_BINS, dense=False
     )
 
 
@@ -423,6 +423,7 @@ def null_mass_skip(spark, sf_dir):
     per_mass = _part_queries(spark, sf_dir).groupBy("mass_key").agg(
         F.count(F.lit(1)).alias("n")
     )
+    per_mass = tables.write_table(per_mass, shared_path(spark, "queries-per-mass"))
     return library.join(per_mass, "mass_key", "left").select(
         "library_id", "mass_key", F.coalesce("n", F.lit(0)).alias("n_queries")
     )
@@ -521,11 +522,6 @@ def _ranked_columns(ranked: DataFrame) -> DataFrame:
     )
 
 
-@query
-def rank_candidates(spark, sf_dir):
-    return _ranked_columns(_vector_top(spark, sf_dir, 20))
-
-
 @query
 def topn_candidates(spark, sf_dir):
     return _ranked_columns(_vector_top(spark, sf_dir, 5))
@@ -608,28 +604,21 @@ def embed_spectra(spark, sf_dir):
 def sparse_linear(spark, sf_dir):
     weights = tables.write_table(views.weights(spark, sf_dir), shared_path(spark, "weights"))
     features = _row_features(spark, sf_dir).select("spectrum_id", "bins")
-    activations = embedding.sparse_linear(features, weights, views.WIDTH)
+    bias = [0.25 * (d % 4) for d in range(views.WIDTH)]
+    activations = embedding.sparse_linear(features, weights, views.WIDTH, bias=bias)
     layer = activations.select(
         "spectrum_id", F.col("activation").cast("array<float>").alias("embedding")
     )
     return _vector_summary(layer, "spectrum_id")
 
 
-class NegatedWeights(views.VectorWeights):
-    """The negative mode model: the same layer with its output negated."""
-
-    def __call__(self):
-        predict = super().__call__()
-        return lambda bins: -predict(bins)
-
-
 @query
 def embed_by_mode(spark, sf_dir):
     mode = F.when(F.col("spectrum_id") % 2 == 0, "+").otherwise("-")
     features = tables.write_table(
         _row_features(spark, sf_dir).withColumn("ion_mode", mode), shared_path(spark, "features")
     )
-    loaders = {"+": views.VectorWeights(sf_dir), "-": NegatedWeights(sf_dir)}
+    loaders = {m: views.vector_model(spark, sf_dir, m == "-") for m in "+-"}
     embedded = embedding.embed_by_mode(features, loaders, n_bins=views.N_BINS, dense=False)
     return _vector_summary(embedded, "spectrum_id", "ion_mode")
 
@@ -651,7 +640,7 @@ def identify_annotated(spark, sf_dir):
         msp.read_annotated(spark, views.annotated_msp(spark, sf_dir)),
         molecules.select("smile", "inchikey", "exact_mass", "fp_bits"),
         molecules,
-        views.VectorWeights(sf_dir),
+        views.vector_model(spark, sf_dir),
         shared_path(spark, "predictions"),
         dense=False,
     )
@@ -663,22 +652,66 @@ def identify_unannotated(spark, sf_dir):
     ranked = identify.identify_unannotated(
         msp.read_named(spark, views.named_msp(spark, sf_dir)),
         _molecule_table(spark, sf_dir),
-        views.VectorWeights(sf_dir),
+        views.vector_model(spark, sf_dir),
         shared_path(spark, "predictions"),
         dense=False,
     )
     return matching.wide_unannotated(_rounded(ranked, "cosine"))
 
 
-@query
-def evaluate_retrieval(spark, sf_dir):
+def _retrieval(spark, sf_dir) -> identify.Retrieval:
     molecules = _molecule_table(spark, sf_dir)
-    result = identify.evaluate_retrieval(
+    return identify.evaluate_retrieval(
         msp.read_annotated(spark, views.annotated_msp(spark, sf_dir)),
         molecules.select("smile", "inchikey", "exact_mass", "fp_bits"),
         molecules,
-        views.VectorWeights(sf_dir),
+        views.vector_model(spark, sf_dir),
         shared_path(spark, "evaluation"),
         dense=False,
     )
-    return _accuracy(result.accuracy)
+
+
+@query
+def evaluate_retrieval(spark, sf_dir):
+    return _accuracy(_retrieval(spark, sf_dir).accuracy)
+
+
+@query
+def retrieval_histogram(spark, sf_dir):
+    return _retrieval(spark, sf_dir).histogram
+
+
+@query
+def retrieval_detail(spark, sf_dir):
+    return _rounded(_retrieval(spark, sf_dir).detail, "tanimoto", "cosine", "precursor_mz")
+
+
+@query
+def identify_by_mode(spark, sf_dir):
+    """Both ion modes in one job; the negative model returns the opposite vectors."""
+    ranked = identify.identify_by_mode(
+        _both_modes(spark, sf_dir),
+        _molecule_table(spark, sf_dir),
+        {m: views.vector_model(spark, sf_dir, m == "-") for m in "+-"},
+        shared_path(spark, "predictions"),
+        dense=False,
+    )
+    return ranked.select(
+        "spectrum_id", "ion_mode", "rank", "smile", "n_candidates", _r("cosine").alias("cosine")
+    )
+
+
+@query
+def library_formula(spark, sf_dir):
+    """Parts as a library file whose masses come from a formula column."""
+    path = shared_path(spark, "library")
+    formula = F.concat(
+        F.lit("C"), F.col("p_size"), F.lit("H"), F.col("p_partkey") % 60 + 1, F.lit("NO2Cl")
+    )
+    table(spark, sf_dir, "part").select(
+        F.concat(F.lit("P"), F.col("p_partkey")).alias("smile"),
+        F.when(F.col("p_size") % 10 != 0, formula).alias("formula"),
+    ).write.parquet(path)
+    library = tables.read_library(spark, path, {"smile": "smile"}, formula="formula")
+    keyed = masses.with_library_key(library, "-")
+    return keyed.select("smile", _r("exact_mass").alias("exact_mass"), "mass_key")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -104,35 +106,53 @@ def customers_as_molecules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def n_weights(spark: SparkSession, sf_dir: str) -> int:
-    """Rows of the weight table: one per grid point at most."""
-    return min(table(spark, sf_dir, "embeddings").count(), N_BINS)
+def weight_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(row, w)``: the sums of all vectors whose id has the same remainder, as many rows as
+    there are vectors, and one per grid point at most."""
+    vectors = table(spark, sf_dir, "embeddings")
+    n = min(vectors.count(), N_BINS)
+    parts = vectors.select(
+        (F.col("vec_id") % n).alias("row"), F.posexplode("embedding").alias("dim", "x")
+    )
+    sums = parts.groupBy("row", "dim").agg(F.sum(F.col("x").cast("double")).alias("x"))
+    # At most as many entries as a vector has components.
+    listed = F.array_sort(F.collect_list(F.struct("dim", "x")))
+    return sums.groupBy("row").agg(F.transform(listed, lambda e: e["x"]).alias("w"))
+
+
+def written_weights(spark: SparkSession, sf_dir: str) -> str:
+    path = shared_path(spark, "weight-rows")
+    weight_rows(spark, sf_dir).write.parquet(path)
+    return path
 
 
 def weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(bin, w)`` for every grid point; vectors repeat along the grid."""
-    n = n_weights(spark, sf_dir)
-    vectors = table(spark, sf_dir, "embeddings").select(
-        F.col("vec_id").alias("_row"), F.col("embedding").alias("w")
-    )
+    """``(bin, w)`` for every grid point; rows repeat along the grid."""
+    rows = spark.read.parquet(written_weights(spark, sf_dir))
     grid = spark.range(N_BINS).select(
-        F.col("id").cast("int").alias("bin"), (F.col("id") % n).alias("_row")
+        F.col("id").cast("int").alias("bin"), (F.col("id") % rows.count()).alias("row")
     )
-    return grid.join(vectors, "_row").drop("_row")
+    return grid.join(rows, "row").drop("row")
 
 
 class VectorWeights:
-    """Loader of a one-layer network whose weight rows are the vectors, with ReLU."""
+    """Loader of a one-layer network from written weight rows, with ReLU."""
 
-    def __init__(self, sf_dir: str):
-        self.path = f"{sf_dir}/embeddings.parquet"
+    def __init__(self, path: str):
+        self.path = path
 
     def __call__(self):
         import pyarrow.parquet as pq
+        from pyarrow import fs
 
-        rows = pq.read_table(self.path, filters=[("vec_id", "<", N_BINS)]).sort_by("vec_id")
-        w = rows["embedding"].combine_chunks().flatten().to_numpy().astype(np.float64)
-        w = w.reshape(len(rows), -1)
+        if ":" in self.path:
+            uri = self.path.replace(":/", ":///", 1) if ":///" not in self.path and (
+                "://" not in self.path) else self.path
+            files, path = fs.FileSystem.from_uri(uri)
+        else:
+            files, path = fs.LocalFileSystem(), self.path
+        rows = pq.read_table(path, filesystem=files).sort_by("row")
+        w = np.stack(rows["w"].to_numpy())
 
         def predict(bin_lists: list[np.ndarray]) -> np.ndarray:
             sums = [w[np.asarray(bins) % len(w)].sum(axis=0) for bins in bin_lists]
@@ -141,11 +161,24 @@ class VectorWeights:
         return predict
 
 
+def vector_model(spark: SparkSession, sf_dir: str, negated: bool = False) -> Callable:
+    """The model of the test tables; the negative one returns the opposite."""
+    return (NegatedWeights if negated else VectorWeights)(written_weights(spark, sf_dir))
+
+
+class NegatedWeights(VectorWeights):
+    def __call__(self):
+        predict = super().__call__()
+        return lambda bins: -predict(bins)
+
+
 def _msp_lines(spectra: DataFrame, peaks: DataFrame, id_tag: str) -> DataFrame:
     counts = peaks.groupBy("spectrum_id").agg(F.count(F.lit(1)).alias("n_peaks"))
     headers = [
-        F.concat(F.lit(f"{id_tag} "), F.col("id")),
-        F.concat(F.lit("Precursor: "), F.col("precursor")),
+        F.concat(F.when(F.col("spectrum_id") % 5 == 2, "  ").otherwise(""),
+                 F.lit(f"{id_tag} "), F.col("id")),
+        F.concat(F.lit("Precursor: "), F.when(F.col("spectrum_id") % 50 == 7, "x").otherwise(""),
+                 F.col("precursor")),
         F.concat(F.lit("Adduct: "), F.col("adduct")),
         F.concat(F.lit("Num Peaks: "), F.coalesce("n_peaks", F.lit(0))),
     ]
@@ -162,13 +195,19 @@ def _msp_lines(spectra: DataFrame, peaks: DataFrame, id_tag: str) -> DataFrame:
         "mz",
         "intensity",
     )
-    return head.unionByName(body)
+    title = head.sparkSession.createDataFrame(
+        [(-1, 0, "# exported by a tool", 0.0, 0.0)], head.schema
+    )
+    lines = head.unionByName(body).unionByName(title)
+    crlf = F.when(F.col("spectrum_id") % 3 == 1, "\r").otherwise("")
+    return lines.withColumn("value", F.concat("value", crlf))
 
 
 def write_msp(spectra: DataFrame, peaks: DataFrame, id_tag: str, path: str) -> str:
     """Write ``(spectrum_id, id, precursor, adduct)`` and peak rows as MSP files in id order.
 
-    Lines are sorted, not gathered: no task holds the peaks of a spectrum in memory.
+    As found in the wild: a line ahead of the first block, some blocks with CRLF, some id lines
+    indented, and some precursors that are no numbers.  Lines are sorted, not gathered: no task holds the peaks of a spectrum in memory.
     """
     (
         _msp_lines(spectra, peaks, id_tag)
