@@ -33,7 +33,7 @@ END_ID = 2
 BLOCK_IDS = 1 << 18
 
 #: Documents per file, on average.
-FILE_DOCS = 50_000
+FILE_DOCS = 20_000
 
 # Fixed value: single ASCII characters that are pieces of their own after letters.
 PUNCTUATION = frozenset('!"#$%&()*+,-./:;<=>?@[]^_`{|}~' + chr(92))
@@ -42,7 +42,7 @@ PUNCTUATION = frozenset('!"#$%&()*+,-./:;<=>?@[]^_`{|}~' + chr(92))
 SLICE_BYTES = 4 << 20
 
 #: Chunks and pieces of text remembered by a worker, about 200 bytes each.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 
 # The pre-tokenization pattern of tokenizers whose texts split into chunks.
 CHUNK_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -353,7 +353,7 @@ def write_token_files(
 
     def pack(batches):
         file, number, rows, size = None, 0, [], 0
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 4, SLICE_BYTES)):
             for f, *row in zip(*(c.to_pylist() for c in batch.columns)):
                 if rows and (f != file or size >= block_ids):
                     yield block(file, number, rows)
@@ -409,7 +409,7 @@ def _read(spark: SparkSession, path: str, result: Callable, result_type: str, na
     schema = f"file int, block int, doc_id bigint, _ahead bigint, n_tokens bigint, {result_type}"
 
     def documents(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 6, SLICE_BYTES)):
             for file, number, _, doc_ids, counts, control, data in zip(
                 *(c.to_pylist() for c in batch.columns)
             ):

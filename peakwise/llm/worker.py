@@ -52,7 +52,12 @@ def kept(slot: str, key: str, make: Callable):
 
 
 def slices(batch, column: int | str, size: int) -> Iterator:
-    """Runs of an Arrow batch's rows with up to so many bytes in a column, and a row at least."""
+    """Runs of an Arrow batch's rows with up to so many bytes in a column, and a row at least.
+
+    What a run leaves in Arrow's pool goes back to the machine, which the executor's other
+    tasks share.
+    """
+    import pyarrow as pa
     import pyarrow.compute as pc
 
     ends = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy())
@@ -61,6 +66,7 @@ def slices(batch, column: int | str, size: int) -> Iterator:
         before = ends[at - 1] if at else 0
         upto = max(at + 1, int(np.searchsorted(ends, before + size, "right")))
         yield batch.slice(at, upto - at)
+        pa.default_memory_pool().release_unused()
         at = upto
 
 
