@@ -14,7 +14,6 @@ so that they do not depend on the order they arrive in.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peakwise.llm.worker import slices
+from peakwise.llm.worker import ranges, slices
 from peakwise.session import shared_path
 from peakwise.sources.tables import write_table
 
@@ -52,33 +51,54 @@ CHUNK = 1 << 16
 UNIT = 2.0**-20
 
 
-def words_of(text: str | None) -> list[str]:
-    """Lower-case runs of letters, digits and underscores, and runs of other characters."""
-    import re
+def words_of(texts):
+    """Words of an Arrow array of texts, one after the other, and how many each text has.
 
-    return re.findall(r"\w+|[^\w\s]+", (text or "").lower())
-
-
-def bucket(word: str) -> int:
-    return zlib.crc32(word.encode("utf-8", "surrogatepass")) % BUCKETS
+    Words are lower-case runs of letters, digits and underscores, and runs of other characters
+    but white space.  Null texts have none.
+    """
+    import pyarrow.compute as pc
+
+    lower = pc.utf8_lower(texts.fill_null(""))
+    apart = pc.replace_substring_regex(lower, r"([^\p{L}\p{N}_\s\p{Z}]+)", r" \1 ")
+    split = pc.utf8_split_whitespace(apart)
+    words = split.flatten()
+    # White space at either end of a text leaves an empty word there.
+    full = pc.greater(pc.binary_length(words), 0)
+    upto = np.concatenate([[0], np.cumsum(full.to_numpy(zero_copy_only=False))])
+    offsets = split.offsets.to_numpy()
+    return words.filter(full), np.diff(upto[offsets - offsets[0]])
+
+
+def buckets(words) -> np.ndarray:
+    """Bucket of each word of an Arrow array, by a weighted sum of its bytes."""
+    if not len(words):
+        return np.empty(0, np.int64)
+    words = words.cast("binary")
+    _, offsets, data = words.buffers()
+    cuts = np.frombuffer(offsets, np.int32)[words.offset : words.offset + len(words) + 1]
+    values = np.frombuffer(data, np.uint8)[cuts[0] : cuts[-1]].astype(np.uint64)
+    _, place = ranges(np.diff(cuts))
+    weights = np.random.default_rng(3).integers(1, 1 << 40, 61, dtype=np.uint64)
+    total = np.add.reduceat(values * weights[place % 61], cuts[:-1] - cuts[0])
+    mixed = total * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed >> np.uint64(32)) % np.uint64(BUCKETS)).astype(np.int64)
 
 
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """``(word, n)`` over all documents."""
-    from collections import Counter
-
     import pyarrow as pa
+    import pyarrow.compute as pc
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found: Counter = Counter()
+            parts = []
             for part in slices(batch, 0, SLICE_BYTES):
-                for t in part.column(0).to_pylist():
-                    found.update(words_of(t))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())],
-                names=["word", "n"],
-            )
+                counts = pc.value_counts(words_of(part.column(0))[0])
+                parts.append(pa.table({"word": counts.field(0), "n": counts.field(1)}))
+            if parts:
+                total = pa.concat_tables(parts).group_by("word").aggregate([("n", "sum")])
+                yield from total.select(["word", "n_sum"]).rename_columns(["word", "n"]).to_batches()
 
     return docs.select(text).mapInArrow(count, "word string, n bigint").groupBy("word").agg(
         F.sum("n").alias("n")
@@ -90,31 +110,44 @@ class Vocabulary:
     bucket."""
 
     def __init__(self, words: list[str], distinct: np.ndarray):
-        self.ids = {w: i for i, w in enumerate(words)}
+        self.words = words
         self.distinct = np.maximum(distinct, 1)
 
-    def encode(self, text: str | None) -> np.ndarray:
-        get, first = self.ids.get, VOCABULARY - BUCKETS
-        words = words_of(text)
-        ids = [get(w, -1) for w in words]
-        found = np.array(ids, dtype=np.int32)
-        unknown = np.flatnonzero(found < 0)
-        found[unknown] = [first + bucket(words[i]) for i in unknown.tolist()]
-        return found.astype("<u2")
+    def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of an Arrow array of texts, one after the other, and how many each text has."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        words, counts = words_of(texts)
+        coded = words.dictionary_encode()
+        at = pc.index_in(coded.dictionary, value_set=pa.array(self.words, pa.string()))
+        ids = at.fill_null(-1).to_numpy().astype(np.int64)
+        unknown = coded.dictionary.filter(at.is_null())
+        ids[ids < 0] = VOCABULARY - BUCKETS + buckets(unknown)
+        return ids[coded.indices.to_numpy()].astype("<u2"), counts
 
 
 def fit_vocabulary(counts: DataFrame) -> Vocabulary:
     """From all word counts; the vocabulary's words and one number per bucket reach the
     driver."""
+    import pyarrow as pa
+
     top = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY - BUCKETS)
     words = [r["word"] for r in top.collect()]
-    slot = F.pmod(F.crc32(F.col("word").cast("binary")), F.lit(BUCKETS)).alias("slot")
-    sizes = counts.groupBy(slot).agg(F.count(F.lit(1)).alias("n")).collect()
+
+    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(BUCKETS, dtype=np.int64)
+        for batch in batches:
+            total += np.bincount(buckets(batch.column(0)), minlength=BUCKETS)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(BUCKETS)), pa.array(total)], names=["slot", "n"]
+        )
+
+    rows = counts.select("word").mapInArrow(sizes, "slot bigint, n bigint")
+    found = rows.groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     distinct = np.zeros(BUCKETS, dtype=np.int64)
-    for r in sizes:
-        distinct[r["slot"]] = r["n"]
-    for w in words:
-        distinct[bucket(w)] -= 1
+    distinct[found["slot"].to_numpy()] = found["n"].to_numpy()
+    distinct -= np.bincount(buckets(pa.array(words, pa.string())), minlength=BUCKETS)
     return Vocabulary(words, distinct)
 
 
@@ -293,8 +326,10 @@ def score_documents(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole, "__text", SLICE_BYTES)):
-            ids = [vocabulary.encode(t).tobytes() for t in batch.column("__text").to_pylist()]
-            columns = [batch.column(c) for c in names] + [pa.array(ids, pa.binary())]
+            ids, counts = vocabulary.encode(batch.column("__text"))
+            raw, ends = ids.tobytes(), np.cumsum(2 * counts.astype(np.int64)).tolist()
+            cut = [raw[i:j] for i, j in zip([0, *ends[:-1]], ends)]
+            columns = [batch.column(c) for c in names] + [pa.array(cut, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=[*names, "ids"])
 
     encoded = docs.select(*names, F.col(text).alias("__text")).mapInArrow(

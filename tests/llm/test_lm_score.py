@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 
 from peakwise.llm import lm_score, queries
 
@@ -82,8 +83,28 @@ def test_vocabulary_counts_all_words(spark):
     counts = lm_score.word_counts(docs)
     assert dict(map(tuple, counts.collect())) == {"a": 3, "b": 1, "!": 1, "?!": 1}
     vocabulary = lm_score.fit_vocabulary(counts)
-    assert vocabulary.encode("A new b").tolist()[::2] == [vocabulary.ids["a"], vocabulary.ids["b"]]
-    assert vocabulary.encode("new")[0] >= lm_score.VOCABULARY - lm_score.BUCKETS
+    place = {w: i for i, w in enumerate(vocabulary.words)}
+    ids, n = vocabulary.encode(pa.array(["A new b", None, "", "new"]))
+    assert n.tolist() == [3, 0, 0, 1] and ids[[0, 2]].tolist() == [place["a"], place["b"]]
+    assert ids[1] == ids[3] == lm_score.VOCABULARY - lm_score.BUCKETS + lm_score.buckets(pa.array(["new"]))[0]
+
+
+def test_words():
+    texts = ["Don't  STOP_1!?\u00a0x²\n\tÉa--b", None, " ", "日本 🙂🙂"]
+    words, counts = lm_score.words_of(pa.array(texts))
+    assert counts.tolist() == [9, 0, 0, 2]
+    assert words.to_pylist() == [
+        "don", "'", "t", "stop_1", "!?", "x²", "éa", "--", "b", "日本", "🙂🙂"]
+    for at in range(1, 5):
+        words, counts = lm_score.words_of(pa.array(["x"] * at + texts).slice(at))
+        assert counts.tolist() == [9, 0, 0, 2] and words[0].as_py() == "don"
+
+
+def test_buckets_do_not_depend_on_the_neighbours():
+    words = pa.array([f"word{i}" for i in range(500)])
+    every = lm_score.buckets(words)
+    assert every.tolist() == [lm_score.buckets(words.slice(i, 1))[0] for i in range(500)]
+    assert np.bincount(every, minlength=lm_score.BUCKETS).min() > 0
 
 
 def test_nulls_repeated_rows_clashing_columns_and_the_empty_table(spark):
