@@ -15,17 +15,9 @@ def structure_key(inchikey: Column) -> Column:
 
 
 def first_per_key(df: DataFrame, key: str, columns: tuple[str, ...], order: str = "ordinal"):
-    """Values of the first row of each key; rows without a key are left out.
-
-    An aggregate, so each task hands on one row per key however many replicates it has.
-    """
-    first = F.min_by(F.struct(*columns), F.col(order))
-    return (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(first.alias("_first"))
-        .select(key, *[F.col(f"_first.{c}").alias(c) for c in columns])
-    )
+    """Values of the first row of each key; rows without a key are left out."""
+    rows = df.where(F.col(key).isNotNull()).select(key, *columns, F.col(order).alias("_order"))
+    return first_row(rows, key, "_order").drop("_order")
 
 
 def first_row(df: DataFrame, key: str, order: str = "ordinal") -> DataFrame:
@@ -44,13 +36,16 @@ def dedupe_by_smile(df: DataFrame) -> DataFrame:
     return first_row(df, "smile", "structure_key")
 
 
-def pool_by_structure(rows: DataFrame) -> DataFrame:
-    """Pooled peaks of each structure, from peak rows with
-    ``structure_key, smile, precursor, ordinal, pos, mz, intensity``.
+def pool_by_structure(spectra: DataFrame, peaks: DataFrame) -> DataFrame:
+    """Pooled peaks of each structure, from ``spectra(spectrum_id, structure_key, smile,
+    precursor, ordinal)`` and ``peaks(spectrum_id, pos, mz, intensity)``.
 
     The peaks of a structure in pooled order are its rows by ``(ordinal, pos)``; ``smile``
-    and ``precursor`` become those of its first spectrum.  Structures whose first ``smile``
-    repeats one of a smaller key are left out.
+    and ``precursor`` become those of its first spectrum with a peak.  Structures whose first
+    ``smile`` repeats one of a smaller key are left out.  What is pooled is found among the
+    spectra; peaks are joined once.
     """
-    first = dedupe_by_smile(first_per_key(rows, "structure_key", ("smile", "precursor")))
-    return rows.drop("smile", "precursor").join(first, "structure_key")
+    with_peaks = spectra.join(peaks.select("spectrum_id").distinct(), "spectrum_id", "left_semi")
+    first = dedupe_by_smile(first_per_key(with_peaks, "structure_key", ("smile", "precursor")))
+    pooled = spectra.select("spectrum_id", "structure_key", "ordinal").join(first, "structure_key")
+    return peaks.join(pooled, "spectrum_id")

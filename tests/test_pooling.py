@@ -5,9 +5,6 @@ from peakwise.operators import peak_rows, pooling
 from peakwise.plans import identify
 from tests.test_peaks import brute_bins, brute_clean, random_spectra
 
-ROWS = "structure_key string, smile string, precursor double, ordinal long, pos int, mz double, intensity double"
-
-
 def test_first_rows(spark):
     df = spark.createDataFrame(
         [("k2", "A", 2.0, 5), ("k1", "B", 1.0, 7), ("k1", "C", 3.0, 6), (None, "D", 1.0, 1), ("k3", "C", 9.0, 8)],
@@ -22,13 +19,18 @@ def test_first_rows(spark):
 
 
 def test_pooled_peaks_keep_input_order_and_first_representative(spark):
-    rows = [
-        ("k", "second", 20.0, 2, 0, 5.0, 1.0),
-        ("k", "second", 20.0, 2, 1, 4.0, 1.0),
-        ("k", "first", 10.0, 1, 0, 7.0, 1.0),
-        (None, "none", 10.0, 3, 0, 7.0, 1.0),
-    ]
-    pooled = pooling.pool_by_structure(spark.createDataFrame(rows, ROWS)).orderBy("ordinal", "pos")
+    spectra = spark.createDataFrame(
+        [("s2", "k", "second", 20.0, 2), ("s1", "k", "first", 10.0, 1), ("s3", None, "none", 10.0, 3),
+         ("s0", "k", "no peaks", 5.0, 0)],
+        "spectrum_id string, structure_key string, smile string, precursor double, ordinal long",
+    )
+    peaks = spark.createDataFrame(
+        [("s2", 0, 5.0, 1.0), ("s2", 1, 4.0, 1.0), ("s1", 0, 7.0, 1.0), ("s3", 0, 7.0, 1.0)],
+        "spectrum_id string, pos int, mz double, intensity double",
+    )
+    pooled = pooling.pool_by_structure(spectra, peaks)
+    assert "SortAggregate" not in pooled._jdf.queryExecution().executedPlan().toString()
+    pooled = pooled.orderBy("ordinal", "pos")
     assert [(r.smile, r.precursor, r.mz) for r in pooled.collect()] == [
         ("first", 10.0, 7.0),
         ("first", 10.0, 5.0),

@@ -326,7 +326,9 @@ def feature_project(spark, sf_dir):
 
 @query
 def pool_by_structure(spark, sf_dir):
-    pooled = pooling.pool_by_structure(views.replicate_rows(spark, sf_dir))
+    pooled = pooling.pool_by_structure(
+        views.orders_as_spectra(spark, sf_dir), views.order_peaks(spark, sf_dir)
+    )
     return pooled.select(
         "structure_key",
         "smile",

@@ -49,11 +49,6 @@ def peak_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_peaks(spark, sf_dir).drop("pos").join(spectra, "spectrum_id")
 
 
-def replicate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Peak rows with everything pooling needs."""
-    return order_peaks(spark, sf_dir).join(orders_as_spectra(spark, sf_dir), "spectrum_id")
-
-
 def on_bits(embedding) -> F.Column:
     """Fingerprint stand-in: positions of the positive components."""
     positions = F.transform(embedding, lambda x, i: F.when(x > 0, i))
