@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peakwise.llm.worker import numbered, ranges, slices
+from peakwise.llm.worker import carried, ranges, slices
 
 #: Largest share of an item's words that may be edited: similarity 0.8 or more.
 EDIT_SHARE = 0.2
@@ -304,55 +304,79 @@ class ItemIndex:
         return tuple(np.concatenate(x)[back] for x in (edits, ends, begins))
 
 
+def _passages(index: ItemIndex, texts: list[str | None]):
+    """``(text, item, edits, begin, end)`` of passages of items in texts, as word numbers."""
+    margin = int(index.lengths.max()) + int(index.edits.max()) + 1
+    gap = np.full(margin, -1, np.int32)
+    get = index.number.get
+    parts, begins, at = [gap], [], margin
+    for text in texts:
+        words = words_of(text)
+        begins.append(at)
+        parts += [np.array([get(w, 0) for w in words], np.int32), gap]
+        at += len(words) + margin
+    # Gaps are -1: no word, and not a place to begin; as a symbol they act like 0.
+    symbols = np.concatenate(parts)
+    pairs = index.candidates(symbols, margin)
+    edits, ends, starts = index.align(symbols, pairs[:, 0], pairs[:, 1])
+    begins = np.array(begins)
+    text = np.searchsorted(begins, starts, "right") - 1
+    good = (edits <= index.edits[pairs[:, 0]]) & (text >= 0) & (ends > starts)
+    text, item, edits, ends, starts = (
+        x[good] for x in (text, pairs[:, 0], edits, ends, starts)
+    )
+    return text, item, edits, starts - begins[text], ends - begins[text]
+
+
 def _matches(index: ItemIndex):
-    """Tasks over ``(doc_id, _doc, text)``: passages of items in them."""
+    """Tasks over ``(_doc, text)``: a row for each passage and item id."""
     import pyarrow as pa
 
     names = ["_doc", "item_id", "edits", "n_words", "start_word", "end_word"]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = index.number
-        margin = int(index.lengths.max()) + int(index.edits.max()) + 1
-        gap = np.full(margin, -1, np.int32)
         for batch in (part for whole in batches for part in slices(whole, 1, SLICE_BYTES)):
-            parts, begins, at = [gap], [], margin
-            for text in batch.column(1).to_pylist():
-                get = number.get
-                words = words_of(text)
-                begins.append(at)
-                parts += [np.array([get(w, 0) for w in words], np.int32), gap]
-                at += len(words) + margin
-            if not begins:
-                continue
-            # Gaps are -1: no word, and not a place to begin; as a symbol they act like 0.
-            symbols = np.concatenate(parts)
-            pairs = index.candidates(symbols, margin)
-            if not len(pairs):
-                continue
-            edits, ends, starts = index.align(symbols, pairs[:, 0], pairs[:, 1])
-            good = edits <= index.edits[pairs[:, 0]]
-            item, edits, ends, starts = pairs[good, 0], edits[good], ends[good], starts[good]
-            begins = np.array(begins)
-            doc = np.searchsorted(begins, starts, "right") - 1
-            inside = np.flatnonzero((doc >= 0) & (ends > starts))
-            row, place = ranges(index.n_ids[item[inside]])
-            inside = inside[row]
-            item, edits, ends, starts, doc = (x[inside] for x in (item, edits, ends, starts, doc))
-            item_id = index.item_ids[(np.cumsum(index.n_ids) - index.n_ids)[item] + place]
-            rows = batch.column(0).take(pa.array(doc))
-            columns = [
-                rows,
-                pa.array(item_id),
-                pa.array(edits.astype(np.int64)),
-                pa.array(index.lengths[item]),
-                pa.array((starts - begins[doc]).astype(np.int64)),
-                pa.array((ends - begins[doc]).astype(np.int64)),
-            ]
+            doc, item, edits, starts, ends = _passages(index, batch.column(1).to_pylist())
+            row, place = ranges(index.n_ids[item])
+            item_id = index.item_ids[(np.cumsum(index.n_ids) - index.n_ids)[item[row]] + place]
+            numbers = (edits, index.lengths[item], starts, ends)
+            columns = [batch.column(0).take(pa.array(doc[row])), pa.array(item_id)]
+            columns += [pa.array(x[row].astype(np.int64)) for x in numbers]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return search
 
 
+def _without_passages(index: ItemIndex):
+    """Tasks over rows with ``__text``: those without a passage, less that column."""
+    import pyarrow as pa
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in slices(whole, "__text", SLICE_BYTES)):
+            doc, *_ = _passages(index, batch.column("__text").to_pylist())
+            kept = np.ones(batch.num_rows, dtype=bool)
+            kept[doc] = False
+            yield batch.drop_columns(["__text"]).filter(pa.array(kept))
+
+    return search
+
+
+def _slices_of(benchmark: DataFrame, edit_share: float, recall: float, slice_words: int):
+    """Indexes over slices of the items."""
+    items = benchmark.select("item_id", "text").where("item_id is not null and text is not null")
+    n_words = F.regexp_count("text", F.lit(r"\w+"))
+    total = items.agg(F.sum(n_words)).first()[0] or 0
+    slices = max(1, -(-total // slice_words))
+    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(slices))
+    for i in range(slices):
+        chosen = items.where(part == i).orderBy("item_id", "text").toArrow()
+        index = ItemIndex(
+            chosen["item_id"].to_pylist(), chosen["text"].to_pylist(), edit_share, recall
+        )
+        if len(index.item_ids):
+            yield index
+
+
 def benchmark_passages(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -372,24 +396,13 @@ def benchmark_passages(
     id count as one item, and those without an id are left out.  The benchmark goes to the
     tasks in slices of about ``slice_words`` words, one pass over the documents for each.
     """
-    items = benchmark.select("item_id", "text").where("item_id is not null and text is not null")
-    n_words = F.regexp_count("text", F.lit(r"\w+"))
-    total = items.agg(F.sum(n_words)).first()[0] or 0
-    slices = max(1, -(-total // slice_words))
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(slices))
     schema = (
         "_doc bigint, item_id bigint, edits bigint, n_words bigint, start_word bigint, "
         "end_word bigint"
     )
     rows = docs.select(F.col(doc_id).cast("bigint").alias("_doc"), F.col(text))
     found = None
-    for i in range(slices):
-        chosen = items.where(part == i).orderBy("item_id", "text").toArrow()
-        index = ItemIndex(
-            chosen["item_id"].to_pylist(), chosen["text"].to_pylist(), edit_share, recall
-        )
-        if not len(index.item_ids):
-            continue
+    for index in _slices_of(benchmark, edit_share, recall, slice_words):
         passages = rows.mapInArrow(_matches(index), schema)
         found = passages if found is None else found.unionByName(passages)
     if found is None:
@@ -406,17 +419,17 @@ def clean_documents(
     benchmark: DataFrame,
     edit_share: float = EDIT_SHARE,
     recall: float = RECALL,
-    doc_id: str = "doc_id",
     text: str = "text",
+    slice_words: int = SLICE_WORDS,
 ) -> DataFrame:
     """The rows of ``docs`` that hold no passage of the benchmark.
 
-    Rows are judged one by one, so a row is not dropped for another with the same id or
-    without one.
+    Rows are judged where they are, one by one, so a row is not dropped for another with the
+    same id or without one.
     """
-    rows = numbered(docs, "numbered")
-    passages = benchmark_passages(
-        rows.select("__row", text), benchmark, edit_share, recall, "__row", text
-    )
-    leaked = passages.select(F.col("doc_id").alias("__row")).distinct()
-    return rows.join(leaked, "__row", "left_anti").select(*docs.columns)
+    packed, others = carried(docs)
+    rows = docs.select(*packed)
+    for index in _slices_of(benchmark, edit_share, recall, slice_words):
+        searched = rows.withColumn("__text", F.col("__others")[text])
+        rows = searched.mapInArrow(_without_passages(index), rows.schema)
+    return rows.select(*others)

@@ -13,13 +13,18 @@ OWN = "__"
 
 
 def numbered(df: DataFrame, label: str) -> DataFrame:
-    """A written copy of ``df`` with ``__row``, a number of its own for every row.
+    """``df`` with ``__row``, a name of its own for every row.
 
-    Rows are then named by their place, not by an id, which may repeat or be null.
+    Rows are named by their place, not by an id, which may repeat or be null.  Rows straight
+    from files have one, the file and the number in it; any other frame is written first.
     """
     from peakwise.session import shared_path
     from peakwise.sources.tables import write_table
 
+    plan = df._jdf.queryExecution().analyzed()
+    if plan.getClass().getSimpleName() == "LogicalRelation" and "_metadata" not in df.columns:
+        place = F.struct(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+        return df.select("*", place.alias(f"{OWN}row"))
     rows = df.withColumn(f"{OWN}row", F.monotonically_increasing_id())
     return write_table(rows, shared_path(df.sparkSession, label))
 

@@ -149,3 +149,21 @@ def test_components_of_random_links(spark, seed):
     got = dict(map(tuple, components.connected_components(
         spark.createDataFrame(links, "a bigint, b bigint")).collect()))
     assert got == {n: c for n, c in zip(nodes, least) if n != c}
+
+
+def test_rows_of_files_are_named_by_their_place(spark, work):
+    from peakwise.llm.worker import numbered
+
+    rows = [(i, t, "s") for i, t in EDGES]
+    spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(
+        3).write.parquet(work)
+    docs = spark.read.parquet(work)
+    named = numbered(docs, "rows")
+    assert dict(named.dtypes)["__row"].startswith("struct<")
+    assert named.select("__row").distinct().count() == len(rows)
+    # A frame that may repeat a file's rows is written instead.
+    twice = numbered(docs.unionByName(docs), "rows")
+    assert twice.select("__row").distinct().count() == 2 * len(rows)
+    kept = [r.doc_id for r in simhash.one_per_component(docs).collect()]
+    classes = {c for _, _, c in expected(EDGES) if c is not None}
+    assert sorted(i for i in kept if i is not None) == sorted(classes) and kept.count(None) == 1
