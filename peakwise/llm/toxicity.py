@@ -10,9 +10,9 @@ Evidence is compared by length: per word over a whole document, over its stronge
 the excess of strong words against the square root of the length.  A logistic curve over these
 turns it into a score.
 
-Counts come from all labelled rows of the learning folds.  They are kept in tables of a fixed
-number of slots per order, addressed by a digest of the letters; so a model has one size
-whatever the corpus.
+Counts come from all labelled rows of the learning folds, one for each gram that occurs: a
+gram is named by its letters, so that no two share a count, and a model grows with the number
+of distinct grams.
 """
 
 from __future__ import annotations
@@ -32,8 +32,9 @@ ORDER = 6
 SHARED_ORDER = 2
 DISCOUNT = 0.75
 
-#: Slots of a table: 2 MB per order, class and kind, 40 MB for all.
-SLOT_BITS = 19
+#: Bits of a letter: a gram's last three letters are one number, those before them another.
+LETTER_BITS = 21
+HALF = 3
 
 #: Rows of the learning folds the curve is fitted on; the first by a digest of their ids.
 CURVE_ROWS = 50_000
@@ -47,11 +48,12 @@ REMEMBERED = 250_000
 #: Bytes of texts that a task works on at a time.
 SLICE_BYTES = 4 << 20
 
-#: Words spelt at a time: 3 MB for each array of their letters.
-SPELT = 40_000
+#: Words spelt at a time: 3 MB for each array of their grams.
+SPELT = 20_000
 
 START, END = "\x02", "\x03"
 MIX = np.uint64(0x9E3779B97F4A7C15)
+GRAM = np.dtype([("high", "<u8"), ("low", "<u8")])
 
 
 def words_of(text: str | None) -> list[str]:
@@ -72,50 +74,108 @@ def _spelt(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _grams(letters: np.ndarray, place: np.ndarray) -> list[np.ndarray]:
-    """Digests of the last 0, 1, ... ORDER + 1 letters up to each one, cut at a word's start."""
-    digests = [np.zeros(len(letters), dtype=np.uint64)]
-    for back in range(ORDER + 1):
+    """The last 0, 1, ... ORDER letters up to each one, cut at a word's start."""
+    grams = [np.zeros(len(letters), dtype=GRAM)]
+    for back in range(ORDER):
         shifted = np.zeros_like(letters)
         shifted[back:] = letters[: max(0, len(letters) - back)]
-        shifted = np.where(place >= back, shifted + np.uint64(1), np.uint64(0))
-        mixed = (digests[-1] ^ (shifted + np.uint64(back << 32))) * MIX
-        digests.append(mixed ^ (mixed >> np.uint64(29)))
-    return digests
+        shifted = np.where(place >= back, shifted, np.uint64(0))
+        gram = grams[-1].copy()
+        gram["low" if back < HALF else "high"] |= shifted << np.uint64(back % HALF * LETTER_BITS)
+        grams.append(gram)
+    return grams
 
 
-def _before(digest: np.ndarray) -> np.ndarray:
-    """The digest of the letters before each one (never asked for at a word's start)."""
-    shifted = np.zeros_like(digest)
-    shifted[1:] = digest[:-1]
+def _before(values: np.ndarray) -> np.ndarray:
+    """The value of the letter before each one (never asked for at a word's start)."""
+    shifted = np.zeros_like(values)
+    shifted[1:] = values[:-1]
     return shifted
 
 
-def _slot(digest: np.ndarray) -> np.ndarray:
-    return (digest >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+def _slot(grams: np.ndarray) -> np.ndarray:
+    """What a :class:`Shares` is asked for: the grams themselves."""
+    return grams
+
+
+class GramIndex:
+    """Places of distinct grams, and one past the last place for all others."""
+
+    def __init__(self, grams: np.ndarray):
+        grams = grams[np.lexsort((grams["low"], grams["high"]))]
+        grams = grams[np.append(True, grams[1:] != grams[:-1])[: len(grams)]]
+        self.salt = 0
+        while True:
+            digests = self._digest(grams)
+            order = np.argsort(digests, kind="stable")
+            self.digests, self.grams = digests[order], grams[order]
+            if not (self.digests[1:] == self.digests[:-1]).any():
+                break
+            self.salt += 1
+
+    def __len__(self) -> int:
+        return len(self.grams)
+
+    def _digest(self, grams: np.ndarray) -> np.ndarray:
+        mixed = (grams["high"] + np.uint64(self.salt)) * MIX
+        mixed = ((mixed ^ (mixed >> np.uint64(29))) + grams["low"]) * MIX
+        mixed = (mixed ^ (mixed >> np.uint64(32))) * MIX
+        return mixed ^ (mixed >> np.uint64(29))
+
+    def find(self, grams: np.ndarray) -> np.ndarray:
+        grams = np.atleast_1d(grams)
+        if not len(self):
+            return np.zeros(len(grams), np.int64)
+        digests = self._digest(grams)
+        at = np.searchsorted(self.digests, digests)
+        near = np.minimum(at, len(self) - 1)
+        # Digests are distinct, so that one comparison of the letters decides.
+        known = (self.digests[near] == digests) & (self.grams["low"][near] == grams["low"])
+        known &= self.grams["high"][near] == grams["high"]
+        return np.where(known, near, len(self))
+
+
+class Shares:
+    """A number for each gram of an index, and one for all others."""
+
+    def __init__(self, index: GramIndex, grams: np.ndarray, x: np.ndarray, empty: float):
+        self.index = index
+        self.values = np.full(len(index) + 1, empty, np.float32)
+        self.values[index.find(grams)] = x
+
+    def __getitem__(self, grams: np.ndarray) -> np.ndarray:
+        return self.values[self.index.find(grams)]
 
 
 class WordEvidence(dict):
     """Logarithm of a word's toxic over its ordinary likelihood, remembered."""
 
     def __init__(self, shares: dict, backoffs: dict):
-        """Discounted shares by ``[class, order][slot]`` and weights of the lower order by
-        ``[class, order][context slot]``; class 2 is both."""
+        """Discounted shares by ``[class, order][gram]`` and weights of the lower order by
+        ``[class, order][context]``; class 2 is both.  A context is a gram of the order below
+        and has its place in that order's index."""
         self.shares, self.backoffs = shares, backoffs
 
     def learn(self, words: list[str]) -> None:
         letters, place, word = _spelt(words)
         grams = _grams(letters, place)
         chance = np.full(len(letters), 1e-3)
+        context = self.backoffs[2, 1].index.find(grams[0])
         for order in range(1, SHARED_ORDER + 1):
-            at, context = _slot(grams[order]), _slot(_before(grams[order - 1]))
-            chance = self.shares[2, order][at] + self.backoffs[2, order][context] * chance
+            at = self.shares[2, order].index.find(grams[order])
+            chance = self.shares[2, order].values[at] + (
+                self.backoffs[2, order].values[_before(context)] * chance
+            )
+            context = at
         chances = [chance, chance]
         for order in range(SHARED_ORDER + 1, ORDER + 1):
-            at, context = _slot(grams[order]), _slot(_before(grams[order - 1]))
+            at = self.shares[0, order].index.find(grams[order])
             chances = [
-                self.shares[c, order][at] + self.backoffs[c, order][context] * chances[c]
+                self.shares[c, order].values[at]
+                + self.backoffs[c, order].values[_before(context)] * chances[c]
                 for c in (0, 1)
             ]
+            context = at
         gain = np.where(place > 0, np.log(chances[1] + 1e-12) - np.log(chances[0] + 1e-12), 0.0)
         self.update(zip(words, np.bincount(word, gain, len(words)).tolist()))
 
@@ -148,9 +208,9 @@ N_FEATURES = 5
 
 
 def _spelt_grams(words: DataFrame) -> DataFrame:
-    """``(gram, longer, n)`` from ``(cls, word, n)``: class, order, context and slot in one
-    number, a digest of the gram one letter longer (of the gram itself in the highest order),
-    and the documents with the words it occurs in."""
+    """``(cls, ord, high, low, n)`` from ``(cls, word, n)``: class and order of a gram, the gram
+    one letter longer (the gram itself in the highest order), and the documents with the words
+    it occurs in."""
     import pyarrow as pa
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,24 +221,26 @@ def _spelt_grams(words: DataFrame) -> DataFrame:
             own = batch.column(0).to_numpy().astype(np.int64)[word][inner]
             times = batch.column(2).to_numpy()[word][inner]
             for order in range(1, ORDER + 1):
-                cls = own if order > SHARED_ORDER else np.full(len(own), 2, np.int64)
-                name = (cls * 8 + order) << SLOT_BITS
-                name = (name | _slot(_before(grams[order - 1]))[inner]) << SLOT_BITS
-                name |= _slot(grams[order])[inner]
                 longer = grams[min(order + 1, ORDER)][inner]
-                both = (longer ^ (cls + 1).astype(np.uint64)) * MIX
-                _, first, inverse = np.unique(both, return_index=True, return_inverse=True)
-                total = np.bincount(inverse, times).astype(np.int64)
+                cls = own if order > SHARED_ORDER else np.full(len(own), 2, np.int64)
+                by = np.lexsort((longer["low"], longer["high"], cls))
+                cls, high, low = cls[by], longer["high"][by], longer["low"][by]
+                new = np.ones(len(by), dtype=bool)
+                new[1:] = (cls[1:] != cls[:-1]) | (high[1:] != high[:-1]) | (low[1:] != low[:-1])
+                first = np.flatnonzero(new)
+                total = np.add.reduceat(times[by], first) if len(first) else times[by]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(name[first]),
-                        pa.array(longer[first].view(np.int64)),
-                        pa.array(total),
+                        pa.array(cls[first].astype(np.int32)),
+                        pa.array(np.full(len(first), order, np.int32)),
+                        pa.array(high[first].astype(np.int64)),
+                        pa.array(low[first].astype(np.int64)),
+                        pa.array(total.astype(np.int64)),
                     ],
-                    names=["gram", "longer", "n"],
+                    names=["cls", "ord", "high", "low", "n"],
                 )
 
-    return words.mapInArrow(spell, "gram bigint, longer bigint, n bigint")
+    return words.mapInArrow(spell, "cls int, ord int, high bigint, low bigint, n bigint")
 
 
 def _word_documents(labelled: DataFrame) -> DataFrame:
@@ -211,49 +273,70 @@ def fit_evidence(labelled: DataFrame) -> tuple[dict, dict]:
     """The tables of :class:`WordEvidence` from ``(cls, text)``, 1 for toxic, 0 for ordinary.
 
     The highest order counts documents; lower orders count distinct continuations.  Grams are
-    counted in Spark, and only sums by slot reach the driver.
+    counted in Spark, and a share per gram and a weight per context reach the driver.
     """
     spark = labelled.sparkSession
-    order = F.shiftright("gram", 2 * SLOT_BITS).bitwiseAND(7)
+    order = F.col("ord")
+
+    def last(half: str, before: int):
+        """A half of the gram of ``ord`` letters that ends a longer one."""
+        mask = F.lit(-1).cast("bigint")
+        for o in range(1, ORDER):
+            bits = LETTER_BITS * min(HALF, max(0, o - before))
+            mask = F.when(order == o, F.lit((1 << bits) - 1).cast("bigint")).otherwise(mask)
+        return F.col(half).bitwiseAND(mask).alias(half)
+
+    letter = (1 << LETTER_BITS) - 1
+    context = {
+        "context_high": F.shiftright("high", LETTER_BITS),
+        "context_low": F.shiftright("low", LETTER_BITS).bitwiseOR(
+            F.shiftleft(F.col("high").bitwiseAND(letter), LETTER_BITS * (HALF - 1))
+        ),
+    }
     grams = (
         _spelt_grams(_word_documents(labelled))
-        .groupBy("gram", "longer")
+        .groupBy("cls", "ord", "high", "low")
         .agg(F.sum("n").alias("n"))
-        .groupBy("gram")
+        .groupBy("cls", "ord", last("high", HALF), last("low", 0))
         .agg(F.sum(F.when(order == ORDER, F.col("n")).otherwise(1)).alias("n"))
-        .withColumn("context", F.shiftright("gram", SLOT_BITS))
+        .withColumns(context)
     )
     grams = write_table(grams, shared_path(spark, "grams"))
-    contexts = grams.groupBy("context").agg(
+    by = ["cls", "ord", "context_high", "context_low"]
+    contexts = grams.groupBy(*by).agg(
         F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds")
     )
     contexts = write_table(contexts, shared_path(spark, "contexts"))
     backoff = contexts.select(
-        F.col("context").alias("at"), (F.col("kinds") * DISCOUNT / F.col("total")).alias("x")
-    )
-    # Class and order, then the gram's own slot.
-    at = F.shiftleft(F.shiftright("gram", 2 * SLOT_BITS), SLOT_BITS).bitwiseOR(
-        F.col("gram").bitwiseAND((1 << SLOT_BITS) - 1)
+        "cls", "ord", F.col("context_high").alias("high"), F.col("context_low").alias("low"),
+        (F.col("kinds") * DISCOUNT / F.col("total")).cast("float").alias("x"),
     )
-    share = (
-        grams.join(contexts, "context")
-        .groupBy(at.alias("at"))
-        .agg(F.sum((F.col("n") - DISCOUNT) / F.col("total")).alias("x"))
+    share = grams.join(contexts, by).select(
+        "cls", "ord", "high", "low",
+        ((F.col("n") - DISCOUNT) / F.col("total")).cast("float").alias("x"),
     )
     names = [(2, o) for o in range(1, SHARED_ORDER + 1)]
     names += [(c, o) for c in (0, 1) for o in range(SHARED_ORDER + 1, ORDER + 1)]
 
-    def tables(frame: DataFrame, empty: float) -> dict:
-        found = {name: np.full(1 << SLOT_BITS, empty, np.float32) for name in names}
-        rows = frame.toArrow()
-        at, x = rows["at"].to_numpy(), rows["x"].to_numpy()
-        head, slot = at >> SLOT_BITS, at & ((1 << SLOT_BITS) - 1)
-        for name in names:
-            own = head == name[0] * 8 + name[1]
-            found[name][slot[own]] = x[own]
-        return found
-
-    return tables(share, 0.0), tables(backoff, 1.0)
+    def rows(frame: DataFrame) -> dict:
+        found = frame.toArrow()
+        cls, order = found["cls"].to_numpy(), found["ord"].to_numpy()
+        keys = np.empty(len(cls), dtype=GRAM)
+        keys["high"], keys["low"] = found["high"].to_numpy(), found["low"].to_numpy()
+        x = found["x"].to_numpy()
+        parts = ((name, np.flatnonzero((cls == name[0]) & (order == name[1]))) for name in names)
+        return {name: (keys[own], x[own]) for name, own in parts}
+
+    shares, backoffs = rows(share), rows(backoff)
+    known = []
+    for o in range(ORDER + 1):
+        own = [shares[n][0] for n in names if n[1] == o]
+        own += [backoffs[n][0] for n in names if n[1] == o + 1]
+        known.append(GramIndex(np.concatenate(own)))
+    return (
+        {n: Shares(known[n[1]], *shares[n], 0.0) for n in names},
+        {n: Shares(known[n[1] - 1], *backoffs[n], 1.0) for n in names},
+    )
 
 
 def _with_features(rows: DataFrame, model: tuple[dict, dict], key: str) -> DataFrame:

@@ -111,3 +111,33 @@ def test_backoff_shares_sum_to_one(spark):
         context = toxicity._slot(grams[3])[at[0] - 1]
         total = shares[cls, 4][own].sum() + backoffs[cls, 4][context]
         assert abs(total - 1) < 1e-5
+
+
+def test_no_two_grams_share_a_count(spark):
+    """Shares of many random words against counts by their letters."""
+    from collections import Counter, defaultdict
+
+    rng = np.random.default_rng(5)
+    words = sorted({"".join(rng.choice(list("abcdefghijklmnopqrstuvwxyzäжб漢"), 9))
+                    for _ in range(40_000)})
+    rows = [(0, " ".join(words[i : i + 500])) for i in range(0, len(words), 500)]
+    shares, backoffs = toxicity.fit_evidence(spark.createDataFrame(rows, "cls int, text string"))
+    counts, totals, kinds = Counter(), Counter(), defaultdict(set)
+    for word in words:
+        marked = toxicity.START + word + toxicity.END
+        for i in range(1, len(marked)):
+            counts[marked[max(0, i - 5) : i + 1]] += 1
+    for gram, n in counts.items():
+        totals[gram[:-1]] += n
+        kinds[gram[:-1]].add(gram)
+    letters, place, word = toxicity._spelt(words[:2000])
+    grams = toxicity._grams(letters, place)
+    at = np.flatnonzero(place > 0)
+    found = shares[0, 6][toxicity._slot(grams[6])[at]]
+    weights = backoffs[0, 6][toxicity._slot(toxicity._before(grams[5]))[at]]
+    marked = [toxicity.START + w + toxicity.END for w in words[:2000]]
+    own = [m[max(0, i - 5) : i + 1] for m in marked for i in range(1, len(m))]
+    expected = [(counts[g] - toxicity.DISCOUNT) / totals[g[:-1]] for g in own]
+    assert np.abs(found - expected).max() < 1e-6
+    expected = [toxicity.DISCOUNT * len(kinds[g[:-1]]) / totals[g[:-1]] for g in own]
+    assert np.abs(weights - expected).max() < 1e-6
