@@ -7,9 +7,10 @@ score.
 
 The vocabulary holds the most frequent words of the whole corpus; other words share buckets,
 in which each is equally likely among the distinct words that the corpus has there.  Training
-runs where the documents are: in each round every partition trains on a share of all its
-windows, and the parameters are averaged by the number of windows.  Sums are of whole numbers,
-so that they do not depend on the order they arrive in.
+runs where the documents are: in each round every partition trains on another share of its
+windows, in all rounds together on every window once, and the parameters are averaged by the
+number of windows.  Sums are of whole numbers, so that they do not depend on the order they
+arrive in.
 """
 
 from __future__ import annotations
@@ -36,10 +37,9 @@ WINDOW = (-2, -1, 1, 2)
 WIDTH = 16
 HIDDEN = 32
 
+#: In each of so many rounds every so many-th window is trained on, another one each time.
 ROUNDS = 3
-#: In each round every so many-th window is trained on, another one each time.
-STRIDE = 16
-BATCH = 512
+BATCH = 2048
 RATE = 0.15
 
 #: Bytes of texts or ids that a task works on at a time.
@@ -185,10 +185,10 @@ class Network:
     def train(self, context: np.ndarray, target: np.ndarray, squares: np.ndarray) -> None:
         """One step of adaptive gradient descent over a batch."""
         grad = Network(np.zeros(self.SIZE, dtype=np.float32))
-        inputs = self.embedding[context]
-        hidden = np.tanh(
-            sum(inputs[:, p] @ self.position[p] for p in range(len(WINDOW))) + self.hidden
-        )
+        total = self.hidden + (self.embedding @ self.position[0])[context[:, 0]]
+        for p in range(1, len(WINDOW)):
+            total += (self.embedding @ self.position[p])[context[:, p]]
+        hidden = np.tanh(total, out=total)
         cls, member = target // PER_CLASS, target % PER_CLASS
         error = _softmax(hidden @ self.classes + self.class_bias)
         error[np.arange(len(target)), cls] -= 1
@@ -207,8 +207,15 @@ class Network:
         back *= 1 - hidden * hidden
         grad.hidden[...] = back.sum(axis=0)
         for p in range(len(WINDOW)):
-            grad.position[p] = inputs[:, p].T @ back
-            np.add.at(grad.embedding, context[:, p], back @ self.position[p].T)
+            token = context[:, p].astype(np.uint16)
+            order = np.argsort(token, kind="stable")
+            token = token[order]
+            first = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
+            # Sums by the token there: the embedding is common to all its windows.
+            sums = np.add.reduceat(back[order], first, axis=0)
+            token = token[first]
+            grad.position[p] = self.embedding[token].T @ sums
+            grad.embedding[token] += sums @ self.position[p].T
         grad.values /= len(target)
         squares += grad.values * grad.values
         self.values -= RATE * grad.values / np.sqrt(squares + 1e-8)
@@ -260,8 +267,9 @@ def _padded(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return padded, np.flatnonzero(padded != EDGE), counts
 
 
-def _train_round(encoded: DataFrame, start: np.ndarray, turn: int) -> np.ndarray:
-    """Parameters averaged over what every partition makes of ``start`` on its windows."""
+def _train_round(encoded: DataFrame, start: np.ndarray, turn: int, rounds: int) -> np.ndarray:
+    """Parameters averaged over what every partition makes of ``start`` on its windows of a
+    round: of every ``rounds`` the one at ``turn``."""
     import pyarrow as pa
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,7 +279,7 @@ def _train_round(encoded: DataFrame, start: np.ndarray, turn: int) -> np.ndarray
         rest = (np.empty((0, len(WINDOW)), np.int64), np.empty(0, np.int64))
         for batch in (part for whole in batches for part in slices(whole, 0, SLICE_BYTES)):
             padded, places, _ = _padded(batch.column(0).to_pylist())
-            at = places[turn::STRIDE]
+            at = places[turn::rounds]
             context = np.stack([padded[at + w] for w in WINDOW], axis=1)
             context = np.concatenate([rest[0], context])
             target = np.concatenate([rest[1], padded[at]])
@@ -338,7 +346,7 @@ def score_documents(
     encoded = write_table(encoded, shared_path(spark, "lm-ids"))
     values = Network.fresh().values
     for turn in range(rounds):
-        values = _train_round(encoded, values, turn % STRIDE)
+        values = _train_round(encoded, values, turn, rounds)
 
     share = -np.log(vocabulary.distinct)
     extra = np.concatenate([np.zeros(VOCABULARY - BUCKETS), share])

@@ -116,3 +116,11 @@ def test_nulls_repeated_rows_clashing_columns_and_the_empty_table(spark):
     assert len({(r.n_tokens, r.log_prob) for r in found if r.n_tokens == 3}) == 1
     assert {(r.n_tokens, r.log_prob, r.mean_log_prob) for r in found if not r.n_tokens} == {(0, 0.0, None)}
     assert lm_score.score_documents(docs.limit(0)).count() == 0
+
+
+def test_every_window_is_trained_on(spark):
+    """In a text of period 16 each word stands at places of one residue only."""
+    text = " ".join(f"w{k % 16}" for k in range(160_000))
+    docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    (row,) = lm_score.score_documents(docs).collect()
+    assert row.mean_log_prob > -1
