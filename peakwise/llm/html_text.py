@@ -4,8 +4,9 @@ A page is cut into blocks at block-level tags.  The first pass decides a block b
 stands in (menus, headers, footers, sidebars, notices, adverts, forms, comments), by the share
 of its letters in links, and by its density of stop words, which running text has and labels
 have not.  Short blocks that this leaves open inherit, in the second pass, the label of the
-nearest decided block, headings that of the next one.  Where a page marks its article, the
-article bounds the text and its blocks need no stop words.
+nearest decided block, headings that of the next one.  Where a page marks articles, that is a
+hint for blocks the rules leave open: they inherit within the article, or outside of articles,
+and are text in an article that has no decided block.
 """
 
 from __future__ import annotations
@@ -197,24 +198,22 @@ def blocks_of(html: str) -> list[Block]:
     return blocks
 
 
-def _first_pass(block: Block, main: int) -> bool | None:
+def _first_pass(block: Block) -> bool | None:
     """Whether a block is main text; None while it is open."""
-    if block.away or (main and block.article != main):
+    if block.away:
         return False
     share = block.linked / len(block.text)
-    if main:
-        if share > LINKED_IN_ARTICLE:
-            return False if block.tag in ("li", "ul", "ol", "td") else None
-        return None if len(block.text) < SHORT else True
-    if share > LINKED:
+    if block.article and share > LINKED_IN_ARTICLE:
+        return False if block.tag in ("li", "ul", "ol", "td") else None
+    if not block.article and share > LINKED:
         return False
     if block.tag in HEADINGS:
         return None
     words = _WORD.findall(block.text.lower())
     density = sum(w in STOP_WORDS for w in words) / max(1, len(words))
     if len(block.text) < SHORT:
-        return False if block.linked else None
-    return density >= STOP_DENSITY
+        return False if block.linked and not block.article else None
+    return True if density >= STOP_DENSITY else None if block.article else False
 
 
 def _second_pass(blocks: list[Block], labels: list[bool | None], whole: bool) -> list[bool]:
@@ -249,27 +248,24 @@ def _second_pass(blocks: list[Block], labels: list[bool | None], whole: bool) ->
 
 def main_text(html: str | None) -> str:
     """Main text of a page, one line per block; empty for null."""
-    blocks = [b for b in blocks_of(html or "")]
-    size: dict[int, int] = {}
-    for b in blocks:
-        if b.article and not b.away:
-            size[b.article] = size.get(b.article, 0) + len(b.text)
-    main = max(size, key=lambda a: (size[a], -a)) if size else 0
-    labels = [_first_pass(b, main) for b in blocks]
-    if main:
-        # What is outside the article says nothing about short blocks inside.
-        inside = [i for i, b in enumerate(blocks) if b.article == main and not b.away]
-        chosen = [blocks[i] for i in inside]
-        kept = _second_pass(chosen, [labels[i] for i in inside], True)
-        return "\n".join(b.text for b, keep in zip(chosen, kept) if keep)
+    blocks = blocks_of(html or "")
+    labels = [_first_pass(b) for b in blocks]
     if not any(labels):
         labels = [
             True if label is False and not b.away and len(b.text) >= LONG
             and b.linked <= LINKED * len(b.text) else label
             for b, label in zip(blocks, labels)
         ]
-    kept = _second_pass(blocks, labels, False)
-    return "\n".join(b.text for b, keep in zip(blocks, kept) if keep)
+    # What is outside an article says nothing about open blocks inside, nor the other way round.
+    groups: dict[int, list[int]] = {}
+    for i, b in enumerate(blocks):
+        if not (b.article and b.away):
+            groups.setdefault(b.article, []).append(i)
+    kept = set()
+    for article, own in groups.items():
+        chosen = _second_pass([blocks[i] for i in own], [labels[i] for i in own], article > 0)
+        kept.update(i for i, keep in zip(own, chosen) if keep)
+    return "\n".join(b.text for i, b in enumerate(blocks) if i in kept)
 
 
 def extract_text(pages: DataFrame, html: str = "html") -> DataFrame:

@@ -69,3 +69,18 @@ def test_clashing_columns_and_the_empty_table(spark):
     assert got.columns == ["page_id", "url", "text", "n_chars"]
     assert sorted(map(tuple, got.collect())) == [(1, "u", "", 0), (1, "u", PROSE, len(PROSE))]
     assert html_text.extract_text(frame.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("page, expected", [
+    (f"<div><p>{PROSE}</p></div><article class=card><p>A teaser</p></article>",
+     f"{PROSE}\nA teaser"),
+    (f"<article><p>{PROSE}</p></article><article><p>{MORE}</p><p>end</p></article>",
+     f"{PROSE}\n{MORE}\nend"),
+    (f"<h1>T</h1><p>{MORE}</p><article><p>{PROSE}</p></article><p>{'qwrt zxcv ' * 20}</p>",
+     f"T\n{MORE}\n{PROSE}"),
+    # Stop words decide inside an article too: labels beside a link list go with it.
+    (f"<article><ul><li><a href=x>{MORE}</a></li></ul><p>{'qwrt zxcv ' * 20}</p>"
+     f"<ul><li><a href=x>{MORE}</a></li></ul><p>{PROSE}</p></article>", PROSE),
+])
+def test_articles_are_hints(page, expected):
+    assert html_text.main_text(page) == expected
