@@ -30,9 +30,6 @@ FILE_BYTES = 32 << 20
 #: Payloads that occur more than once and are broadcast, 100 bytes each; more are joined.
 BROADCAST_PAYLOADS = 500_000
 
-#: Bytes of a record's header at most.
-HEADER_BYTES = 1 << 16
-
 # Fixed values of the format.
 VERSION = "WARC/1.1"
 END = "\r\n\r\n"
@@ -151,11 +148,16 @@ def _record(data: bytes, at: int) -> tuple[dict, int]:
     """The record that begins at a place, and where it ends."""
     if not re.compile(rb"WARC/1\.[01]\r\n").match(data, at):
         raise Damaged("no version line")
-    head_end = data.find(b"\r\n\r\n", at, at + HEADER_BYTES)
-    if head_end < 0:
-        raise Damaged("header does not end")
     headers: dict[str, str] = {}
-    for line in data[at:head_end].split(b"\r\n")[1:]:
+    start = data.find(b"\r\n", at) + 2
+    # Line by line, whatever their length: another record's version line has no colon.
+    while True:
+        line_end = data.find(b"\r\n", start)
+        if line_end < 0:
+            raise Damaged("header does not end")
+        line, start = data[start:line_end], line_end + 2
+        if not line:
+            break
         name, colon, value = line.partition(b":")
         if not colon:
             raise Damaged("header line without a colon")
@@ -166,7 +168,6 @@ def _record(data: bytes, at: int) -> tuple[dict, int]:
     length = headers.get("content-length", "")
     if not (length.isascii() and length.isdigit()):
         raise Damaged("no content length")
-    start = head_end + 4
     end = start + int(length)
     if data[end : end + 4] != b"\r\n\r\n":
         raise Damaged("content ends elsewhere" if end + 4 <= len(data) else "cut off")

@@ -127,3 +127,12 @@ def test_a_gap_in_a_table(spark):
     n = len(RECORDS[0])
     assert rows == [(0, n, "record", None), (n, n + 4, "gap", "no version line"),
                     (n + 4, n + 4 + len(RECORDS[1]), "record", None)]
+
+
+def test_urls_of_any_length(spark):
+    rows = [(1, "data:text/html," + "x" * 70_000, "one"), (2, "http://a?q=" + "y" * 600_000, "two"),
+            (3, "http://b", "one")]
+    frame = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = read_back(spark, warc.write_archives(frame, shared_path(spark, "warc")))
+    assert sorted((tuple(r)[:5] for r in got), key=str) == expected(rows)
+    assert {r.target_uri for r in got} == {url for _, url, _ in rows}
