@@ -361,10 +361,14 @@ def _without_passages(index: ItemIndex):
     return search
 
 
+#: Words of every script, as :func:`words_of` finds them.
+WORDS = r"(?U)\w+"
+
+
 def _slices_of(benchmark: DataFrame, edit_share: float, recall: float, slice_words: int):
     """Indexes over slices of the items."""
     items = benchmark.select("item_id", "text").where("item_id is not null and text is not null")
-    n_words = F.regexp_count("text", F.lit(r"\w+"))
+    n_words = F.regexp_count("text", F.lit(WORDS))
     total = items.agg(F.sum(n_words)).first()[0] or 0
     slices = max(1, -(-total // slice_words))
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(slices))

@@ -110,3 +110,11 @@ def test_clean_documents_stay_row_by_row(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 3, 7, 8]
     assert decontaminate.clean_documents(docs.limit(0), items).count() == 0
     assert decontaminate.clean_documents(docs, items.limit(0)).count() == len(EDGES)
+
+
+def test_slices_count_words_of_every_script(spark):
+    items = spark.createDataFrame(
+        [(i, f"слово δέκα 漢字 {chr(0x430 + i % 20) * (i + 1)}") for i in range(40)], "item_id bigint, text string")
+    indices = list(decontaminate._slices_of(items, 0.2, 0.98, 40))
+    assert len(indices) > 2 and max(i.lengths.sum() for i in indices) < 120
+    assert sorted(x for i in indices for x in i.item_ids) == list(range(40))
