@@ -189,7 +189,6 @@ FROM w
 '''
 
 ORACLES: dict[str, str] = {
-    "op3_lm_score": op3_lm_score,
     "op4_url_filter": _URLS,
     "op7_mix_sources": _MIX,
 }

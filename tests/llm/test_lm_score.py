@@ -124,3 +124,7 @@ def test_every_window_is_trained_on(spark):
     docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
     (row,) = lm_score.score_documents(docs).collect()
     assert row.mean_log_prob > -1
+
+
+def test_counterparts_are_sql():
+    assert all(isinstance(sql, str) for sql in queries.ORACLES.values())
