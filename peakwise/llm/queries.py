@@ -5,12 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peakwise.llm import decontaminate, embedding_dedup, html_text, lm_score, mixing, simhash, token_file, toxicity, url_rules, warc
+from peakwise.llm import (
+    decontaminate,
+    embedding_dedup,
+    html_text,
+    lm_score,
+    mixing,
+    piece_codec,
+    simhash,
+    token_file,
+    toxicity,
+    url_rules,
+    warc,
+)
 from peakwise.session import shared_path
 
 #: Tokenizer of the token files.
 TOKENIZER = "word_bpe_49k.json"
 
+#: Vocabulary of the piece ids.
+PIECES = "piece_bpe_32k.model"
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -24,11 +39,11 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def tokenizer_path() -> str:
-    """The public tokenizer's file, a package every executor has."""
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    """A public tokenizer's file, of a package every executor has."""
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,6 +125,20 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontaminate.benchmark_passages(docs, _table(spark, sf_dir, "benchmark"))
 
 
+def op12_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as piece ids and back: number and digests."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = tokenizer_path(PIECES)
+    texts = piece_codec.decoded(piece_codec.encoded(docs, path), path)
+    joined = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return texts.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(joined, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -121,6 +150,7 @@ QUERIES = {
     "op8_warc_salvage": op8_warc_salvage,
     "op9_html_text": op9_html_text,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op12_piece_codec": op12_piece_codec,
 }
 
 # Columns of `documents` that the mix needs, and the targets of its sources.
