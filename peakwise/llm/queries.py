@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peakwise.llm import (
+    centroids,
     decontaminate,
     embedding_dedup,
     html_text,
@@ -139,6 +140,15 @@ def op12_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every vector after five rounds from forty centroids."""
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    assigned, found = centroids.cluster_vectors(vectors)
+    return centroids.with_inertia(assigned, found).select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+    )
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -151,6 +161,7 @@ QUERIES = {
     "op9_html_text": op9_html_text,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
     "op12_piece_codec": op12_piece_codec,
+    "op13_centroid_clusters": op13_centroid_clusters,
 }
 
 # Columns of `documents` that the mix needs, and the targets of its sources.
@@ -218,7 +229,56 @@ SELECT page_id, host, path, rule,
 FROM w
 '''
 
+
+
+def _clusters(k: int = 40, rounds: int = 5) -> str:
+    """SQL of the clusters: a vector is a row per component, every round four tables."""
+    steps = [
+        f"""
+  v AS MATERIALIZED (
+    SELECT vec_id, i, floor(256.0::DOUBLE * embedding[i]::DOUBLE)::BIGINT AS x
+    FROM (SELECT vec_id, embedding, unnest(range(1, 65)) AS i FROM embeddings
+          WHERE len(embedding) = 64
+            AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64)
+  ), c0 AS MATERIALIZED (
+    SELECT number::INTEGER AS cluster, i, x
+    FROM (SELECT vec_id, row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS number
+          FROM (SELECT DISTINCT vec_id FROM v)) JOIN v USING (vec_id)
+    WHERE number < {k}
+  )"""
+    ]
+    for n in range(rounds + 1):
+        steps.append(f"""
+  a{n} AS MATERIALIZED (
+    SELECT vec_id, cluster, distance
+    FROM (SELECT vec_id, cluster, sum((v.x - c.x) * (v.x - c.x))::BIGINT AS distance
+          FROM v JOIN c{n} c USING (i) GROUP BY vec_id, cluster)
+    QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY distance, cluster) = 1
+  )""")
+        if n < rounds:
+            steps.append(f"""
+  m{n} AS MATERIALIZED (
+    SELECT cluster, i, sum(x)::BIGINT AS total, count(*) AS members
+    FROM v JOIN a{n} USING (vec_id) GROUP BY cluster, i
+  ), c{n + 1} AS MATERIALIZED (
+    SELECT cluster, i, CASE WHEN members IS NULL THEN x
+                            ELSE (total - ((total % members) + members) % members) // members
+                       END AS x
+    FROM c{n} LEFT JOIN m{n} USING (cluster, i)
+  )""")
+    return f"""
+WITH {",".join(steps)},
+  named AS (SELECT cluster, sha256(string_agg(x::VARCHAR, ',' ORDER BY i)) AS centroid_sha256
+            FROM c{rounds} GROUP BY cluster)
+SELECT vec_id, cluster, distance,
+       sum(distance) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia,
+       sum(distance) OVER ()::BIGINT AS inertia, centroid_sha256
+FROM a{rounds} JOIN named USING (cluster)
+"""
+
+
 ORACLES: dict[str, str] = {
     "op4_url_filter": _URLS,
     "op7_mix_sources": _MIX,
+    "op13_centroid_clusters": _clusters(),
 }
