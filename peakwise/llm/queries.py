@@ -14,6 +14,7 @@ from peakwise.llm import (
     mixing,
     piece_codec,
     simhash,
+    spelling,
     token_file,
     toxicity,
     url_rules,
@@ -126,6 +127,14 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontaminate.benchmark_passages(docs, _table(spark, sf_dir, "benchmark"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, each with its most frequent spelling."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.spelling_variants(docs).select(
+        "word", "form", "root", "n", "n_near", "form_n"
+    )
+
+
 def op12_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as piece ids and back: number and digests."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -160,6 +169,7 @@ QUERIES = {
     "op8_warc_salvage": op8_warc_salvage,
     "op9_html_text": op9_html_text,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_piece_codec": op12_piece_codec,
     "op13_centroid_clusters": op13_centroid_clusters,
 }
@@ -230,6 +240,57 @@ FROM w
 '''
 
 
+# SQL has no CRC-32: it is folded over the bytes of each distinct run of a document.  Pairs are
+# joined on the word without one letter.
+_SPELLING = r'''
+WITH RECURSIVE t AS MATERIALIZED (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+           lambda c, step: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc
+), r AS MATERIALIZED (
+  SELECT doc_id, run, count(*) AS n
+  FROM (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')),
+                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+        FROM documents)
+  WHERE length(run) >= 7 GROUP BY doc_id, run
+), h AS MATERIALIZED (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295, flatten(list_transform(
+           string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''),
+           lambda ch: CASE WHEN unicode(ch) < 128 THEN [unicode(ch)::BIGINT]
+             ELSE [192 + unicode(ch) // 64, 128 + unicode(ch) % 64]::BIGINT[] END))),
+         lambda c, b: xor(c >> 8, crc[xor(c & 255, b) + 1])), 4294967295) AS h
+  FROM r, t
+), w AS MATERIALIZED (
+  SELECT word, sum(n)::BIGINT AS n
+  FROM (SELECT n, CASE WHEN h % 31 = 0
+                       THEN run[1 : h % length(run)] || run[h % length(run) + 2 :]
+                       ELSE run END AS word FROM h)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), d AS MATERIALIZED (
+  SELECT word, n, i, word[1 : i - 1] || word[i + 1 :] AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)
+), near AS MATERIALIZED (
+  SELECT a.word, b.word AS other FROM d a JOIN d b ON a.i = b.i AND a.rest = b.rest
+  WHERE a.word <> b.word
+  UNION SELECT a.word, b.word FROM d a JOIN w b ON a.rest = b.word
+  UNION SELECT b.word, a.word FROM d a JOIN w b ON a.rest = b.word
+), best AS MATERIALIZED (
+  SELECT near.word, count(*) AS n_near, max(w.n) AS most,
+         arg_min(other, (-w.n, other)) AS other
+  FROM near JOIN w ON w.word = other GROUP BY near.word
+), f AS MATERIALIZED (
+  SELECT w.word, n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN most >= 10 * n THEN other END AS form,
+         CASE WHEN most >= 10 * n THEN most END AS form_n
+  FROM w LEFT JOIN best USING (word)
+), chain AS (
+  SELECT word, word AS root, form AS ahead FROM f
+  UNION ALL
+  SELECT chain.word, ahead, f.form FROM chain JOIN f ON f.word = ahead
+)
+SELECT f.word, form, root, n, n_near, form_n
+FROM f JOIN chain ON chain.word = f.word AND ahead IS NULL
+'''
+
 
 def _clusters(k: int = 40, rounds: int = 5) -> str:
     """SQL of the clusters: a vector is a row per component, every round four tables."""
@@ -280,5 +341,6 @@ FROM a{rounds} JOIN named USING (cluster)
 ORACLES: dict[str, str] = {
     "op4_url_filter": _URLS,
     "op7_mix_sources": _MIX,
+    "op11_spelling_variants": _SPELLING,
     "op13_centroid_clusters": _clusters(),
 }
