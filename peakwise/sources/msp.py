@@ -2,38 +2,101 @@
 
 A block starts at its id line (``smile:`` for annotated files, ``Name:`` otherwise); blank
 lines mean nothing.  The default scan makes the id line the record separator, so a file of
-any size splits over tasks and no shuffle is needed to find the blocks.
+any size splits over tasks and no shuffle is needed to find the blocks.  Arrow tasks follow the
+rows of the scan and see where a file begins, so that one read is enough.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from peakwise.session import shared_path
+from peakwise.sources.tables import write_table
+
 ANNOTATED_TAG = "smile:"
 NAMED_TAG = "Name:"
+#: File splits whose block counts are broadcast, 200 bytes each; more are joined.
+BROADCAST_SPLITS = 500_000
+
 _PRECURSOR = "Precursor:"
 _ADDUCT = "Adduct:"
 
-#: Files whose first records are broadcast, 200 bytes each; more are joined.
-BROADCAST_FILES = 200_000
-
 _PEAK_LIST = T.ArrayType(
     T.StructType([T.StructField("mz", T.DoubleType()), T.StructField("intensity", T.DoubleType())])
 )
 
 
+def _block_splitter(id_tag: str, separated: bool):
+    """Arrow function of a scan's rows ``(file, start, value)`` in their order: a row per block,
+    ``(file, start, seq, block)``, numbered within the file split."""
+
+    def split(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        # A line that starts with the tag; lines end as the parser's regular expressions have it.
+        opening = re.compile(
+            r"(?:\A\ufeff?|(?<=\n)|(?<=\r)(?!\n)|(?<=[\x85\u2028\u2029]))[ \t\x0b\f]*"
+            + re.escape(id_tag)
+        )
+        place, number = None, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            file, start, value = batch.columns
+            changed = np.ones(len(file), dtype=bool)
+            for column in (file, start):
+                same = pc.equal(column.slice(1), column.slice(0, len(column) - 1))
+                changed[1:] &= same.to_numpy(zero_copy_only=False)
+            changed[1:] = ~changed[1:]
+            changed[0] = place != (file[0].as_py(), start[0].as_py())
+            # The separator swallows the tag of every record but the first of a file, which
+            # holds its own tag or none.
+            first = changed & (start.to_numpy() == 0) if separated else np.ones(len(file), bool)
+            tagged = pc.binary_join_element_wise(pa.scalar(id_tag), value, "")
+            value = pc.if_else(pa.array(first), value, tagged)
+            # Indented id lines (and all of them in whole files) are found here.
+            odd = first | (pc.count_substring(value, id_tag).to_numpy() > 1)
+            counts = np.ones(len(file), dtype=np.int64)
+            blocks, at = [], 0
+            for i in np.flatnonzero(odd):
+                text = value[i].as_py()
+                cuts = [m.start() for m in opening.finditer(text)]
+                counts[i] = len(cuts)
+                found = [text[a:b] for a, b in zip(cuts, [*cuts[1:], len(text)])]
+                blocks += [value.slice(at, i - at), pa.array(found, pa.string())]
+                at = i + 1
+            block = pa.concat_arrays([*blocks, value.slice(at)])
+            # Blocks ahead of a row within its split: those since the split began, here or in
+            # an earlier batch.
+            ahead = np.cumsum(counts) - counts
+            begun = np.maximum.accumulate(np.where(changed, np.arange(len(file)), -1))
+            ahead = np.where(begun < 0, ahead + number, ahead - ahead[begun])
+            row = np.repeat(np.arange(len(file)), counts)
+            within = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+            place, number = (file[-1].as_py(), start[-1].as_py()), int(ahead[-1] + counts[-1])
+            rows = pa.array(row)
+            columns = [file.take(rows), start.take(rows), pa.array(ahead[row] + within), block]
+            yield pa.RecordBatch.from_arrays(columns, names=["file", "start", "seq", "block"])
+
+    return split
+
+
 def read_blocks(
     spark: SparkSession, path: str | list[str], id_tag: str, whole_files: bool = False
 ) -> DataFrame:
-    """Scan files into ``(ordinal, block)``.
+    """Scan files into ``(ordinal, block)``; every file is read once.
 
-    ``ordinal`` is ``struct(file, start, seq, part)`` and sorts in file order: split offset,
-    then record within the split, then block within the record.  Text ahead of a file's first
-    id line belongs to no block.  ``whole_files`` reads each file as one value; use it for
-    files of moderate size.
+    ``ordinal`` is ``struct(file, start, seq)`` and sorts in file order: split offset, then
+    number of the block within the split.  Text ahead of a file's first id line belongs to no
+    block.  ``whole_files`` reads each file as one value; use it for files of moderate size.
     """
     if whole_files:
         text = spark.read.text(path, wholetext=True)
@@ -42,30 +105,35 @@ def read_blocks(
     text = text.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("seq"),
-        F.col("value"),
+        "value",
     )
-    if not whole_files:
-        # The separator swallows the tag of every record but the first of a file, which holds
-        # its own tag or none.  One row per file says which record that is.
-        first = text.groupBy(F.col("file").alias("_file")).agg(
-            F.min(F.when(F.col("start") == 0, F.col("seq"))).alias("_first")
-        )
-        if len(text.inputFiles()) <= BROADCAST_FILES:
-            first = F.broadcast(first)
-        value = F.when(F.col("seq") == F.col("_first"), F.col("value")).otherwise(
-            F.concat(F.lit(id_tag), "value")
-        )
-        text = text.join(first, F.col("file") == F.col("_file")).select(
-            "file", "start", "seq", value.alias("value")
-        )
-    # Indented id lines (and all of them in whole files) are found here.
-    pieces = F.split(F.col("value"), rf"(?m)^(?=\s*{id_tag})")
-    return (
-        text.select("file", "start", "seq", F.posexplode(pieces).alias("part", "block"))
-        .where(F.col("block").rlike(rf"^\x{{FEFF}}?\s*{id_tag}"))
-        .select(F.struct("file", "start", "seq", "part").alias("ordinal"), "block")
+    blocks = text.mapInArrow(
+        _block_splitter(id_tag, not whole_files),
+        "file string, start bigint, seq bigint, block string",
+    )
+    return blocks.select(F.struct("file", "start", "seq").alias("ordinal"), "block")
+
+
+def number_blocks(blocks: DataFrame) -> DataFrame:
+    """Blocks of :func:`read_blocks` with ``number``: 0, 1, ... in each file.
+
+    The number is the one within the split plus the blocks of the splits before it, from one
+    row per split; up to :data:`BROADCAST_SPLITS` of them are broadcast.  The first pass reads
+    ``ordinal`` alone, so pass a written table.
+    """
+    file, start, seq = (F.col(f"ordinal.{c}") for c in ("file", "start", "seq"))
+    splits = blocks.groupBy(file.alias("_file"), start.alias("_start")).agg(
+        (F.max(seq) + 1).alias("_n")
     )
+    before = Window.partitionBy("_file").orderBy("_start")
+    before = before.rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    splits = write_table(splits, shared_path(blocks.sparkSession, "splits"))
+    if splits.count() <= BROADCAST_SPLITS:
+        splits = F.broadcast(splits)
+    own = (file == F.col("_file")) & (start == F.col("_start"))
+    numbered = blocks.join(splits, own).withColumn("number", seq + F.col("_before"))
+    return numbered.drop("_file", "_start", "_n", "_before")
 
 
 # Blanks within a line, and a peak line: two tokens, the first one starting with a digit.
@@ -80,6 +148,11 @@ def _header(tag: str) -> Column:
     return F.rtrim(last, F.lit(" \t"))
 
 
+def _finite(number: Column) -> Column:
+    """Whether a number is one: not null, infinite or undefined."""
+    return F.coalesce(F.abs(number) < F.lit(float("inf")), F.lit(False))
+
+
 def _peaks() -> Column:
     def token(group: int) -> Column:
         return F.regexp_extract_all("block", F.lit(_PEAK_LINE), F.lit(group))
@@ -102,9 +175,9 @@ def parse_blocks(
     """Blocks to spectrum records.
 
     The id column is ``smile`` for :data:`ANNOTATED_TAG` and ``spectrum_id`` otherwise.
-    Blocks with an empty id are dropped.  A block with a malformed number keeps its text in
-    ``_corrupt`` (``PERMISSIVE``), goes away (``DROPMALFORMED``) or fails the job
-    (``FAILFAST``).  ``inherit_headers`` fills a missing precursor or adduct from the block
+    Blocks with an empty id are dropped.  A block with a malformed number, or one that a double
+    holds as infinite, keeps its text in ``_corrupt`` (``PERMISSIVE``), goes away
+    (``DROPMALFORMED``) or fails the job (``FAILFAST``).  ``inherit_headers`` fills a missing precursor or adduct from the block
     before it in the same file.
     """
     if mode not in ("PERMISSIVE", "DROPMALFORMED", "FAILFAST"):
@@ -127,8 +200,8 @@ def parse_blocks(
         "peaks",
         "block",
     )
-    malformed = (F.col("precursor_text").isNotNull() & F.col("precursor").isNull()) | F.exists(
-        "peaks", lambda p: p["mz"].isNull() | p["intensity"].isNull()
+    malformed = (F.col("precursor_text").isNotNull() & ~_finite(F.col("precursor"))) | F.exists(
+        "peaks", lambda p: ~_finite(p["mz"]) | ~_finite(p["intensity"])
     )
     if mode == "FAILFAST":
         checked = F.when(

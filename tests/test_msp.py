@@ -165,3 +165,62 @@ def test_jobs_leave_out_malformed_blocks_and_write_them(spark, tmp_path, work):
     assert [r.spectrum_id for r in kept.collect()] == ["B"] and "_corrupt" not in kept.columns
     rejected = spark.read.parquet(f"{work}/rejected").collect()
     assert len(rejected) == 1 and "60.0 abc" in rejected[0]._corrupt
+
+
+def _small_parts(spark):
+    """Set small splits and batches; returns what they were."""
+    settings = {
+        "spark.sql.files.maxPartitionBytes": "700",
+        "spark.sql.files.openCostInBytes": "10",
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "3",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    return before
+
+
+def test_files_are_scanned_once(spark, tmp_path):
+    path = write(tmp_path, NAMED)
+    plan = msp.read_named(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 1 and "Exchange" not in plan
+
+
+def test_numbers_of_blocks_over_splits_and_batches(spark, tmp_path):
+    """Splits, batches, indented id lines, text ahead of the first block, files without one."""
+    expected = {}
+    for f in range(4):
+        lines, names = ["a note\n"] * (f % 2), []
+        for i in range(0 if f == 3 else 150):
+            names.append(f"{f}-{i}")
+            lines.append(f"{'  ' if i % 7 == f else ''}Name: {f}-{i}\n{i} 1\n" + "\n" * (i % 3))
+        expected[f"{f}.msp"] = names
+        write(tmp_path, "".join(lines), f"{f}.msp")
+    before = _small_parts(spark)
+    try:
+        blocks = msp.read_blocks(spark, str(tmp_path), msp.NAMED_TAG)
+        assert blocks.select(F.spark_partition_id()).distinct().count() > 8
+        numbered = msp.number_blocks(blocks).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    got = {}
+    for r in sorted(numbered, key=lambda r: (r.ordinal.file, r.number)):
+        got.setdefault(r.ordinal.file.rsplit("/", 1)[1], []).append(
+            (r.number, r.block.split()[1]))
+    assert got == {f: list(enumerate(names)) for f, names in expected.items() if names}
+    in_order = sorted(numbered, key=lambda r: tuple(r.ordinal))
+    assert [r.number for r in in_order] == [*range(150)] * 3
+
+
+def test_repeated_tags_in_a_line_open_one_block(spark, tmp_path):
+    path = write(tmp_path, "Name:Name: A\n1 2\nName: Name: B\n1 2\nX Name: C\rName: D\n3 4\n")
+    got = msp.read_named(spark, path).orderBy("ordinal").collect()
+    assert [r.spectrum_id for r in got] == ["Name: A", "Name: B", "D"]
+
+
+def test_numbers_beyond_a_double_are_malformed(spark, tmp_path):
+    path = write(tmp_path, "Name: A\n60.0 1e400\nName: B\nPrecursor: 1e999\n1 2\n"
+                 "Name: C\n1e400 5\nName: D\nPrecursor: nan\n1 2\nName: E\n1e300 1e300\n")
+    got = {r.spectrum_id: r._corrupt is None for r in msp.read_named(spark, path).collect()}
+    assert got == {"A": False, "B": False, "C": False, "D": False, "E": True}
