@@ -20,10 +20,10 @@ def first_per_key(df: DataFrame, key: str, columns: tuple[str, ...], order: str
     return first_row(rows, key, "_order").drop("_order")
 
 
-def first_row(df: DataFrame, key: str, order: str = "ordinal") -> DataFrame:
+def first_row(df: DataFrame, key: str, *order: str) -> DataFrame:
     """The first row of each ``key``, whole.  Spark cuts each task's rows to one per key
     ahead of the shuffle."""
-    ranked = Window.partitionBy(key).orderBy(order)
+    ranked = Window.partitionBy(key).orderBy(*order)
     return df.withColumn("_n", F.row_number().over(ranked)).where("_n = 1").drop("_n")
 
 

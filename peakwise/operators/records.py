@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peakwise.functions import binning, peaks
@@ -35,14 +35,19 @@ def total_ion_scale(df: DataFrame) -> DataFrame:
     return df.withColumn("peaks", peaks.scale_to_total(F.col("peaks")))
 
 
-def clean(df: DataFrame, threshold: float = INTENSITY_THRESHOLD) -> DataFrame:
+def clean(
+    df: DataFrame, threshold: float = INTENSITY_THRESHOLD, keep: Column | None = None
+) -> DataFrame:
     """All cleaning steps; spectra left without a peak are dropped.
 
     Same as the single steps in order, but the peaks go through a generator: a filter on
-    their number would be pushed below the projection and clean every spectrum twice.
+    their number would be pushed below the projection and clean every spectrum twice.  Rows
+    that ``keep`` marks stay, with null peaks.
     """
     cleaned = peaks.clean_peaks(F.col("peaks"), F.col("precursor"), threshold)
     left = F.filter(F.array(cleaned), lambda ps: F.size(ps) > 0)
+    if keep is not None:
+        left = F.when(keep, F.array(F.lit(None))).otherwise(left)
     others = [c for c in df.columns if c != "peaks"]
     return df.select(*others, F.explode(left).alias("peaks"))
 

@@ -1,8 +1,9 @@
 """Identification of annotated and unannotated spectra, and retrieval evaluation.
 
-Each job writes what it reads twice below ``work_path``: cleaned annotated spectra, the
-predictions and the keyed queries.  Parsing and inference then run once per spectrum.  Blocks
-that the parser marked as malformed take no part; their text is written to ``rejected``.
+Each job writes what it reads twice below ``work_path``: cleaned spectra, the predictions and
+the keyed queries.  The input is parsed once, in the pass that writes the cleaned spectra, and
+inference runs once per spectrum.  Blocks that the parser marked as malformed take no part;
+their text is written to ``rejected``.
 Results come back in long form (``rank`` per candidate); :mod:`peakwise.operators.matching`
 has the wide form.
 """
@@ -13,11 +14,12 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peakwise.functions.binning import grid_size
 from peakwise.operators import embedding, evaluation, masses, matching, peak_rows, pooling, records
+from peakwise.session import shared_path
 from peakwise.sources.tables import write_table
 
 
@@ -34,25 +36,44 @@ class Settings:
         return grid_size(self.resolution, self.max_mz)
 
 
+#: Surviving spectra whose row numbers are broadcast, 8 bytes each; more are joined.
+BROADCAST_ROWS = 8_000_000
+
+
+def _malformed(spectra: DataFrame) -> Column:
+    return F.col("_corrupt").isNotNull() if "_corrupt" in spectra.columns else F.lit(False)
+
+
 def sound_spectra(spectra: DataFrame, work_path: str) -> DataFrame:
-    """Spectra without the malformed blocks, whose text goes to ``work_path/rejected``."""
-    if "_corrupt" not in spectra.columns:
-        return spectra
-    rejected = spectra.where(F.col("_corrupt").isNotNull()).select("ordinal", "_corrupt")
-    write_table(rejected, f"{work_path}/rejected")
-    return spectra.where(F.col("_corrupt").isNull()).drop("_corrupt")
+    """Spectra without the malformed blocks, whose text goes to ``work_path/rejected``.
+
+    One pass over the input writes both to ``work_path/spectra``, apart by a flag, so that
+    reading either skips the other's files.  ``_row`` is a number of its own for every row.
+    """
+    flagged = spectra.withColumns(
+        {"_row": F.monotonically_increasing_id(), "_malformed": _malformed(spectra).cast("int")}
+    )
+    flagged = write_table(flagged, f"{work_path}/spectra", apart_by="_malformed")
+    if "_corrupt" in spectra.columns:
+        rejected = flagged.where("_malformed = 1").select("ordinal", "_corrupt")
+        write_table(rejected, f"{work_path}/rejected")
+    return flagged.where("_malformed = 0").drop("_malformed", "_corrupt")
+
+
+def _cleaned(spectra: DataFrame, settings: Settings, *columns: str) -> DataFrame:
+    """Cleaned records with the named columns; malformed blocks stay, without peaks."""
+    corrupt = [c for c in spectra.columns if c == "_corrupt"]
+    rows = spectra.select(*columns, "precursor", "ordinal", "peaks", *corrupt)
+    return records.clean(rows, settings.intensity_threshold, keep=_malformed(rows))
 
 
 def cleaned_annotated(
     spectra: DataFrame, molecules: DataFrame, settings: Settings = Settings()
 ) -> DataFrame:
-    """Cleaned records with the structure key of their molecule."""
-    cleaned = records.clean(
-        spectra.select("smile", "precursor", "ordinal", "peaks"), settings.intensity_threshold
-    )
-    return masses.attach_properties(cleaned, molecules).where(
-        F.col("structure_key").isNotNull()
-    )
+    """Cleaned records with the structure key of their molecule; see :func:`sound_spectra` for
+    malformed blocks, which stay."""
+    cleaned = masses.attach_properties(_cleaned(spectra, settings, "smile"), molecules)
+    return cleaned.where(F.col("structure_key").isNotNull() | _malformed(cleaned))
 
 
 def features_annotated(cleaned: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -76,21 +97,37 @@ def features_annotated(cleaned: DataFrame, settings: Settings = Settings()) -> D
     return peak_rows.collect_bins(bins, "structure_key", *keys)
 
 
-def features_unannotated(spectra: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Sparse records of the first spectrum per id.
+def first_features(cleaned: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Sparse records of the first spectrum per id, from :func:`sound_spectra`.
 
-    The one shuffle is the de-duplication.  Spectra are encoded ahead of it: bins are half
-    the size of the peaks they come from.
+    Which rows are the first is found without peaks; only those rows' peaks are encoded, where
+    they lie unless the row numbers are too many to broadcast.
     """
-    cleaned = records.clean(
-        spectra.select("spectrum_id", "precursor", "ordinal", "peaks"),
-        settings.intensity_threshold,
-    )
-    encoded = records.encode(cleaned, settings.tolerance, settings.resolution, settings.max_mz)
-    features = encoded.select(
-        "spectrum_id", "precursor", "ordinal", "mz", "ints", "bins", "len_frag"
+    heads = cleaned.select("spectrum_id", "precursor", "ordinal", "_row")
+    first = pooling.first_row(heads, "spectrum_id", "ordinal", "_row")
+    first = records.precursor_cutoff(first).select("_row")
+    first = write_table(first, shared_path(cleaned.sparkSession, "first-rows"))
+    if first.count() <= BROADCAST_ROWS:
+        first = F.broadcast(first)
+    encoded = records.encode(
+        cleaned.join(first, "_row", "left_semi"),
+        settings.tolerance,
+        settings.resolution,
+        settings.max_mz,
     )
-    return records.precursor_cutoff(pooling.dedupe_by_id(features)).drop("ordinal")
+    return encoded.select("spectrum_id", "precursor", "mz", "ints", "bins", "len_frag")
+
+
+def features_unannotated(
+    spectra: DataFrame, settings: Settings = Settings(), work_path: str | None = None
+) -> DataFrame:
+    """Sparse records of the first spectrum per id; malformed blocks take no part.
+
+    Cleaned spectra are written below ``work_path``, or below the session's shared folder, when
+    this is called.
+    """
+    path = work_path or shared_path(spectra.sparkSession, "unannotated")
+    return first_features(sound_spectra(_cleaned(spectra, settings, "spectrum_id"), path), settings)
 
 
 def predict(
@@ -111,10 +148,7 @@ def predict_annotated(
     **model: object,
 ) -> DataFrame:
     """Clean, pool, encode and embed; cleaned spectra and predictions are written."""
-    spectra = sound_spectra(spectra, work_path)
-    cleaned = write_table(
-        cleaned_annotated(spectra, molecules, settings), f"{work_path}/cleaned"
-    )
+    cleaned = sound_spectra(cleaned_annotated(spectra, molecules, settings), work_path)
     features = features_annotated(cleaned, settings)
     return predict(features, load, f"{work_path}/predictions", settings, **model)
 
@@ -201,9 +235,8 @@ def identify_unannotated(
     **model: object,
 ) -> DataFrame:
     """Ranked candidates of unannotated spectra."""
-    spectra = sound_spectra(spectra, work_path)
     predictions = predict(
-        features_unannotated(spectra, settings),
+        features_unannotated(spectra, settings, work_path),
         load,
         f"{work_path}/predictions",
         settings,

@@ -37,14 +37,18 @@ def read_library(
     )
 
 
-def write_table(df: DataFrame, path: str) -> DataFrame:
+def write_table(df: DataFrame, path: str, apart_by: str | None = None) -> DataFrame:
     """Write Parquet and return a frame that reads it back.
 
     Used for features and for predictions: it cuts the lineage, so neither parsing nor
-    inference runs again for the next stage or after a lost executor.
+    inference runs again for the next stage or after a lost executor.  Rows with different
+    values of ``apart_by`` lie in folders of their own, and a filter on it skips the others'.
     """
-    df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    writer = df.write.mode("errorifexists")
+    if apart_by:
+        writer = writer.partitionBy(apart_by)
+    writer.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def write_results_csv(wide: DataFrame, path: str) -> None:
