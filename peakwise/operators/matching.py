@@ -27,8 +27,8 @@ TILE_ROWS = 4096
 #: Masses whose block counts are broadcast: 100 MB as a hash table.
 BROADCAST_KEYS = 2_000_000
 
-#: Components of vectors gathered at a time for the pairs of a bucket: 64 MB each side.
-GATHERED = 8_000_000
+#: Components of vectors gathered, and scores made, at a time: 64 MB and 32 MB.
+GATHERED, SCORES = 8_000_000, 4_000_000
 
 #: Cosines are compared at this many decimals, so copies of a molecule tie.
 COSINE_DIGITS = 12
@@ -121,14 +121,25 @@ def _tile_ranker(
     digits = COSINE_DIGITS
 
     def matrix(column: pa.ChunkedArray) -> np.ndarray:
+        """Rows of unit vectors; those that are null, zero or hold a null are NaN."""
         vectors = column.combine_chunks()
-        if vectors.null_count:
-            raise ValueError("embedding is null")
-        flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-        dense = flat.reshape(len(vectors), -1)
-        if not (np.diff(vectors.offsets.to_numpy()) == dense.shape[1]).all():
+        lengths = vectors.value_lengths().drop_null().to_numpy()
+        if len(lengths) and (lengths != lengths[0]).any():
             raise ValueError("embeddings differ in length")
-        return dense
+        width = int(lengths[0]) if len(lengths) else 0
+        dense = np.full((len(vectors), width), np.nan)
+        flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        valid = vectors.is_valid().to_numpy(zero_copy_only=False)
+        dense[valid] = flat.reshape(len(lengths), width)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return dense / np.linalg.norm(dense, axis=1, keepdims=True)
+
+    def product(q: np.ndarray, lib: np.ndarray) -> np.ndarray:
+        """Rounded cosines of rows, or of rows of each of a stack; -2, below any cosine, where
+        there is none, so that such pairs rank last."""
+        scores = np.round(q @ np.swapaxes(lib, -1, -2), digits)
+        scores[np.isnan(scores)] = -2.0
+        return scores
 
     def best(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions and values of the n largest per row, ties by position."""
@@ -145,34 +156,49 @@ def _tile_ranker(
             scores[rows, positions[:, k]] = -np.inf
         return positions, values
 
+    def strips(n_rows: int, n_columns: int):
+        """Slices of rows whose products with all columns make up to so many scores."""
+        step = max(1, SCORES // max(1, n_columns))
+        return (slice(at, at + step) for at in range(0, n_rows, step))
+
     def by_mass(q, lib, q_mass, lib_mass):
-        """Positions and cosines of the best of each query, masses one after the other; both
-        sides are unit vectors, the library in the order of ties."""
-        by_key = np.argsort(lib_mass, kind="stable")
-        keys = lib_mass[by_key]
-        first = np.searchsorted(keys, q_mass, "left")
-        count = np.searchsorted(keys, q_mass, "right") - first
+        """Positions and cosines of the best of each query, masses of the same numbers of rows
+        on both sides at a time; both sides are unit vectors, the library in the order of ties.
+
+        Masses of one shape are a stack of matrix products, cut so that a stack gathers a
+        bounded number of components and makes a bounded number of scores.
+        """
+        q_order, l_order = (np.argsort(m, kind="stable") for m in (q_mass, lib_mass))
+        masses, q_first, n_q = np.unique(q_mass[q_order], return_index=True, return_counts=True)
+        l_first = np.searchsorted(lib_mass[l_order], masses, "left")
+        n_l = np.searchsorted(lib_mass[l_order], masses, "right") - l_first
+        shapes, shape = np.unique(np.stack([n_q, n_l], axis=1), axis=0, return_inverse=True)
         rows, places, values = [], [], []
-        start = 0
-        while start < len(q):
-            # Some queries at a time: so many gathered components at most.
-            limit = max(1, GATHERED // max(1, q.shape[1]))
-            upto = int(np.searchsorted(np.cumsum(count[start:]), limit, "right")) + start
-            upto = max(upto, start + 1)
-            some = count[start:upto]
-            row = np.repeat(np.arange(start, upto), some)
-            place = np.arange(len(row)) - np.repeat(np.cumsum(some) - some, some)
-            at = by_key[first[row] + place]
-            scores = np.round(np.einsum("ij,ij->i", q[row], lib[at]), digits)
-            scores[np.isnan(scores)] = -2.0
-            order = np.lexsort((at, -scores, row))
-            row, at, scores = row[order], at[order], scores[order]
-            rank = np.arange(len(row)) - np.repeat(np.cumsum(some) - some, some)
-            kept = rank < n
-            rows.append(row[kept])
-            places.append(at[kept])
-            values.append(scores[kept])
-            start = upto
+
+        def ranked(row, place, scores):
+            at, found = best(scores)
+            rows.append(np.repeat(row, at.shape[1]))
+            places.append(np.take_along_axis(place, at, axis=1).ravel())
+            values.append(found.ravel())
+
+        for number, (height, width) in enumerate(shapes.tolist()):
+            if not width:
+                continue
+            same = np.flatnonzero(shape.ravel() == number)
+            limit = min(GATHERED // max(1, (height + width) * q.shape[1]), SCORES // (height * width))
+            for start in range(0, len(same), max(1, limit)):
+                some = same[start : start + max(1, limit)]
+                row = q_order[q_first[some][:, None] + np.arange(height)]
+                place = l_order[l_first[some][:, None] + np.arange(width)]
+                if len(some) == 1:
+                    for part in strips(height, width):
+                        found = product(q[row[0, part]], lib[place[0]])
+                        ranked(row[0, part], np.broadcast_to(place[0], found.shape), found)
+                else:
+                    found = product(q[row], lib[place])
+                    ranked(row.ravel(), np.repeat(place, height, axis=0), found.reshape(-1, width))
+        if not rows:
+            return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
         return tuple(np.concatenate(x) for x in (rows, places, values))
 
     def rank_tile(queries: pa.Table, library: pa.Table) -> pa.Table:
@@ -180,22 +206,15 @@ def _tile_ranker(
             return schema.empty_table()
         library = library.sort_by([(c, "ascending") for c in order])
         q, lib = matrix(queries["embedding"]), matrix(library["embedding"])
+        if not (q.shape[1] and lib.shape[1]):  # no vectors on a side
+            q, lib = np.full((len(q), 1), np.nan), np.full((len(lib), 1), np.nan)
         if q.shape[1] != lib.shape[1]:
             raise ValueError("query and library embeddings differ in length")
-        with np.errstate(divide="ignore", invalid="ignore"):
-            q = q / np.linalg.norm(q, axis=1, keepdims=True)
-            lib = lib / np.linalg.norm(lib, axis=1, keepdims=True)
         if queries["_q"][0].as_py() < 0:
             masses = [t["mass_key"].to_numpy() for t in (queries, library)]
             query_rows, positions, values = by_mass(q, lib, *masses)
         else:
-            parts = []
-            strip = max(1, 4_000_000 // len(lib))
-            for start in range(0, len(q), strip):
-                scores = np.round(q[start : start + strip] @ lib.T, digits)
-                # -2 is below any cosine: a zero vector ranks last, with a null cosine.
-                scores[np.isnan(scores)] = -2.0
-                parts.append(best(scores))
+            parts = [best(product(q[part], lib)) for part in strips(len(q), len(lib))]
             positions = np.concatenate([p for p, _ in parts])
             values = np.concatenate([v for _, v in parts]).ravel()
             query_rows = np.repeat(np.arange(len(q)), positions.shape[1])
@@ -221,7 +240,8 @@ def top_candidates(
     ``queries`` needs unique ``spectrum_id, mass_key, embedding`` and ``library`` needs
     unique ``library_id, mass_key, embedding``; the named columns of either side go along, as
     does ``n_candidates``.  Equal cosines rank by the library columns in their order, null
-    cosines (zero vectors) last.  Queries without a candidate have no rows.
+    cosines last: those of vectors that are null, zero or hold a null.  Queries without a
+    candidate have no rows.
 
     The keys of both frames are read ahead of the rest, when this is called.  Pass written
     tables when the frames are costly.

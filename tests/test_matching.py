@@ -77,6 +77,34 @@ def test_tiles_equal_brute_force(spark, tile_rows, n):
     same(ranked(got), brute(queries, library, n))
 
 
+def test_masses_of_many_shapes_equal_brute_force(spark, monkeypatch):
+    """Buckets hold masses with every number of rows on either side; stacks are cut."""
+    monkeypatch.setattr(matching, "GATHERED", 100)
+    monkeypatch.setattr(matching, "SCORES", 50)
+    rng = np.random.default_rng(5)
+    vector = lambda: [float(x) for x in rng.integers(-2, 3, size=3)]
+    queries, library = [], []
+    for mass in range(60):
+        queries += [(f"q{mass}-{i}", mass, vector()) for i in range(mass % 7)]
+        library += [(100 * mass + i, f"m{i}", f"K{mass}", mass, vector()) for i in range(mass % 11)]
+    got = matching.top_candidates(
+        spark.createDataFrame(queries, QUERY), spark.createDataFrame(library, LIBRARY), 3)
+    same(ranked(got), brute(queries, library, 3))
+
+
+@pytest.mark.parametrize("tile_rows", [1, 4096])
+def test_missing_vectors_rank_last(spark, tile_rows):
+    queries = [("a", 1, [1.0, 0.0]), ("b", 1, None), ("c", 2, None), ("d", 1, [1.0, None])]
+    library = [(1, "x", "X", 1, None), (2, "y", "Y", 1, [1.0, 0.0]), (3, "z", "Z", 2, None),
+               (4, "w", "W", 1, [-1.0, 0.0])]
+    got = ranked(matching.top_candidates(
+        spark.createDataFrame(queries, QUERY), spark.createDataFrame(library, LIBRARY),
+        tile_rows=tile_rows))
+    last = [("w", "W", None), ("x", "X", None), ("y", "Y", None)]
+    assert got == {"a": ([("y", "Y", 1.0), ("w", "W", -1.0), ("x", "X", None)], 3),
+                   "b": (last, 3), "c": ([("z", "Z", None)], 1), "d": (last, 3)}
+
+
 def test_a_hot_mass_is_cut_into_tiles(spark):
     queries, library = data()
     q, lib = matching._tiles(
