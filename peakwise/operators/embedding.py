@@ -19,14 +19,14 @@ from pyspark.sql import types as T
 #: Spectra turned into dense rows at a time: 64 x 70,000 float32 take 18 MB.
 DENSE_ROWS = 64
 
-#: Dimensions of a layer summed in one row.
-BLOCK_WIDTH = 64
+#: Bins and dimensions of a tile of weights, 64 MB, and spectra that meet it.
+RANGE_BINS, BLOCK_WIDTH, TILE_SPECTRA = 1 << 17, 64, 1 << 17
 
-#: The bin every spectrum has, for the bias.
-BIAS_BIN = -1
+#: Largest weight table, as doubles, that the driver and every executor hold.
+BROADCAST_BYTES = 64 << 20
 
-#: Largest weight table, as doubles, that is broadcast.
-BROADCAST_BYTES = 256 << 20
+#: Weights gathered at a time: 32 MB.
+GATHERED = 4_000_000
 
 
 def _loaded(key: str, load: Callable):
@@ -96,6 +96,117 @@ def embed_by_mode(df: DataFrame, loaders: dict[str, Callable], **options) -> Dat
     return reduce(DataFrame.unionByName, branches)
 
 
+def _layer(lists, bins: np.ndarray, matrix: np.ndarray) -> np.ndarray:
+    """Sums of the rows of ``matrix`` whose ``bins`` (ascending) an Arrow array of lists names;
+    other bins add nothing."""
+    counts = lists.value_lengths().to_numpy().astype(np.int64)
+    flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    at = np.searchsorted(bins, flat)
+    known = (at < len(bins)) & (bins[np.minimum(at, len(bins) - 1)] == flat) if len(bins) else (
+        np.zeros(len(flat), dtype=bool)
+    )
+    row, at = np.repeat(np.arange(len(counts)), counts)[known], at[known]
+    sums = np.zeros((len(counts), matrix.shape[1]))
+    step = max(1, GATHERED // max(1, matrix.shape[1]))
+    for start in range(0, len(row), step):
+        some = row[start : start + step]
+        first = np.flatnonzero(np.diff(some, prepend=-1))
+        sums[some[first]] += np.add.reduceat(matrix[at[start : start + step]], first, axis=0)
+    return sums
+
+
+def _matrix(rows, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending bins and their weights from an Arrow table ``(bin, w)``."""
+    rows = rows.sort_by("bin")
+    flat = rows["w"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    if len(flat) != len(rows) * width:
+        raise ValueError(f"weight rows are not all of width {width}")
+    return rows["bin"].to_numpy(), flat.reshape(-1, width)
+
+
+def _vectors(values: np.ndarray):
+    """Arrow array of the rows of a matrix."""
+    import pyarrow as pa
+
+    offsets = np.arange(len(values) + 1, dtype=np.int32) * values.shape[1]
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.ravel()))
+
+
+def _linear_in_tasks(rows: DataFrame, weights: DataFrame, start: np.ndarray) -> DataFrame:
+    """``(key, activation)`` where the whole weight table goes to every executor."""
+    import pyarrow as pa
+
+    table = rows.sparkSession.sparkContext.broadcast(_matrix(weights.toArrow(), len(start)))
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            layer = _layer(batch.column(1), *table.value) + start
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), _vectors(layer)], names=["key", "activation"]
+            )
+
+    kind = rows.schema["key"].dataType.simpleString()
+    return rows.mapInArrow(sums, f"key {kind}, activation array<double>")
+
+
+def _linear_in_tiles(rows: DataFrame, weights: DataFrame, start: np.ndarray) -> DataFrame:
+    """``(key, activation)`` from tiles of a range of bins, a block of dimensions and a block of
+    spectra.  A spectrum has a row per tile that it touches, with the tile's bins, and gets a
+    part of its activation from each; only weights wider than a range add parts up."""
+    import pyarrow as pa
+
+    width = len(start)
+    n_parts = -(-width // BLOCK_WIDTH)
+    n_blocks = max(1, -(-rows.count() // TILE_SPECTRA))
+    n_ranges = (weights.agg(F.max("bin")).first()[0] or 0) // RANGE_BINS + 1
+    in_range = lambda name: F.floor(F.col(name) / RANGE_BINS).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    slices = [F.slice("w", p * BLOCK_WIDTH + 1, BLOCK_WIDTH) for p in range(n_parts)]
+    cells = weights.select(in_range("bin").alias("range"), "bin", F.posexplode(F.array(*slices)))
+    cells = cells.select("range", F.col("pos").alias("part"), every(n_blocks).alias("block"),
+                         "bin", F.col("col").alias("w"))
+    block = F.pmod(F.xxhash64("key"), F.lit(n_blocks)).cast("int")
+    own = lambda b: F.floor(b / RANGE_BINS) == F.col("range")
+    spread = rows.select("key", "bins", block.alias("block"), every(n_ranges).alias("range"))
+    spread = spread.withColumn("bins", F.filter("bins", own) if n_ranges > 1 else F.col("bins"))
+    # Every spectrum is in the first range, which adds the bias.
+    spread = spread.where((F.size("bins") > 0) | (F.col("range") == 0))
+    spread = spread.select("*", every(n_parts).alias("part"))
+    kind = rows.schema["key"].dataType.simpleString()
+    names = ["key", "part", "v"]
+
+    def tile(spectra: pa.Table, cells: pa.Table) -> pa.Table:
+        part = (spectra if len(spectra) else cells)["part"][0].as_py()
+        base = start[part * BLOCK_WIDTH : (part + 1) * BLOCK_WIDTH]
+        bins, matrix = _matrix(cells, len(base)) if len(cells) else (np.empty(0), base[None][:0])
+        found = [
+            _layer(chunk, bins, matrix) for chunk in spectra["bins"].chunks if len(chunk)
+        ]
+        layer = np.concatenate(found) if found else np.empty((0, len(base)))
+        if len(spectra) and spectra["range"][0].as_py() == 0:
+            layer = layer + base
+        return pa.table([spectra["key"], spectra["part"], _vectors(layer)], names=names)
+
+    at = ["range", "part", "block"]
+    parts = spread.groupBy(*at).cogroup(cells.groupBy(*at)).applyInArrow(
+        tile, f"key {kind}, part int, v array<double>"
+    )
+    if n_ranges > 1:
+        places = range(min(width, BLOCK_WIDTH))
+        sums = parts.groupBy("key", "part").agg(
+            *[F.sum(F.get("v", F.lit(i))).alias(f"_{i}") for i in places]
+        )
+        # A part's last places are null where the width is no multiple of the block's.
+        whole = F.array_compact(F.array(*[F.col(f"_{i}") for i in places]))
+        parts = sums.select("key", "part", whole.alias("v"))
+    if n_parts == 1:
+        return parts.select("key", F.col("v").alias("activation"))
+    ordered = F.array_sort(F.collect_list(F.struct("part", "v")))
+    return parts.groupBy("key").agg(
+        F.flatten(F.transform(ordered, lambda p: p["v"])).alias("activation")
+    )
+
+
 def sparse_linear(
     df: DataFrame,
     weights: DataFrame,
@@ -106,37 +217,23 @@ def sparse_linear(
 ) -> DataFrame:
     """First dense layer on binary input: the bias plus the weight rows of the occupied bins.
 
-    ``weights`` is ``(bin, w ARRAY)`` with at most one row per grid point.  A layer of any width
-    is summed in blocks of :data:`BLOCK_WIDTH` dimensions, one row per block.  The bias is the
-    weight row of a bin that every spectrum has, so that bins without a weight row add nothing
-    and spectra without any other keep their bias.  The table is counted first and broadcast
-    when it is small, so the bins of a spectrum are added up ahead of the shuffle; a larger one
-    is joined by bin.
+    ``weights`` is ``(bin, w ARRAY)`` with at most one row per grid point, and ``key`` names a
+    spectrum.  Bins without a weight row add nothing, so a spectrum without any other keeps the
+    bias; spectra whose ``bins`` are null have no row.  The table is counted first.  Up to
+    :data:`BROADCAST_BYTES` it goes to every executor and spectra are summed where they are; a
+    larger one meets them in tiles, each with at most :data:`RANGE_BINS` times
+    :data:`BLOCK_WIDTH` weights and about :data:`TILE_SPECTRA` spectra, which are counted too.
     """
-    spark = df.sparkSession
-    n_blocks = -(-width // BLOCK_WIDTH)
-    start = [float(x) for x in (bias if bias is not None else [0.0] * width)]
-    if len(start) != width:
+    start = np.zeros(width) if bias is None else np.array(bias, dtype=np.float64)
+    if start.shape != (width,):
         raise ValueError(f"{len(start)} values of bias for a width of {width}")
-    rows = weights.select(F.col("bin").cast("int").alias("bin"), F.col("w").cast("array<double>"))
-    rows = rows.unionByName(spark.createDataFrame([(BIAS_BIN, start)], "bin int, w array<double>"))
-    parts = [F.slice("w", b * BLOCK_WIDTH + 1, BLOCK_WIDTH) for b in range(n_blocks)]
-    rows = rows.select("bin", F.posexplode(F.array(*parts)).alias("_block", "_w"))
-    if weights.count() * width * 8 <= BROADCAST_BYTES:
-        rows = F.broadcast(rows)
-    bins = F.concat(F.col("bins").cast("array<int>"), F.array(F.lit(BIAS_BIN)))
-    found = df.select(key, F.explode(bins).alias("bin")).join(rows, "bin")
-    places = range(min(width, BLOCK_WIDTH))
-    # A block's last places are null where the width is no multiple of the block's.
-    sums = found.groupBy(key, "_block").agg(
-        *[F.sum(F.get("_w", F.lit(i))).alias(f"_{i}") for i in places]
-    )
-    value = lambda i: F.greatest(F.col(f"_{i}"), F.lit(0.0)) if relu else F.col(f"_{i}")
-    whole = F.array(*[F.when(F.col(f"_{i}").isNotNull(), value(i)) for i in places])
-    blocks = sums.select(key, F.struct("_block", F.array_compact(whole).alias("_v")).alias("_part"))
-    if n_blocks == 1:
-        return blocks.select(key, F.col("_part._v").alias("activation"))
-    ordered = F.array_sort(F.collect_list("_part"))
-    return blocks.groupBy(key).agg(
-        F.flatten(F.transform(ordered, lambda p: p["_v"])).alias("activation")
+    weights = weights.select(F.col("bin").cast("int").alias("bin"), F.col("w").cast("array<double>"))
+    rows = df.where(F.col("bins").isNotNull()).select(
+        F.col(key).alias("key"), F.col("bins").cast("array<int>").alias("bins")
     )
+    small = weights.count() * width * 8 <= BROADCAST_BYTES
+    layer = (_linear_in_tasks if small else _linear_in_tiles)(rows, weights, start)
+    value = F.col("activation")
+    if relu:
+        value = F.transform(value, lambda x: F.greatest(x, F.lit(0.0)))
+    return layer.select(F.col("key").alias(key), value.alias("activation"))

@@ -108,6 +108,30 @@ def test_sparse_linear_of_full_width_with_bias(spark):
         embedding.sparse_linear(df, weights, width, bias=[1.0])
 
 
+def test_sparse_linear_in_tiles(spark, monkeypatch):
+    """Several ranges of bins, blocks of dimensions and of spectra; nulls and unknown bins."""
+    monkeypatch.setattr(embedding, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(embedding, "RANGE_BINS", 90)
+    monkeypatch.setattr(embedding, "BLOCK_WIDTH", 3)
+    monkeypatch.setattr(embedding, "TILE_SPECTRA", 20)
+    monkeypatch.setattr(embedding, "GATHERED", 50)
+    rows, df = features(spark)
+    more = [("none", []), ("null", None), ("unknown", [99_999, -4, 499])]
+    df = df.unionByName(spark.createDataFrame(more, df.schema))
+    rng = np.random.default_rng(4)
+    w, bias = rng.normal(size=(N_BINS, 7)), rng.normal(size=7)
+    weights = spark.createDataFrame(
+        [(i, row.tolist()) for i, row in enumerate(w)], "bin int, w array<double>")
+    layer = embedding.sparse_linear(df, weights, 7, bias=bias.tolist(), relu=False)
+    got = {r.spectrum_id: r.activation for r in layer.collect()}
+    assert got.keys() == {key for key, _ in rows} | {"none", "unknown"}
+    for key, bins in [*rows, ("none", []), ("unknown", [499])]:
+        np.testing.assert_allclose(got[key], w[bins].sum(axis=0) + bias, atol=1e-9)
+    empty = embedding.sparse_linear(df, weights.limit(0), 7, bias=bias.tolist(), relu=False)
+    assert all(np.allclose(r.activation, bias) for r in empty.collect())
+    assert embedding.sparse_linear(df.limit(0), weights, 7).count() == 0
+
+
 def test_a_worker_keeps_one_model(spark):
     rows = spark.createDataFrame([("a", [1, 2])], "spectrum_id string, bins array<int>").coalesce(1)
 
