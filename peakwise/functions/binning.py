@@ -21,6 +21,8 @@ def bin_index(value: Column, resolution: float, max_mz: float) -> Column:
     The division can land one step off the product it inverts, so the neighbours of the
     quotient are compared on the grid itself.
     """
+    # Values off the grid need no index that could overflow.
+    value = F.least(F.greatest(value, F.lit(-1.0)), F.lit(max_mz + 1.0))
     k = F.ceil(value / resolution)
     first = (
         F.when((k - 1) * F.lit(resolution) >= value, k - 1)

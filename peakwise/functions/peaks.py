@@ -14,7 +14,8 @@ from peakwise.functions.rounding import round_even
 
 PRECURSOR_MARGIN = 0.5  # fixed value
 
-#: What m/z are summed as: exact for any order and number of peaks.
+#: What m/z are summed as: exact for any order and number of peaks.  Those of 1e12 and more,
+#: which it cannot hold, are summed as doubles.
 MZ_DECIMAL = "decimal(28,16)"
 
 
@@ -88,6 +89,16 @@ def clean_peaks(peaks: Column, precursor: Column, threshold: float) -> Column:
     return scale_to_total(above_relative_intensity(scale_to_base_peak(windowed), threshold))
 
 
+def decimal_mz(mz: Column) -> Column:
+    """An m/z as a decimal, zero if it is too large for one."""
+    return F.coalesce(mz.try_cast(MZ_DECIMAL), F.lit(0).cast(MZ_DECIMAL))
+
+
+def far_mz(mz: Column) -> Column:
+    """What :func:`decimal_mz` leaves out."""
+    return F.when(mz.try_cast(MZ_DECIMAL).isNull(), mz).otherwise(0.0)
+
+
 def merge_close_peaks(peaks: Column, tolerance: float) -> Column:
     """Chains of peaks whose neighbours differ by at most ``tolerance``, as one peak each.
 
@@ -101,16 +112,18 @@ def merge_close_peaks(peaks: Column, tolerance: float) -> Column:
     def mean(chain: Column, length: Column) -> Column:
         zero = F.lit(0).cast("decimal(37,16)")
         total = F.aggregate(
-            chain, zero, lambda t, p: (t + p["mz"].cast(MZ_DECIMAL)).cast("decimal(37,16)")
+            chain, zero, lambda t, p: (t + decimal_mz(p["mz"])).cast("decimal(37,16)")
         )
-        return total.cast("double") / length
+        far = F.aggregate(chain, F.lit(0.0), lambda t, p: t + far_mz(p["mz"]))
+        return (total.cast("double") + far) / length
 
     def chain_peak(ordered: Column, start: Column, length: Column) -> Column:
         only = F.get(ordered, start - 1)
         chain = F.slice(ordered, start, length)
         return F.when(
             length == 1,
-            _peak(rounded(only["mz"].cast(MZ_DECIMAL).cast("double")), only["intensity"]),
+            _peak(rounded(decimal_mz(only["mz"]).cast("double") + far_mz(only["mz"])),
+                  only["intensity"]),
         ).otherwise(_peak(rounded(mean(chain, length)), _total(chain, "intensity")))
 
     def merged(ordered: Column) -> Column:

@@ -91,7 +91,11 @@ def clean(
 
 
 def _cell(mz: Column, tolerance: float) -> Column:
-    return F.floor(mz / (tolerance / 2)) if tolerance > 0 else mz
+    if tolerance <= 0:
+        return mz
+    cell = mz / (tolerance / 2)
+    # Beyond 2^53 numbers are whole, and too large for an integer cell soon after.
+    return F.when(F.abs(cell) < 2.0**53, F.floor(cell).cast("double")).otherwise(cell)
 
 
 def merge_peaks(
@@ -110,7 +114,8 @@ def merge_peaks(
     """
     cells = rows.groupBy(key, *carry, _cell(F.col("mz"), tolerance).alias("_cell")).agg(
         F.count(F.lit(1)).alias("_n"),
-        F.sum(F.col("mz").cast(peaks.MZ_DECIMAL)).alias("_mz"),
+        F.sum(peaks.decimal_mz(F.col("mz"))).alias("_mz"),
+        F.sum(peaks.far_mz(F.col("mz"))).alias("_far"),
         F.sum("intensity").alias("_intensity"),
         F.min("mz").alias("_low"),
         F.max("mz").alias("_high"),
@@ -121,7 +126,7 @@ def merge_peaks(
     so_far = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     chained = chained.withColumn("chain", F.sum("_new").over(so_far))
     count = F.sum("_n")
-    mean = F.sum("_mz").cast("double") / count
+    mean = (F.sum("_mz").cast("double") + F.sum("_far")) / count
     return chained.groupBy(key, *carry, "chain").agg(
         round_even(round_even(mean, 3), 2).alias("mz"),
         F.sum("_intensity").alias("intensity"),

@@ -271,3 +271,31 @@ def test_merging_written_records_reads_only_mz(spark, work):
     merged = peak_rows.merge_peaks(peak_rows.explode_peaks(written, "spectrum_id"), "spectrum_id")
     plan = merged.select("spectrum_id", "mz")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<spectrum_id:string,peaks:array<struct<mz:double>>>" in plan
+
+
+def test_any_finite_mz_is_merged_and_encoded(spark):
+    """Peaks too large for decimals and for integer bins, by records and by rows."""
+    mzs = [1e12, 1e12, 2e12, 5e15, 5e15 + 1, 1e17, 1e18, 1e300, 1e300, 50.0, 50.004]
+    df = frame(spark, ("a", 2e300, [(m, 1.0) for m in mzs]), ("b", 100.0, [(60.0, 1.0)]))
+    expected = sorted({50.0, 1e12, 2e12, 5e15, 5e15 + 1, 1e17, 1e18, 1e300})
+    merged = records.merge_peaks(df).where("spectrum_id = 'a'").first().merged
+    rows = peak_rows.explode_peaks(df, "spectrum_id", "precursor")
+    grouped = peak_rows.merge_peaks(rows, "spectrum_id").where("spectrum_id = 'a'").collect()
+    for got in ([p.mz for p in merged], sorted(r.mz for r in grouped)):
+        np.testing.assert_allclose(got, expected, rtol=1e-12)
+    assert sorted(r.n_merged for r in grouped) == [1, 1, 1, 1, 1, 2, 2, 2]
+    values = [1e300, -1e300, 1e17, 700.0, 0.01, -0.01]
+    last = binning.grid_size(0.01, 700) - 1
+    bins = one(spark, F.transform(F.array(*map(F.lit, values)),
+                                  lambda v: binning.bin_index(v, 0.01, 700)), [])
+    assert bins == [last, 0, last, last, 1, 0]
+
+
+def test_a_huge_precursor_does_not_end_the_annotated_job(spark):
+    from peakwise.plans import identify
+
+    schema = "smile string, precursor double, ordinal int, peaks array<struct<mz:double,intensity:double>>"
+    spectra = [("C", 5e12, 1, [(2e12, 1.0)]), ("CC", 100.0, 2, [(50.0, 1.0)])]
+    molecules = spark.createDataFrame([("C", "A" * 27), ("CC", "B" * 27)], "smile string, inchikey string")
+    cleaned = identify.cleaned_annotated(spark.createDataFrame(spectra, schema), molecules)
+    assert [r.smile for r in identify.features_annotated(cleaned).collect()] == ["CC"]
