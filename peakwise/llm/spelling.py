@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from peakwise.llm.worker import slices
 from peakwise.session import shared_path
 from peakwise.sources.tables import write_table
 
@@ -38,8 +39,11 @@ LONG = 64
 #: Distinct words that a task counts before it hands them on.
 COUNTED = 200_000
 
+#: Bytes of texts that a task reads at a time.
+SLICE_BYTES = 4 << 20
+
 #: Rotations in a batch of rows.
-BATCH = 50_000
+BATCH = 20_000
 
 
 def runs_of(text: str, length: int) -> Iterator[str]:
@@ -83,19 +87,19 @@ def word_counts(
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
         for batch in batches:
-            for name, value in zip(batch.column(0), batch.column(1)):
-                own = Counter(runs_of(value.as_py() or "", length))
-                name = (name.as_py() or "") + ":"
-                start = zlib.crc32(name.encode())
-                for run, n in own.items():
-                    if not zlib.crc32(run.encode(), start) % every:
-                        run = written(name[:-1], run, every)
-                        if len(run) < length:
-                            continue
-                    counts[run] += n
-                if len(counts) >= COUNTED:
-                    yield table(counts)
-                    counts.clear()
+            for rows in slices(batch, 1, SLICE_BYTES):
+                for name, value in zip(rows.column(0), rows.column(1)):
+                    name, own = name.as_py() or "", Counter(runs_of(value.as_py() or "", length))
+                    start = zlib.crc32(f"{name}:".encode())
+                    for run, n in own.items():
+                        if not zlib.crc32(run.encode(), start) % every:
+                            run = written(name, run, every)
+                            if len(run) < length:
+                                continue
+                        counts[run] += n
+                    if len(counts) >= COUNTED:
+                        yield table(counts)
+                        counts.clear()
         yield table(counts)
 
     spark = docs.sparkSession
@@ -104,7 +108,9 @@ def word_counts(
     )
     total = rows.mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     total = write_table(total.where(F.col("n") >= least), shared_path(spark, "spelt-words"))
-    ordered = total.repartitionByRange("word").sortWithinPartitions("word")
+    # As many ranges as the session shuffles to: a word's rotations are many times its size.
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered = total.repartitionByRange(ranges, "word").sortWithinPartitions("word")
     numbered = ordered.select(F.monotonically_increasing_id().alias("id"), "word", "n")
     return write_table(numbered, shared_path(spark, "numbered-words"))
 
