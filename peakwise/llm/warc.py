@@ -27,6 +27,9 @@ from peakwise.sources.tables import write_table
 #: Bytes of an archive, on average; the reader holds an archive in memory.
 FILE_BYTES = 32 << 20
 
+#: Bytes of a record beside its payload, about.
+HEADER_BYTES = 512
+
 #: Payloads that occur more than once and are broadcast, 100 bytes each; more are joined.
 BROADCAST_PAYLOADS = 500_000
 
@@ -78,17 +81,17 @@ def write_archives(
             "digest": base32_sha1(F.col("payload").cast("binary")),
         }
     )
-    shared = (
-        rows.where(F.col("bytes") >= min_payload)
-        .groupBy(F.col("key"))
-        .agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1 and first is not null")
-        .select("key", "first")
+    groups = rows.groupBy("key").agg(
+        F.min("id").alias("first"), F.count(F.lit(1)).alias("n"), F.max("bytes").alias("bytes")
     )
-    shared = write_table(shared, shared_path(spark, "payloads"))
+    groups = write_table(groups, shared_path(spark, "payloads"))
+    n_rows, total = groups.agg(
+        F.sum("n"), F.sum(F.col("n") * (F.col("bytes").cast("bigint") + HEADER_BYTES))
+    ).first()
+    shared = groups.where((F.col("bytes") >= min_payload) & (F.col("n") > 1))
+    shared = shared.where("first is not null").select("key", "first")
     if shared.count() <= BROADCAST_PAYLOADS:
         shared = F.broadcast(shared)
-    total = rows.agg(F.sum(F.col("bytes").cast("bigint") + 512)).first()[0] or 0
     rows = rows.join(shared, "key", "left")
     again = F.coalesce(
         (F.col("bytes") >= min_payload) & ~F.col("id").eqNullSafe(F.col("first"))
@@ -126,27 +129,42 @@ def write_archives(
         F.lit("\r\n"),
         "block",
     )
-    files = max(1, -(-total // file_bytes))
-    spread = F.xxhash64("id", "url", "digest")
+    # Tasks write what they read, so no payload is shuffled; a full archive is followed by the
+    # next one of the same task.
+    most = max(1, file_bytes * (n_rows or 0) // max(1, total or 0))
     (
-        rows.repartition(files, spread)
-        .select(record.alias("value"))
+        rows.select(record.alias("value"))
         .write.option("lineSep", END)
+        .option("maxRecordsPerFile", most)
         .text(path)
     )
     return path
 
 
 class Damaged(ValueError):
-    """Bytes that are not a sound record."""
+    """Bytes that are not a sound record or member, and the records that can be saved."""
+
+    def __init__(self, reason: str, records: list[dict] = ()):
+        super().__init__(reason)
+        self.records = records
+
+
+class Short(Damaged):
+    """Bytes that may begin a sound record, which goes on beyond them."""
 
 
 _CANDIDATE = re.compile(rb"WARC/1\.[01]\r\n|\x1f\x8b\x08")
 
+#: Bytes that a member is unpacked by.
+PIECE_BYTES = 1 << 20
+
 
 def _record(data: bytes, at: int) -> tuple[dict, int]:
     """The record that begins at a place, and where it ends."""
     if not re.compile(rb"WARC/1\.[01]\r\n").match(data, at):
+        begun = data[at : at + 10]
+        if len(begun) < 10 and (b"WARC/1.0\r\n".startswith(begun) or b"WARC/1.1\r\n".startswith(begun)):
+            raise Short("no version line")
         raise Damaged("no version line")
     headers: dict[str, str] = {}
     start = data.find(b"\r\n", at) + 2
@@ -154,7 +172,7 @@ def _record(data: bytes, at: int) -> tuple[dict, int]:
     while True:
         line_end = data.find(b"\r\n", start)
         if line_end < 0:
-            raise Damaged("header does not end")
+            raise Short("header does not end")
         line, start = data[start:line_end], line_end + 2
         if not line:
             break
@@ -169,9 +187,11 @@ def _record(data: bytes, at: int) -> tuple[dict, int]:
     if not (length.isascii() and length.isdigit()):
         raise Damaged("no content length")
     end = start + int(length)
+    if end + 4 > len(data):
+        raise Short("cut off")
     if data[end : end + 4] != b"\r\n\r\n":
-        raise Damaged("content ends elsewhere" if end + 4 <= len(data) else "cut off")
-    block = data[start:end]
+        raise Damaged("content ends elsewhere")
+    block = bytes(data[start:end])
     kind = headers.get("warc-type", "")
     payload = block
     if headers.get("content-type", "").startswith("application/http"):
@@ -196,20 +216,76 @@ def _record(data: bytes, at: int) -> tuple[dict, int]:
         "payload_bytes": size,
         "refers_to": headers.get("warc-refers-to"),
         "payload": payload,
+        "checked": bool(told),
     }
     return record, end + 4
 
 
-def _member(data: bytes, at: int) -> tuple[bytes, int]:
-    """Content of the gzip member that begins at a place, and where it ends."""
-    unpack = zlib.decompressobj(31)
-    try:
-        content = unpack.decompress(memoryview(data)[at:])
-    except zlib.error as error:
-        raise Damaged(f"gzip: {error}") from None
-    if not unpack.eof:
-        raise Damaged("gzip member cut off")
-    return content, len(data) - len(unpack.unused_data)
+def _header_end(data: bytes, at: int) -> int:
+    """Where the header of the gzip member at a place ends."""
+    if data[at : at + 3] != b"\x1f\x8b\x08" or at + 10 > len(data):
+        raise Damaged("gzip: no header")
+    flags, end = data[at + 3], at + 10
+    if flags & 0xE0:
+        raise Damaged("gzip: unknown flags")
+    if flags & 4:
+        end += 2 + int.from_bytes(data[end : end + 2], "little")
+    for flag in (8, 16):
+        if flags & flag:
+            end = data.find(b"\0", end) + 1
+            if not end:
+                raise Damaged("gzip: header does not end")
+    return end + (2 if flags & 2 else 0)
+
+
+class _Member:
+    """Content of the gzip member at a place, in pieces of up to ``PIECE_BYTES``.
+
+    After the last piece ``end`` is where the member, or what could be read of it, ends, and
+    ``fault`` says what is wrong with it.
+    """
+
+    def __init__(self, data: bytes, at: int):
+        self.data, self.end, self.fault = data, _header_end(data, at), None
+
+    def _unpacked(self, unpack, piece: bytes) -> Iterator[bytes]:
+        while piece and not unpack.eof:
+            yield unpack.decompress(piece, PIECE_BYTES)
+            piece = unpack.unconsumed_tail
+
+    def __iter__(self) -> Iterator[bytes]:
+        unpack, size, crc = zlib.decompressobj(-15), 0, 0
+        step = 1 << 16
+        while not unpack.eof:
+            piece = bytes(self.data[self.end : self.end + step])
+            if not piece:
+                self.fault = "gzip member cut off"
+                return
+            # A piece that fails is read again byte by byte, up to the fault.
+            before, held = unpack.copy(), []
+            try:
+                for part in self._unpacked(unpack, piece):
+                    held.append(part)
+                    if len(held) > 1:  # beyond one part, what is unpacked is handed on
+                        before = None
+                        crc, size = zlib.crc32(held[0], crc), size + len(held[0])
+                        yield held.pop(0)
+            except zlib.error as error:
+                if before is None or step == 1:
+                    self.fault = f"gzip: {error}"
+                    return
+                unpack, step = before, 1
+                continue
+            self.end += len(piece) - len(unpack.unused_data)
+            for part in held:
+                crc, size = zlib.crc32(part, crc), size + len(part)
+                yield part
+        trailer = self.data[self.end : self.end + 8]
+        self.end += len(trailer)
+        if len(trailer) < 8:
+            self.fault = "gzip member cut off"
+        elif trailer != crc.to_bytes(4, "little") + (size & 0xFFFFFFFF).to_bytes(4, "little"):
+            self.fault = "gzip: checksum differs"
 
 
 def _plain(data: bytes, at: int) -> tuple[list[tuple[dict, int, int]], int, list]:
@@ -217,40 +293,102 @@ def _plain(data: bytes, at: int) -> tuple[list[tuple[dict, int, int]], int, list
     return [(record, at, end)], end, []
 
 
+def _in_pieces(pieces: Iterator[bytes]) -> Iterator[tuple]:
+    """What :func:`salvage` gives for a content that comes in pieces; held at a time are a piece
+    and the record that it belongs to."""
+    data, low, gap, reason = bytearray(), 0, None, ""
+    pieces = iter(pieces)
+    more = True
+    while True:
+        try:
+            record, end = _record(data, 0)
+        except Short as error:
+            fault, end = str(error), None
+            if more:
+                piece = next(pieces, None)
+                more = piece is not None
+                data += piece or b""
+                continue
+            if not data:
+                break
+        except Damaged as error:
+            fault, end = str(error), None
+        if end is None:
+            if gap is None:
+                gap, reason = low, fault
+            found = re.compile(rb"WARC/1\.").search(data, 1)
+            # The last bytes may begin a version line.
+            skip = found.start() if found else max(1, len(data) - 6) if more else len(data)
+            low += skip
+            del data[:skip]
+            continue
+        if gap is not None:
+            yield "gap", gap, low, reason
+            gap = None
+        yield "record", low, low + end, record
+        low += end
+        del data[:end]
+    if gap is not None:
+        yield "gap", gap, low, reason
+
+
 def _sound(data: bytes, at: int) -> tuple[list[tuple[dict, int, int]], int, list]:
     """Records of the record or member at a place, where it ends, and gaps within a member."""
     if data[at : at + 2] != b"\x1f\x8b":
         return _plain(data, at)
-    content, end = _member(data, at)
-    records, gaps = [], []
-    for kind, low, high, item in salvage(content, plain=True):
-        if kind == "record":
-            records.append((item, at, end))
-        else:
-            gaps.append((at, end, f"in a gzip member, bytes {low} to {high}: {item}"))
+    member = _Member(data, at)
+    found = list(_in_pieces(member))
+    end = member.end
+    records = [x[3] for x in found if x[0] == "record"]
+    if member.fault:
+        raise Damaged(member.fault, _before_damage(found))
     if not records:
         raise Damaged("gzip member without a record")
-    return records, end, gaps
+    gaps = [
+        (at, end, f"in a gzip member, bytes {low} to {high}: {reason}")
+        for kind, low, high, reason in found
+        if kind == "gap"
+    ]
+    return [(r, at, end) for r in records], end, gaps
+
+
+def _before_damage(found: list[tuple]) -> list[dict]:
+    """Records of a damaged member that surely lie before its damage: their digest holds, and
+    bytes that begin another record follow."""
+    records, upto = [], 0
+    for at, (kind, _, _, item) in enumerate(found):
+        if kind == "gap":
+            break
+        records.append(item)
+        follows = found[at + 1] if at + 1 < len(found) else None
+        if follows and (follows[0] == "record" or follows[3] != "no version line"):
+            upto = len(records)
+    return [r for r in records[:upto] if r["checked"]]
 
 
-def salvage(data: bytes, plain: bool = False) -> Iterator[tuple]:
-    """``("record", start, end, record)`` and ``("gap", start, end, reason)`` in file order."""
-    read = _plain if plain else _sound
+def salvage(data: bytes) -> Iterator[tuple]:
+    """``("record", start, end, record)`` and ``("gap", start, end, reason)`` in file order.
+
+    Records of a gzip member have the bytes of the member.  A gap over the bytes of a damaged one
+    follows the records that were saved of it.
+    """
     at = 0
     while at < len(data):
         try:
-            records, end, gaps = read(data, at)
+            records, end, gaps = _sound(data, at)
         except Damaged as error:
-            low, reason = at, str(error)
-            at = len(data)
+            low, at = at, len(data)
             for found in _CANDIDATE.finditer(data, low + 1):
                 try:
-                    read(data, found.start())
-                except Damaged:
-                    continue
+                    _sound(data, found.start())
+                except Damaged as other:
+                    if not other.records:
+                        continue
                 at = found.start()
                 break
-            yield "gap", low, at, reason
+            for record in error.records:
+                yield "record", low, at, record
+            yield "gap", low, at, str(error)
             continue
         for low, high, reason in gaps:
             yield "gap", low, high, reason
@@ -273,6 +411,7 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
 
     Digests are bare upper-case base 32; a revisit has those of what it revisits.  With
     ``payloads`` off payloads are read and checked but not returned.  Empty files have no rows.
+    An archive is read whole, so it must be below 2 GB; :func:`write_archives` makes small ones.
     """
     import pyarrow as pa
 

@@ -1,6 +1,7 @@
 import base64
 import gzip
 import hashlib
+import zlib
 
 from peakwise.llm import queries, warc
 from peakwise.session import shared_path
@@ -117,6 +118,59 @@ def test_damaged_gzip_members():
                          ["0", "2", "3", "gap 30", "5"])
 
 
+def test_records_before_the_damage_of_a_member():
+    """A member of many records, cut or flipped: whatever lies before the damage is there."""
+    records = [record(i, bytes(f"page {i} {hash(str(i))} " * 9, "ascii")) for i in range(100)]
+    whole = b"".join(records)
+    ends = [len(b"".join(records[: i + 1])) for i in range(100)]
+    packed = gzip.compress(whole)
+    for at in (len(packed) * 6 // 10, len(packed) // 4, len(packed) - 40):
+        sound = zlib.decompressobj(31).decompress(packed[:at])
+        n = sum(end <= len(sound) for end in ends)
+        flipped = bytearray(packed)
+        flipped[at] ^= 0x55
+        for damaged in (packed[:at], bytes(flipped)):
+            found = list(warc.salvage(damaged + RECORDS[5]))
+            ids = [int(f[3]["record_id"][10:-1]) for f in found if f[0] == "record"]
+            assert ids[:n] == list(range(n)) and n > 20 and ids[-1] == 5
+            assert any(f[0] == "gap" for f in found)
+            assert all(f[3]["payload"] in records[i] for f, i in zip(
+                [f for f in found if f[0] == "record"], ids[:n]))
+
+
+def test_members_in_small_pieces(monkeypatch):
+    monkeypatch.setattr(warc, "PIECE_BYTES", 7)
+    body = b"".join(RECORDS[:3]) + b"junk WARC/1." + RECORDS[3] + RECORDS[4][:-40] + RECORDS[5]
+    found = list(warc.salvage(gzip.compress(body)))
+    ids = [f[3]["record_id"][10:-1] for f in found if f[0] == "record"]
+    assert ids == ["0", "1", "2", "3", "5"]
+    assert [f[3].split(":")[0] for f in found if f[0] == "gap"] == [
+        f"in a gzip member, bytes {len(body[:a])} to {len(body[:b])}" for a, b in (
+            (body.index(b"junk"), body.index(b"junk") + 12),
+            (body.index(RECORDS[4][:-40]), body.index(RECORDS[5])))]
+    bomb = gzip.compress(record(1, bytes(30_000_000)) + record(2, b"x"))
+    monkeypatch.setattr(warc, "PIECE_BYTES", 1 << 20)
+    assert [f[3]["payload_bytes"] for f in warc.salvage(bomb)] == [30_000_000, 1]
+
+
+def test_payloads_are_not_shuffled_and_archives_stay_small(spark):
+    rows = [(i, "u", str(i) * 300) for i in range(400)]
+    frame = spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(2)
+    path = warc.write_archives(frame, shared_path(spark, "warc"), file_bytes=30_000)
+    sizes = [len(r.content) for r in spark.read.format("binaryFile").load(path).collect()]
+    assert len(sizes) > 12 and max(sizes) < 100_000
+    assert sorted(r[0] for r in read_back(spark, path)) == list(range(400))
+
+
+def test_half_of_the_rows_without_an_id(spark):
+    """Rows that repeat an id or have none are spread like any others."""
+    rows = [(None if i % 2 else 7, "u", "same") for i in range(1000)]
+    frame = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(4)
+    path = warc.write_archives(frame, shared_path(spark, "warc"), file_bytes=20_000)
+    assert spark.read.format("binaryFile").load(path).count() >= 4
+    assert sorted((tuple(r)[:5] for r in read_back(spark, path)), key=str) == expected(rows)
+
+
 def test_a_gap_in_a_table(spark):
     path = shared_path(spark, "warc")
     text = (RECORDS[0] + b"junk" + RECORDS[1]).decode()
