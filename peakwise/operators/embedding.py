@@ -7,8 +7,7 @@ worker, so weights are never broadcast or captured in a closure.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
-from functools import reduce
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -60,6 +59,16 @@ def embed_spectra(
     :data:`DENSE_ROWS` spectra at a time.  ``model_key`` lets tasks of later jobs reuse a
     loaded model; give each model its own.
     """
+    embed_udf = F.pandas_udf(
+        _embedder({"": load}, n_bins, dense, model_key), T.ArrayType(T.FloatType())
+    )
+    return df.withColumn("embedding", embed_udf("bins", F.lit("")))
+
+
+def _embedder(
+    loaders: Mapping[str, Callable], n_bins: int, dense: bool, model_key: str | None
+) -> Callable:
+    """Function of an iterator of series ``(bins, mode)``: embeddings by the mode's model."""
     import uuid
 
     key = model_key or uuid.uuid4().hex
@@ -70,30 +79,51 @@ def embed_spectra(
             row[bins] = 1.0
         return matrix
 
-    def embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        predict = _loaded(key, load)
-        for batch in batches:
-            bins = list(batch)
-            vectors: list[np.ndarray] = []
-            for start in range(0, len(bins), DENSE_ROWS):
-                chunk = bins[start : start + DENSE_ROWS]
-                vectors.extend(np.asarray(predict(densify(chunk) if dense else chunk), np.float32))
+    def embed(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for batch, modes in batches:
+            vectors: list[np.ndarray | None] = [None] * len(batch)
+            for mode in modes.unique():
+                predict = _loaded(f"{key}/{mode}", loaders[mode])
+                rows = np.flatnonzero(modes == mode)
+                for start in range(0, len(rows), DENSE_ROWS):
+                    some = rows[start : start + DENSE_ROWS]
+                    chunk = list(batch.iloc[some])
+                    found = np.asarray(predict(densify(chunk) if dense else chunk), np.float32)
+                    for row, vector in zip(some, found):
+                        vectors[row] = vector
             yield pd.Series(vectors)
 
-    embed_udf = F.pandas_udf(embed, T.ArrayType(T.FloatType()))
-    return df.withColumn("embedding", embed_udf("bins"))
+    return embed
 
 
-def embed_by_mode(df: DataFrame, loaders: dict[str, Callable], **options) -> DataFrame:
-    """:func:`embed_spectra` with one model per ``ion_mode``.
+def embed_by_mode(
+    df: DataFrame,
+    loaders: Mapping[str, Callable],
+    n_bins: int = 70_000,
+    dense: bool = True,
+    model_key: str | None = None,
+) -> DataFrame:
+    """:func:`embed_spectra` with one model per ``ion_mode``; rows of other modes are left out.
 
-    Reads ``df`` once per mode, so that no task needs both models; pass written features.
+    Rows are counted by mode and dealt to partitions that hold one mode each, as many as the
+    mode's share of the session's shuffle partitions, so that a task loads one model and
+    ``df`` is read once for the bins.  Pass written features.
     """
-    branches = [
-        embed_spectra(df.where(F.col("ion_mode") == mode), load, **options)
-        for mode, load in loaders.items()
-    ]
-    return reduce(DataFrame.unionByName, branches)
+    rows = df.where(F.col("ion_mode").isin(list(loaders)))
+    counts = {r.ion_mode: r["count"] for r in rows.groupBy("ion_mode").count().collect()}
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = partitions / max(1, sum(counts.values()))
+    to, first = F.lit(0), 0
+    for mode in loaders:
+        own = max(1, round(counts.get(mode, 0) * share))
+        place = F.pmod(F.monotonically_increasing_id(), F.lit(own)) + first
+        to = F.when(F.col("ion_mode") == mode, place).otherwise(to)
+        first += own
+    dealt = rows.withColumn("_to", to.cast("int")).repartitionById(first, "_to").drop("_to")
+    embed_udf = F.pandas_udf(
+        _embedder(loaders, n_bins, dense, model_key), T.ArrayType(T.FloatType())
+    )
+    return dealt.withColumn("embedding", embed_udf("bins", "ion_mode"))
 
 
 def _layer(lists, bins: np.ndarray, matrix: np.ndarray) -> np.ndarray:

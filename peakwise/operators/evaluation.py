@@ -1,4 +1,8 @@
-"""Retrieval accuracy from ranked candidates with a ``tanimoto`` to the true structure."""
+"""Retrieval accuracy from ranked candidates with a ``tanimoto`` to the true structure.
+
+``by`` names columns that results are kept apart by, such as the model of an evaluation of
+several.
+"""
 
 from __future__ import annotations
 
@@ -21,10 +25,12 @@ def with_tanimoto(ranked: DataFrame) -> DataFrame:
     )
 
 
-def first_hit_rank(ranked: DataFrame, threshold: float = MATCH_THRESHOLD) -> DataFrame:
+def first_hit_rank(
+    ranked: DataFrame, threshold: float = MATCH_THRESHOLD, by: tuple[str, ...] = ()
+) -> DataFrame:
     """Per query with candidates: the smallest rank up to five that is a structure match."""
     hit = same_structure(F.col("tanimoto"), threshold) & (F.col("rank") <= MAX_RANK)
-    return ranked.groupBy("spectrum_id").agg(
+    return ranked.groupBy(*by, "spectrum_id").agg(
         F.min(F.when(hit, F.col("rank"))).alias("hit_rank"),
         F.max("n_candidates").alias("n_candidates"),
     )
@@ -34,11 +40,11 @@ def with_bucket(hits: DataFrame) -> DataFrame:
     return hits.withColumn("bucket", F.coalesce(F.col("hit_rank"), F.lit(MISS)))
 
 
-def hit_histogram(hits: DataFrame) -> DataFrame:
+def hit_histogram(hits: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Queries and candidate-set sizes per bucket: ranks 1 to 5, misses in 11."""
     return (
         with_bucket(hits)
-        .groupBy("bucket")
+        .groupBy(*by, "bucket")
         .agg(
             F.count(F.lit(1)).alias("n_queries"),
             F.sum("n_candidates").alias("sum_candidates"),
@@ -48,15 +54,18 @@ def hit_histogram(hits: DataFrame) -> DataFrame:
     )
 
 
-def topk_accuracy(queries: DataFrame, hits: DataFrame) -> DataFrame:
+def topk_accuracy(
+    queries: DataFrame, hits: DataFrame, by: tuple[str, ...] = ()
+) -> DataFrame:
     """``(rank, hits, pct, cumulative_pct)`` for ranks 1 to 5 over all queries.
 
     Queries without a candidate only count in the denominator.
     """
     ranks = range(1, MAX_RANK + 1)
     totals = (
-        queries.select("spectrum_id")
-        .join(hits.select("spectrum_id", "hit_rank"), "spectrum_id", "left")
+        queries.select(*by, "spectrum_id")
+        .join(hits.select(*by, "spectrum_id", "hit_rank"), [*by, "spectrum_id"], "left")
+        .groupBy(*by)
         .agg(
             F.count(F.lit(1)).alias("n"),
             *[F.count_if(F.col("hit_rank") == r).alias(f"h{r}") for r in ranks],
@@ -73,21 +82,23 @@ def topk_accuracy(queries: DataFrame, hits: DataFrame) -> DataFrame:
             F.try_divide(up_to * 100.0, F.col("n")).alias("cumulative_pct"),
         )
 
-    return totals.select(F.inline(F.array(*[row(r) for r in ranks])))
+    return totals.select(*by, F.inline(F.array(*[row(r) for r in ranks])))
 
 
-def hit_detail(ranked: DataFrame, hits: DataFrame) -> DataFrame:
+def hit_detail(ranked: DataFrame, hits: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """The candidate each query is judged by: the hit, or rank 1 of a miss.
 
     ``inchikey`` and ``precursor_mz`` are kept for hits at rank 1 only.
     """
     chosen = with_bucket(hits).select(
+        *by,
         "spectrum_id",
         "bucket",
         F.coalesce(F.col("hit_rank"), F.lit(1)).alias("rank"),
     )
     first = F.col("bucket") == 1
-    return ranked.join(chosen, ["spectrum_id", "rank"]).select(
+    return ranked.join(chosen, [*by, "spectrum_id", "rank"]).select(
+        *by,
         "spectrum_id",
         "bucket",
         "smile",

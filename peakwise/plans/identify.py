@@ -10,8 +10,8 @@ has the wide form.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -292,3 +292,57 @@ def evaluate_retrieval(
         histogram=evaluation.hit_histogram(hits),
         detail=evaluation.hit_detail(ranked, hits),
     )
+
+
+@dataclass(frozen=True)
+class Model:
+    """A network and the library that its embeddings are compared with."""
+
+    load: Callable
+    library: DataFrame
+    options: Mapping[str, object] = field(default_factory=dict)
+
+
+def evaluate_models(
+    spectra: DataFrame,
+    molecules: DataFrame,
+    models: Mapping[str, Model],
+    work_path: str,
+    settings: Settings = Settings(),
+    threshold: float = evaluation.MATCH_THRESHOLD,
+) -> Retrieval:
+    """:func:`evaluate_retrieval` of several models, every result with a column ``model``.
+
+    Spectra are parsed, cleaned and encoded once, and their true structures and mass keys are
+    looked up once; each model then embeds the written features and ranks its own library.
+    """
+    by = ("model",)
+    cleaned = sound_spectra(cleaned_annotated(spectra, molecules, settings), work_path)
+    features = write_table(features_annotated(cleaned, settings), f"{work_path}/features")
+    heads = features.select("smile", "precursor")
+    truth = write_table(annotated_queries(heads, molecules, "+"), f"{work_path}/truth")
+    parts = []
+    for number, (name, model) in enumerate(models.items()):
+        path = f"{work_path}/predictions-{number}"
+        predictions = predict(features, model.load, path, settings, **model.options)
+        embedded = predictions.select(F.col("smile").alias("spectrum_id"), "embedding")
+        ranked = matching.top_candidates(
+            embedded.join(truth.select("spectrum_id", "mass_key"), "spectrum_id"),
+            masses.with_library_key(model.library, "+"),
+            evaluation.MAX_RANK,
+            library_columns=("smile", "inchikey", "precursor_mz", "fp_bits"),
+        )
+        parts.append(ranked.withColumn("model", F.lit(name)))
+    known = truth.select("spectrum_id", F.col("fp_bits").alias("ground_fp"))
+    ranked = evaluation.with_tanimoto(reduce(DataFrame.unionByName, parts).join(known, "spectrum_id"))
+    ranked = write_table(ranked, f"{work_path}/ranked", apart_by="model")
+    names = F.explode(F.array(*[F.lit(name) for name in models]))
+    queries = truth.select("spectrum_id", names.alias("model"))
+    hits = evaluation.first_hit_rank(ranked, threshold, by)
+    return Retrieval(
+        ranked=ranked,
+        hits=hits,
+        accuracy=evaluation.topk_accuracy(queries, hits, by),
+        histogram=evaluation.hit_histogram(hits, by),
+        detail=evaluation.hit_detail(ranked, hits, by),
+    )

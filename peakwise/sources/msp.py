@@ -114,8 +114,9 @@ def read_blocks(
     return blocks.select(F.struct("file", "start", "seq").alias("ordinal"), "block")
 
 
-def number_blocks(blocks: DataFrame) -> DataFrame:
-    """Blocks of :func:`read_blocks` with ``number``: 0, 1, ... in each file.
+def number_blocks(blocks: DataFrame, across_files: bool = False) -> DataFrame:
+    """Blocks of :func:`read_blocks` with ``number``: 0, 1, ... in each file, or in all files in
+    the order of their paths.
 
     The number is the one within the split plus the blocks of the splits before it, from one
     row per split; up to :data:`BROADCAST_SPLITS` of them are broadcast.  The first pass reads
@@ -125,7 +126,9 @@ def number_blocks(blocks: DataFrame) -> DataFrame:
     splits = blocks.groupBy(file.alias("_file"), start.alias("_start")).agg(
         (F.max(seq) + 1).alias("_n")
     )
-    before = Window.partitionBy("_file").orderBy("_start")
+    before = Window.orderBy("_file", "_start")
+    if not across_files:
+        before = Window.partitionBy("_file").orderBy("_start")
     before = before.rowsBetween(Window.unboundedPreceding, -1)
     splits = splits.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     splits = write_table(splits, shared_path(blocks.sparkSession, "splits"))

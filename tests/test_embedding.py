@@ -75,6 +75,22 @@ def test_model_per_ion_mode(spark):
     assert all(r.embedding == [1.0 if r.ion_mode == "+" else 2.0] for r in got)
 
 
+def test_tasks_hold_one_mode_and_features_are_read_once(spark, work):
+    _, df = features(spark, n=600)
+    mode = F.when(F.length("spectrum_id") == 2, "+").when(F.length("spectrum_id") == 3, "-")
+    df.withColumn("ion_mode", mode).write.parquet(work)
+    constant = lambda value: lambda: lambda bins: np.full((len(bins), 1), value)
+    loaders = {"+": constant(1.0), "-": constant(2.0)}
+    got = embedding.embed_by_mode(spark.read.parquet(work), loaders, n_bins=N_BINS, dense=False)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+    rows = got.withColumn("task", F.spark_partition_id()).collect()
+    assert len(rows) == 100  # those of neither mode are left out
+    assert len({r.task for r in rows}) == len({(r.task, r.ion_mode) for r in rows}) == 8
+    assert all(r.embedding == [1.0 if r.ion_mode == "+" else 2.0] for r in rows)
+    assert embedding.embed_by_mode(spark.read.parquet(work).limit(0), loaders).count() == 0
+
+
 def test_sparse_linear_broadcast_and_joined(spark, monkeypatch):
     rows, df = features(spark)
     rng = np.random.default_rng(4)

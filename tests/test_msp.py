@@ -201,6 +201,7 @@ def test_numbers_of_blocks_over_splits_and_batches(spark, tmp_path):
         blocks = msp.read_blocks(spark, str(tmp_path), msp.NAMED_TAG)
         assert blocks.select(F.spark_partition_id()).distinct().count() > 8
         numbered = msp.number_blocks(blocks).collect()
+        across = msp.number_blocks(blocks, across_files=True).collect()
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
@@ -211,6 +212,8 @@ def test_numbers_of_blocks_over_splits_and_batches(spark, tmp_path):
     assert got == {f: list(enumerate(names)) for f, names in expected.items() if names}
     in_order = sorted(numbered, key=lambda r: tuple(r.ordinal))
     assert [r.number for r in in_order] == [*range(150)] * 3
+    across.sort(key=lambda r: tuple(r.ordinal))
+    assert [r.number for r in across] == list(range(450))
 
 
 def test_repeated_tags_in_a_line_open_one_block(spark, tmp_path):

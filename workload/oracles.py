@@ -398,6 +398,11 @@ def oracles() -> dict[str, str]:
             "spectra",
             "order_peaks",
         ),
+        "block_numbers": _with(
+            """SELECT name AS spectrum_id, row_number() OVER (ORDER BY ordinal) - 1 AS number
+               FROM spectra""",
+            "spectra",
+        ),
         "msp_parse_annotated": _with(_MSP_ROWS.format(id="smile"), "spectra", "order_peaks"),
         "msp_parse_named": _with(
             _MSP_ROWS.format(id="name AS spectrum_id"), "spectra", "order_peaks"
@@ -620,6 +625,17 @@ def oracles() -> dict[str, str]:
             "annotated_hits",
             source="annotated_source",
         ),
+        "evaluate_models": " UNION ALL ".join(
+            f"SELECT '{name}' AS model, * FROM ("
+            + _with(
+                _ACCURACY.format(queries="annotated_queries", hits="annotated_hits"),
+                "annotated_queries",
+                "annotated_hits",
+                source="annotated_source",
+            ).replace("list(value ORDER BY dim)", f"list({sign}value ORDER BY dim)")
+            + ")"
+            for name, sign in (("vectors", ""), ("opposite", "-"))
+        ),
         "retrieval_histogram": _with(
             """SELECT coalesce(hit_rank, 11)::INTEGER AS bucket, count(*) AS n_queries,
                       sum(n_candidates)::BIGINT AS sum_candidates,

@@ -75,6 +75,15 @@ def _parsed_rows(parsed: DataFrame, key: str) -> DataFrame:
     )
 
 
+@query
+def block_numbers(spark, sf_dir):
+    blocks = msp.read_blocks(spark, views.named_msp(spark, sf_dir), msp.NAMED_TAG)
+    blocks = tables.write_table(blocks, shared_path(spark, "blocks"))
+    numbered = msp.number_blocks(blocks, across_files=True)
+    name = F.regexp_extract("block", r"Name: (\S+)", 1).alias("spectrum_id")
+    return numbered.select(name, "number")
+
+
 @query
 def msp_parse_annotated(spark, sf_dir):
     parsed = msp.read_annotated(spark, views.annotated_msp(spark, sf_dir))
@@ -688,6 +697,25 @@ def retrieval_detail(spark, sf_dir):
     return _rounded(_retrieval(spark, sf_dir).detail, "tanimoto", "cosine", "precursor_mz")
 
 
+@query
+def evaluate_models(spark, sf_dir):
+    """Two models over shared features; the second returns the opposite vectors."""
+    molecules = _molecule_table(spark, sf_dir)
+    models = {
+        name: identify.Model(
+            views.vector_model(spark, sf_dir, name == "opposite"), molecules, {"dense": False}
+        )
+        for name in ("vectors", "opposite")
+    }
+    retrieval = identify.evaluate_models(
+        msp.read_annotated(spark, views.annotated_msp(spark, sf_dir)),
+        molecules.select("smile", "inchikey", "exact_mass", "fp_bits"),
+        models,
+        shared_path(spark, "evaluation"),
+    )
+    return _accuracy(retrieval.accuracy)
+
+
 @query
 def identify_by_mode(spark, sf_dir):
     """Both ion modes in one job; the negative model returns the opposite vectors."""
