@@ -25,7 +25,7 @@ from peakwise.session import shared_path
 from peakwise.sources.tables import write_table
 
 #: Bytes of an archive, on average; the reader holds an archive in memory.
-FILE_BYTES = 32 << 20
+FILE_BYTES = 8 << 20
 
 #: Bytes of a record beside its payload, about.
 HEADER_BYTES = 512
