@@ -5,12 +5,14 @@ by position, make a hidden layer, and a two-level softmax over classes of tokens
 a class gives the token's probability.  The sum of the logarithms over a document is its
 score.
 
-The vocabulary holds the most frequent words of the whole corpus; other words share buckets,
-in which each is equally likely among the distinct words that the corpus has there.  Training
-runs where the documents are: in each round every partition trains on another share of its
-windows, in all rounds together on every window once, and the parameters are averaged by the
+The vocabulary holds the most frequent words of the whole corpus, as many as the square root of
+its distinct words and 1024 at least.  Other words share buckets; within its bucket a word has
+its share of the occurrences that the corpus has there, which a join with the word counts tells.
+
+Training runs where the documents are: in each round every partition trains on another share of
+its windows, in all rounds together on every window once, and the parameters are averaged by the
 number of windows.  Sums are of whole numbers, so that they do not depend on the order they
-arrive in.
+arrive in; the parameters do depend on how the rows are dealt to partitions.
 """
 
 from __future__ import annotations
@@ -22,16 +24,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peakwise.llm.worker import ranges, slices
+from peakwise.llm.worker import carried, ranges, slices
 from peakwise.session import shared_path
 from peakwise.sources.tables import write_table
 
+#: Classes of the smallest vocabulary; a class has as many tokens, and the last one is buckets.
 CLASSES = 32
-PER_CLASS = 32
-VOCABULARY = CLASSES * PER_CLASS
-BUCKETS = 32
-#: Ids past the vocabulary: the place before a document's first and after its last token.
-EDGE = VOCABULARY
+PER_CLASS = BUCKETS = CLASSES
+VOCABULARY = CLASSES * CLASSES
 
 WINDOW = (-2, -1, 1, 2)
 WIDTH = 16
@@ -39,9 +39,13 @@ HIDDEN = 32
 
 #: In each of so many rounds every so many-th window is trained on, another one each time.
 ROUNDS = 3
-BATCH = 2048
+#: Windows of a step, at first and after so many windows.
+BATCH, LATER_BATCH, LATER = 2048, 8192, 1 << 17
 RATE = 0.15
 
+#: Logarithms of odds count up to this, so that their exponentials stay finite.
+MOST = 60.0
+
 #: Bytes of texts or ids that a task works on at a time.
 SLICE_BYTES = 4 << 20
 
@@ -70,8 +74,8 @@ def words_of(texts):
     return words.filter(full), np.diff(upto[offsets - offsets[0]])
 
 
-def buckets(words) -> np.ndarray:
-    """Bucket of each word of an Arrow array, by a weighted sum of its bytes."""
+def buckets(words, n: int = BUCKETS) -> np.ndarray:
+    """Bucket, of ``n``, of each word of an Arrow array, by a weighted sum of its bytes."""
     if not len(words):
         return np.empty(0, np.int64)
     words = words.cast("binary")
@@ -82,7 +86,7 @@ def buckets(words) -> np.ndarray:
     weights = np.random.default_rng(3).integers(1, 1 << 40, 61, dtype=np.uint64)
     total = np.add.reduceat(values * weights[place % 61], cuts[:-1] - cuts[0])
     mixed = total * np.uint64(0x9E3779B97F4A7C15)
-    return ((mixed >> np.uint64(32)) % np.uint64(BUCKETS)).astype(np.int64)
+    return ((mixed >> np.uint64(32)) % np.uint64(n)).astype(np.int64)
 
 
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -100,21 +104,28 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
                 total = pa.concat_tables(parts).group_by("word").aggregate([("n", "sum")])
                 yield from total.select(["word", "n_sum"]).rename_columns(["word", "n"]).to_batches()
 
-    return docs.select(text).mapInArrow(count, "word string, n bigint").groupBy("word").agg(
+    rows = docs.select(F.col(f"`{text}`"))
+    return rows.mapInArrow(count, "word string, n bigint").groupBy("word").agg(
         F.sum("n").alias("n")
     )
 
 
 class Vocabulary:
-    """Ids of the most frequent words, then of the buckets, and the distinct words of each
-    bucket."""
+    """Ids of the most frequent words, then of the buckets, and the number of occurrences that
+    other words have in each bucket."""
 
-    def __init__(self, words: list[str], distinct: np.ndarray):
-        self.words = words
-        self.distinct = np.maximum(distinct, 1)
+    def __init__(self, words: list[str], totals: np.ndarray):
+        self.words, self.totals = words, totals
+        self.classes = len(totals)
+        self.type = "<u2" if self.classes**2 < 1 << 16 else "<u4"
 
     def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """Ids of an Arrow array of texts, one after the other, and how many each text has."""
+        return self.with_rest(texts)[:2]
+
+    def with_rest(self, texts) -> tuple[np.ndarray, np.ndarray, list[tuple]]:
+        """Ids and counts as :meth:`encode`, and ``(row, word, n)`` of words without an id, in
+        three Arrow arrays."""
         import pyarrow as pa
         import pyarrow.compute as pc
 
@@ -122,99 +133,135 @@ class Vocabulary:
         coded = words.dictionary_encode()
         at = pc.index_in(coded.dictionary, value_set=pa.array(self.words, pa.string()))
         ids = at.fill_null(-1).to_numpy().astype(np.int64)
-        unknown = coded.dictionary.filter(at.is_null())
-        ids[ids < 0] = VOCABULARY - BUCKETS + buckets(unknown)
-        return ids[coded.indices.to_numpy()].astype("<u2"), counts
+        unknown = np.flatnonzero(ids < 0)
+        rest = coded.dictionary.take(pa.array(unknown))
+        ids[unknown] = self.classes * (self.classes - 1) + buckets(rest, self.classes)
+        index = coded.indices.to_numpy().astype(np.int64)
+        place = np.full(len(ids), -1)
+        place[unknown] = np.arange(len(unknown))
+        row = np.repeat(np.arange(len(counts)), counts)
+        found = place[index] >= 0
+        pair, n = np.unique(row[found] * len(ids) + place[index][found], return_counts=True)
+        own = [pa.array(pair // max(1, len(ids))), rest.take(pa.array(pair % max(1, len(ids)))),
+               pa.array(n)]
+        return ids[index].astype(self.type), counts, own
 
 
 def fit_vocabulary(counts: DataFrame) -> Vocabulary:
     """From all word counts; the vocabulary's words and one number per bucket reach the
-    driver."""
+    driver, the square root of the number of distinct words."""
     import pyarrow as pa
 
-    top = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY - BUCKETS)
+    classes = max(CLASSES, round(counts.count() ** 0.25))
+    top = counts.orderBy(F.desc("n"), "word").limit(classes * (classes - 1))
     words = [r["word"] for r in top.collect()]
 
     def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(BUCKETS, dtype=np.int64)
+        total = np.zeros(classes, dtype=np.int64)
         for batch in batches:
-            total += np.bincount(buckets(batch.column(0)), minlength=BUCKETS)
+            unknown = pa.compute.is_in(batch.column(0), value_set=pa.array(words, pa.string()))
+            rest = batch.filter(pa.compute.invert(unknown))
+            np.add.at(total, buckets(rest.column(0), classes), rest.column(1).to_numpy())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(BUCKETS)), pa.array(total)], names=["slot", "n"]
+            [pa.array(np.arange(classes)), pa.array(total)], names=["slot", "n"]
         )
 
-    rows = counts.select("word").mapInArrow(sizes, "slot bigint, n bigint")
+    rows = counts.select("word", "n").mapInArrow(sizes, "slot bigint, n bigint")
     found = rows.groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    distinct = np.zeros(BUCKETS, dtype=np.int64)
-    distinct[found["slot"].to_numpy()] = found["n"].to_numpy()
-    distinct -= np.bincount(buckets(pa.array(words, pa.string())), minlength=BUCKETS)
-    return Vocabulary(words, distinct)
+    totals = np.zeros(classes, dtype=np.int64)
+    totals[found["slot"].to_numpy()] = found["n"].to_numpy()
+    return Vocabulary(words, totals)
 
 
 class Network:
-    """Parameters as one vector, with named views."""
-
-    SHAPES = {
-        "embedding": (VOCABULARY + 1, WIDTH),
-        "position": (len(WINDOW), WIDTH, HIDDEN),
-        "hidden": (HIDDEN,),
-        "classes": (HIDDEN, CLASSES),
-        "class_bias": (CLASSES,),
-        "members": (CLASSES, HIDDEN, PER_CLASS),
-        "member_bias": (CLASSES, PER_CLASS),
-    }
-    SIZE = sum(int(np.prod(s)) for s in SHAPES.values())
-
-    def __init__(self, values: np.ndarray):
-        self.values = values
+    """Parameters as one vector, with named views.  The id past the last token stands for the
+    places before a document's first and after its last token."""
+
+    def __init__(self, values: np.ndarray | None, classes: int = CLASSES):
+        shapes = {
+            "embedding": (classes * classes + 1, WIDTH),
+            "position": (len(WINDOW), WIDTH, HIDDEN),
+            "hidden": (HIDDEN,),
+            "classes": (HIDDEN, classes),
+            "class_bias": (classes,),
+            "members": (classes, HIDDEN, classes),
+            "member_bias": (classes, classes),
+        }
+        self.n_classes = classes
+        self.SIZE = sum(int(np.prod(s)) for s in shapes.values())
+        self.values = np.zeros(self.SIZE, dtype=np.float32) if values is None else values
         at = 0
-        for name, shape in self.SHAPES.items():
+        for name, shape in shapes.items():
             size = int(np.prod(shape))
-            setattr(self, name, values[at : at + size].reshape(shape))
+            setattr(self, name, self.values[at : at + size].reshape(shape))
             at += size
 
     @classmethod
-    def fresh(cls, seed: int = 11) -> Network:
+    def fresh(cls, seed: int = 11, classes: int = CLASSES) -> Network:
         rng = np.random.default_rng(seed)
-        net = cls(np.zeros(cls.SIZE, dtype=np.float32))
+        net = cls(None, classes)
         for name in ("embedding", "position", "classes", "members"):
             part = getattr(net, name)
             part[...] = rng.normal(0, 0.3 if name != "embedding" else 0.5, part.shape)
         return net
 
+    def _by_class(self, target: np.ndarray):
+        """Order of the rows by class, the cuts between classes, classes and members in it."""
+        cls = target // self.n_classes
+        order = np.argsort(cls.astype(np.uint16), kind="stable")
+        cuts = np.searchsorted(cls.take(order), np.arange(self.n_classes + 1))
+        return order, cuts, cls, target.take(order) % self.n_classes
+
+    def _members(self, hidden: np.ndarray, order: np.ndarray, cuts: np.ndarray):
+        """Hidden rows in the order of classes, and logits of the members of their classes."""
+        ordered = hidden.take(order, axis=0)
+        logits = np.empty((len(order), self.n_classes), dtype=np.float32)
+        for c in np.flatnonzero(np.diff(cuts)):
+            rows = slice(cuts[c], cuts[c + 1])
+            np.matmul(ordered[rows], self.members[c], out=logits[rows])
+        logits += np.repeat(self.member_bias, np.diff(cuts), axis=0)
+        return ordered, logits
+
     def train(self, context: np.ndarray, target: np.ndarray, squares: np.ndarray) -> None:
         """One step of adaptive gradient descent over a batch."""
-        grad = Network(np.zeros(self.SIZE, dtype=np.float32))
-        total = self.hidden + (self.embedding @ self.position[0])[context[:, 0]]
+        grad = Network(None, self.n_classes)
+        columns = [np.ascontiguousarray(context[:, p]) for p in range(len(WINDOW))]
+        total = (self.embedding @ self.position[0]).take(columns[0], axis=0)
+        total += self.hidden
         for p in range(1, len(WINDOW)):
-            total += (self.embedding @ self.position[p])[context[:, p]]
+            total += (self.embedding @ self.position[p]).take(columns[p], axis=0)
         hidden = np.tanh(total, out=total)
-        cls, member = target // PER_CLASS, target % PER_CLASS
+        order, cuts, cls, member = self._by_class(target)
         error = _softmax(hidden @ self.classes + self.class_bias)
         error[np.arange(len(target)), cls] -= 1
         grad.classes[...] = hidden.T @ error
         grad.class_bias[...] = error.sum(axis=0)
         back = error @ self.classes.T
-        order = np.argsort(cls, kind="stable")
-        cuts = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-        for c in np.unique(cls):
-            rows = order[cuts[c] : cuts[c + 1]]
-            error = _softmax(hidden[rows] @ self.members[c] + self.member_bias[c])
-            error[np.arange(len(rows)), member[rows]] -= 1
-            grad.members[c] = hidden[rows].T @ error
-            grad.member_bias[c] = error.sum(axis=0)
-            back[rows] += error @ self.members[c].T
-        back *= 1 - hidden * hidden
+        # Rows of a class lie side by side in these.
+        ordered, error = self._members(hidden, order, cuts)
+        error = _softmax(error)
+        error[np.arange(len(target)), member] -= 1
+        within = np.empty_like(hidden)
+        seen = np.flatnonzero(np.diff(cuts))
+        for c in seen:
+            rows = slice(cuts[c], cuts[c + 1])
+            np.matmul(ordered[rows].T, error[rows], out=grad.members[c])
+            np.matmul(error[rows], self.members[c].T, out=within[rows])
+        grad.member_bias[seen] = np.add.reduceat(error, cuts[seen], axis=0)
+        back[order] += within
+        hidden *= hidden
+        back *= 1 - hidden
         grad.hidden[...] = back.sum(axis=0)
-        for p in range(len(WINDOW)):
-            token = context[:, p].astype(np.uint16)
+        for p, token in enumerate(columns):
+            if self.n_classes**2 < 1 << 16:
+                token = token.astype(np.uint16)  # these are sorted by their digits
             order = np.argsort(token, kind="stable")
-            token = token[order]
+            token = token.take(order)
             first = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
             # Sums by the token there: the embedding is common to all its windows.
-            sums = np.add.reduceat(back[order], first, axis=0)
-            token = token[first]
-            grad.position[p] = self.embedding[token].T @ sums
+            sums = np.add.reduceat(back.take(order, axis=0), first, axis=0)
+            token = token.take(first).astype(np.int64)
+            grad.position[p] = self.embedding.take(token, axis=0).T @ sums
             grad.embedding[token] += sums @ self.position[p].T
         grad.values /= len(target)
         squares += grad.values * grad.values
@@ -226,69 +273,76 @@ class Network:
         result = np.empty(len(places))
         for start in range(0, len(places), CHUNK):
             at = places[start : start + CHUNK]
-            total = pushed[0][padded[at + WINDOW[0]]] + self.hidden
+            total = pushed[0].take(padded.take(at + WINDOW[0]), axis=0)
+            total += self.hidden
             for p in range(1, len(WINDOW)):
-                total += pushed[p][padded[at + WINDOW[p]]]
+                total += pushed[p].take(padded.take(at + WINDOW[p]), axis=0)
             hidden = np.tanh(total, out=total)
-            target = padded[at].astype(np.int64)
-            cls, member = target // PER_CLASS, target % PER_CLASS
-            logits = hidden @ self.classes + self.class_bias
+            order, cuts, cls, member = self._by_class(padded.take(at).astype(np.int64))
+            logits = _bounded(hidden @ self.classes + self.class_bias)
             part = logits[np.arange(len(at)), cls] - _log_sum(logits)
-            order = np.argsort(cls, kind="stable")
-            cuts = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-            for c in range(CLASSES):
-                rows = order[cuts[c] : cuts[c + 1]]
-                if len(rows):
-                    logits = hidden[rows] @ self.members[c] + self.member_bias[c]
-                    part[rows] += logits[np.arange(len(rows)), member[rows]] - _log_sum(logits)
+            _, logits = self._members(hidden, order, cuts)
+            _bounded(logits)
+            within = logits[np.arange(len(at)), member] - _log_sum(logits)
+            part[order] += within
             result[start : start + CHUNK] = part
         return result
 
 
+def _bounded(logits: np.ndarray) -> np.ndarray:
+    return np.clip(logits, -MOST, MOST, out=logits)
+
+
 def _softmax(logits: np.ndarray) -> np.ndarray:
-    logits -= logits.max(axis=1, keepdims=True)
-    np.exp(logits, out=logits)
-    logits /= logits.sum(axis=1, keepdims=True)
+    np.exp(_bounded(logits), out=logits)
+    logits /= (logits @ np.ones(logits.shape[1], logits.dtype))[:, None]
     return logits
 
 
 def _log_sum(logits: np.ndarray) -> np.ndarray:
-    top = logits.max(axis=1)
-    return top + np.log(np.exp(logits - top[:, None]).sum(axis=1))
+    """Logarithm of the sum of the exponentials; the logits are left as they are."""
+    return np.log(np.exp(logits) @ np.ones(logits.shape[1], logits.dtype))
 
 
-def _padded(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _padded(
+    rows: list[bytes], kind: str = "<u2", edge: int = VOCABULARY
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Tokens of documents with two edges around each, the places of the tokens, and how many
     each document has."""
-    edge = np.full(2, EDGE, dtype=np.int64)
-    ids = [np.frombuffer(r, "<u2").astype(np.int64) for r in rows]
-    counts = np.array([len(i) for i in ids], dtype=np.int64)
-    padded = np.concatenate([edge, *(x for i in ids for x in (i, edge))])
-    return padded, np.flatnonzero(padded != EDGE), counts
+    counts = np.array([len(r) for r in rows], dtype=np.int64) // np.dtype(kind).itemsize
+    padded = np.full(counts.sum() + 2 * (len(counts) + 1), edge, dtype=np.int32)
+    places = np.arange(counts.sum()) + 2 * np.repeat(np.arange(1, len(counts) + 1), counts)
+    padded[places] = np.frombuffer(b"".join(rows), kind)
+    return padded, places, counts
 
 
-def _train_round(encoded: DataFrame, start: np.ndarray, turn: int, rounds: int) -> np.ndarray:
+def _train_round(
+    encoded: DataFrame, start: np.ndarray, vocabulary: Vocabulary, turn: int, rounds: int
+) -> np.ndarray:
     """Parameters averaged over what every partition makes of ``start`` on its windows of a
     round: of every ``rounds`` the one at ``turn``."""
     import pyarrow as pa
 
+    classes, kind = vocabulary.classes, vocabulary.type
+
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = Network(start.copy())
-        squares = np.full(Network.SIZE, 0.01, dtype=np.float32)
+        net = Network(start.copy(), classes)
+        squares = np.full(net.SIZE, 0.01, dtype=np.float32)
         seen = 0
-        rest = (np.empty((0, len(WINDOW)), np.int64), np.empty(0, np.int64))
+        rest = (np.empty((0, len(WINDOW)), np.int32), np.empty(0, np.int32))
         for batch in (part for whole in batches for part in slices(whole, 0, SLICE_BYTES)):
-            padded, places, _ = _padded(batch.column(0).to_pylist())
+            padded, places, _ = _padded(batch.column(0).to_pylist(), kind, classes * classes)
             at = places[turn::rounds]
-            context = np.stack([padded[at + w] for w in WINDOW], axis=1)
+            context = np.stack([padded.take(at + w) for w in WINDOW], axis=1)
             context = np.concatenate([rest[0], context])
-            target = np.concatenate([rest[1], padded[at]])
+            target = np.concatenate([rest[1], padded.take(at)])
             # Neighbouring windows differ little: a batch takes them from all over.
-            full = len(target) // BATCH * BATCH
+            size = BATCH if seen < LATER else LATER_BATCH
+            full = len(target) // size * size
             mixed = np.random.default_rng(turn).permutation(full)
-            for cut in range(0, full, BATCH):
-                some = mixed[cut : cut + BATCH]
-                net.train(context[some], target[some], squares)
+            for cut in range(0, full, size):
+                some = mixed[cut : cut + size]
+                net.train(context.take(some, axis=0), target.take(some), squares)
             seen += full
             rest = context[full:], target[full:]
         if len(rest[1]):
@@ -308,11 +362,22 @@ def _train_round(encoded: DataFrame, start: np.ndarray, turn: int, rounds: int)
     if not len(sums):
         return start
     at, total = sums["at"].to_numpy(), sums["total"].to_numpy()
-    result = np.zeros(Network.SIZE + 1)
+    result = np.zeros(len(start) + 1)
     result[at + 1] = total
     return (result[1:] / result[0] * UNIT).astype(np.float32)
 
 
+def _shares(encoded: DataFrame, counts: DataFrame) -> DataFrame:
+    """``(row, share)``: the sum over the words without an id of a document of the logarithms of
+    their counts.  Words are joined once per document; those of every bucket are many, so no
+    word is a hot key."""
+    words = encoded.select("row", F.explode("rest").alias("word")).select("row", "word.*")
+    found = words.join(counts.select("word", F.log("n").alias("log_n")), "word")
+    # Whole numbers, so that the order of the sum does not matter.
+    part = F.rint(F.col("log_n") / UNIT).cast("bigint") * F.col("k")
+    return found.groupBy("row").agg((F.sum(part) * F.lit(UNIT)).alias("share"))
+
+
 def score_documents(
     docs: DataFrame, text: str = "text", rounds: int = ROUNDS
 ) -> DataFrame:
@@ -326,50 +391,66 @@ def score_documents(
     import pyarrow as pa
 
     spark = docs.sparkSession
-    made = ("ids", "n_tokens", "log_prob", "mean_log_prob")
-    names = [c for c in docs.columns if c not in (text, *made)]
+    packed, unpacked = carried(docs, text, "n_tokens", "log_prob", "mean_log_prob")
     counts = write_table(word_counts(docs, text), shared_path(spark, "word-counts"))
     vocabulary = fit_vocabulary(counts)
-    schema = docs.select(*names).schema
+    classes, kind = vocabulary.classes, vocabulary.type
+    width = np.dtype(kind).itemsize
+    element = pa.struct([("word", pa.string()), ("k", pa.int64())])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in slices(whole, "__text", SLICE_BYTES)):
-            ids, counts = vocabulary.encode(batch.column("__text"))
-            raw, ends = ids.tobytes(), np.cumsum(2 * counts.astype(np.int64)).tolist()
+        for batch in (part for whole in batches for part in slices(whole, 0, SLICE_BYTES)):
+            ids, n, (row, word, k) = vocabulary.with_rest(batch.column(0))
+            raw, ends = ids.tobytes(), np.cumsum(width * n.astype(np.int64)).tolist()
             cut = [raw[i:j] for i, j in zip([0, *ends[:-1]], ends)]
-            columns = [batch.column(c) for c in names] + [pa.array(cut, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*names, "ids"])
+            cuts = np.searchsorted(row.to_numpy(), np.arange(len(n) + 1)).astype(np.int32)
+            words = pa.StructArray.from_arrays([word, k], fields=list(element))
+            rest = pa.ListArray.from_arrays(pa.array(cuts), words)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[1:], pa.array(cut, pa.binary()), rest],
+                names=[*batch.schema.names[1:], "ids", "rest"],
+            )
 
-    encoded = docs.select(*names, F.col(text).alias("__text")).mapInArrow(
-        encode, T.StructType([*schema.fields, T.StructField("ids", T.BinaryType())])
-    )
+    rows = docs.select(F.col(f"`{text}`").alias("__text"), *packed)
+    carried_fields = rows.drop("__text").schema.fields
+    schema = T.StructType([*carried_fields, T.StructField("ids", T.BinaryType())])
+    with_rest = T.StructType([*schema.fields, T.StructField("rest", T.ArrayType(T.StructType([
+        T.StructField("word", T.StringType()), T.StructField("k", T.LongType())])))])
+    encoded = rows.mapInArrow(encode, with_rest).withColumn("row", F.monotonically_increasing_id())
     encoded = write_table(encoded, shared_path(spark, "lm-ids"))
-    values = Network.fresh().values
+    values = Network.fresh(classes=classes).values
     for turn in range(rounds):
-        values = _train_round(encoded, values, turn, rounds)
-
-    share = -np.log(vocabulary.distinct)
-    extra = np.concatenate([np.zeros(VOCABULARY - BUCKETS), share])
+        values = _train_round(encoded, values, vocabulary, turn, rounds)
+    extra = np.zeros(classes * classes)
+    extra[classes * (classes - 1) :] = -np.log(np.maximum(vocabulary.totals, 1))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = Network(values)
+        net = Network(values, classes)
         for batch in (part for whole in batches for part in slices(whole, "ids", SLICE_BYTES)):
-            padded, places, n = _padded(batch.column("ids").to_pylist())
+            ids = batch.column("ids").to_pylist()
+            padded, places, n = _padded(ids, kind, classes * classes)
             found = net.log_probabilities(padded, places) + extra[padded[places]]
             ends = np.concatenate([[0], np.cumsum(found)])[np.cumsum(n)]
-            sums = np.diff(ends, prepend=0.0)
-            columns = [batch.column(c) for c in names]
-            columns += [pa.array(n), pa.array(np.where(n > 0, sums, 0.0))]
-            yield pa.RecordBatch.from_arrays(columns, names=[*names, "n_tokens", "log_prob"])
+            sums = np.where(n > 0, np.diff(ends, prepend=0.0), 0.0)
+            at = batch.schema.get_field_index("ids")
+            columns = [c for i, c in enumerate(batch.columns) if i != at]
+            names = [c for c in batch.schema.names if c != "ids"]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array(n), pa.array(sums)], names=[*names, "n_tokens", "within"]
+            )
 
-    scored = encoded.mapInArrow(
+    scored = encoded.drop("rest").mapInArrow(
         score,
         T.StructType([
-            *schema.fields,
+            *carried_fields,
+            T.StructField("row", T.LongType()),
             T.StructField("n_tokens", T.LongType()),
-            T.StructField("log_prob", T.DoubleType()),
+            T.StructField("within", T.DoubleType()),
         ]),
     )
-    return scored.withColumn(
-        "mean_log_prob", F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens"))
+    scored = scored.join(_shares(encoded, counts), "row", "left")
+    log_prob = F.col("within") + F.coalesce("share", F.lit(0.0))
+    mean = F.when(F.col("n_tokens") > 0, log_prob / F.col("n_tokens"))
+    return scored.select(
+        *unpacked, "n_tokens", log_prob.alias("log_prob"), mean.alias("mean_log_prob")
     )

@@ -1,4 +1,6 @@
 import math
+import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -128,3 +130,116 @@ def test_every_window_is_trained_on(spark):
 
 def test_counterparts_are_sql():
     assert all(isinstance(sql, str) for sql in queries.ORACLES.values())
+
+
+def by_hand(texts):
+    """Scores of documents in one partition from the definitions, one window at a time."""
+    def words(text):
+        return re.findall(r"\w+|[^\w\s]+", (text or "").lower())
+
+    counts = Counter(w for t in texts for w in words(t))
+    top = sorted(counts, key=lambda w: (-counts[w], w))[: lm_score.VOCABULARY - lm_score.BUCKETS]
+    place = {w: i for i, w in enumerate(top)}
+    slot = {w: int(lm_score.buckets(pa.array([w]))[0]) for w in counts if w not in place}
+    total = Counter()
+    for w, b in slot.items():
+        total[b] += counts[w]
+    ids = [[place.get(w, lm_score.VOCABULARY - lm_score.BUCKETS + slot.get(w, 0)) for w in words(t)]
+           for t in texts]
+    edge = lm_score.VOCABULARY
+    windows = []
+    for doc in ids:
+        padded = [edge] * 2 + doc + [edge] * 2
+        windows += [([padded[i + 2 + w] for w in lm_score.WINDOW], doc[i]) for i in range(len(doc))]
+    net = lm_score.Network.fresh()
+
+    def forward(context):
+        hidden = net.hidden + sum(net.embedding[c] @ net.position[p] for p, c in enumerate(context))
+        return np.tanh(hidden)
+
+    def softmax(x):
+        e = np.exp(x - x.max())
+        return e / e.sum()
+
+    for turn in range(lm_score.ROUNDS):
+        net = lm_score.Network(net.values.copy())
+        squares = np.full(net.SIZE, 0.01, np.float64)
+        own = windows[turn :: lm_score.ROUNDS]
+        full = len(own) // lm_score.BATCH * lm_score.BATCH
+        order = list(np.random.default_rng(turn).permutation(full))
+        batches = [order[i : i + lm_score.BATCH] for i in range(0, full, lm_score.BATCH)]
+        batches.append(list(range(full, len(own))))
+        for batch in filter(None, batches):
+            grad = lm_score.Network(np.zeros(net.SIZE))
+            for context, target in (own[i] for i in batch):
+                hidden = forward(context)
+                c, m = divmod(target, lm_score.PER_CLASS)
+                outer, inner = softmax(hidden @ net.classes + net.class_bias), softmax(
+                    hidden @ net.members[c] + net.member_bias[c])
+                outer[c] -= 1
+                inner[m] -= 1
+                grad.classes += np.outer(hidden, outer)
+                grad.class_bias += outer
+                grad.members[c] += np.outer(hidden, inner)
+                grad.member_bias[c] += inner
+                back = (outer @ net.classes.T + inner @ net.members[c].T) * (1 - hidden**2)
+                grad.hidden += back
+                for p, token in enumerate(context):
+                    grad.position[p] += np.outer(net.embedding[token], back)
+                    grad.embedding[token] += net.position[p] @ back
+            step = grad.values / len(batch)
+            squares += step**2
+            net.values -= (lm_score.RATE * step / np.sqrt(squares + 1e-8)).astype(np.float32)
+    result = []
+    at = 0
+    for t, doc in zip(texts, ids):
+        score = 0.0
+        for w, target in zip(words(t), doc):
+            hidden = forward(windows[at][0])
+            at += 1
+            c, m = divmod(target, lm_score.PER_CLASS)
+            score += math.log(softmax(hidden @ net.classes + net.class_bias)[c])
+            score += math.log(softmax(hidden @ net.members[c] + net.member_bias[c])[m])
+            if w in slot:
+                score += math.log(counts[w] / total[slot[w]])
+        result.append((len(doc), score))
+    return result
+
+
+def test_whole_operator_against_brute_force(spark):
+    """Vocabulary, order of training steps, parameters and scores, with more distinct words than
+    the vocabulary holds and steps of more than a batch."""
+    rng = np.random.default_rng(12)
+    texts = []
+    for i in range(60):
+        rare = [f"rare{int(x)}" for x in rng.integers(0, 900, 60)]
+        usual = [f"w{int(x)}" for x in rng.integers(0, 400, 140)]
+        texts.append(" ".join(rng.permutation(usual + rare)) + ("! é" if i % 7 else ""))
+    texts += [None, "", "rare1 rare1 once-only"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").coalesce(1)
+    found = {r.doc_id: (r.n_tokens, r.log_prob) for r in lm_score.score_documents(docs).collect()}
+    wanted = by_hand(texts)
+    for i, (n, score) in enumerate(wanted):
+        assert found[i][0] == n
+        assert math.isclose(found[i][1], score, rel_tol=2e-4, abs_tol=1e-6), i
+
+
+def test_the_vocabulary_grows_with_the_distinct_words(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "CLASSES", 3)
+    docs = spark.range(3000).selectExpr("id", "concat('w', id, ' ', 'w', id div 2, ' x.y') AS `a.b`")
+    counts = lm_score.word_counts(docs.withColumnRenamed("a.b", "text"))
+    vocabulary = lm_score.fit_vocabulary(counts)
+    assert vocabulary.classes == round(counts.count() ** 0.25) > 5
+    assert len(vocabulary.words) == vocabulary.classes * (vocabulary.classes - 1)
+    total = {r["word"]: r["n"] for r in counts.collect()}
+    rest = [w for w in total if w not in set(vocabulary.words)]
+    assert vocabulary.totals.sum() == sum(total[w] for w in rest)
+    scored = lm_score.score_documents(docs, text="a.b").collect()
+    assert len(scored) == 3000 and all(r.log_prob < 0 and r.n_tokens == 5 for r in scored)
+
+
+def test_columns_with_dots_and_ids(spark):
+    docs = spark.createDataFrame([(1, "x", "a b", [7])], "`a.b` int, row string, text string, ids array<int>")
+    got = lm_score.score_documents(docs)
+    assert got.columns == ["a.b", "row", "ids", "n_tokens", "log_prob", "mean_log_prob"]
+    assert got.first()[:4] == (1, "x", [7], 2)
