@@ -104,7 +104,7 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
                 total = pa.concat_tables(parts).group_by("word").aggregate([("n", "sum")])
                 yield from total.select(["word", "n_sum"]).rename_columns(["word", "n"]).to_batches()
 
-    rows = docs.select(F.col(f"`{text}`"))
+    rows = docs.select(F.col(f"`{text}`").alias("text"))
     return rows.mapInArrow(count, "word string, n bigint").groupBy("word").agg(
         F.sum("n").alias("n")
     )
