@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from peakwise.llm.components import connected_components
-from peakwise.llm.worker import merged, ranges
+from peakwise.llm.worker import carried, merged, ranges
 from peakwise.session import shared_path
 from peakwise.sources.tables import write_table
 
@@ -44,7 +44,8 @@ class Tiles:
     """Axes and a tree whose leaves are tiles, numbered from left to right."""
 
     def __init__(self, sample: np.ndarray, n_tiles: int, threshold: float):
-        unit = sample / np.linalg.norm(sample, axis=1, keepdims=True)
+        unit = _scaled(sample)
+        unit /= np.linalg.norm(unit, axis=1, keepdims=True)
         _, axes = np.linalg.eigh(unit.T @ unit)
         self.axes = np.ascontiguousarray(axes[:, ::-1])
         self.threshold = threshold
@@ -68,8 +69,8 @@ class Tiles:
                 left = np.zeros(0, dtype=bool)
             rows[2 * node + 1], rows[2 * node + 2] = own[left], own[~left]
 
-    def turned(self, raw: np.ndarray) -> np.ndarray:
-        return raw / np.linalg.norm(raw, axis=1, keepdims=True) @ self.axes
+    def turned(self, scaled: np.ndarray) -> np.ndarray:
+        return scaled / np.linalg.norm(scaled, axis=1, keepdims=True) @ self.axes
 
     def home(self, turned: np.ndarray) -> np.ndarray:
         node = np.zeros(len(turned), dtype=np.int64)
@@ -80,22 +81,38 @@ class Tiles:
         return node - ((1 << self.depth) - 1)
 
     def near(self, turned: np.ndarray, home: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and the tiles after their own that may hold a partner."""
+        """Rows and the tiles after their own that may hold a partner: those whose box is within
+        reach.  What a vector lacks to the box on each axis is known from the cuts passed."""
+        axes, column = np.unique(self.axis, return_inverse=True)
         row = np.arange(len(turned))
         node = np.zeros(len(turned), dtype=np.int64)
+        lack = np.zeros((len(turned), len(axes)))
         for _ in range(self.depth):
             value = turned[row, self.axis[node]] - self.cut[node]
-            left, right = value <= self.reach, value >= -self.reach
-            row = np.concatenate([row[left], row[right]])
-            node = np.concatenate([2 * node[left] + 1, 2 * node[right] + 2])
+            every, own = np.arange(len(row)), column.ravel()[node]
+            sides = []
+            for side, beyond in ((1, value), (2, -value)):
+                lacking = lack.copy()
+                lacking[every, own] = np.maximum(lacking[every, own], beyond)
+                close = np.square(lacking).sum(axis=1) <= self.reach**2
+                sides.append((row[close], 2 * node[close] + side, lacking[close]))
+            row, node, lack = (np.concatenate(x) for x in zip(*sides))
         tile = node - ((1 << self.depth) - 1)
         later = tile > home[row]
         return row[later], tile[later]
 
 
+def _scaled(raw: np.ndarray) -> np.ndarray:
+    """Vectors times powers of two that bring their largest component near one, so that no
+    square is lost or infinite.  Nothing is rounded but what is too small to matter."""
+    return np.ldexp(raw, -np.frexp(np.abs(raw).max(axis=1, keepdims=True))[1])
+
+
 def _matrix(column) -> np.ndarray:
+    """Scaled vectors of an Arrow column, as doubles."""
     flat = column.combine_chunks() if hasattr(column, "combine_chunks") else column
-    return flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(flat), -1)
+    values = flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return _scaled(values.reshape(len(flat), -1)) if len(flat) else values.reshape(0, 1)
 
 
 def _spread(tiles: Tiles, parts: np.ndarray):
@@ -264,9 +281,8 @@ def _links(distinct: DataFrame, n: int, width: int, threshold: float) -> DataFra
     sizes = sizes.groupBy("tile").agg(F.sum("n").alias("n")).toArrow()
     parts = np.ones(1 << tiles.depth, dtype=np.int64)
     parts[sizes["tile"].to_numpy()] = np.maximum(1, sizes["n"].to_numpy() // (2 * TILE_ROWS))
-    schema = (
-        "tile bigint, part bigint, kind int, uid bigint, n bigint, embedding array<float>"
-    )
+    vector = distinct.schema["embedding"].dataType.simpleString()
+    schema = f"tile bigint, part bigint, kind int, uid bigint, n bigint, embedding {vector}"
     sent = distinct.select("uid", "n", "embedding").mapInArrow(_spread(tiles, parts), schema)
     sent = sent.repartition("tile", "part").sortWithinPartitions("tile", "part", "kind")
     return sent.mapInArrow(_compare(tiles), "a bigint, b bigint, copies bigint")
@@ -280,7 +296,7 @@ def embedding_components(
 ) -> DataFrame:
     """``vectors`` without the embedding, with ``n_links``, ``component_id`` and ``kept``.
 
-    Vectors link when their cosine is ``threshold`` or more (above 0).  ``n_links`` counts the
+    Vectors link when their cosine, in double precision, is ``threshold`` or more (above 0).  ``n_links`` counts the
     other rows a row links with, copies included; ``component_id`` is the smallest id reachable
     over links and ``kept`` marks its row.  Vectors that are null, empty or zero, or hold a null
     or non-finite component, link with nothing and are kept; so are, among themselves, vectors
@@ -290,18 +306,20 @@ def embedding_components(
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be above 0 and at most 1")
     spark = vectors.sparkSession
-    made = ("n_links", "component_id", "kept")
-    names = [c for c in vectors.columns if c not in (embedding, *made)]
-    value = F.col(embedding).cast("array<float>")
+    packed, unpacked = carried(vectors, embedding, "n_links", "component_id", "kept")
+    kind = vectors.select(F.col(f"`{embedding}`")).schema[0].dataType.simpleString()
+    value = F.col(f"`{embedding}`").cast("array<float>" if kind == "array<float>" else "array<double>")
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
     sound = F.coalesce(
         F.forall(value, finite) & F.exists(value, lambda x: x != 0), F.lit(False)
     )
-    rows = vectors.select(*names, F.when(sound, value).alias("_vector"))
+    rows = vectors.select(
+        *packed, F.col(f"`{vec_id}`").alias("_id"), F.when(sound, value).alias("_vector")
+    )
     distinct = (
         rows.where("_vector is not null")
         .groupBy("_vector")
-        .agg(F.count(F.lit(1)).alias("n"), F.min(vec_id).alias("_least"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min("_id").alias("_least"))
         .select(
             F.monotonically_increasing_id().alias("uid"),
             "n",
@@ -339,10 +357,10 @@ def embedding_components(
     )
     joined = rows.join(classes, "_vector", "left")
     lone = F.col("_vector").isNull()
-    component = F.when(lone, F.col(vec_id)).otherwise(F.col("component_id"))
+    component = F.when(lone, F.col("_id")).otherwise(F.col("component_id"))
     return joined.select(
-        *names,
+        *unpacked,
         F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
         component.alias("component_id"),
-        F.coalesce(component == F.col(vec_id), F.lit(False)).alias("kept"),
+        F.coalesce(component == F.col("_id"), F.lit(False)).alias("kept"),
     )
