@@ -11,13 +11,14 @@ has the wide form.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peakwise.functions.binning import grid_size
+from peakwise.plans import resumable
 from peakwise.operators import embedding, evaluation, masses, matching, peak_rows, pooling, records
 from peakwise.session import shared_path
 from peakwise.sources.tables import write_table
@@ -30,6 +31,9 @@ class Settings:
     max_mz: float = records.MAX_MZ
     intensity_threshold: float = records.INTENSITY_THRESHOLD
     top_n: int = 5
+    #: Parts that predictions are written in.  A job run again on its ``work_path`` goes on with
+    #: those that are missing; 0 writes all at once, and a job cannot be run again there.
+    parts: int = 0
 
     @property
     def n_bins(self) -> int:
@@ -40,11 +44,22 @@ class Settings:
 BROADCAST_ROWS = 8_000_000
 
 
+def _check_inputs(spectra: DataFrame, work_path: str, settings: Settings) -> None:
+    """Refuse to go on in a ``work_path`` that holds results of other files or settings."""
+    if settings.parts:
+        resumable.check_manifest(
+            spectra.sparkSession,
+            f"{work_path}/manifest",
+            settings=asdict(settings),
+            inputs=sorted(spectra.inputFiles()),
+        )
+
+
 def _malformed(spectra: DataFrame) -> Column:
     return F.col("_corrupt").isNotNull() if "_corrupt" in spectra.columns else F.lit(False)
 
 
-def sound_spectra(spectra: DataFrame, work_path: str) -> DataFrame:
+def sound_spectra(spectra: DataFrame, work_path: str, resume: bool = False) -> DataFrame:
     """Spectra without the malformed blocks, whose text goes to ``work_path/rejected``.
 
     One pass over the input writes both to ``work_path/spectra``, apart by a flag, so that
@@ -53,10 +68,10 @@ def sound_spectra(spectra: DataFrame, work_path: str) -> DataFrame:
     flagged = spectra.withColumns(
         {"_row": F.monotonically_increasing_id(), "_malformed": _malformed(spectra).cast("int")}
     )
-    flagged = write_table(flagged, f"{work_path}/spectra", apart_by="_malformed")
+    flagged = write_table(flagged, f"{work_path}/spectra", "_malformed", resume)
     if "_corrupt" in spectra.columns:
         rejected = flagged.where("_malformed = 1").select("ordinal", "_corrupt")
-        write_table(rejected, f"{work_path}/rejected")
+        write_table(rejected, f"{work_path}/rejected", resume=resume)
     return flagged.where("_malformed = 0").drop("_malformed", "_corrupt")
 
 
@@ -127,16 +142,27 @@ def features_unannotated(
     this is called.
     """
     path = work_path or shared_path(spectra.sparkSession, "unannotated")
-    return first_features(sound_spectra(_cleaned(spectra, settings, "spectrum_id"), path), settings)
+    cleaned = _cleaned(spectra, settings, "spectrum_id")
+    return first_features(sound_spectra(cleaned, path, settings.parts > 0), settings)
 
 
 def predict(
     features: DataFrame, load: Callable, work_path: str, settings: Settings, **model: object
 ) -> DataFrame:
-    """Embed and write predictions; the bins stay behind."""
-    embedded = embedding.embed_spectra(features, load, n_bins=settings.n_bins, **model)
-    drop = [c for c in ("bins", "mz", "ints") if c in embedded.columns]
-    return write_table(embedded.drop(*drop), work_path)
+    """Embed and write predictions; the bins stay behind.
+
+    In ``settings.parts`` parts, what is finished depends on the settings, on ``model_key`` and
+    on the input files as far as ``features`` shows them.
+    """
+    drop = [c for c in ("bins", "mz", "ints") if c in features.columns]
+
+    def embed(rows: DataFrame) -> DataFrame:
+        return embedding.embed_spectra(rows, load, n_bins=settings.n_bins, **model).drop(*drop)
+
+    if not settings.parts:
+        return write_table(embed(features), work_path)
+    facts = {"settings": asdict(settings), "model": model.get("model_key")}
+    return resumable.predict_in_parts(features, embed, work_path, settings.parts, **facts)
 
 
 def predict_annotated(
@@ -148,7 +174,9 @@ def predict_annotated(
     **model: object,
 ) -> DataFrame:
     """Clean, pool, encode and embed; cleaned spectra and predictions are written."""
-    cleaned = sound_spectra(cleaned_annotated(spectra, molecules, settings), work_path)
+    _check_inputs(spectra, work_path, settings)
+    cleaned = cleaned_annotated(spectra, molecules, settings)
+    cleaned = sound_spectra(cleaned, work_path, settings.parts > 0)
     features = features_annotated(cleaned, settings)
     return predict(features, load, f"{work_path}/predictions", settings, **model)
 
@@ -170,9 +198,8 @@ def identify_annotated(
     identified by its ``smile``.
     """
     predictions = predict_annotated(spectra, molecules, load, work_path, settings, **model)
-    queries = write_table(
-        annotated_queries(predictions, molecules, ion_mode), f"{work_path}/queries"
-    )
+    queries = annotated_queries(predictions, molecules, ion_mode)
+    queries = write_table(queries, f"{work_path}/queries", resume=settings.parts > 0)
     keyed = masses.with_library_key(library, ion_mode)
     ranked = matching.top_candidates(
         queries,
@@ -235,6 +262,7 @@ def identify_unannotated(
     **model: object,
 ) -> DataFrame:
     """Ranked candidates of unannotated spectra."""
+    _check_inputs(spectra, work_path, settings)
     predictions = predict(
         features_unannotated(spectra, settings, work_path),
         load,
@@ -270,9 +298,8 @@ def evaluate_retrieval(
 ) -> Retrieval:
     """Top-1 to top-5 accuracy of annotated spectra, masses always in positive mode."""
     predictions = predict_annotated(spectra, molecules, load, work_path, settings, **model)
-    queries = write_table(
-        annotated_queries(predictions, molecules, "+"), f"{work_path}/queries"
-    )
+    queries = annotated_queries(predictions, molecules, "+")
+    queries = write_table(queries, f"{work_path}/queries", resume=settings.parts > 0)
     keyed = masses.with_library_key(library, "+")
     ranked = matching.top_candidates(
         queries,
@@ -281,9 +308,8 @@ def evaluate_retrieval(
         library_columns=("smile", "inchikey", "precursor_mz", "fp_bits"),
     )
     truth = queries.select("spectrum_id", F.col("fp_bits").alias("ground_fp"))
-    ranked = write_table(
-        evaluation.with_tanimoto(ranked.join(truth, "spectrum_id")), f"{work_path}/ranked"
-    )
+    ranked = evaluation.with_tanimoto(ranked.join(truth, "spectrum_id"))
+    ranked = write_table(ranked, f"{work_path}/ranked", resume=settings.parts > 0)
     hits = evaluation.first_hit_rank(ranked, threshold)
     return Retrieval(
         ranked=ranked,
@@ -317,10 +343,13 @@ def evaluate_models(
     looked up once; each model then embeds the written features and ranks its own library.
     """
     by = ("model",)
-    cleaned = sound_spectra(cleaned_annotated(spectra, molecules, settings), work_path)
-    features = write_table(features_annotated(cleaned, settings), f"{work_path}/features")
-    heads = features.select("smile", "precursor")
-    truth = write_table(annotated_queries(heads, molecules, "+"), f"{work_path}/truth")
+    resume = settings.parts > 0
+    _check_inputs(spectra, work_path, settings)
+    cleaned = sound_spectra(cleaned_annotated(spectra, molecules, settings), work_path, resume)
+    features = features_annotated(cleaned, settings)
+    features = write_table(features, f"{work_path}/features", resume=resume)
+    truth = annotated_queries(features.select("smile", "precursor"), molecules, "+")
+    truth = write_table(truth, f"{work_path}/truth", resume=resume)
     parts = []
     for number, (name, model) in enumerate(models.items()):
         path = f"{work_path}/predictions-{number}"
@@ -335,7 +364,7 @@ def evaluate_models(
         parts.append(ranked.withColumn("model", F.lit(name)))
     known = truth.select("spectrum_id", F.col("fp_bits").alias("ground_fp"))
     ranked = evaluation.with_tanimoto(reduce(DataFrame.unionByName, parts).join(known, "spectrum_id"))
-    ranked = write_table(ranked, f"{work_path}/ranked", apart_by="model")
+    ranked = write_table(ranked, f"{work_path}/ranked", "model", resume)
     names = F.explode(F.array(*[F.lit(name) for name in models]))
     queries = truth.select("spectrum_id", names.alias("model"))
     hits = evaluation.first_hit_rank(ranked, threshold, by)

@@ -37,17 +37,28 @@ def read_library(
     )
 
 
-def write_table(df: DataFrame, path: str, apart_by: str | None = None) -> DataFrame:
+def finished(spark: SparkSession, path: str) -> bool:
+    """Whether a writer committed a table to ``path``."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+
+
+def write_table(
+    df: DataFrame, path: str, apart_by: str | None = None, resume: bool = False
+) -> DataFrame:
     """Write Parquet and return a frame that reads it back.
 
     Used for features and for predictions: it cuts the lineage, so neither parsing nor
     inference runs again for the next stage or after a lost executor.  Rows with different
     values of ``apart_by`` lie in folders of their own, and a filter on it skips the others'.
+    With ``resume`` a table that an earlier run finished is read back as it is, and one that it
+    left unfinished is replaced.
     """
-    writer = df.write.mode("errorifexists")
-    if apart_by:
-        writer = writer.partitionBy(apart_by)
-    writer.parquet(path)
+    if not (resume and finished(df.sparkSession, path)):
+        writer = df.write.mode("overwrite" if resume else "errorifexists")
+        if apart_by:
+            writer = writer.partitionBy(apart_by)
+        writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 

@@ -429,6 +429,9 @@ def oracles() -> dict[str, str]:
         "predictions_checkpoint": _with(
             f"SELECT id AS spectrum_id, len_frag, {_VECTOR_SUMS} FROM vector_sums", "vector_sums"
         ),
+        "predictions_resumed": _with(
+            f"SELECT id AS spectrum_id, len_frag, {_VECTOR_SUMS} FROM vector_sums", "vector_sums"
+        ),
         "ion_mode_route": _with(
             """SELECT name AS spectrum_id, CASE WHEN status = 'F' THEN '-' ELSE '+' END AS ion_mode,
                       round(precursor, 6) AS precursor, count(mz)::INTEGER AS n_peaks

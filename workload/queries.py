@@ -181,6 +181,21 @@ def predictions_checkpoint(spark, sf_dir):
     return _vector_summary(predictions, "spectrum_id", "len_frag")
 
 
+@query
+def predictions_resumed(spark, sf_dir):
+    """Predictions in parts, read back by a second run whose model cannot be loaded."""
+    features = tables.write_table(
+        _row_features(spark, sf_dir), shared_path(spark, "features")
+    )
+    path = shared_path(spark, "predictions")
+    settings = identify.Settings(parts=4)
+    model = {"dense": False, "model_key": "vectors"}
+    load = views.vector_model(spark, sf_dir)
+    identify.predict(features, load, path, settings, **model)
+    again = identify.predict(features, views.unloadable, path, settings, **model)
+    return _vector_summary(again, "spectrum_id", "len_frag")
+
+
 def _both_modes(spark, sf_dir) -> DataFrame:
     return msp.union_ion_modes(
         msp.read_named(spark, views.named_msp(spark, sf_dir, "+")),

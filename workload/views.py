@@ -156,6 +156,11 @@ class VectorWeights:
         return predict
 
 
+def unloadable() -> Callable:
+    """Loader of a model that is not there."""
+    raise FileNotFoundError("no model")
+
+
 def vector_model(spark: SparkSession, sf_dir: str, negated: bool = False) -> Callable:
     """The model of the test tables; the negative one returns the opposite."""
     return (NegatedWeights if negated else VectorWeights)(written_weights(spark, sf_dir))
