@@ -10,7 +10,10 @@ vectors and the columns that decide ties; the rest is joined to the ranked rows.
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -246,36 +249,163 @@ def top_candidates(
     The keys of both frames are read ahead of the rest, when this is called.  Pass written
     tables when the frames are costly.
     """
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    order = [
-        c
-        for c in library_columns
-        if not isinstance(library.schema[c].dataType, (T.ArrayType, T.MapType, T.StructType))
-    ]
+    order = _tie_columns(library, library_columns)
     later = [c for c in library_columns if c not in order]
-    q = queries.select("spectrum_id", "mass_key", "embedding")
-    lib = library.select("library_id", *order, "mass_key", "embedding").where(
-        F.col("mass_key").isNotNull()
+    kept = ["library_id", *order] if later else order
+    best = _best_of_tiles(queries, library, n, order, kept, tile_rows)
+    ranked = _ranked(best, n, order)
+    if query_columns:
+        ranked = ranked.join(queries.select("spectrum_id", *query_columns), "spectrum_id")
+    if later:
+        ranked = ranked.join(library.select("library_id", *later), "library_id")
+    return ranked.select(
+        "spectrum_id", *query_columns, "n_candidates", *library_columns, "cosine", "rank"
     )
-    q, lib = _tiles(q, lib, tile_rows)
+
+
+def _tie_columns(library: DataFrame, columns: Iterable[str]) -> list[str]:
+    """Those of ``columns`` that ties are ordered by: all that are no collections."""
+    collections = (T.ArrayType, T.MapType, T.StructType)
+    return [c for c in columns if not isinstance(library.schema[c].dataType, collections)]
+
+
+def _best_of_groups(
+    q: DataFrame, lib: DataFrame, keys: list[str], n: int, order: list[str], kept: list[str]
+) -> DataFrame:
+    """The best ``n`` of each query in each group of ``keys``, with the library's ``kept``
+    columns and ``cosine``."""
+    from pyspark.sql.pandas.types import to_arrow_schema
 
     kept_q = ["spectrum_id", "n_candidates"]
-    kept_l = ["library_id", *order] if later else order
     fields = [T.StructField(c, q.schema[c].dataType) for c in kept_q]
-    fields += [T.StructField(c, lib.schema[c].dataType) for c in kept_l]
+    fields += [T.StructField(c, lib.schema[c].dataType) for c in kept]
     schema = T.StructType([*fields, T.StructField("cosine", T.DoubleType())])
-    rank_tile = _tile_ranker(n, kept_q, kept_l, order, to_arrow_schema(schema))
-    tile = ["_tile", "_q", "_l"]
-    best = q.groupBy(*tile).cogroup(lib.groupBy(*tile)).applyInArrow(rank_tile, schema)
+    rank_tile = _tile_ranker(n, kept_q, kept, order, to_arrow_schema(schema))
+    return q.groupBy(*keys).cogroup(lib.groupBy(*keys)).applyInArrow(rank_tile, schema)
+
+
+def _best_of_tiles(
+    queries: DataFrame, library: DataFrame, n: int, order: list[str], kept: list[str], tile_rows: int
+) -> DataFrame:
+    own = dict.fromkeys(["library_id", *order, *kept, "mass_key", "embedding"])
+    lib = library.select(*own).where(F.col("mass_key").isNotNull())
+    q, lib = _tiles(queries.select("spectrum_id", "mass_key", "embedding"), lib, tile_rows)
+    return _best_of_groups(q, lib, ["_tile", "_q", "_l"], n, order, kept)
+
+
+def _ranked(best: DataFrame, n: int, order: list[str]) -> DataFrame:
     by_cosine = Window.partitionBy("spectrum_id").orderBy(
         F.col("cosine").desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in order]
     )
-    ranked = best.withColumn("rank", F.row_number().over(by_cosine)).where(F.col("rank") <= n)
+    return best.withColumn("rank", F.row_number().over(by_cosine)).where(F.col("rank") <= n)
+
+
+#: Column of a laid-out library that names the slot of a mass.
+SLOT = "mass_slot"
+
+
+def write_by_mass(
+    library: DataFrame, path: str, tile_rows: int = TILE_ROWS, buckets: int | None = None
+) -> None:
+    """Lay out a keyed library below ``path`` for :func:`top_of_laid_out`.
+
+    Masses of up to ``tile_rows`` molecules are packed into slots of about as many rows, and the
+    table is bucketed and sorted by slot, so that jobs read it where it lies; there are as many
+    buckets as the session's shuffle partitions, or as slots if those are fewer.  Larger masses
+    have a table of their own, ``masses`` counts all, and molecules without a mass are left out.
+    """
+    spark = library.sparkSession
+    keyed = library.where(F.col("mass_key").isNotNull())
+    sizes = keyed.groupBy("mass_key").agg(F.count(F.lit(1)).alias("n_candidates"))
+    sizes = write_table(sizes, f"{path}/masses")
+    large = sizes.where(F.col("n_candidates") > tile_rows).select("mass_key")
+    rows = sizes.where(F.col("n_candidates") <= tile_rows).agg(F.sum("n_candidates")).first()[0]
+    slots = max(1, -(-(rows or 0) // tile_rows))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = min(slots, buckets or partitions)
+    write_table(keyed.join(large, "mass_key", "left_semi"), f"{path}/large")
+    ordinary = keyed.join(large, "mass_key", "left_anti").withColumn(SLOT, _slot(slots))
+    (
+        ordinary.repartition(buckets, SLOT)
+        .write.format("parquet")
+        .bucketBy(buckets, SLOT)
+        .sortBy(SLOT, "mass_key")
+        .option("path", f"{path}/ordinary")
+        .saveAsTable(_table_name(path))
+    )
+    facts = [(slots, buckets, tile_rows, ordinary.schema.json())]
+    facts = spark.createDataFrame(facts, "slots bigint, buckets int, tile_rows int, schema string")
+    facts.coalesce(1).write.parquet(f"{path}/layout")
+
+
+def _slot(slots: int):
+    return F.pmod(F.xxhash64("mass_key"), F.lit(slots))
+
+
+def _table_name(path: str) -> str:
+    return f"peakwise_library_{hashlib.sha1(path.encode()).hexdigest()[:24]}"
+
+
+def _laid_out(spark, path: str):
+    """The bucketed table, which a session that did not write it learns of here, and the facts
+    of the layout."""
+    facts = spark.read.parquet(f"{path}/layout").first()
+    name = _table_name(path)
+    if not spark.catalog.tableExists(name):
+        schema = T.StructType.fromJson(json.loads(facts.schema))
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        spark.sql(
+            f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({SLOT}) "
+            f"SORTED BY ({SLOT}, mass_key) INTO {facts.buckets} BUCKETS LOCATION '{path}/ordinary'"
+        )
+    return spark.table(name), facts
+
+
+def top_of_laid_out(
+    queries: DataFrame,
+    path: str,
+    n: int = 5,
+    query_columns: tuple[str, ...] = (),
+    library_columns: tuple[str, ...] = ("smile", "inchikey"),
+) -> DataFrame:
+    """:func:`top_candidates` against a library of :func:`write_by_mass`; only queries move.
+
+    Queries go to the buckets of their slots, where the library's rows are read.  Masses that
+    are large on either side are cut into tiles as ever, and only their molecules are moved.
+    The masses of the queries are counted and written when this is called.
+    """
+    spark = queries.sparkSession
+    library, facts = _laid_out(spark, path)
+    order = _tie_columns(library, library_columns)
+    kept = list(library_columns)
+    sizes = spark.read.parquet(f"{path}/masses")
+    asked = queries.groupBy("mass_key").agg(F.count(F.lit(1)).alias("_nq")).join(sizes, "mass_key")
+    asked = write_table(asked, shared_path(spark, "asked-masses"))
+    tiled = (F.col("_nq") > facts.tile_rows) | (F.col("n_candidates") > facts.tile_rows)
+    few = asked.count() <= BROADCAST_KEYS
+    marked = F.broadcast(asked) if few else asked
+    q = queries.select("spectrum_id", "mass_key", "embedding")
+    parts = []
+    if asked.where(~tiled).limit(1).count():
+        own = q.join(marked.where(~tiled), "mass_key").withColumn(SLOT, _slot(facts.slots))
+        own = own.withColumn("_q", F.lit(-1))
+        rows = library.select(*dict.fromkeys([*order, *kept, "mass_key", "embedding", SLOT]))
+        if few:  # a broadcast leaves the library's rows where they are
+            rows = rows.join(marked.where(~tiled).select("mass_key"), "mass_key", "left_semi")
+        parts.append(_best_of_groups(own, rows, [SLOT], n, order, kept))
+    if asked.where(tiled).limit(1).count():
+        masses = asked.where(tiled).select("mass_key")
+        large = spark.read.parquet(f"{path}/large")
+        rows = large.unionByName(library.drop(SLOT)).join(masses, "mass_key", "left_semi")
+        own = q.join(masses, "mass_key", "left_semi")
+        parts.append(_best_of_tiles(own, rows, n, order, kept, facts.tile_rows))
+    if not parts:
+        none = q.limit(0).join(sizes, "mass_key")
+        parts = [_best_of_groups(none.withColumns({SLOT: F.lit(0).cast("bigint"), "_q": F.lit(-1)}),
+                                 library.limit(0), [SLOT], n, order, kept)]
+    ranked = _ranked(reduce(DataFrame.unionByName, parts), n, order)
     if query_columns:
         ranked = ranked.join(queries.select("spectrum_id", *query_columns), "spectrum_id")
-    if later:
-        ranked = ranked.join(library.select("library_id", *later), "library_id")
     return ranked.select(
         "spectrum_id", *query_columns, "n_candidates", *library_columns, "cosine", "rank"
     )

@@ -253,7 +253,7 @@ def identify_by_mode(
 
 def identify_unannotated(
     spectra: DataFrame,
-    library: DataFrame,
+    library: DataFrame | str,
     load: Callable,
     work_path: str,
     ion_mode: str = "+",
@@ -261,7 +261,11 @@ def identify_unannotated(
     key_mode: str = "truncate",
     **model: object,
 ) -> DataFrame:
-    """Ranked candidates of unannotated spectra."""
+    """Ranked candidates of unannotated spectra.
+
+    ``library`` is a frame, or the path of one that :func:`peakwise.operators.matching.write_by_mass`
+    laid out with the keys of the ion mode; jobs that share one then move queries only.
+    """
     _check_inputs(spectra, work_path, settings)
     predictions = predict(
         features_unannotated(spectra, settings, work_path),
@@ -271,6 +275,8 @@ def identify_unannotated(
         **model,
     )
     queries = masses.with_measured_mass_key(predictions, key_mode)
+    if isinstance(library, str):
+        return matching.top_of_laid_out(queries, library, settings.top_n)
     keyed = masses.with_library_key(library, ion_mode)
     return matching.top_candidates(queries, keyed, settings.top_n)
 

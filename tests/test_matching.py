@@ -186,3 +186,33 @@ def test_library_layouts(spark, work):
     library = tables.read_library(spark, work, tables.CHEMBERTA_COLUMNS)
     assert library.columns == ["library_id", "smile", "embedding", "inchikey"]
     assert library.first().embedding == [1.0, 2.0]
+
+
+@pytest.mark.parametrize("tile_rows", [5, 37, 4096])
+def test_a_laid_out_library_equals_brute_force(spark, work, tile_rows):
+    queries, library = data()
+    matching.write_by_mass(spark.createDataFrame(library, LIBRARY), work, tile_rows, buckets=3)
+    asked = spark.createDataFrame(queries, QUERY)
+    for n in (1, 40):
+        same(ranked(matching.top_of_laid_out(asked, work, n)), brute(queries, library, n))
+    # Another session knows the files only.
+    spark.sql(f"DROP TABLE {matching._table_name(work)}")
+    same(ranked(matching.top_of_laid_out(asked, work)), brute(queries, library, 5))
+    unmatched = asked.where("mass_key is null or mass_key = 99")
+    assert matching.top_of_laid_out(unmatched, work).count() == 0
+
+
+def test_rows_of_a_laid_out_library_are_not_moved(spark, work):
+    queries, library = data(hot=False)
+    columns = "library_id long, smile string, inchikey string, mass_key long, embedding array<float>, fp_bits array<int>"
+    rows = [(*r, [1, 2]) for r in library]
+    matching.write_by_mass(spark.createDataFrame(rows, columns), work, 40, buckets=3)
+    asked = spark.createDataFrame(queries, QUERY)
+    top = matching.top_of_laid_out(asked, work, library_columns=("smile", "inchikey", "fp_bits"))
+    assert all(r.fp_bits == [1, 2] for r in top.collect())
+    plan = top._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    side = plan[plan.index("FlatMapCoGroupsInArrow"):]
+    # The library is the second side of the cogroup: no shuffle between it and its scan.
+    library_side = side[side.rindex("hashpartitioning(mass_slot"):]
+    assert "Bucketed: true" in library_side and library_side.count("Exchange hashpartitioning") == 0
+    assert plan.count("Exchange hashpartitioning(mass_slot") == 1

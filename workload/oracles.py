@@ -566,6 +566,12 @@ def oracles() -> dict[str, str]:
                FROM vector_ranked WHERE rank <= 5""",
             "vector_ranked",
         ),
+        "topn_laid_out": _with(
+            """SELECT spectrum_id, rank::INTEGER AS rank, smile, n_candidates,
+                      round(cosine, 6) AS cosine
+               FROM vector_ranked WHERE rank <= 5""",
+            "vector_ranked",
+        ),
         "wide_annotated": _with(_wide("vector_top", _ANNOTATED), "vector_top"),
         "wide_unannotated": _with(_wide("vector_ranked", _UNANNOTATED), "vector_ranked"),
         "first_hit_rank": _with(
@@ -622,6 +628,9 @@ def oracles() -> dict[str, str]:
         "identify_unannotated": _with(
             _wide("named_ranked", _UNANNOTATED), "named_ranked", source="named_source"
         ),
+        "identify_laid_out": _with(
+            _wide("named_ranked", _UNANNOTATED), "named_ranked", source="named_source"
+        ),
         "evaluate_retrieval": _with(
             _ACCURACY.format(queries="annotated_queries", hits="annotated_hits"),
             "annotated_queries",

@@ -553,6 +553,16 @@ def topn_candidates(spark, sf_dir):
     return _ranked_columns(_vector_top(spark, sf_dir, 5))
 
 
+@query
+def topn_laid_out(spark, sf_dir):
+    """The same from a library laid out by mass, in slots of few rows."""
+    path = shared_path(spark, "library")
+    matching.write_by_mass(views.vector_library(spark, sf_dir), path, tile_rows=64)
+    return _ranked_columns(
+        matching.top_of_laid_out(views.vector_queries(spark, sf_dir), path, 5)
+    )
+
+
 def _vector_ranked(spark, sf_dir) -> DataFrame:
     """Top five with the similarity to the true structure."""
     ranked = _vector_top(
@@ -685,6 +695,22 @@ def identify_unannotated(spark, sf_dir):
     return matching.wide_unannotated(_rounded(ranked, "cosine"))
 
 
+@query
+def identify_laid_out(spark, sf_dir):
+    """The same against a library laid out by mass."""
+    path = shared_path(spark, "library")
+    keyed = masses.with_library_key(_molecule_table(spark, sf_dir), "+")
+    matching.write_by_mass(keyed, path)
+    ranked = identify.identify_unannotated(
+        msp.read_named(spark, views.named_msp(spark, sf_dir)),
+        path,
+        views.vector_model(spark, sf_dir),
+        shared_path(spark, "predictions"),
+        dense=False,
+    )
+    return matching.wide_unannotated(_rounded(ranked, "cosine"))
+
+
 def _retrieval(spark, sf_dir) -> identify.Retrieval:
     molecules = _molecule_table(spark, sf_dir)
     return identify.evaluate_retrieval(
