@@ -12,6 +12,10 @@ Walks start at every word, forwards over the start of an item and backwards over
 item has words, so that it never leaves the item-sized window.  Windows are walked only if
 enough of their words occur in any item, and enough of them are rare words of one item:
 ``k`` edits leave all but ``k`` of an item's words, and of its rare words, in place.
+
+Walks lose their step the sooner the more edits there are, so an item of many words is walked
+in pieces: of ``m`` pieces one has ``k / m`` edits at most.  A piece that is found says where its
+item would begin, and the whole item is aligned there.
 """
 
 from __future__ import annotations
@@ -37,6 +41,12 @@ RECALL = 0.98
 #: Items of similar length walk alike: lengths of a class are within this factor.
 CLASS_FACTOR = 1.3
 
+#: Items of more words are walked in pieces of up to so many.
+PIECE_WORDS = 64
+
+#: Most walks in each direction; an edit share that needs more for the recall is refused.
+MOST_WALKS = 32
+
 #: A word is rare when at most so many items have it.
 RARE_ITEMS = 3
 
@@ -87,7 +97,8 @@ def _keys(written: np.ndarray, samples: np.ndarray) -> np.ndarray:
 
 
 def walks_for(steps: int, edits: int, recall: float, seed: int = 7) -> int:
-    """Walks in each direction that reach ``recall``, by trial on random edited sequences."""
+    """Walks in each direction that reach ``recall``, by trial on random edited sequences; an
+    error if ``MOST_WALKS`` do not."""
     rng = np.random.default_rng(seed)
     trials, near = 300, -(-edits // 2)
     sampled = min(SAMPLED, steps)
@@ -111,11 +122,11 @@ def walks_for(steps: int, edits: int, recall: float, seed: int = 7) -> int:
             a, b = walk(both, np.array([0, n]), bits, 1).T
             match[trial, w] = (a == b).mean()
     hit = match**sampled
-    for walks in range(1, 33):
+    for walks in range(1, MOST_WALKS + 1):
         missed = (1 - hit.mean(axis=1)) ** (walks * TABLES_PER_WALK)
         if 1 - missed.mean() >= recall:
-            break
-    return walks
+            return walks
+    raise ValueError(f"{MOST_WALKS} walks of {steps} words with {edits} edits miss a recall of {recall}")
 
 
 def _union(low: np.ndarray, high: np.ndarray, end: int) -> np.ndarray:
@@ -145,7 +156,7 @@ class ItemIndex:
         ]
         #: Items are distinct word sequences; each may stand for several ids.
         self.n_ids = np.array([len(ids_of[w]) for w in items], dtype=np.int64)
-        self.item_ids = np.array([i for w in items for i in ids_of[w]], dtype=np.int64)
+        self.item_ids = [i for w in items for i in ids_of[w]]
         self.lengths = np.array([len(c) for c in coded], dtype=np.int64)
         self.edits = allowed_edits(self.lengths, edit_share)
         self.ends = np.cumsum(self.lengths)
@@ -161,23 +172,35 @@ class ItemIndex:
         self.n_rare = np.where(rare, having, 0)
         self.rare_from = np.cumsum(self.n_rare) - self.n_rare
         self.left = np.bincount(owner, rare[word], len(items)).astype(np.int64) - self.edits
+        #: Pieces of items: the item, where in it the piece begins, its words and edits.
+        m = -(-self.lengths // PIECE_WORDS)
+        self.piece_item, number = ranges(m)
+        self.piece_words = (self.lengths // np.maximum(m, 1))[self.piece_item]
+        self.piece_from = number * self.piece_words
+        self.piece_edits = (self.edits // np.maximum(m, 1))[self.piece_item]
+        #: How far edits outside a piece may move it within its item.
+        self.moved = np.where(m > 1, self.edits, 0)[self.piece_item]
         self.classes = []
-        for some in (np.flatnonzero(self.left > 1), np.flatnonzero(self.left <= 1)):
+        left = self.left[self.piece_item]
+        for some in (np.flatnonzero(left > 1), np.flatnonzero(left <= 1)):
+            some = some[np.argsort(self.piece_words[some], kind="stable")]
             first = 0
             while first < len(some):
-                steps = int(self.lengths[some[first]])
-                last = np.searchsorted(self.lengths[some], steps * CLASS_FACTOR, "right")
+                steps = int(self.piece_words[some[first]])
+                last = np.searchsorted(self.piece_words[some], steps * CLASS_FACTOR, "right")
                 last = max(int(last), first + 1)
                 self.classes.append(self._class(some[first:last], steps, recall))
                 first = last
 
     def _class(self, members: np.ndarray, steps: int, recall: float) -> dict:
-        edits = int(self.edits[members].max())
+        edits = int(self.piece_edits[members].max())
         walks = walks_for(steps, edits, recall)
         tables = []
         for direction in (1, -1):
-            begins = self.ends[members] - self.lengths[members]
-            starts = begins if direction > 0 else self.ends[members] - 1
+            item = self.piece_item[members]
+            starts = self.ends[item] - self.lengths[item] + self.piece_from[members]
+            if direction < 0:
+                starts = starts + self.piece_words[members] - 1
             for w in range(walks):
                 seed = 100 * steps + 2 * w + (direction > 0)
                 bits = _bits(seed, steps, len(self.number) + 1)
@@ -205,13 +228,25 @@ class ItemIndex:
         found = []
         for c in self.classes:
             steps = c["steps"]
-            mine = np.isin(item, c["members"])
+            pieces = c["members"][np.argsort(self.piece_item[c["members"]], kind="stable")]
+            owner = self.piece_item[pieces]
+            begin = np.searchsorted(owner, item, "left")
+            run, place = ranges(np.searchsorted(owner, item, "right") - begin)
+            piece = pieces[begin[run] + place]
+            # Where the piece's item may begin, and end, by the item's rare words.
+            span = reach[item[run]]
+            low, high = last[run] - span + 1, first[run]
             for direction in (1, -1):
-                if (self.left[c["members"]] > 1).all():
-                    low, high = last[mine] - reach[item[mine]] + 1, first[mine]
+                if (self.left[owner] > 1).all():
+                    shift, moved = self.piece_from[piece], self.moved[piece]
                     if direction < 0:
-                        low, high = last[mine], first[mine] + reach[item[mine]] - 1
-                    places = _union(np.maximum(low, margin), high, len(symbols) - margin)
+                        left = self.lengths[item[run]] - shift - self.piece_words[piece]
+                        bounds = last[run] - left - moved, first[run] + span - 1 - left + moved
+                    else:
+                        bounds = low + shift - moved, high + shift + moved
+                    places = _union(
+                        np.maximum(bounds[0], margin), bounds[1], len(symbols) - margin
+                    )
                 else:
                     places = np.arange(margin, len(symbols) - margin)
                 if direction > 0:
@@ -252,10 +287,11 @@ class ItemIndex:
                 continue
             count = np.searchsorted(table, own[hits], "right") - low[hits]
             row, place = ranges(count)
-            item = items[low[hits][row] + place]
-            begin = part[hits][row]
+            piece = items[low[hits][row] + place]
+            item = self.piece_item[piece]
+            begin = part[hits][row] - self.piece_from[piece]
             if direction < 0:
-                begin = begin - self.lengths[item] + 1
+                begin = begin - self.piece_words[piece] + 1
             yield np.stack([item, begin], axis=1)
 
     def align(self, symbols: np.ndarray, item: np.ndarray, begin: np.ndarray):
@@ -328,19 +364,23 @@ def _passages(index: ItemIndex, texts: list[str | None]):
     return text, item, edits, starts - begins[text], ends - begins[text]
 
 
-def _matches(index: ItemIndex):
-    """Tasks over ``(_doc, text)``: a row for each passage and item id."""
+def _matches(index: ItemIndex, kind):
+    """Tasks over ``(_doc, text)``: a row for each passage and item id of an Arrow type."""
     import pyarrow as pa
 
+    item_ids = pa.array(index.item_ids, kind)
+
     names = ["_doc", "item_id", "edits", "n_words", "start_word", "end_word"]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole, 1, SLICE_BYTES)):
             doc, item, edits, starts, ends = _passages(index, batch.column(1).to_pylist())
             row, place = ranges(index.n_ids[item])
-            item_id = index.item_ids[(np.cumsum(index.n_ids) - index.n_ids)[item[row]] + place]
+            item_id = item_ids.take(
+                pa.array((np.cumsum(index.n_ids) - index.n_ids)[item[row]] + place)
+            )
             numbers = (edits, index.lengths[item], starts, ends)
-            columns = [batch.column(0).take(pa.array(doc[row])), pa.array(item_id)]
+            columns = [batch.column(0).take(pa.array(doc[row])), item_id]
             columns += [pa.array(x[row].astype(np.int64)) for x in numbers]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -366,8 +406,8 @@ WORDS = r"(?U)\w+"
 
 
 def _slices_of(benchmark: DataFrame, edit_share: float, recall: float, slice_words: int):
-    """Indexes over slices of the items."""
-    items = benchmark.select("item_id", "text").where("item_id is not null and text is not null")
+    """Indexes over slices of the items that have a text."""
+    items = benchmark.select("item_id", "text").where("text is not null")
     n_words = F.regexp_count("text", F.lit(WORDS))
     total = items.agg(F.sum(n_words)).first()[0] or 0
     slices = max(1, -(-total // slice_words))
@@ -397,17 +437,22 @@ def benchmark_passages(
     words matches a passage at most ``floor(n * edit_share)`` word edits away, so items of
     under five words match exactly; items without words, null or empty, match nothing.  Rows
     that repeat a document's id are one document; a null id is one too.  Items with the same
-    id count as one item, and those without an id are left out.  The benchmark goes to the
-    tasks in slices of about ``slice_words`` words, one pass over the documents for each.
+    id count as one item, and those without an id are left out.  Ids are of any type.  The
+    benchmark goes to the tasks in slices of about ``slice_words`` words, one pass over the
+    documents for each.  An edit share for which the walks miss ``recall`` is an error.
     """
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    rows = docs.select(F.col(f"`{doc_id}`").alias("_doc"), F.col(f"`{text}`").alias("text"))
+    benchmark = benchmark.where("item_id is not null")
+    kind = benchmark.schema["item_id"].dataType
     schema = (
-        "_doc bigint, item_id bigint, edits bigint, n_words bigint, start_word bigint, "
-        "end_word bigint"
+        f"_doc {rows.schema['_doc'].dataType.simpleString()}, item_id {kind.simpleString()}, "
+        "edits bigint, n_words bigint, start_word bigint, end_word bigint"
     )
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("_doc"), F.col(text))
     found = None
     for index in _slices_of(benchmark, edit_share, recall, slice_words):
-        passages = rows.mapInArrow(_matches(index), schema)
+        passages = rows.mapInArrow(_matches(index, to_arrow_type(kind)), schema)
         found = passages if found is None else found.unionByName(passages)
     if found is None:
         found = docs.sparkSession.createDataFrame([], schema)
@@ -426,7 +471,7 @@ def clean_documents(
     text: str = "text",
     slice_words: int = SLICE_WORDS,
 ) -> DataFrame:
-    """The rows of ``docs`` that hold no passage of the benchmark.
+    """The rows of ``docs`` that hold no passage of the benchmark, of items without an id too.
 
     Rows are judged where they are, one by one, so a row is not dropped for another with the
     same id or without one.
@@ -434,6 +479,6 @@ def clean_documents(
     packed, others = carried(docs)
     rows = docs.select(*packed)
     for index in _slices_of(benchmark, edit_share, recall, slice_words):
-        searched = rows.withColumn("__text", F.col("__others")[text])
+        searched = rows.withColumn("__text", F.col("__others").getField(text))
         rows = searched.mapInArrow(_without_passages(index), rows.schema)
     return rows.select(*others)

@@ -107,7 +107,8 @@ def test_clean_documents_stay_row_by_row(spark):
     items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
     kept = decontaminate.clean_documents(docs, items)
     assert kept.columns == docs.columns
-    assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 3, 7, 8]
+    # Row 7 that holds "nothing of it" goes too: an item needs no id to be kept out.
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 3, 8]
     assert decontaminate.clean_documents(docs.limit(0), items).count() == 0
     assert decontaminate.clean_documents(docs, items.limit(0)).count() == len(EDGES)
 
@@ -118,3 +119,40 @@ def test_slices_count_words_of_every_script(spark):
     indices = list(decontaminate._slices_of(items, 0.2, 0.98, 40))
     assert len(indices) > 2 and max(i.lengths.sum() for i in indices) < 120
     assert sorted(x for i in indices for x in i.item_ids) == list(range(40))
+
+
+@pytest.mark.parametrize("n_words", [70, 300, 600, 1000])
+def test_recall_of_long_items(spark, n_words):
+    """Passages with as many edits as allowed, all over or all in one place."""
+    rng = np.random.default_rng(n_words)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    items = [(f"item {i}", list(map(str, rng.choice(vocabulary, n_words + i)))) for i in range(4)]
+    rows, truth = [], {}
+    for k in range(40):
+        i, item = items[k % 4]
+        most = int(len(item) * 0.2)
+        body = edited(rng, item, most, vocabulary)
+        if k % 5 == 0:
+            at = int(rng.integers(0, len(item) - most))
+            body = item[:at] + [f"x{j}" for j in range(most)] + item[at + most :]
+        noise = list(map(str, rng.choice(vocabulary, 200)))
+        rows.append((f"doc {k}", " ".join(noise[:90] + body + noise[90:])))
+        truth[f"doc {k}"] = i
+    found = decontaminate.benchmark_passages(
+        spark.createDataFrame(rows, "doc_id string, text string").repartition(8),
+        spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id string, text string"),
+    ).collect()
+    pairs = {(r.doc_id, r.item_id) for r in found}
+    assert len(pairs & set(truth.items())) >= 0.95 * len(truth)
+    texts, asked = dict(rows), dict(items)
+    for r in found[:3]:
+        assert least_edits(asked[r.item_id], words(texts[r.doc_id])) == r.edits
+
+
+def test_a_recall_that_walks_miss_is_refused(spark):
+    items = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(60)))], "item_id int, text string")
+    docs = spark.createDataFrame([(1, "a")], "doc_id int, `a.b` string")
+    with pytest.raises(ValueError, match="recall"):
+        decontaminate.benchmark_passages(docs, items, edit_share=0.6, text="a.b")
+    assert decontaminate.benchmark_passages(docs, items, text="a.b").count() == 0
+    assert decontaminate.clean_documents(docs, items, text="a.b").columns == ["doc_id", "a.b"]
