@@ -59,7 +59,8 @@ def write_table(
         if apart_by:
             writer = writer.partitionBy(apart_by)
         writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    return back.select(*[F.col(f"`{c}`") for c in df.columns]) if apart_by else back
 
 
 def write_results_csv(wide: DataFrame, path: str) -> None:
