@@ -43,6 +43,9 @@ ROUNDS = 3
 BATCH, LATER_BATCH, LATER = 2048, 8192, 1 << 17
 RATE = 0.15
 
+#: Words without an id whose counts go to every task, some 20 bytes each; others are joined.
+KNOWN = 1 << 18
+
 #: Logarithms of odds count up to this, so that their exponentials stay finite.
 MOST = 60.0
 
@@ -110,12 +113,18 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
+def log_units(counts: np.ndarray) -> np.ndarray:
+    """Logarithms in whole units, so that the order of a sum does not matter."""
+    return np.rint(np.log(counts) / UNIT).astype(np.int64)
+
+
 class Vocabulary:
-    """Ids of the most frequent words, then of the buckets, and the number of occurrences that
-    other words have in each bucket."""
+    """Ids of the most frequent words, then of the buckets, the number of occurrences that other
+    words have in each bucket, and the counts of the most frequent of those."""
 
-    def __init__(self, words: list[str], totals: np.ndarray):
-        self.words, self.totals = words, totals
+    def __init__(self, words: list[str], totals: np.ndarray, known, known_counts: np.ndarray):
+        self.words, self.totals, self.known = words, totals, known
+        self.known_units = log_units(known_counts)
         self.classes = len(totals)
         self.type = "<u2" if self.classes**2 < 1 << 16 else "<u4"
 
@@ -123,9 +132,9 @@ class Vocabulary:
         """Ids of an Arrow array of texts, one after the other, and how many each text has."""
         return self.with_rest(texts)[:2]
 
-    def with_rest(self, texts) -> tuple[np.ndarray, np.ndarray, list[tuple]]:
-        """Ids and counts as :meth:`encode`, and ``(row, word, n)`` of words without an id, in
-        three Arrow arrays."""
+    def with_rest(self, texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
+        """Ids and counts as :meth:`encode`, each text's sum of the known words' logarithms of
+        counts, and ``(row, word, n)`` of the other words without an id, in three Arrow arrays."""
         import pyarrow as pa
         import pyarrow.compute as pc
 
@@ -137,24 +146,33 @@ class Vocabulary:
         rest = coded.dictionary.take(pa.array(unknown))
         ids[unknown] = self.classes * (self.classes - 1) + buckets(rest, self.classes)
         index = coded.indices.to_numpy().astype(np.int64)
-        place = np.full(len(ids), -1)
-        place[unknown] = np.arange(len(unknown))
         row = np.repeat(np.arange(len(counts)), counts)
+        at = pc.index_in(rest, value_set=self.known)
+        units = np.zeros(len(ids), dtype=np.int64)
+        units[unknown] = np.append(self.known_units, 0)[at.fill_null(len(self.known)).to_numpy()]
+        upto = np.concatenate([[0], np.cumsum(units[index])])
+        shares = np.diff(upto[np.cumsum(counts)], prepend=0)
+        other = np.flatnonzero(at.is_null().to_numpy(zero_copy_only=False))
+        place = np.full(len(ids), -1)
+        place[unknown[other]] = other
         found = place[index] >= 0
         pair, n = np.unique(row[found] * len(ids) + place[index][found], return_counts=True)
         own = [pa.array(pair // max(1, len(ids))), rest.take(pa.array(pair % max(1, len(ids)))),
                pa.array(n)]
-        return ids[index].astype(self.type), counts, own
+        return ids[index].astype(self.type), counts, shares, own
 
 
 def fit_vocabulary(counts: DataFrame) -> Vocabulary:
-    """From all word counts; the vocabulary's words and one number per bucket reach the
-    driver, the square root of the number of distinct words."""
+    """From all word counts; the vocabulary's words, as many as the square root of the number of
+    distinct words, ``KNOWN`` others and one number per bucket reach the driver."""
     import pyarrow as pa
 
     classes = max(CLASSES, round(counts.count() ** 0.25))
-    top = counts.orderBy(F.desc("n"), "word").limit(classes * (classes - 1))
-    words = [r["word"] for r in top.collect()]
+    n_words = classes * (classes - 1)
+    top = counts.orderBy(F.desc("n"), "word").limit(n_words + KNOWN)
+    top = top.toArrow().sort_by([("n", "descending"), ("word", "ascending")]).combine_chunks()
+    words = top["word"].slice(0, n_words).to_pylist()
+    known = pa.array(top["word"].slice(n_words).to_pylist(), pa.string())
 
     def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(classes, dtype=np.int64)
@@ -170,7 +188,7 @@ def fit_vocabulary(counts: DataFrame) -> Vocabulary:
     found = rows.groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     totals = np.zeros(classes, dtype=np.int64)
     totals[found["slot"].to_numpy()] = found["n"].to_numpy()
-    return Vocabulary(words, totals)
+    return Vocabulary(words, totals, known, top["n"].slice(n_words).to_numpy())
 
 
 class Network:
@@ -368,14 +386,13 @@ def _train_round(
 
 
 def _shares(encoded: DataFrame, counts: DataFrame) -> DataFrame:
-    """``(row, share)``: the sum over the words without an id of a document of the logarithms of
-    their counts.  Words are joined once per document; those of every bucket are many, so no
-    word is a hot key."""
+    """``(row, share)``: the sum over a document's words that are not known of the logarithms of
+    their counts.  They are joined once per document; the frequent words are known, so none of
+    them is a hot key."""
     words = encoded.select("row", F.explode("rest").alias("word")).select("row", "word.*")
     found = words.join(counts.select("word", F.log("n").alias("log_n")), "word")
-    # Whole numbers, so that the order of the sum does not matter.
     part = F.rint(F.col("log_n") / UNIT).cast("bigint") * F.col("k")
-    return found.groupBy("row").agg((F.sum(part) * F.lit(UNIT)).alias("share"))
+    return found.groupBy("row").agg(F.sum(part).alias("share"))
 
 
 def score_documents(
@@ -400,21 +417,21 @@ def score_documents(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in slices(whole, 0, SLICE_BYTES)):
-            ids, n, (row, word, k) = vocabulary.with_rest(batch.column(0))
+            ids, n, shares, (row, word, k) = vocabulary.with_rest(batch.column(0))
             raw, ends = ids.tobytes(), np.cumsum(width * n.astype(np.int64)).tolist()
             cut = [raw[i:j] for i, j in zip([0, *ends[:-1]], ends)]
             cuts = np.searchsorted(row.to_numpy(), np.arange(len(n) + 1)).astype(np.int32)
             words = pa.StructArray.from_arrays([word, k], fields=list(element))
             rest = pa.ListArray.from_arrays(pa.array(cuts), words)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], pa.array(cut, pa.binary()), rest],
-                names=[*batch.schema.names[1:], "ids", "rest"],
+                [*batch.columns[1:], pa.array(cut, pa.binary()), pa.array(shares), rest],
+                names=[*batch.schema.names[1:], "ids", "known", "rest"],
             )
 
     rows = docs.select(F.col(f"`{text}`").alias("__text"), *packed)
     carried_fields = rows.drop("__text").schema.fields
-    schema = T.StructType([*carried_fields, T.StructField("ids", T.BinaryType())])
-    with_rest = T.StructType([*schema.fields, T.StructField("rest", T.ArrayType(T.StructType([
+    schema = [*carried_fields, T.StructField("ids", T.BinaryType()), T.StructField("known", T.LongType())]
+    with_rest = T.StructType([*schema, T.StructField("rest", T.ArrayType(T.StructType([
         T.StructField("word", T.StringType()), T.StructField("k", T.LongType())])))])
     encoded = rows.mapInArrow(encode, with_rest).withColumn("row", F.monotonically_increasing_id())
     encoded = write_table(encoded, shared_path(spark, "lm-ids"))
@@ -443,13 +460,14 @@ def score_documents(
         score,
         T.StructType([
             *carried_fields,
+            T.StructField("known", T.LongType()),
             T.StructField("row", T.LongType()),
             T.StructField("n_tokens", T.LongType()),
             T.StructField("within", T.DoubleType()),
         ]),
     )
     scored = scored.join(_shares(encoded, counts), "row", "left")
-    log_prob = F.col("within") + F.coalesce("share", F.lit(0.0))
+    log_prob = F.col("within") + (F.col("known") + F.coalesce("share", F.lit(0))) * F.lit(UNIT)
     mean = F.when(F.col("n_tokens") > 0, log_prob / F.col("n_tokens"))
     return scored.select(
         *unpacked, "n_tokens", log_prob.alias("log_prob"), mean.alias("mean_log_prob")
