@@ -86,16 +86,19 @@ def mix(
     epochs of its source and, in the last epoch, documents in key order up to the budget
     ``round(target)``.  The document at the cut gives the words before the cut only, so that
     the words taken of a source are its budget exactly.  Ties of the key (repeated ids) are
-    ordered by size.  Null and empty texts have size 0 and take 0; a null source is a source
-    of its own; a null id is keyed like an empty one.
+    ordered by size, and documents alike in both by a digest of their place in a written table.
+    Null and empty texts have size 0 and take 0; a null source is a source of its own; a null
+    id is keyed like an empty one.  Any number of rows may share an id.
     """
     spark = docs.sparkSession
     made = ("size", "source_size", "target", "taken")
     packed, others = carried(docs, doc_id, source, text, *made)
     kept = [doc_id, source]
     key = F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary"))
+    place = F.lpad(F.hex(F.xxhash64(F.monotonically_increasing_id())), 16, "0")
     sized = docs.select(
-        *kept, *packed, word_count(F.col(text)).alias("size"), key.alias("_key")
+        *kept, *packed, word_count(F.col(text)).alias("size"), key.alias("_key"),
+        place.alias("_tie"),
     )
     sized = write_table(sized, shared_path(spark, "sizes"))
 
@@ -116,7 +119,8 @@ def mix(
     renamed = goals.withColumnRenamed("source", "_source")
     rows = sized.join(
         renamed, F.col(source).eqNullSafe(F.col("_source"))
-    ).withColumn("_range", F.expr("substr(_key, 1, _digits)"))
+    ).withColumn("_prefix", F.expr("substr(_key, 1, _digits)"))
+    rows = _with_ranges(rows, range_rows)
     ranges = rows.groupBy("_source", "_range").agg(F.sum("size").alias("_words"))
     along = Window.partitionBy("_source").orderBy("_range")
     so_far = F.sum("_words").over(along) - F.col("_words")
@@ -125,7 +129,7 @@ def mix(
     )
     ranges = write_table(ranges, shared_path(spark, "ranges"))
 
-    within = Window.partitionBy("_source", "_range").orderBy("_key", "size")
+    within = Window.partitionBy("_source", "_range").orderBy("_key", "size", "_tie")
     before = F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, -1))
     rows = rows.withColumn("_before", F.coalesce(before, F.lit(0)))
     rows = rows.join(
@@ -147,6 +151,48 @@ def mix(
     )
 
 
+def _with_ranges(rows: DataFrame, range_rows: int) -> DataFrame:
+    """``rows`` with ``_range``, a struct whose order is that of ``(_key, size, _tie)``.
+
+    Most ranges are prefixes of the key.  A prefix with over four times ``range_rows`` rows holds
+    repeated ids: there every key and size is a range, and one that many rows share is cut by
+    the tie's digits.
+    """
+    spark = rows.sparkSession
+    none = F.lit("")
+    plain = F.struct(
+        F.col("_prefix").alias("prefix"), none.alias("key"), F.lit(0).cast("bigint").alias("size"),
+        none.alias("tie"),
+    )
+    counted = rows.groupBy("_source", "_prefix").agg(F.count(F.lit(1)).alias("_n"))
+    crowded = counted.where(F.col("_n") > 4 * range_rows).select(
+        F.col("_source").alias("_cs"), F.col("_prefix").alias("_cp")
+    )
+    crowded = write_table(crowded, shared_path(spark, "crowded-ranges"))
+    if not crowded.limit(1).count():
+        return rows.withColumn("_range", plain)
+    own = F.col("_source").eqNullSafe(F.col("_cs")) & (F.col("_prefix") == F.col("_cp"))
+    alike = rows.join(crowded, own, "left_semi").groupBy("_source", "_key", "size").agg(
+        F.ceil(F.log(16.0, F.count(F.lit(1)) / range_rows)).cast("int").alias("_cut")
+    )
+    alike = write_table(
+        alike.select(F.col("_source").alias("_as"), F.col("_key").alias("_ak"),
+                     F.col("size").alias("_az"), F.greatest(F.lit(0), "_cut").alias("_cut")),
+        shared_path(spark, "alike-documents"),
+    )
+    same = (
+        F.col("_source").eqNullSafe(F.col("_as")) & (F.col("_key") == F.col("_ak"))
+        & (F.col("size") == F.col("_az"))
+    )
+    fine = F.struct(
+        F.col("_prefix").alias("prefix"), F.col("_key").alias("key"), F.col("size").alias("size"),
+        F.expr("substr(_tie, 1, _cut)").alias("tie"),
+    )
+    cut = rows.join(alike, same, "left")
+    cut = cut.withColumn("_range", F.when(F.col("_cut").isNull(), plain).otherwise(fine))
+    return cut.drop("_as", "_ak", "_az", "_cut")
+
+
 def mixed_documents(
     docs: DataFrame,
     weights: tuple[float, ...] = WEIGHTS,
@@ -178,4 +224,4 @@ def mixed_documents(
     cut = F.array_join(F.slice(spaced, F.lit(1), F.col("__words")), "")
     whole_text = F.col("__words") == F.col("__size")
     text_column = F.when(whole_text, F.col(text)).otherwise(cut)
-    return rows.withColumn(text, text_column).select(*docs.columns)
+    return rows.withColumn(text, text_column).select(*[F.col(f"`{c}`") for c in docs.columns])

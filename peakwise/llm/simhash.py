@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from peakwise.llm.components import connected_components
-from peakwise.llm.worker import merged, numbered, ranges, slices
+from peakwise.llm.worker import carried, merged, numbered, ranges, slices
 from peakwise.session import shared_path
 from peakwise.sources.tables import write_table
 
@@ -77,21 +77,20 @@ def fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS, text: str = "text"
     """``docs`` without its text but with ``fp BIGINT``, the fingerprint's bits."""
     import pyarrow as pa
 
-    kept_columns = [c for c in docs.columns if c not in (text, "fp")]
-    schema = docs.select(*kept_columns).schema.add("fp", T.LongType())
+    packed, unpacked = carried(docs, text, "fp")
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (
-            part for whole in batches for part in slices(whole, "__text", SLICE_BYTES)
-        ):
-            texts = batch.column("__text").to_pylist()
+        for batch in (part for whole in batches for part in slices(whole, 0, SLICE_BYTES)):
+            texts = batch.column(0).to_pylist()
             values = np.fromiter((text_fingerprint(t, width) for t in texts), "<u8", len(texts))
-            columns = [batch.column(i) for i in range(len(kept_columns))]
-            columns.append(pa.array(values.view("<i8")))
-            yield pa.RecordBatch.from_arrays(columns, names=[*kept_columns, "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[1:], pa.array(values.view("<i8"))],
+                names=[*batch.schema.names[1:], "fp"],
+            )
 
-    rows = docs.select(*kept_columns, F.col(text).cast("binary").alias("__text"))
-    return rows.mapInArrow(compute, schema)
+    rows = docs.select(F.col(f"`{text}`").cast("binary").alias("__text"), *packed)
+    schema = rows.drop("__text").schema.add("fp", T.LongType())
+    return rows.mapInArrow(compute, schema).select(*unpacked, "fp")
 
 
 def _syndromes() -> np.ndarray:
@@ -320,4 +319,4 @@ def one_per_component(
     candidates = classes.where(F.col(doc_id).eqNullSafe(F.col("component_id")))
     best = Window.partitionBy("component_fp").orderBy("fp", "__row")
     chosen = candidates.withColumn("__n", F.row_number().over(best)).where("__n = 1")
-    return rows.join(chosen.select("__row"), "__row", "left_semi").select(*docs.columns)
+    return rows.join(chosen.select("__row"), "__row", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

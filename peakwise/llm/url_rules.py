@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peakwise.llm.worker import kept
+from peakwise.llm.worker import carried, kept
 from peakwise.session import shared_path
 
 #: Bytes of a rule file; longer lists are refused.
@@ -159,9 +159,9 @@ def filter_urls(
     spark = pages.sparkSession
     name = _ship(spark, rules)
     made = ["host", "path", "rule", "verdict"]
-    pages = pages.withColumn("__url", F.col(url)).drop(*made)
-    names = [c for c in pages.columns if c != "__url"]
-    schema = pages.select(*names).schema
+    others, unpacked = carried(pages, *made)
+    rows = pages.select(F.col(f"`{url}`").alias("__url"), *others)
+    schema = rows.drop("__url").schema
     for column in made:
         schema = schema.add(column, "string")
 
@@ -170,18 +170,19 @@ def filter_urls(
 
         listed = kept("url_rules", name, lambda: RuleFile(SparkFiles.get(name)))
         for batch in batches:
-            split = [host_and_path(u) for u in batch.column("__url").to_pylist()]
+            split = [host_and_path(u) for u in batch.column(0).to_pylist()]
             verdicts = listed.judge(split)
-            columns = [batch.column(c) for c in names]
-            columns += [
+            columns = [
                 pa.array([h for h, _ in split], pa.string()),
                 pa.array([p for _, p in split], pa.string()),
                 pa.array([r for r, _ in verdicts], pa.string()),
                 pa.array([v or otherwise for _, v in verdicts], pa.string()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=[*names, *made])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[1:], *columns], names=[*batch.schema.names[1:], *made]
+            )
 
-    return pages.select(*names, "__url").mapInArrow(judge, schema)
+    return rows.mapInArrow(judge, schema).select(*unpacked, *made)
 
 
 def _ship(spark: SparkSession, rules: Iterable[tuple[str, str, str]]) -> str:

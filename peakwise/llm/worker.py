@@ -16,19 +16,30 @@ def numbered(df: DataFrame, label: str) -> DataFrame:
     """``df`` with ``__row``, a name of its own for every row.
 
     Rows are named by their place, not by an id, which may repeat or be null.  Rows straight
-    from files have one, the file and the number in it; any other frame is written first.
+    from Parquet have one, the file and the number in it; any other frame is written first.
     """
     from peakwise.session import shared_path
     from peakwise.sources.tables import write_table
 
-    plan = df._jdf.queryExecution().analyzed()
-    if plan.getClass().getSimpleName() == "LogicalRelation" and "_metadata" not in df.columns:
+    if _is_parquet(df) and "_metadata" not in df.columns:
         place = F.struct(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
         return df.select("*", place.alias(f"{OWN}row"))
     rows = df.withColumn(f"{OWN}row", F.monotonically_increasing_id())
     return write_table(rows, shared_path(df.sparkSession, label))
 
 
+def _is_parquet(df: DataFrame) -> bool:
+    """Whether a frame is Parquet files as they are."""
+    plan = df._jdf.queryExecution().analyzed()
+    if plan.getClass().getSimpleName() != "LogicalRelation":
+        return False
+    relation = plan.relation()
+    return (
+        relation.getClass().getSimpleName() == "HadoopFsRelation"
+        and relation.fileFormat().getClass().getSimpleName() == "ParquetFileFormat"
+    )
+
+
 def carried(df: DataFrame, *but: str) -> tuple[list, list]:
     """Columns of ``df`` but those named, as one struct ``__others``, and its fields again."""
     others = [c for c in df.columns if c not in but]

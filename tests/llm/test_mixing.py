@@ -114,3 +114,33 @@ def test_targets(spark, sizes):
     got = {r.source: r.target for r in mixing.targets(frame).collect()}
     expected = fill(table)
     assert all(abs(got[s] - expected[s]) < 1e-6 for s in table)
+
+
+def test_half_of_the_rows_without_an_id_or_with_one_id(spark):
+    """Ranges stay small and the words taken are those of a walk in key order."""
+    from pyspark.sql import functions as F
+
+    rows = [(i, "ab"[i % 2], "w " * (i % 40 + 1)) for i in range(1000)]
+    rows += [(None, "ab"[i % 2], "v " * (i % 3)) for i in range(1000)]
+    rows += [(7, "a", "one two")] * 600
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string").repartition(6)
+    check(spark, rows, mixing.mix(docs, range_rows=50))
+    key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    keyed = docs.select(
+        F.col("source").alias("_source"), mixing.word_count(F.col("text")).alias("size"),
+        key.alias("_key"), F.substring(key, 1, 1).alias("_prefix"),
+        F.lpad(F.hex(F.xxhash64(F.monotonically_increasing_id())), 16, "0").alias("_tie"))
+    ranged = mixing._with_ranges(keyed, 50)
+    sizes = [r["count"] for r in ranged.groupBy("_source", "_range").count().collect()]
+    assert sum(sizes) == len(rows) and max(sizes) <= 4 * 50
+    ordered = ranged.orderBy("_source", "_range", "_key", "size", "_tie").collect()
+    plain = ranged.orderBy("_source", "_key", "size", "_tie").collect()
+    assert ordered == plain
+
+
+def test_frames_that_are_no_parquet_files(spark, work):
+    spark.createDataFrame([(1, "a", "x y z"), (2, "b", "u v")], "doc_id bigint, source string, text string"
+                          ).write.option("header", True).csv(work)
+    docs = spark.read.schema("doc_id bigint, source string, text string").option("header", True).csv(work)
+    mixed = mixing.mixed_documents(docs)
+    assert sum(words(r.text) for r in mixed.collect()) == sum(r.taken for r in mixing.mix(docs).collect())

@@ -167,3 +167,13 @@ def test_rows_of_files_are_named_by_their_place(spark, work):
     kept = [r.doc_id for r in simhash.one_per_component(docs).collect()]
     classes = {c for _, _, c in expected(EDGES) if c is not None}
     assert sorted(i for i in kept if i is not None) == sorted(classes) and kept.count(None) == 1
+
+
+def test_frames_of_csv_files_and_columns_with_dots(spark, work):
+    rows = [(1, "one two three four five", "x"), (2, "one two three four five", "y"), (3, "six", "z")]
+    spark.createDataFrame(rows, "doc_id bigint, text string, c string").write.csv(work)
+    docs = spark.read.schema("doc_id bigint, text string, `a.b` string").csv(work)
+    kept = simhash.one_per_component(docs)
+    assert kept.columns == ["doc_id", "text", "a.b"]
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3]
+    assert "a.b" in simhash.simhash_components(docs).columns

@@ -68,3 +68,10 @@ def test_rules_are_checked():
         url_rules.RuleFile.pack([("maybe", "net", "/")])
     with pytest.raises(ValueError):
         url_rules.RuleFile.pack([("block", "", "/")])
+
+
+def test_columns_with_dots(spark):
+    pages = spark.createDataFrame([("http://a.net/", 1)], "url string, `a.b` int")
+    got = url_rules.filter_urls(pages, RULES)
+    assert got.columns == ["url", "a.b", "host", "path", "rule", "verdict"]
+    assert got.first().verdict == "block"
