@@ -40,7 +40,7 @@ HIDDEN = 32
 #: In each of so many rounds every so many-th window is trained on, another one each time.
 ROUNDS = 3
 #: Windows of a step, at first and after so many windows.
-BATCH, LATER_BATCH, LATER = 2048, 8192, 1 << 17
+BATCH, LATER_BATCH, LATER = 2048, 4096, 1 << 17
 RATE = 0.15
 
 #: Words without an id whose counts go to every task, some 20 bytes each; others are joined.
@@ -52,8 +52,8 @@ MOST = 60.0
 #: Bytes of texts or ids that a task works on at a time.
 SLICE_BYTES = 4 << 20
 
-#: Tokens scored at a time: 8 MB for each array of hidden values.
-CHUNK = 1 << 16
+#: Tokens scored at a time: 1 MB for each array of hidden values, which stays in a cache.
+CHUNK = 1 << 13
 #: Parameters are summed in units of this.
 UNIT = 2.0**-20
 
