@@ -272,6 +272,10 @@ def _id_ranks(table: DataFrame, wide: str, n_ids: int) -> np.ndarray:
     return ranks
 
 
+#: What rows without an id are bounded as.
+NO_ID = np.iinfo(np.int64).min
+
+
 def _bounds(table: DataFrame, file_docs: int) -> np.ndarray:
     """Largest ids of the files but the last."""
     n = table.count()
@@ -283,6 +287,48 @@ def _bounds(table: DataFrame, file_docs: int) -> np.ndarray:
     return np.unique(np.array(found or [], dtype=np.int64))
 
 
+def _cuts(table: DataFrame, file_docs: int) -> tuple[np.ndarray, np.ndarray]:
+    """Largest ids of the stretches of ids but the last, and the files of each stretch.
+
+    A stretch is a file, but for ids that over ``file_docs`` rows share: each of those is a
+    stretch of its own, of as many files as its rows need.  They are looked for where a file
+    would have several times its share of rows, and are no more than there are files.
+    """
+    import pyarrow as pa
+
+    bounds = _bounds(table, file_docs)
+    key = F.coalesce("doc_id", F.lit(int(NO_ID)))
+
+    def count(batches):
+        total = np.zeros(len(bounds) + 1, dtype=np.int64)
+        for batch in batches:
+            file = np.searchsorted(bounds, batch.column(0).to_numpy(), "left")
+            total += np.bincount(file, minlength=len(total))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(len(total))), pa.array(total)], names=["file", "n"]
+        )
+
+    rows = table.select(key.alias("key"))
+    sizes = rows.mapInArrow(count, "file bigint, n bigint").groupBy("file").agg(F.sum("n").alias("n"))
+    crowded = [r.file for r in sizes.where(F.col("n") > 4 * file_docs).collect()]
+    hot = []
+    if crowded:
+        lows = [None if f == 0 else int(bounds[f - 1]) for f in crowded]
+        highs = [None if f == len(bounds) else int(bounds[f]) for f in crowded]
+        within = F.lit(False)
+        for low, high in zip(lows, highs):
+            own = F.lit(True) if low is None else F.col("key") > low
+            within = within | (own if high is None else own & (F.col("key") <= high))
+        counted = rows.where(within).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+        hot = counted.where(F.col("n") > file_docs).collect()
+    before = [r["key"] - 1 for r in hot if r["key"] > NO_ID]
+    cuts = np.unique(np.array([*bounds, *before, *[r["key"] for r in hot]], dtype=np.int64))
+    files = np.ones(len(cuts) + 1, dtype=np.int64)
+    for r in hot:
+        files[np.searchsorted(cuts, r["key"], "left")] = -(-r["n"] // file_docs)
+    return cuts, files
+
+
 def write_token_files(
     docs: DataFrame,
     path: str,
@@ -296,8 +342,9 @@ def write_token_files(
     """Write every document, in ascending id order, below ``path``: ``blocks`` and ``ranks``.
 
     Null texts count as empty, and an empty document is its end id.  Documents without an id
-    come first.  Rows that repeat an id all go to the file, ordered by their codes.  Other
-    columns are ignored.  Texts are encoded once; the ids wait in a written table for the
+    come first.  Rows that repeat an id all go to the file, ordered by their codes, or by a
+    digest of their place if over ``file_docs`` of them do: those are dealt over several files.
+    Other columns are ignored.  Texts are encoded once; the ids wait in a written table for the
     corpus-wide ranks.
     """
     import pyarrow as pa
@@ -308,30 +355,40 @@ def write_token_files(
     n_ids = max(tokenizer.get_vocab_size(with_added_tokens=True), end_id + 1)
     wide = {"H": "<u2", "I": "<u4"}[_id_type(tokenizer)]
     stage = shared_path(spark, "token-ids")
-    tokenized(docs, tokenizer_path, end_id, doc_id, text).write.option(
-        "compression", "zstd"
-    ).parquet(stage)
-    table = spark.read.schema("doc_id bigint, ids binary").parquet(stage)
+    coded = tokenized(docs, tokenizer_path, end_id, doc_id, text)
+    coded = coded.withColumn("row", F.monotonically_increasing_id())
+    coded.write.option("compression", "zstd").parquet(stage)
+    table = spark.read.schema("doc_id bigint, ids binary, row bigint").parquet(stage)
     ranks = _id_ranks(table, wide, n_ids)
-    bounds = _bounds(table, file_docs)
+    cuts, files = _cuts(table, file_docs)
+    first = np.cumsum(files) - files
 
     def encode(batches):
         for batch in batches:
             for rows in slices(batch, 1, SLICE_BYTES):
-                key = rows.column(0).fill_null(np.iinfo(np.int64).min).to_numpy()
+                stretch = np.searchsorted(
+                    cuts, rows.column(0).fill_null(int(NO_ID)).to_numpy(), "left"
+                )
+                several = files[stretch]
+                # A digest of the row's place deals a hot id's rows over its files, in its order.
+                tie = rows.column(2).to_numpy().astype(np.uint64) + np.uint64(1)
+                tie = (tie * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
+                tie = np.where(several > 1, tie.astype(np.int64), 0)
+                file = first[stretch] + (tie * several >> 32)
                 raw = rows.column(1).to_pylist()
                 values = ranks[np.frombuffer(b"".join(raw), wide)]
                 counts = np.fromiter(map(len, raw), np.int64, len(raw)) // np.dtype(wide).itemsize
                 control, control_ends, data, data_ends = code(values, counts)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.searchsorted(bounds, key, "left").astype(np.int32)),
+                        pa.array(file.astype(np.int32)),
                         rows.column(0),
+                        pa.array(tie),
                         pa.array(counts),
                         _binary(control, control_ends),
                         _binary(data, data_ends),
                     ],
-                    names=["file", "doc_id", "n", "control", "data"],
+                    names=["file", "doc_id", "tie", "n", "control", "data"],
                 )
 
     names = ["file", "block", "n_ids", "doc_ids", "counts", "control", "data"]
@@ -353,27 +410,27 @@ def write_token_files(
 
     def pack(batches):
         file, number, rows, size = None, 0, [], 0
-        for batch in (part for whole in batches for part in slices(whole, 4, SLICE_BYTES)):
+        for batch in (part for whole in batches for part in slices(whole, 5, SLICE_BYTES)):
             for f, *row in zip(*(c.to_pylist() for c in batch.columns)):
                 if rows and (f != file or size >= block_ids):
                     yield block(file, number, rows)
                     number, rows, size = number + 1, [], 0
                 if f != file:
                     file, number = f, 0
-                rows.append(row)
-                size += row[1]
+                rows.append((row[0], *row[2:]))
+                size += row[2]
         if rows:
             yield block(file, number, rows)
 
-    coded = "file int, doc_id bigint, n bigint, control binary, data binary"
+    coded = "file int, doc_id bigint, tie bigint, n bigint, control binary, data binary"
     schema = (
         "file int, block int, n_ids bigint, doc_ids array<bigint>, counts array<bigint>, "
         "control binary, data binary"
     )
     (
         table.mapInArrow(encode, coded)
-        .repartitionById(len(bounds) + 1, "file")
-        .sortWithinPartitions("file", "doc_id", "n", "data")
+        .repartitionById(int(files.sum()), "file")
+        .sortWithinPartitions("file", "doc_id", "tie", "n", "data")
         .mapInArrow(pack, schema)
         .write.option("compression", "uncompressed")
         .parquet(f"{path}/blocks")

@@ -103,3 +103,26 @@ def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     path = token_file.write_token_files(docs, shared_path(spark, "t"), queries.tokenizer_path())
     assert token_file.read_digests(spark, path).count() == 0
+
+
+@pytest.mark.parametrize("hot", [None, 500, -(2**63) + 1])
+def test_half_of_the_rows_share_an_id(spark, tokenizer, hot):
+    """Their files are no larger than others, and ids ascend from file to file."""
+    rows = [(i, f"text {i}") for i in range(1000)] + [(hot, "same"), (hot, "other words")] * 500
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    path = token_file.write_token_files(
+        docs, shared_path(spark, "tokens"), queries.tokenizer_path(), file_docs=100, block_ids=60)
+    blocks = spark.read.parquet(f"{path}/blocks").collect()
+    sizes = {}
+    for b in blocks:
+        sizes[b.file] = sizes.get(b.file, 0) + len(b.doc_ids)
+    assert sum(sizes.values()) == 2000 and max(sizes.values()) <= 250
+    got = sorted(map(tuple, token_file.read_token_files(spark, path).collect()), key=lambda r: r[1])
+    key = lambda i: -(2**63) if i is None else i
+    assert [key(r[0]) for r in got] == sorted(key(i) for i, _ in rows)
+    start = 0
+    for _, at, n, ids in got:
+        assert at == start and n == len(ids)
+        start += n
+    wanted = sorted((key(i), library_ids(tokenizer, t)) for i, t in rows)
+    assert sorted((key(r[0]), r[3]) for r in got) == wanted
