@@ -5,18 +5,29 @@ from __future__ import annotations
 import numpy as np
 
 
+def _opened(path: str):
+    """A file of any file system, open for reading."""
+    if "://" not in path:
+        return open(path, "rb")
+    from pyarrow import fs
+
+    files, inner = fs.FileSystem.from_uri(path)
+    return files.open_input_file(inner)
+
+
 class SparseDense:
     """Fully connected network whose first layer adds up weight rows of occupied bins.
 
-    ``path`` is an ``.npz`` with ``w0, b0, w1, b1, ...`` (weights as inputs x outputs); every
-    layer but the last is followed by ReLU.  Use with ``dense=False``.
+    ``path`` is an ``.npz`` with ``w0, b0, w1, b1, ...`` (weights as inputs x outputs), on a
+    file system of every executor or under a URI that pyarrow can open, such as ``s3://`` or
+    ``hdfs://``; every layer but the last is followed by ReLU.  Use with ``dense=False``.
     """
 
     def __init__(self, path: str):
         self.path = path
 
     def __call__(self):
-        with np.load(self.path) as arrays:
+        with _opened(self.path) as file, np.load(file) as arrays:
             depth = len(arrays.files) // 2
             layers = [(arrays[f"w{i}"], arrays[f"b{i}"]) for i in range(depth)]
 

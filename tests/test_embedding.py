@@ -39,6 +39,9 @@ def forward(arrays, bins):
 def test_sparse_network(spark, tmp_path):
     arrays = network(tmp_path / "net.npz")
     rows, df = features(spark)
+    uri = (tmp_path / "net.npz").as_uri()
+    one = models.SparseDense(uri)()([np.array(rows[0][1])])
+    np.testing.assert_allclose(one[0], forward(arrays, rows[0][1]), rtol=1e-5, atol=1e-5)
     load = models.SparseDense(str(tmp_path / "net.npz"))
     got = embedding.embed_spectra(df, load, n_bins=N_BINS, dense=False)
     assert dict(got.dtypes)["embedding"] == "array<float>"
