@@ -6,13 +6,15 @@ before it; the orders up to two use continuation counts shared by both classes,
 expressions fall back on the same ground in both.  A word's evidence is the logarithm of its
 toxic over its ordinary likelihood.
 
-Evidence is compared by length: per word over a whole document, over its strongest words, and
-the excess of strong words against the square root of the length.  A logistic curve over these
-turns it into a score.
+Evidence is compared by length.  The mean per word over a whole document is the difference of
+the two log-likelihoods normalised by length; beside it stand the means over the strongest words
+and the excess of strong words against the square root of the length.  A logistic curve over
+these turns the evidence into a score.
 
 Counts come from all labelled rows of the learning folds, one for each gram that occurs: a
 gram is named by its letters, so that no two share a count, and a model grows with the number
-of distinct grams.
+of distinct grams.  The driver and every worker hold the model, so a corpus with more grams than
+``MOST_GRAMS`` is refused.
 """
 
 from __future__ import annotations
@@ -36,6 +38,9 @@ DISCOUNT = 0.75
 LETTER_BITS = 21
 HALF = 3
 
+#: Grams and contexts that the driver and every worker may hold, 28 bytes each.
+MOST_GRAMS = 50_000_000
+
 #: Rows of the learning folds the curve is fitted on; the first by a digest of their ids.
 CURVE_ROWS = 50_000
 
@@ -273,7 +278,8 @@ def fit_evidence(labelled: DataFrame) -> tuple[dict, dict]:
     """The tables of :class:`WordEvidence` from ``(cls, text)``, 1 for toxic, 0 for ordinary.
 
     The highest order counts documents; lower orders count distinct continuations.  Grams are
-    counted in Spark, and a share per gram and a weight per context reach the driver.
+    counted in Spark, and a share per gram and a weight per context reach the driver; more than
+    ``MOST_GRAMS`` of them are an error.
     """
     spark = labelled.sparkSession
     order = F.col("ord")
@@ -307,6 +313,9 @@ def fit_evidence(labelled: DataFrame) -> tuple[dict, dict]:
         F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds")
     )
     contexts = write_table(contexts, shared_path(spark, "contexts"))
+    n = grams.count() + contexts.count()
+    if n > MOST_GRAMS:
+        raise ValueError(f"{n} grams and contexts are more than the {MOST_GRAMS} a worker may hold")
     backoff = contexts.select(
         "cls", "ord", F.col("context_high").alias("high"), F.col("context_low").alias("low"),
         (F.col("kinds") * DISCOUNT / F.col("total")).cast("float").alias("x"),

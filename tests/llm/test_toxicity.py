@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pytest
 
 from peakwise.llm import queries, toxicity
 
@@ -141,3 +142,10 @@ def test_no_two_grams_share_a_count(spark):
     assert np.abs(found - expected).max() < 1e-6
     expected = [toxicity.DISCOUNT * len(kinds[g[:-1]]) / totals[g[:-1]] for g in own]
     assert np.abs(weights - expected).max() < 1e-6
+
+
+def test_a_model_too_large_for_a_worker_is_refused(spark, monkeypatch):
+    docs, labels = frames(spark, *documents(60))
+    monkeypatch.setattr(toxicity, "MOST_GRAMS", 100)
+    with pytest.raises(ValueError, match="more than the 100"):
+        toxicity.fit(docs, labels)
