@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from peakwise.session import shared_path
 from peakwise.sources.tables import write_table
@@ -150,7 +151,9 @@ class Damaged(ValueError):
 
 
 class Short(Damaged):
-    """Bytes that may begin a sound record, which goes on beyond them."""
+    """Bytes that may begin a sound record, which goes on beyond them, up to ``end`` if known."""
+
+    end = None
 
 
 _CANDIDATE = re.compile(rb"WARC/1\.[01]\r\n|\x1f\x8b\x08")
@@ -188,7 +191,9 @@ def _record(data: bytes, at: int) -> tuple[dict, int]:
         raise Damaged("no content length")
     end = start + int(length)
     if end + 4 > len(data):
-        raise Short("cut off")
+        short = Short("cut off")
+        short.end = end + 4
+        raise short
     if data[end : end + 4] != b"\r\n\r\n":
         raise Damaged("content ends elsewhere")
     block = bytes(data[start:end])
@@ -293,9 +298,10 @@ def _plain(data: bytes, at: int) -> tuple[list[tuple[dict, int, int]], int, list
     return [(record, at, end)], end, []
 
 
-def _in_pieces(pieces: Iterator[bytes]) -> Iterator[tuple]:
+def _in_pieces(pieces: Iterator[bytes], goes_on: bool = False) -> Iterator[tuple]:
     """What :func:`salvage` gives for a content that comes in pieces; held at a time are a piece
-    and the record that it belongs to."""
+    and the record that it belongs to.  If the content ``goes_on`` elsewhere, there is also
+    ``("open", start, end, None)`` for what would be a sound record with the bytes up to there."""
     data, low, gap, reason = bytearray(), 0, None, ""
     pieces = iter(pieces)
     more = True
@@ -311,6 +317,8 @@ def _in_pieces(pieces: Iterator[bytes]) -> Iterator[tuple]:
                 continue
             if not data:
                 break
+            if goes_on and error.end:
+                yield "open", low, low + error.end, None
         except Damaged as error:
             fault, end = str(error), None
         if end is None:
@@ -397,11 +405,305 @@ def salvage(data: bytes) -> Iterator[tuple]:
         at = end
 
 
-SCHEMA = (
-    "archive string, kind string, start bigint, end bigint, reason string, record_type string, "
-    "record_id string, target_uri string, payload_digest string, payload_bytes bigint, "
-    "refers_to string, payload binary"
+_FIELDS = (
+    "record_type string, record_id string, target_uri string, payload_digest string, "
+    "payload_bytes bigint, refers_to string, payload binary"
 )
+SCHEMA = f"archive string, kind string, start bigint, end bigint, reason string, {_FIELDS}"
+
+#: What Spark splits plain archives by: the end of a record and the begin of the next.
+_END, _BEGIN = b"\r\n\r\n", b"WARC/1."
+
+#: File splits whose places are broadcast, 200 bytes each; more are joined.
+BROADCAST_SPLITS = 500_000
+
+#: Plain archives that are read whole because their ranges do not add up.
+MOST_WHOLE = 1000
+
+#: Files that are not gzipped, as a path pattern.
+_PLAIN_FILES = "{*[^z],*[^g]z,*[^.]gz,z,gz}"
+
+
+def _batches(rows: Iterator[tuple], schema: str) -> Iterator:
+    """Arrow batches of rows of about 4 MB."""
+    import pyarrow as pa
+
+    kinds = {"string": pa.string(), "bigint": pa.int64(), "binary": pa.binary()}
+    names, types = zip(*(field.split() for field in schema.split(", ")))
+
+    def batch(held: list[tuple]) -> pa.RecordBatch:
+        columns = [pa.array(column, kinds[t]) for column, t in zip(zip(*held), types)]
+        return pa.RecordBatch.from_arrays(columns, names=names)
+
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += 200 + sum(len(v) for v in row if isinstance(v, bytes))
+        if size > 4 << 20:
+            yield batch(held)
+            held, size = [], 0
+    if held:
+        yield batch(held)
+
+
+def _values(record: dict | None, payloads: bool) -> tuple:
+    """Fields of a record, all null without one."""
+    names = [field.split()[0] for field in _FIELDS.split(", ")]
+    values = [record[n] if record else None for n in names]
+    return tuple(values if payloads else [*values[:-1], None])
+
+
+def _read_ranges(payloads: bool):
+    """Task over ``(archive, size, split, length, final, value)``, the stretches between separators of
+    plain archives in their order: rows of :data:`SCHEMA` with ``split``, positions counted from
+    the split's first stretch, and a row of kind ``split`` whose end is the number of the split's
+    bytes.
+
+    A split that is not the file's last is read as if a record's end followed it, unless it is
+    marked as ``final``: the file's last stretch may begin in a split before the last.
+    """
+    schema = SCHEMA + ", split bigint, size bigint"
+
+    def read(batches: Iterator) -> Iterator:
+        from itertools import groupby
+
+        stretches = (
+            (tuple(c[i].as_py() for c in batch.columns[:5]), batch.column(5)[i])
+            for batch in batches
+            for i in range(batch.num_rows)
+        )
+
+        def rows():
+            for (archive, size, split, length, final), own in groupby(stretches, lambda x: x[0]):
+                goes_on, total = split + length < size and not final, 0
+
+                def pieces(own=own, split=split, goes_on=goes_on):
+                    nonlocal total
+                    opening = _BEGIN if split else b""
+                    for _, value in own:
+                        piece = opening + value.as_py()
+                        total += len(piece)
+                        yield piece
+                        opening = _END + _BEGIN
+                    if goes_on:
+                        total += len(_END)
+                        yield _END
+
+                for kind, start, end, item in _in_pieces(pieces(), goes_on):
+                    record = item if kind == "record" else None
+                    reason = item if kind == "gap" else None
+                    values = _values(record, payloads)
+                    yield archive, kind, start, end, reason, *values, split, size
+                told = "goes on" if goes_on else None
+                yield archive, "split", 0, total, told, *_values(None, False), split, size
+
+        return _batches(rows(), schema)
+
+    return read, schema
+
+
+def _placed_splits(facts: DataFrame) -> DataFrame:
+    """``(archive, split, _base, _bytes, _size, _over)``: where each split's first stretch begins,
+    and whether a record's end was read that does not follow the file's last stretch."""
+    along = Window.partitionBy("archive").orderBy("split")
+    before = F.sum("end").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    over = F.lead("split").over(along).isNull() & F.col("reason").isNotNull()
+    return facts.where("kind = 'split'").select(
+        "archive", "split", F.coalesce(before, F.lit(0)).alias("_base"), F.col("end").alias("_bytes"),
+        F.col("size").alias("_size"), over.alias("_over"),
+    )
+
+
+def _gaps(facts: DataFrame, splits: DataFrame, crossing: DataFrame | None) -> DataFrame:
+    """``(archive, start, end, reason)`` of what the splits could not read and no crossing record
+    covers, joined where one ends and the next begins."""
+    gaps = facts.where("kind = 'gap'").join(splits, ["archive", "split"]).select(
+        "archive", (F.col("_base") + F.col("start")).alias("start"),
+        (F.col("_base") + F.col("end")).alias("end"), "reason",
+    )
+    zero, none = F.lit(0), F.lit(None).cast("string")
+    events = gaps.select("archive", F.col("start").alias("at"), F.lit(1).alias("g"), zero.alias("r"), "reason")
+    ends = gaps.select("archive", F.col("end").alias("at"), F.lit(-1).alias("g"), zero.alias("r"), none.alias("reason"))
+    events = events.unionByName(ends)
+    if crossing is not None:
+        for side, step in (("start", 1), ("end", -1)):
+            events = events.unionByName(crossing.select(
+                "archive", F.col(side).alias("at"), zero.alias("g"), F.lit(step).alias("r"),
+                none.alias("reason"),
+            ))
+    events = events.groupBy("archive", "at").agg(
+        F.sum("g").alias("g"), F.sum("r").alias("r"), F.max("reason").alias("reason")
+    )
+    along = Window.partitionBy("archive").orderBy("at")
+    parts = events.select(
+        "archive", F.col("at").alias("start"), F.lead("at").over(along).alias("end"),
+        F.sum("g").over(along).alias("g"), F.sum("r").over(along).alias("r"),
+        F.last("reason", ignorenulls=True).over(along).alias("reason"),
+    ).where("g > 0 and r = 0")
+    by_start = Window.partitionBy("archive").orderBy("start")
+    apart = (F.col("start") != F.lag("end", 1, -1).over(by_start)).cast("int")
+    parts = parts.withColumn("_new", apart).withColumn("_gap", F.sum("_new").over(by_start))
+    return parts.groupBy("archive", "_gap").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"), F.min_by("reason", "start").alias("reason")
+    ).drop("_gap")
+
+
+def _crossing(stretches: DataFrame, facts: DataFrame, splits: DataFrame, payloads: bool) -> DataFrame:
+    """Sound records that a payload with a record in it carries over a split's end.
+
+    The splits that such a record would touch are read again, and their bytes within it put
+    together, a record a group.
+    """
+    import pyarrow as pa
+
+    opened = facts.where("kind = 'open'").join(splits, ["archive", "split"]).select(
+        "archive", (F.col("_base") + F.col("start")).alias("start"),
+        (F.col("_base") + F.col("end")).alias("end"),
+    )
+    sizes = splits.groupBy("archive").agg(F.max("_size").alias("_size"))
+    opened = opened.join(sizes, "archive").where("end <= _size").drop("_size")
+    touched = splits.join(opened, "archive").where("_base < end and _base + _bytes > start")
+    touched = write_table(
+        touched.select("archive", "split", "_base", "start", "end"),
+        shared_path(facts.sparkSession, "crossing"),
+    )
+
+    def cut(batches: Iterator) -> Iterator:
+        from itertools import groupby
+
+        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+
+        def stretches():
+            for (archive, size, split, length, final), own in groupby(rows, lambda r: r[:5]):
+                at, opening = 0, _BEGIN if split else b""
+                for *_, value in own:
+                    yield archive, split, at, opening + value
+                    at += len(opening + value)
+                    opening = _END + _BEGIN
+                if split + length < size and not final:
+                    yield archive, split, at, _END
+
+        return _batches(stretches(), "archive string, split bigint, at bigint, bytes binary")
+
+    def whole(key, rows):
+        archive, start, end = (k.as_py() for k in key)
+        parts = sorted(zip(rows["at"].to_pylist(), rows["bytes"].to_pylist()))
+        data = b"".join(part for _, part in parts)[start - parts[0][0] :][: end - start]
+        found = []
+        try:
+            record, upto = _record(data, 0)
+            if upto == end - start:
+                found = [(archive, "record", start, end, None, *_values(record, payloads))]
+        except Damaged:
+            pass
+        return pa.Table.from_batches(list(_batches(iter(found), SCHEMA)) or [], schema=schema)
+
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import _parse_datatype_string
+
+    schema = to_arrow_schema(_parse_datatype_string(SCHEMA))
+    wanted = touched.select("archive", "split").distinct()
+    again = stretches.join(F.broadcast(wanted), ["archive", "split"], "left_semi").select(
+        "archive", "size", "split", "length", "final", "value"
+    )
+    parts = again.mapInArrow(cut, "archive string, split bigint, at bigint, bytes binary")
+    parts = parts.join(F.broadcast(touched), ["archive", "split"]).withColumn(
+        "at", F.col("at") + F.col("_base")
+    )
+    parts = parts.where("at < end and at + octet_length(bytes) > start")
+    return parts.select("archive", "start", "end", "at", "bytes").groupBy(
+        "archive", "start", "end"
+    ).applyInArrow(whole, SCHEMA)
+
+
+def _read_plain(spark: SparkSession, path: str, payloads: bool) -> DataFrame:
+    """Rows of the plain archives; two passes over them, the first for the places of splits."""
+    separator = (_END + _BEGIN).decode()
+    text = spark.read.option("pathGlobFilter", _PLAIN_FILES).text(path, lineSep=separator)
+    stretches = text.select(
+        F.col("_metadata.file_path").alias("archive"),
+        F.col("_metadata.file_size").alias("size"),
+        F.col("_metadata.file_block_start").alias("split"),
+        F.col("_metadata.file_block_length").alias("length"),
+        F.col("value").cast("binary").alias("value"),
+    )
+    columns = ["archive", "size", "split", "length", "final", "value"]
+
+    def facts_of(some: DataFrame, label: str) -> DataFrame:
+        found = some.select(*columns).mapInArrow(*_read_ranges(False)).where("kind <> 'record'")
+        found = found.select("archive", "split", "kind", "start", "end", "reason", "size")
+        return write_table(found, shared_path(spark, label))
+
+    facts = facts_of(stretches.withColumn("final", F.lit(False)), "archive-splits")
+    splits = write_table(_placed_splits(facts), shared_path(spark, "archive-places"))
+    ends = splits.where("_over").select("archive", "split", F.lit(True).alias("_end"))
+    if ends.count() > BROADCAST_SPLITS:
+        raise ValueError(f"over {BROADCAST_SPLITS} archives at a time")
+    # A broadcast leaves the stretches in their order.
+    stretches = stretches.join(F.broadcast(ends), ["archive", "split"], "left")
+    stretches = stretches.withColumn("final", F.coalesce("_end", F.lit(False)))
+    if ends.limit(1).count():
+        again = facts_of(stretches.where("final"), "final-splits")
+        facts = facts.join(ends, ["archive", "split"], "left_anti").unionByName(again)
+        splits = write_table(_placed_splits(facts), shared_path(spark, "archive-places"))
+    # Spark's splits could lose stretches where one ends within line breaks that look like the
+    # begin of a separator.  The bytes would tell; such an archive is read whole.
+    files = splits.groupBy("archive").agg(
+        F.max(F.col("_base") + F.col("_bytes")).alias("_read"), F.max("_size").alias("_size")
+    )
+    lossy = [r.archive for r in files.where("_read <> _size").limit(MOST_WHOLE + 1).collect()]
+    if len(lossy) > MOST_WHOLE:
+        raise ValueError(f"over {MOST_WHOLE} archives cannot be split; gzip them")
+    whole = None
+    if lossy:
+        whole = _read_whole(spark.read.format("binaryFile").load(lossy), payloads)
+        splits = splits.where(~F.col("archive").isin(lossy))
+        facts = facts.where(~F.col("archive").isin(lossy))
+    if splits.count() <= BROADCAST_SPLITS:
+        splits = F.broadcast(splits)
+    rows = stretches.select(*columns).mapInArrow(*_read_ranges(payloads)).where("kind = 'record'")
+    columns = [field.split()[0] for field in SCHEMA.split(", ")]
+    rows = rows.join(splits, ["archive", "split"])
+    rows = rows.withColumns({c: F.col("_base") + F.col(c) for c in ("start", "end")}).select(*columns)
+    crossing = None
+    if facts.where("kind = 'open'").limit(1).count():
+        found = _crossing(stretches, facts, splits, payloads)
+        crossing = write_table(found, shared_path(spark, "crossing-records"))
+        taken = crossing.select(
+            F.col("archive").alias("_in"), F.col("start").alias("_from"), F.col("end").alias("_upto")
+        )
+        inside = (F.col("archive") == F.col("_in")) & (F.col("start") < F.col("_upto"))
+        deeper = inside & (F.col("start") > F.col("_from"))
+        crossing = crossing.join(F.broadcast(taken), deeper, "left_anti")
+        rows = rows.join(
+            F.broadcast(taken), inside & (F.col("start") >= F.col("_from")), "left_anti"
+        ).unionByName(crossing)
+    gaps = _gaps(facts, splits, crossing)
+    empty = {c: F.lit(None).cast(rows.schema[c].dataType) for c in columns[5:]}
+    gaps = gaps.withColumns({"kind": F.lit("gap"), **empty}).select(*columns)
+    rows = rows.unionByName(gaps)
+    return rows.unionByName(whole) if whole else rows
+
+
+def _read_whole(files: DataFrame, payloads: bool) -> DataFrame:
+    """Rows of archives that are a value each."""
+    def parse(batches: Iterator) -> Iterator:
+        contents = (
+            (batch.column(0)[i].as_py(), batch.column(1)[i].as_py() or b"")
+            for batch in batches
+            for i in range(batch.num_rows)
+        )
+
+        def rows():
+            for archive, data in contents:
+                for kind, start, end, item in salvage(data):
+                    record = item if kind == "record" else None
+                    reason = item if kind == "gap" else None
+                    yield archive, kind, start, end, reason, *_values(record, payloads)
+
+        return _batches(rows(), SCHEMA)
+
+    return files.select("path", "content").mapInArrow(parse, SCHEMA)
 
 
 def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
@@ -411,45 +713,13 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
 
     Digests are bare upper-case base 32; a revisit has those of what it revisits.  With
     ``payloads`` off payloads are read and checked but not returned.  Empty files have no rows.
-    An archive is read whole, so it must be below 2 GB; :func:`write_archives` makes small ones.
-    """
-    import pyarrow as pa
-
-    fields = ("record_type", "record_id", "target_uri", "payload_digest", "payload_bytes",
-              "refers_to", "payload")
-    types = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(),
-             pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary()]
-    names = [field.split()[0] for field in SCHEMA.split(", ")]
 
-    def rows_of(archive: str, data: bytes) -> Iterator[tuple]:
-        for kind, start, end, item in salvage(data):
-            if kind == "gap":
-                yield (archive, kind, start, end, item, *[None] * 7)
-                continue
-            if not payloads:
-                item["payload"] = None
-            yield (archive, kind, start, end, None, *[item[f] for f in fields])
-
-    def batch(rows: list[tuple]) -> pa.RecordBatch:
-        columns = [pa.array(column, t) for column, t in zip(zip(*rows), types)]
-        return pa.RecordBatch.from_arrays(columns, names=names)
-
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for files in batches:
-            for i in range(files.num_rows):
-                archive, data = files.column(0)[i].as_py(), files.column(1)[i].as_py()
-                held, size = [], 0
-                for row in rows_of(archive, data or b""):
-                    held.append(row)
-                    size += len(row[-1] or b"") + 200
-                    if size > 4 << 20:
-                        yield batch(held)
-                        held, size = [], 0
-                if held:
-                    yield batch(held)
-
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInArrow(parse, SCHEMA)
+    Plain archives of any size are read in ranges, a record at a time; a payload that holds
+    another record is one record, also over the end of a range.  Files called ``.gz`` are read
+    whole, so they must be below 2 GB, and so are the few whose ranges do not add up.
+    """
+    packed = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path)
+    return _read_plain(spark, path, payloads).unionByName(_read_whole(packed, payloads))
 
 
 def page_of(record_id: Column) -> Column:

@@ -1,8 +1,11 @@
 import base64
 import gzip
 import hashlib
+import random
 import zlib
 
+import pytest
+
 from peakwise.llm import queries, warc
 from peakwise.session import shared_path
 
@@ -190,3 +193,66 @@ def test_urls_of_any_length(spark):
     got = read_back(spark, warc.write_archives(frame, shared_path(spark, "warc")))
     assert sorted((tuple(r)[:5] for r in got), key=str) == expected(rows)
     assert {r.target_uri for r in got} == {url for _, url, _ in rows}
+
+
+def ranges_of(spark, path, size):
+    """Rows of all archives below a path, read in splits of so many bytes."""
+    settings = {"spark.sql.files.maxPartitionBytes": str(size), "spark.sql.files.openCostInBytes": "1",
+                "spark.sql.execution.arrow.maxRecordsPerBatch": "2"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        df = warc.read_archives(spark, str(path))
+        return [(r.archive.rsplit("/", 1)[1], r.start, r.end, r.kind, r.reason, r.record_id,
+                 r.payload and bytes(r.payload)) for r in df.collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("size", [150, 333, 1000, 1 << 20])
+def test_ranges_of_plain_archives_equal_one_reader(spark, tmp_path, size):
+    """Damage, records within payloads, ends that are missing, and gzipped archives beside them."""
+    rng = random.Random(size)
+    for f in range(12):
+        parts = []
+        for i in range(rng.randrange(12)):
+            body = rng.choice([b"x" * rng.randrange(300), RECORDS[1], b"\r\n\r\n".join(RECORDS[:3]),
+                               b"WARC/1." * 9, b"\r\n\r\nWARC/1.1\r\nno record"])
+            whole = record(100 * f + i, body)
+            kind = rng.randrange(8)
+            if kind == 0:
+                whole = whole[: rng.randrange(len(whole))]
+            elif kind == 1:
+                at = rng.randrange(len(whole))
+                whole = whole[:at] + bytes([whole[at] ^ 5]) + whole[at + 1 :]
+            parts += [whole, rng.choice([b"", b"", b"junk", b"\r\n\r\n"])]
+        data = b"".join(parts)
+        (tmp_path / f"{f}.warc").write_bytes(data[: len(data) - (f % 3) * 2])
+    (tmp_path / "z.warc.gz").write_bytes(b"".join(gzip.compress(r) for r in RECORDS))
+    (tmp_path / "empty.warc").write_bytes(b"")
+    expected = []
+    for path in sorted(tmp_path.iterdir()):
+        for kind, start, end, item in warc.salvage(path.read_bytes()):
+            own = (None, item["record_id"], item["payload"]) if kind == "record" else (item, None, None)
+            expected.append((path.name, start, end, kind, *own))
+    assert len([e for e in expected if e[3] == "gap"]) > 8
+    got = ranges_of(spark, tmp_path, size)
+    key = lambda r: (r[0], r[1], r[2], r[3])
+    assert [r[:4] + r[5:] for r in sorted(got, key=key)] == [
+        r[:4] + r[5:] for r in sorted(expected, key=key)]
+
+
+def test_large_archives_are_several_tasks(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    (tmp_path / "a.warc").write_bytes(b"".join(record(i, b"y" * 900) for i in range(200)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        df = warc.read_archives(spark, str(tmp_path), payloads=False)
+        assert df.select(F.spark_partition_id()).distinct().count() > 5
+        assert df.where("kind = 'record' and payload is null").count() == 200
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
