@@ -38,7 +38,7 @@ WIDTH = 16
 HIDDEN = 32
 
 #: In each of so many rounds every so many-th window is trained on, another one each time.
-ROUNDS = 3
+ROUNDS = 2
 #: Windows of a step, at first and after so many windows.
 BATCH, LATER_BATCH, LATER = 2048, 4096, 1 << 17
 RATE = 0.15
