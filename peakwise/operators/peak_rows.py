@@ -16,7 +16,7 @@ from peakwise.functions import binning, peaks
 from peakwise.functions.rounding import round_even
 from peakwise.operators import records
 from peakwise.session import shared_path
-from peakwise.sources.tables import write_table
+from peakwise.sources.tables import spread, write_table
 
 
 def explode_peaks(df: DataFrame, *keep: str, position: bool = False) -> DataFrame:
@@ -107,7 +107,8 @@ def merge_peaks(
     belong to one chain, and neighbouring cells chain exactly when the last peak of one and
     the first of the next are close enough.  The cells of a key are bounded by the mass
     range over the tolerance however many peaks the key owns, so ordering them within the
-    key is safe.  ``carry`` names columns that are constant per key.
+    key is safe.  They are dealt over as many tasks as the input deserves, which the steps after
+    this one share.  ``carry`` names columns that are constant per key.
 
     Means are sums of decimals over the count, as in :mod:`peakwise.functions.peaks`: the same
     in whatever order partial sums arrive.
@@ -120,6 +121,7 @@ def merge_peaks(
         F.min("mz").alias("_low"),
         F.max("mz").alias("_high"),
     )
+    cells = spread(cells, key)
     along = Window.partitionBy(key).orderBy("_cell")
     gap = F.col("_low") - F.lag("_high").over(along)
     chained = cells.withColumn("_new", F.coalesce((gap > tolerance).cast("int"), F.lit(1)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,9 @@ from peakwise.functions.chem import formula_mass
 MOL2VEC_COLUMNS = {"smile": "smile", "up_molvec": "embedding", "inchikey": "inchikey"}
 CHEMBERTA_COLUMNS = {"smiles": "smile", "cls_embedding": "embedding", "inchikey": "inchikey"}
 
+#: Bytes of files whose rows a task sorts and groups: 100,000 to 500,000 peaks.
+TASK_BYTES = 4 << 20
+
 
 def read_library(
     spark: SparkSession,
@@ -63,6 +67,35 @@ def write_table(
     return back.select(*[F.col(f"`{c}`") for c in df.columns]) if apart_by else back
 
 
+def tasks_for(df: DataFrame) -> int:
+    """Tasks that a shuffle of a frame's rows deserves, from the files it reads.
+
+    One per :data:`TASK_BYTES` of the folder with most bytes, so that a frame and its joins with
+    smaller tables get the same number.  Frames that read no files have 0.
+    """
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    sizes: Counter[str] = Counter()
+    for file in df.inputFiles():
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+        status = path.getFileSystem(conf).getFileStatus(path)
+        sizes[file.rpartition("/")[0]] += status.getLen()
+    return -(-max(sizes.values(), default=0) // TASK_BYTES)
+
+
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """``df`` shuffled by ``columns`` over as many tasks as its files deserve.
+
+    The session's number of shuffle partitions does not follow the input, and what a task holds
+    would grow with it.  Up to as many tasks as run at a time the frame is left to the session;
+    beyond that it is the least number, which a join that follows takes over.
+    """
+    spark, tasks = df.sparkSession, tasks_for(df)
+    if tasks <= spark.sparkContext.defaultParallelism:
+        return df
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(tasks, least), *columns)
+
+
 def write_results_csv(wide: DataFrame, path: str) -> None:
     """Wide results with a header; missing candidates are the text ``NA``."""
     wide.write.mode("errorifexists").option("header", True).option("nullValue", "NA").csv(path)

@@ -299,3 +299,27 @@ def test_a_huge_precursor_does_not_end_the_annotated_job(spark):
     molecules = spark.createDataFrame([("C", "A" * 27), ("CC", "B" * 27)], "smile string, inchikey string")
     cleaned = identify.cleaned_annotated(spark.createDataFrame(spectra, schema), molecules)
     assert [r.smile for r in identify.features_annotated(cleaned).collect()] == ["CC"]
+
+
+def test_tasks_of_merging_follow_the_input(spark, work, monkeypatch):
+    from peakwise.sources import tables
+
+    made = spark.range(6000).select(
+        (F.col("id") % 500).alias("spectrum_id"),
+        F.lit(900.0).alias("precursor"),
+        (F.col("id") * 7919 % 6007 / 10).alias("mz"),
+        F.rand(1).alias("intensity"),
+    )
+    rows = tables.write_table(made, work)
+    plain = sorted(peak_rows.encode(rows, "spectrum_id").collect())
+    assert tables.tasks_for(rows) == 1
+    monkeypatch.setattr(tables, "TASK_BYTES", 1000)
+    tasks = tables.tasks_for(rows)
+    assert tasks > 30
+    dealt = peak_rows.encode(rows, "spectrum_id")
+    assert dealt.rdd.getNumPartitions() == tasks
+    assert sorted(dealt.collect()) == plain
+    joined = tables.spread(rows, "spectrum_id").join(rows.select("spectrum_id").distinct(), "spectrum_id")
+    plan = peak_rows.merge_peaks(joined, "spectrum_id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 3  # two of them for the join
+    assert tables.tasks_for(made) == 0

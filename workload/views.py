@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from peakwise.functions.binning import grid_size
 from peakwise.functions.rounding import PROTON_MASS
 from peakwise.session import shared_path
+from peakwise.sources.tables import spread
 
 N_BINS = grid_size(0.01, 700)
 WIDTH = 64
@@ -46,7 +47,8 @@ def order_peaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def peak_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Peak rows: an order is a spectrum and its lines are peaks."""
     spectra = orders_as_spectra(spark, sf_dir).select("spectrum_id", "precursor")
-    return order_peaks(spark, sf_dir).drop("pos").join(spectra, "spectrum_id")
+    peaks = order_peaks(spark, sf_dir).drop("pos")
+    return spread(peaks, "spectrum_id").join(spectra, "spectrum_id")
 
 
 def on_bits(embedding) -> F.Column:
