@@ -27,6 +27,10 @@ from peakwise.sources.tables import write_table
 #: per 4096 x 4096 tile, computed a strip of queries at a time.
 TILE_ROWS = 4096
 
+#: Blocks per side of a mass, each of whose rows moves once per block it faces; a mass of more
+#: rows has larger blocks, up to :data:`MOST_ROWS`, before it has more of them.
+BLOCKS, MOST_ROWS = 8, 1 << 14
+
 #: Masses whose block counts are broadcast: 100 MB as a hash table.
 BROADCAST_KEYS = 2_000_000
 
@@ -68,11 +72,17 @@ def _block_counts(queries: DataFrame, library: DataFrame, tile_rows: int):
     """Per matched mass: candidates and the blocks of either side, from the keys alone, and the
     number of buckets for masses of one block.
 
-    The table is written and counted.  Up to :data:`BROADCAST_KEYS` masses it is broadcast,
+    A row moves to at most :data:`BLOCKS` tiles while a mass has no more than that many times
+    :data:`MOST_ROWS` rows.  The table is written and counted.  Up to :data:`BROADCAST_KEYS` masses it is broadcast,
     which saves moving the embeddings once only to learn their blocks; beyond that it is
     joined like any other table.
     """
-    blocks_of = lambda n: F.ceil(F.col(n) / tile_rows).cast("int")
+
+    def blocks_of(n: str):
+        most = F.lit(max(tile_rows, MOST_ROWS))
+        rows = F.greatest(F.lit(tile_rows), F.least(F.ceil(F.col(n) / BLOCKS), most))
+        return F.ceil(F.col(n) / rows).cast("int")
+
     q_sizes = queries.groupBy("mass_key").agg(F.count(F.lit(1)).alias("_nq"))
     l_sizes = library.groupBy("mass_key").agg(F.count(F.lit(1)).alias("n_candidates"))
     blocks = q_sizes.join(l_sizes, "mass_key").select(

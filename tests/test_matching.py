@@ -120,6 +120,18 @@ def test_a_hot_mass_is_cut_into_tiles(spark):
     assert meets.where("count > 1").count() == 0
 
 
+def test_rows_of_a_growing_mass_move_no_more_often(spark):
+    def side(n, name):
+        return spark.range(n).select(F.concat(F.lit(name), "id").alias(f"{name}_id"),
+                                     F.lit(1).cast("bigint").alias("mass_key"))
+
+    for n in (600, 2400):
+        q, lib = matching._tiles(side(n, "spectrum"), side(n, "library"), 16)
+        assert q.count() <= matching.BLOCKS * n and lib.count() <= matching.BLOCKS * n
+        pairs = q.join(lib, ["_tile", "_q", "_l"]).count()
+        assert pairs == n * n  # each pair meets once
+
+
 def test_plan_has_no_pairs(spark):
     queries, library = data()
     plan = (
