@@ -348,9 +348,15 @@ def fit_evidence(labelled: DataFrame) -> tuple[dict, dict]:
     )
 
 
-def _with_features(rows: DataFrame, model: tuple[dict, dict], key: str) -> DataFrame:
-    """``rows`` without ``__text`` but with ``__features``."""
+def _with_features(
+    rows: DataFrame, model: tuple[dict, dict], key: str, inside: list[int] | None = None
+) -> DataFrame:
+    """``rows`` without ``__text`` but with ``__features``.
+
+    ``inside`` says where in the struct ``__others`` the text lies, so that it is moved once.
+    """
     import pyarrow as pa
+    import pyarrow.compute as pc
 
     tables = rows.sparkSession.sparkContext.broadcast(model)
     names = [c for c in rows.columns if c != "__text"]
@@ -359,13 +365,16 @@ def _with_features(rows: DataFrame, model: tuple[dict, dict], key: str) -> DataF
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         evidence = kept("evidence", key, lambda: WordEvidence(*tables.value))
         for batch in batches:
+            if inside:
+                text = pc.struct_field(batch.column("__others"), inside)
+                batch = pa.RecordBatch.from_arrays([*batch.columns, text], names=[*names, "__text"])
             for part in slices(batch, "__text", SLICE_BYTES):
                 features = evidence.features(part.column("__text").to_pylist())
                 columns = [part.column(c) for c in names]
                 columns.append(pa.array(features, pa.list_(pa.float64())))
                 yield pa.RecordBatch.from_arrays(columns, names=[*names, "__features"])
 
-    return rows.select(*names, "__text").mapInArrow(compute, schema)
+    return rows.select(*names, *([] if inside else ["__text"])).mapInArrow(compute, schema)
 
 
 def fit_curve(features: np.ndarray, labels: np.ndarray) -> np.ndarray:
@@ -399,8 +408,8 @@ class ToxicityModel:
 
         self.tables, self.weights, self.key = tables, weights, uuid.uuid4().hex
 
-    def score(self, docs: DataFrame, text: str = "text") -> DataFrame:
-        """``docs`` with ``score`` from 0 to 1, higher for likelier toxic, and ``predicted``, 1
+    def score(self, docs: DataFrame, text: str = "text", struct: str | None = None) -> DataFrame:
+        """``docs``, whose texts may lie in a column ``struct``, with ``score`` from 0 to 1, higher for likelier toxic, and ``predicted``, 1
         from one half on.
 
         Null and empty texts, and texts without words, have the evidence of no words.
@@ -412,8 +421,13 @@ class ToxicityModel:
             return docs.select(*packed).select(
                 *others, F.lit(0.0).alias("score"), F.lit(0).alias("predicted")
             )
-        rows = docs.select(F.col(text).alias("__text"), *packed)
-        rows = _with_features(rows, self.tables, self.key)
+        held = [c for c in docs.columns if c not in ("score", "predicted")]
+        if struct:
+            inside = [held.index(struct), docs.schema[struct].dataType.names.index(text)]
+        else:
+            inside = [held.index(text)] if text in held else None
+        alone = [] if inside else [F.col(text).alias("__text")]
+        rows = _with_features(docs.select(*alone, *packed), self.tables, self.key, inside)
         total = F.lit(float(self.weights[-1]))
         for i, w in enumerate(self.weights[:-1]):
             total = total + F.get("__features", F.lit(i)) * float(w)
@@ -474,9 +488,9 @@ def ordinary_documents(
 ) -> DataFrame:
     """The rows of ``docs`` that a model learnt from their labels does not predict toxic."""
     model = fit(docs, labels, doc_id, text, label)
-    rows = docs.select(
-        F.col(text).alias("__scored"),
-        F.struct(*[F.col(f"`{c}`").alias(c) for c in docs.columns]).alias("__row"),
-    )
-    clean = model.score(rows, "__scored").where("predicted = 0")
+    # Other spellings of a column's name find it as well.
+    text = next((c for c in docs.columns if c == text),
+                next((c for c in docs.columns if c.lower() == text.lower()), text))
+    row = F.struct(*[F.col(f"`{c}`").alias(c) for c in docs.columns])
+    clean = model.score(docs.select(row.alias("__row")), text, "__row").where("predicted = 0")
     return clean.select(*[F.col("__row")[c].alias(c) for c in docs.columns])

@@ -149,3 +149,23 @@ def test_a_model_too_large_for_a_worker_is_refused(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "MOST_GRAMS", 100)
     with pytest.raises(ValueError, match="more than the 100"):
         toxicity.fit(docs, labels)
+
+
+def test_a_text_is_moved_once(spark, monkeypatch):
+    moved = []
+    with_features = toxicity._with_features
+
+    def spied(rows, *others):
+        moved.append(rows.schema.simpleString().lower().count("text:"))
+        return with_features(rows, *others)
+
+    monkeypatch.setattr(toxicity, "_with_features", spied)
+    docs, labels = frames(spark, *documents())
+    found = toxicity.ordinary_documents(docs, labels)
+    assert moved[-1] == 1
+    assert sorted(r.doc_id for r in found.collect() if r.doc_id % 10) == [
+        i for i in range(600) if i % 10]
+    assert dict(found.collect()).items() <= dict(docs.collect()).items()
+    named = toxicity.ordinary_documents(docs.withColumnRenamed("text", "Text"), labels)
+    assert named.columns == ["doc_id", "Text"]
+    assert sorted(named.collect()) == sorted(found.collect())
