@@ -34,8 +34,8 @@ BLOCKS, MOST_ROWS = 8, 1 << 14
 #: Masses whose block counts are broadcast: 100 MB as a hash table.
 BROADCAST_KEYS = 2_000_000
 
-#: Components of vectors gathered, and scores made, at a time: 64 MB and 32 MB.
-GATHERED, SCORES = 8_000_000, 4_000_000
+#: Components of vectors gathered, and scores made, at a time: 16 MB and 8 MB.
+GATHERED, SCORES = 2_000_000, 1_000_000
 
 #: Cosines are compared at this many decimals, so copies of a molecule tie.
 COSINE_DIGITS = 12

@@ -132,6 +132,30 @@ def test_rows_of_a_growing_mass_move_no_more_often(spark):
         assert pairs == n * n  # each pair meets once
 
 
+@pytest.mark.parametrize("bucket", [-1, 0])
+def test_a_tile_is_ranked_in_little_memory(bucket):
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    n = 3000
+    vectors = pa.array(list(np.random.default_rng(1).random((n, 16), np.float32)))
+    ids = pa.array(range(n))
+    mass = pa.array([1] * n)
+    q = pa.table({"spectrum_id": ids, "mass_key": mass, "embedding": vectors,
+                  "_q": pa.array([bucket] * n)})
+    lib = pa.table({"smile": ids, "mass_key": mass, "embedding": vectors})
+    schema = pa.schema([("spectrum_id", pa.int64()), ("smile", pa.int64()), ("cosine", pa.float64())])
+    rank = matching._tile_ranker(5, ["spectrum_id"], ["smile"], ["smile"], schema)
+    tracemalloc.start()
+    found = rank(q, lib)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 5 * n
+    assert peak < 40 << 20
+
+
 def test_plan_has_no_pairs(spark):
     queries, library = data()
     plan = (
