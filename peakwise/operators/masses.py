@@ -9,15 +9,29 @@ from peakwise.functions.rounding import adduct_mz, rounded_mass_key, truncated_m
 from peakwise.operators.pooling import structure_key
 
 
-def attach_properties(spectra: DataFrame, molecules: DataFrame, *columns: str) -> DataFrame:
+#: Tasks that the spectra of one molecule are dealt over where a join's tasks are counted.
+COPIES = 8
+
+
+def attach_properties(
+    spectra: DataFrame, molecules: DataFrame, *columns: str, tasks: int = 0
+) -> DataFrame:
     """Left join of ``molecules`` (one row per ``smile``), plus the structure key.
 
-    Spectra of an unknown structure keep null properties.
+    Spectra of an unknown structure keep null properties.  With ``tasks`` the join has that many
+    in place of the session's.  Adaptive execution does not split a hot molecule there, so its
+    spectra are dealt over :data:`COPIES` tasks by ``ordinal``.
     """
     properties = molecules.select(
         "smile", structure_key(F.col("inchikey")).alias("structure_key"), *columns
     )
-    return spectra.join(properties, "smile", "left")
+    if not tasks:
+        return spectra.join(properties, "smile", "left")
+    every = F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1)))
+    properties = properties.withColumn("_copy", every).repartition(tasks, "smile", "_copy")
+    copy = F.pmod(F.xxhash64("ordinal"), F.lit(COPIES)).cast("int")
+    joined = spectra.withColumn("_copy", copy).join(properties, ["smile", "_copy"], "left")
+    return joined.drop("_copy")
 
 
 def with_library_key(library: DataFrame, ion_mode: Column | str) -> DataFrame:

@@ -21,7 +21,7 @@ from peakwise.functions.binning import grid_size
 from peakwise.plans import resumable
 from peakwise.operators import embedding, evaluation, masses, matching, peak_rows, pooling, records
 from peakwise.session import shared_path
-from peakwise.sources.tables import write_table
+from peakwise.sources.tables import TEXT_FACTOR, dealt_tasks, write_table
 
 
 @dataclass(frozen=True)
@@ -87,7 +87,9 @@ def cleaned_annotated(
 ) -> DataFrame:
     """Cleaned records with the structure key of their molecule; see :func:`sound_spectra` for
     malformed blocks, which stay."""
-    cleaned = masses.attach_properties(_cleaned(spectra, settings, "smile"), molecules)
+    tasks = dealt_tasks(spectra, TEXT_FACTOR)
+    rows = _cleaned(spectra, settings, "smile")
+    cleaned = masses.attach_properties(rows, molecules, tasks=tasks)
     return cleaned.where(F.col("structure_key").isNotNull() | _malformed(cleaned))
 
 

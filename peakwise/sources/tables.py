@@ -17,6 +17,9 @@ CHEMBERTA_COLUMNS = {"smiles": "smile", "cls_embedding": "embedding", "inchikey"
 #: Bytes of files whose rows a task sorts and groups: 100,000 to 500,000 peaks.
 TASK_BYTES = 4 << 20
 
+#: As many peaks as text take this much more.
+TEXT_FACTOR = 4
+
 
 def read_library(
     spark: SparkSession,
@@ -82,18 +85,25 @@ def tasks_for(df: DataFrame) -> int:
     return -(-max(sizes.values(), default=0) // TASK_BYTES)
 
 
-def spread(df: DataFrame, *columns: str) -> DataFrame:
-    """``df`` shuffled by ``columns`` over as many tasks as its files deserve.
+def dealt_tasks(df: DataFrame, factor: int = 1) -> int:
+    """Tasks to deal a frame's rows over, with ``factor`` times :data:`TASK_BYTES` each, or 0 to
+    leave that to the session.
 
     The session's number of shuffle partitions does not follow the input, and what a task holds
-    would grow with it.  Up to as many tasks as run at a time the frame is left to the session;
-    beyond that it is the least number, which a join that follows takes over.
+    would grow with it.  Up to as many tasks as run at a time it is kept; beyond that it is the
+    least number.
     """
-    spark, tasks = df.sparkSession, tasks_for(df)
+    spark, tasks = df.sparkSession, -(-tasks_for(df) // factor)
     if tasks <= spark.sparkContext.defaultParallelism:
-        return df
-    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(max(tasks, least), *columns)
+        return 0
+    return max(tasks, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def spread(df: DataFrame, *columns: str, like: DataFrame | None = None) -> DataFrame:
+    """``df`` shuffled by ``columns`` over as many tasks as its files, or those of ``like``,
+    deserve; see :func:`dealt_tasks`.  A join that follows takes their number over."""
+    tasks = dealt_tasks(df if like is None else like)
+    return df.repartition(tasks, *columns) if tasks else df
 
 
 def write_results_csv(wide: DataFrame, path: str) -> None:

@@ -86,3 +86,23 @@ def test_attach_properties_keeps_unknown_structures(spark):
     )
     got = {tuple(r) for r in masses.attach_properties(spectra, molecules, "exact_mass").collect()}
     assert got == {("C", "ABCDEFGHIJKLMN", 16.0), ("N", None, None)}
+
+
+def test_a_join_of_counted_tasks_gives_the_same_properties(spark):
+    smile = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 50 == 1, None).otherwise(
+        F.concat(F.lit("C"), F.col("id") % 40)
+    )
+    spectra = spark.range(3000).select(
+        smile.alias("smile"), F.struct(F.lit("f"), F.col("id")).alias("ordinal"), "id"
+    )
+    names = [("hot",), *[(f"C{i}",) for i in range(30)]]
+    molecules = spark.createDataFrame(names, "smile string").select(
+        "smile", F.rpad("smile", 20, "x").alias("inchikey"), F.length("smile").alias("n")
+    )
+    plain = masses.attach_properties(spectra, molecules, "n")
+    dealt = masses.attach_properties(spectra, molecules.hint("merge"), "n", tasks=50)
+    assert dealt.columns == plain.columns
+    assert dealt.rdd.getNumPartitions() == 50
+    assert sorted(dealt.collect(), key=lambda r: r.id) == sorted(plain.collect(), key=lambda r: r.id)
+    places = dealt.where("smile = 'hot'").select(F.spark_partition_id()).distinct().count()
+    assert places > 2

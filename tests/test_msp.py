@@ -227,3 +227,49 @@ def test_numbers_beyond_a_double_are_malformed(spark, tmp_path):
                  "Name: C\n1e400 5\nName: D\nPrecursor: nan\n1 2\nName: E\n1e300 1e300\n")
     got = {r.spectrum_id: r._corrupt is None for r in msp.read_named(spark, path).collect()}
     assert got == {"A": False, "B": False, "C": False, "D": False, "E": True}
+
+
+def test_tasks_of_annotated_files_follow_the_input(spark, work, monkeypatch):
+    from peakwise.plans import identify
+    from peakwise.sources import tables
+    from workload import views
+
+    n = 600
+    spectra = tables.write_table(
+        spark.range(n).select(
+            F.col("id").alias("spectrum_id"),
+            F.concat(F.lit("C"), F.col("id") % 90).alias("id"),
+            (F.col("id") % 300 + 100.5).alias("precursor"),
+            F.lit("[M+H]+").alias("adduct"),
+        ),
+        f"{work}/made",
+    )
+    peaks = tables.write_table(
+        spark.range(n * 20).select(
+            (F.col("id") % (n + 20)).alias("spectrum_id"),
+            (F.col("id") * 7919 % 4001 / 10).alias("mz"),
+            (F.col("id") % 17 + 1.5).alias("intensity"),
+        ),
+        f"{work}/peaks",
+    )
+    molecules = spark.createDataFrame([(f"C{i}", f"{i:027}"[::-1]) for i in range(80)],
+                                      "smile string, inchikey string")
+
+    def run(name):
+        path = views.write_msp(spectra, peaks, "smile:", f"{work}/{name}")
+        read = msp.read_annotated(spark, path)
+        blocks = msp.read_blocks(spark, path, msp.ANNOTATED_TAG)
+        cleaned = identify.cleaned_annotated(read, molecules.hint("merge"))
+        # The last block of a file keeps the end of its last line.
+        in_order = [r.block.rstrip() for r in blocks.orderBy("ordinal").collect()]
+        text = F.btrim("_corrupt", F.lit(" \r\n"))
+        rows = sorted(str(r) for r in cleaned.drop("ordinal").withColumn("_corrupt", text).collect())
+        files = len(spark.read.text(path).inputFiles())
+        return in_order, rows, files, cleaned.rdd.getNumPartitions()
+
+    in_order, rows, files, tasks = run("few")
+    monkeypatch.setattr(tables, "TASK_BYTES", 2000)
+    again, same_rows, more_files, more_tasks = run("many")
+    assert again == in_order and same_rows == rows
+    assert files <= 8 < more_files
+    assert tasks <= 8 < more_tasks

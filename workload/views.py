@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from peakwise.functions.binning import grid_size
 from peakwise.functions.rounding import PROTON_MASS
 from peakwise.session import shared_path
-from peakwise.sources.tables import spread
+from peakwise.sources.tables import dealt_tasks, spread
 
 N_BINS = grid_size(0.01, 700)
 WIDTH = 64
@@ -211,9 +211,10 @@ def write_msp(spectra: DataFrame, peaks: DataFrame, id_tag: str, path: str) -> s
     As found in the wild: a line ahead of the first block, some blocks with CRLF, some id lines
     indented, and some precursors that are no numbers.  Lines are sorted, not gathered: no task holds the peaks of a spectrum in memory.
     """
+    tasks = dealt_tasks(peaks)
     (
-        _msp_lines(spectra, peaks, id_tag)
-        .repartitionByRange("spectrum_id")
+        _msp_lines(spread(spectra, "spectrum_id", like=peaks), peaks, id_tag)
+        .repartitionByRange(*[tasks] * (tasks > 0), "spectrum_id")
         .sortWithinPartitions("spectrum_id", "section", "mz", "intensity")
         .select("value")
         .write.text(path)
