@@ -17,6 +17,7 @@ arrive in; the parameters do depend on how the rows are dealt to partitions.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -77,10 +78,10 @@ def words_of(texts):
     return words.filter(full), np.diff(upto[offsets - offsets[0]])
 
 
-def buckets(words, n: int = BUCKETS) -> np.ndarray:
-    """Bucket, of ``n``, of each word of an Arrow array, by a weighted sum of its bytes."""
+def digests(words) -> np.ndarray:
+    """A weighted sum of the bytes of each word of an Arrow array."""
     if not len(words):
-        return np.empty(0, np.int64)
+        return np.empty(0, np.uint64)
     words = words.cast("binary")
     _, offsets, data = words.buffers()
     cuts = np.frombuffer(offsets, np.int32)[words.offset : words.offset + len(words) + 1]
@@ -88,7 +89,15 @@ def buckets(words, n: int = BUCKETS) -> np.ndarray:
     _, place = ranges(np.diff(cuts))
     weights = np.random.default_rng(3).integers(1, 1 << 40, 61, dtype=np.uint64)
     total = np.add.reduceat(values * weights[place % 61], cuts[:-1] - cuts[0])
-    mixed = total * np.uint64(0x9E3779B97F4A7C15)
+    return total * np.uint64(0x9E3779B97F4A7C15)
+
+
+def buckets(words, n: int = BUCKETS) -> np.ndarray:
+    """Bucket, of ``n``, of each word of an Arrow array, by its digest."""
+    return _bucket(digests(words), n)
+
+
+def _bucket(mixed: np.ndarray, n: int) -> np.ndarray:
     return ((mixed >> np.uint64(32)) % np.uint64(n)).astype(np.int64)
 
 
@@ -123,11 +132,28 @@ class Vocabulary:
     words have in each bucket, and the counts of the most frequent of those."""
 
     def __init__(self, words: list[str], totals: np.ndarray, known, known_counts: np.ndarray):
-        self.words, self.totals, self.known = words, totals, known
-        self.known_units = log_units(known_counts)
+        import pyarrow as pa
+
+        self.words, self.totals = words, totals
+        mixed = digests(known)
+        order = np.argsort(mixed, kind="stable")
+        self.known, self.known_digests = known.take(pa.array(order)), mixed[order]
+        self.known_units = log_units(known_counts)[order]
         self.classes = len(totals)
         self.type = "<u2" if self.classes**2 < 1 << 16 else "<u4"
 
+    def _known(self, words, mixed: np.ndarray) -> np.ndarray:
+        """Places of words among the known ones, -1 for others.  A known word behind another of
+        the same digest is not found, and then joined like those that are not known."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        if not len(self.known):
+            return np.full(len(words), -1)
+        at = np.minimum(np.searchsorted(self.known_digests, mixed), len(self.known) - 1)
+        same = pc.equal(words, self.known.take(pa.array(at))).to_numpy(zero_copy_only=False)
+        return np.where(same, at, -1)
+
     def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """Ids of an Arrow array of texts, one after the other, and how many each text has."""
         return self.with_rest(texts)[:2]
@@ -144,22 +170,23 @@ class Vocabulary:
         ids = at.fill_null(-1).to_numpy().astype(np.int64)
         unknown = np.flatnonzero(ids < 0)
         rest = coded.dictionary.take(pa.array(unknown))
-        ids[unknown] = self.classes * (self.classes - 1) + buckets(rest, self.classes)
+        mixed = digests(rest)
+        ids[unknown] = self.classes * (self.classes - 1) + _bucket(mixed, self.classes)
         index = coded.indices.to_numpy().astype(np.int64)
         row = np.repeat(np.arange(len(counts)), counts)
-        at = pc.index_in(rest, value_set=self.known)
+        at = self._known(rest, mixed)
         units = np.zeros(len(ids), dtype=np.int64)
-        units[unknown] = np.append(self.known_units, 0)[at.fill_null(len(self.known)).to_numpy()]
+        units[unknown] = np.append(self.known_units, 0)[at]
         upto = np.concatenate([[0], np.cumsum(units[index])])
         shares = np.diff(upto[np.cumsum(counts)], prepend=0)
-        other = np.flatnonzero(at.is_null().to_numpy(zero_copy_only=False))
+        other = np.flatnonzero(at < 0)
         place = np.full(len(ids), -1)
         place[unknown[other]] = other
         found = place[index] >= 0
         pair, n = np.unique(row[found] * len(ids) + place[index][found], return_counts=True)
         own = [pa.array(pair // max(1, len(ids))), rest.take(pa.array(pair % max(1, len(ids)))),
                pa.array(n)]
-        return ids[index].astype(self.type), counts, shares, own
+        return ids.astype(self.type)[index], counts, shares, own
 
 
 def fit_vocabulary(counts: DataFrame) -> Vocabulary:
@@ -200,19 +227,22 @@ class Network:
             "embedding": (classes * classes + 1, WIDTH),
             "position": (len(WINDOW), WIDTH, HIDDEN),
             "hidden": (HIDDEN,),
-            "classes": (HIDDEN, classes),
-            "class_bias": (classes,),
-            "members": (classes, HIDDEN, classes),
-            "member_bias": (classes, classes),
+            # Of each of these the last row of weights is the bias.
+            "outer": (HIDDEN + 1, classes),
+            "inner": (classes, HIDDEN + 1, classes),
         }
         self.n_classes = classes
-        self.SIZE = sum(int(np.prod(s)) for s in shapes.values())
+        self._rooms: dict[str, np.ndarray] = {}
+        self._gradient: Network | None = None
+        self.SIZE = sum(math.prod(s) for s in shapes.values())
         self.values = np.zeros(self.SIZE, dtype=np.float32) if values is None else values
         at = 0
         for name, shape in shapes.items():
-            size = int(np.prod(shape))
+            size = math.prod(shape)
             setattr(self, name, self.values[at : at + size].reshape(shape))
             at += size
+        self.classes, self.class_bias = self.outer[:-1], self.outer[-1]
+        self.members, self.member_bias = self.inner[:, :-1], self.inner[:, -1]
 
     @classmethod
     def fresh(cls, seed: int = 11, classes: int = CLASSES) -> Network:
@@ -223,103 +253,133 @@ class Network:
             part[...] = rng.normal(0, 0.3 if name != "embedding" else 0.5, part.shape)
         return net
 
+    def _room(self, name: str, *shape: int) -> np.ndarray:
+        """An array that the steps share: fresh ones would come from the machine page by page."""
+        size = math.prod(shape)
+        if name not in self._rooms or self._rooms[name].size < size:
+            self._rooms[name] = np.empty(size, dtype=np.float32)
+        return self._rooms[name][:size].reshape(shape)
+
+    def _hidden(self, total: np.ndarray) -> np.ndarray:
+        """Hidden values, and a column of ones for the biases."""
+        hidden = self._room("hidden", len(total), HIDDEN + 1)
+        hidden[:, HIDDEN] = 1
+        np.tanh(total, out=hidden[:, :HIDDEN])
+        return hidden
+
     def _by_class(self, target: np.ndarray):
-        """Order of the rows by class, the cuts between classes, classes and members in it."""
-        cls = target // self.n_classes
-        order = np.argsort(cls.astype(np.uint16), kind="stable")
-        cuts = np.searchsorted(cls.take(order), np.arange(self.n_classes + 1))
-        return order, cuts, cls, target.take(order) % self.n_classes
-
-    def _members(self, hidden: np.ndarray, order: np.ndarray, cuts: np.ndarray):
-        """Hidden rows in the order of classes, and logits of the members of their classes."""
-        ordered = hidden.take(order, axis=0)
-        logits = np.empty((len(order), self.n_classes), dtype=np.float32)
-        for c in np.flatnonzero(np.diff(cuts)):
-            rows = slice(cuts[c], cuts[c + 1])
-            np.matmul(ordered[rows], self.members[c], out=logits[rows])
-        logits += np.repeat(self.member_bias, np.diff(cuts), axis=0)
-        return ordered, logits
+        """Order of the rows by class, and the cuts between classes."""
+        cls = (target // self.n_classes).astype(np.uint16)
+        order = np.argsort(cls, kind="stable")
+        return order, np.searchsorted(cls.take(order), np.arange(self.n_classes + 1)).tolist()
 
     def train(self, context: np.ndarray, target: np.ndarray, squares: np.ndarray) -> None:
         """One step of adaptive gradient descent over a batch."""
-        grad = Network(None, self.n_classes)
-        columns = [np.ascontiguousarray(context[:, p]) for p in range(len(WINDOW))]
-        total = (self.embedding @ self.position[0]).take(columns[0], axis=0)
+        n, classes = len(target), self.n_classes
+        if self._gradient is None:
+            self._gradient = Network(None, classes)
+        grad = self._gradient
+        grad.values[...] = 0
+        # Rows of a class lie side by side in all that follows.
+        order, cuts = self._by_class(target)
+        target = target.take(order).astype(np.int64)
+        token = context.take(order, axis=0).reshape(-1)
+        runs = [(c, slice(i, j)) for c, (i, j) in enumerate(zip(cuts, cuts[1:])) if i < j]
+        cls = target // classes
+        position = self.position.reshape(-1, HIDDEN)
+        near = self._room("near", len(token), WIDTH)
+        near = self.embedding.take(token, axis=0, out=near, mode="clip").reshape(n, -1)
+        total = np.dot(near, position, out=self._room("total", n, HIDDEN))
         total += self.hidden
-        for p in range(1, len(WINDOW)):
-            total += (self.embedding @ self.position[p]).take(columns[p], axis=0)
-        hidden = np.tanh(total, out=total)
-        order, cuts, cls, member = self._by_class(target)
-        error = _softmax(hidden @ self.classes + self.class_bias)
-        error[np.arange(len(target)), cls] -= 1
-        grad.classes[...] = hidden.T @ error
-        grad.class_bias[...] = error.sum(axis=0)
-        back = error @ self.classes.T
-        # Rows of a class lie side by side in these.
-        ordered, error = self._members(hidden, order, cuts)
-        error = _softmax(error)
-        error[np.arange(len(target)), member] -= 1
-        within = np.empty_like(hidden)
-        seen = np.flatnonzero(np.diff(cuts))
-        for c in seen:
-            rows = slice(cuts[c], cuts[c + 1])
-            np.matmul(ordered[rows].T, error[rows], out=grad.members[c])
-            np.matmul(error[rows], self.members[c].T, out=within[rows])
-        grad.member_bias[seen] = np.add.reduceat(error, cuts[seen], axis=0)
-        back[order] += within
-        hidden *= hidden
-        back *= 1 - hidden
-        grad.hidden[...] = back.sum(axis=0)
-        for p, token in enumerate(columns):
-            if self.n_classes**2 < 1 << 16:
-                token = token.astype(np.uint16)  # these are sorted by their digits
-            order = np.argsort(token, kind="stable")
-            token = token.take(order)
-            first = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
-            # Sums by the token there: the embedding is common to all its windows.
-            sums = np.add.reduceat(back.take(order, axis=0), first, axis=0)
-            token = token.take(first).astype(np.int64)
-            grad.position[p] = self.embedding.take(token, axis=0).T @ sums
-            grad.embedding[token] += sums @ self.position[p].T
-        grad.values /= len(target)
-        squares += grad.values * grad.values
-        self.values -= RATE * grad.values / np.sqrt(squares + 1e-8)
+        hidden = self._hidden(total)
+
+        error = np.dot(hidden, self.outer, out=self._room("error", n, classes))
+        _softmax(error, _reach(self.outer), 1 / n)
+        first = np.arange(0, n * classes, classes)
+        error.reshape(-1)[first + cls] -= 1 / n
+        np.dot(hidden.T, error, out=grad.outer)
+        back = np.dot(error, self.classes.T, out=self._room("back", n, HIDDEN))
+
+        for c, rows in runs:
+            np.dot(hidden[rows], self.inner[c], out=error[rows])
+        _softmax(error, _reach(self.inner), 1 / n)
+        first += target
+        first -= cls * classes
+        error.reshape(-1)[first] -= 1 / n
+        within = total
+        for c, rows in runs:
+            part = error[rows]
+            np.dot(hidden[rows].T, part, out=grad.inner[c])
+            np.dot(part, self.members[c].T, out=within[rows])
+        back += within
+
+        slope = np.multiply(hidden[:, :HIDDEN], hidden[:, :HIDDEN], out=total)
+        back *= np.subtract(1, slope, out=slope)
+        np.dot(np.ones(n, dtype=np.float32), back, out=grad.hidden)
+        np.dot(near.T, back, out=grad.position.reshape(-1, HIDDEN))
+        # What the embeddings get, summed by token; pairs of numbers take half the additions.
+        parts = np.dot(back, position.T, out=near).reshape(-1, WIDTH)
+        order = np.argsort(token, kind="stable")  # two-byte tokens are sorted by their digits
+        token = token.take(order)
+        other = np.ones(len(token), dtype=bool)
+        np.not_equal(token[1:], token[:-1], out=other[1:])
+        first = np.flatnonzero(other)
+        parts = parts.take(order, axis=0, out=self._room("sorted", *parts.shape), mode="clip")
+        sums = np.add.reduceat(parts.view(np.complex64), first, axis=0).view(np.float32)
+        grad.embedding[token.take(first)] = sums
+
+        step, root = grad.values, self._room("root", self.SIZE)
+        squares += np.multiply(step, step, out=root)
+        np.add(squares, 1e-8, out=root)
+        step *= RATE
+        step /= np.sqrt(root, out=root)
+        self.values -= step
 
     def log_probabilities(self, padded: np.ndarray, places: np.ndarray) -> np.ndarray:
         """Of the tokens at ``places``, two or more from either end of ``padded``."""
+        classes = self.n_classes
         pushed = [self.embedding @ self.position[p] for p in range(len(WINDOW))]
+        pushed[0] += self.hidden
+        order, cuts = self._by_class(padded.take(places))
         result = np.empty(len(places))
-        for start in range(0, len(places), CHUNK):
-            at = places[start : start + CHUNK]
-            total = pushed[0].take(padded.take(at + WINDOW[0]), axis=0)
-            total += self.hidden
-            for p in range(1, len(WINDOW)):
-                total += pushed[p].take(padded.take(at + WINDOW[p]), axis=0)
-            hidden = np.tanh(total, out=total)
-            order, cuts, cls, member = self._by_class(padded.take(at).astype(np.int64))
-            logits = _bounded(hidden @ self.classes + self.class_bias)
-            part = logits[np.arange(len(at)), cls] - _log_sum(logits)
-            _, logits = self._members(hidden, order, cuts)
-            _bounded(logits)
-            within = logits[np.arange(len(at)), member] - _log_sum(logits)
-            part[order] += within
-            result[start : start + CHUNK] = part
+        ones = np.ones(classes, dtype=np.float32)
+        for c in np.flatnonzero(np.diff(cuts)):
+            # Logits of the classes and of the class's members in one product.
+            weights = np.concatenate([self.outer, self.inner[c]], axis=1)
+            reach = _reach(weights)
+            for start in range(cuts[c], cuts[c + 1], CHUNK):
+                own = order[start : min(start + CHUNK, cuts[c + 1])]
+                at = places.take(own)
+                total = self._room("total", len(at), HIDDEN)
+                pushed[0].take(padded.take(at + WINDOW[0]), axis=0, out=total, mode="clip")
+                for p in range(1, len(WINDOW)):
+                    total += pushed[p].take(padded.take(at + WINDOW[p]), axis=0)
+                logits = self._room("logits", len(at), 2 * classes)
+                np.dot(self._hidden(total), weights, out=logits)
+                _bounded(logits, reach)
+                member = padded.take(at).astype(np.int64) - c * classes
+                found = logits[:, c] + logits[np.arange(len(at)), classes + member]
+                np.exp(logits, out=logits)
+                logs = np.log(logits.reshape(-1, classes) @ ones)
+                found -= logs[::2]
+                found -= logs[1::2]
+                result[own] = found
         return result
 
 
-def _bounded(logits: np.ndarray) -> np.ndarray:
-    return np.clip(logits, -MOST, MOST, out=logits)
+def _reach(weights: np.ndarray) -> float:
+    """What no logit is beyond, since hidden values are -1 to 1."""
+    return float(np.abs(weights).sum(axis=-2).max())
 
 
-def _softmax(logits: np.ndarray) -> np.ndarray:
-    np.exp(_bounded(logits), out=logits)
-    logits /= (logits @ np.ones(logits.shape[1], logits.dtype))[:, None]
-    return logits
+def _bounded(logits: np.ndarray, reach: float) -> np.ndarray:
+    return logits if reach <= MOST else np.clip(logits, -MOST, MOST, out=logits)
 
 
-def _log_sum(logits: np.ndarray) -> np.ndarray:
-    """Logarithm of the sum of the exponentials; the logits are left as they are."""
-    return np.log(np.exp(logits) @ np.ones(logits.shape[1], logits.dtype))
+def _softmax(logits: np.ndarray, reach: float, total: float) -> None:
+    """In place, with rows that sum to ``total``."""
+    np.exp(_bounded(logits, reach), out=logits)
+    logits *= (total / (logits @ np.ones(logits.shape[1], logits.dtype)))[:, None]
 
 
 def _padded(
@@ -328,7 +388,7 @@ def _padded(
     """Tokens of documents with two edges around each, the places of the tokens, and how many
     each document has."""
     counts = np.array([len(r) for r in rows], dtype=np.int64) // np.dtype(kind).itemsize
-    padded = np.full(counts.sum() + 2 * (len(counts) + 1), edge, dtype=np.int32)
+    padded = np.full(counts.sum() + 2 * (len(counts) + 1), edge, dtype=kind)
     places = np.arange(counts.sum()) + 2 * np.repeat(np.arange(1, len(counts) + 1), counts)
     padded[places] = np.frombuffer(b"".join(rows), kind)
     return padded, places, counts
@@ -347,12 +407,15 @@ def _train_round(
         net = Network(start.copy(), classes)
         squares = np.full(net.SIZE, 0.01, dtype=np.float32)
         seen = 0
-        rest = (np.empty((0, len(WINDOW)), np.int32), np.empty(0, np.int32))
+        rest = np.empty((0, len(WINDOW)), kind), np.empty(0, kind)
         for batch in (part for whole in batches for part in slices(whole, 0, SLICE_BYTES)):
             padded, places, _ = _padded(batch.column(0).to_pylist(), kind, classes * classes)
-            at = places[turn::rounds]
-            context = np.stack([padded.take(at + w) for w in WINDOW], axis=1)
-            context = np.concatenate([rest[0], context])
+            at = places[turn::rounds].copy()
+            before = len(rest[1])
+            context = np.empty((before + len(at), len(WINDOW)), kind)
+            context[:before] = rest[0]
+            for p, w in enumerate(WINDOW):
+                context[before:, p] = padded.take(at + w)
             target = np.concatenate([rest[1], padded.take(at)])
             # Neighbouring windows differ little: a batch takes them from all over.
             size = BATCH if seen < LATER else LATER_BATCH
@@ -362,26 +425,26 @@ def _train_round(
                 some = mixed[cut : cut + size]
                 net.train(context.take(some, axis=0), target.take(some), squares)
             seen += full
-            rest = context[full:], target[full:]
+            rest = context[full:].copy(), target[full:]
         if len(rest[1]):
             net.train(*rest, squares)
             seen += len(rest[1])
         if seen:
             parts = np.rint(net.values.astype(np.float64) / UNIT).astype(np.int64)
+            parts = np.append(1, parts)
+            # Two halves of a whole number: neither sum passes 64 bits.
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(-1, len(parts))), pa.array(np.concatenate([[1], parts])),
-                 pa.array(np.full(len(parts) + 1, seen))],
-                names=["at", "value", "seen"],
+                [pa.array(np.arange(-1, len(parts) - 1)), pa.array((parts >> 16) * seen),
+                 pa.array((parts & 0xFFFF) * seen)],
+                names=["at", "high", "low"],
             )
 
-    rows = encoded.select("ids").mapInArrow(train, "at bigint, value bigint, seen bigint")
-    total = F.sum(F.col("value").cast("decimal(20,0)") * F.col("seen"))
-    sums = rows.groupBy("at").agg(total.cast("double").alias("total")).toArrow()
+    rows = encoded.select("ids").mapInArrow(train, "at bigint, high bigint, low bigint")
+    sums = rows.groupBy("at").agg(F.sum("high").alias("high"), F.sum("low").alias("low")).toArrow()
     if not len(sums):
         return start
-    at, total = sums["at"].to_numpy(), sums["total"].to_numpy()
     result = np.zeros(len(start) + 1)
-    result[at + 1] = total
+    result[sums["at"].to_numpy() + 1] = sums["high"].to_numpy() * 65536.0 + sums["low"].to_numpy()
     return (result[1:] / result[0] * UNIT).astype(np.float32)
 
 

@@ -1,11 +1,13 @@
 import functools
 import math
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from peakwise.llm import lm_score, queries
 
@@ -248,3 +250,67 @@ def test_columns_with_dots_and_ids(spark):
     got = lm_score.score_documents(docs)
     assert got.columns == ["a.b", "row", "ids", "n_tokens", "log_prob", "mean_log_prob"]
     assert got.first()[:4] == (1, "x", [7], 2)
+
+
+def test_steps_share_their_arrays():
+    """A step of a full batch makes no array of its size anew, and so takes no pages."""
+    rng = np.random.default_rng(5)
+    n = lm_score.LATER_BATCH
+    context = rng.integers(0, lm_score.VOCABULARY, (n, 4)).astype("<u2")
+    target = rng.integers(0, lm_score.VOCABULARY, n).astype("<u2")
+    net = lm_score.Network.fresh()
+    squares = np.full(net.SIZE, 0.01, np.float32)
+    net.train(context, target, squares)
+    tracemalloc.start()
+    try:
+        net.train(context, target, squares)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < n * lm_score.HIDDEN * 4 * 2
+
+
+def test_large_logits_are_bounded():
+    """Steps and scores stay finite where logits pass the bound, and rows stay in their places."""
+    rng = np.random.default_rng(6)
+    net = lm_score.Network.fresh()
+    net.values *= 200
+    padded = rng.integers(0, lm_score.VOCABULARY, 300)
+    places = np.arange(2, 298)
+    got = net.log_probabilities(padded, places)
+    one = [net.log_probabilities(padded, places[i : i + 1])[0] for i in range(len(places))]
+    assert np.allclose(got, one, rtol=1e-4) and got.min() > -250
+    context = np.stack([padded[places + w] for w in lm_score.WINDOW], axis=1)
+    net.train(context, padded[places], np.full(net.SIZE, 0.01, np.float32))
+    assert np.isfinite(net.values).all()
+
+
+def test_known_words_of_one_digest_are_joined(monkeypatch):
+    """The first of them is found, the others are left for the join; none is taken for another."""
+    monkeypatch.setattr(lm_score, "digests", lambda words: np.zeros(len(words), np.uint64))
+    known = pa.array(["one", "two", "three"])
+    vocabulary = lm_score.Vocabulary(["top"], np.zeros(32), known, np.array([5, 4, 3]))
+    _, n, shares, (row, word, k) = vocabulary.with_rest(pa.array(["top one two", "new one one two two"]))
+    assert n.tolist() == [3, 5]
+    assert shares.tolist() == [lm_score.log_units(np.array([5]))[0] * i for i in (1, 2)]
+    assert sorted(zip(row.to_pylist(), word.to_pylist(), k.to_pylist())) == [
+        (0, "two", 1), (1, "new", 1), (1, "two", 2)]
+
+
+def test_parameters_are_averaged_by_windows(spark):
+    """Of two partitions, in whole numbers of either sign."""
+    vocabulary = lm_score.Vocabulary(["a"], np.zeros(32), pa.array([], pa.string()), np.array([]))
+    rng = np.random.default_rng(7)
+    docs = [rng.integers(0, 1024, n).astype("<u2") for n in (700, 2900)]
+    start = lm_score.Network.fresh().values
+    total = np.zeros(len(start))
+    for ids in docs:
+        own = spark.createDataFrame([(ids.tobytes(),)], "ids binary").coalesce(1)
+        part = lm_score._train_round(own, start, vocabulary, 0, 1)
+        total += part.astype(float) * len(ids)
+    both = spark.createDataFrame([(d.tobytes(),) for d in docs], "ids binary").repartitionByRange(
+        2, "ids")
+    assert both.select(F.spark_partition_id()).distinct().count() == 2
+    got = lm_score._train_round(both, start, vocabulary, 0, 1)
+    assert np.abs(got - total / sum(map(len, docs))).max() < 2 * lm_score.UNIT
+    assert got.min() < 0 < got.max()
