@@ -340,7 +340,9 @@ class Network:
         classes = self.n_classes
         pushed = [self.embedding @ self.position[p] for p in range(len(WINDOW))]
         pushed[0] += self.hidden
-        order, cuts = self._by_class(padded.take(places))
+        target = padded.take(places)
+        order, cuts = self._by_class(target)
+        target = target.take(order).astype(np.int64)
         result = np.empty(len(places))
         ones = np.ones(classes, dtype=np.float32)
         for c in np.flatnonzero(np.diff(cuts)):
@@ -357,8 +359,9 @@ class Network:
                 logits = self._room("logits", len(at), 2 * classes)
                 np.dot(self._hidden(total), weights, out=logits)
                 _bounded(logits, reach)
-                member = padded.take(at).astype(np.int64) - c * classes
-                found = logits[:, c] + logits[np.arange(len(at)), classes + member]
+                member = target[start : start + len(at)] - (c - 1) * classes
+                member += np.arange(0, logits.size, 2 * classes)
+                found = logits[:, c] + logits.reshape(-1).take(member)
                 np.exp(logits, out=logits)
                 logs = np.log(logits.reshape(-1, classes) @ ones)
                 found -= logs[::2]
