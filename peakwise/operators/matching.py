@@ -23,14 +23,23 @@ from pyspark.sql.window import Window
 from peakwise.session import shared_path
 from peakwise.sources.tables import write_table
 
-#: Rows per side of a tile.  Two blocks of 384 doubles take 25 MB, their products 134 MB
-#: per 4096 x 4096 tile, computed a strip of queries at a time.
+#: Rows of masses packed into a bucket, and the fewest per side of a tile.  Two blocks of 384
+#: doubles take 25 MB, their products 134 MB per 4096 x 4096 tile, computed a strip of queries
+#: at a time.
 TILE_ROWS = 4096
 
+#: Vectors of a block as doubles, and rows of one however short they are.  A row moves once per
+#: block it faces and a query has ``n`` candidates from each, so blocks are as large as a task
+#: can hold.
+BLOCK_BYTES, BLOCK_ROWS = 32 << 20, 1 << 16
+
 #: Blocks per side of a mass, each of whose rows moves once per block it faces; a mass of more
 #: rows has larger blocks, up to :data:`MOST_ROWS`, before it has more of them.
 BLOCKS, MOST_ROWS = 8, 1 << 14
 
+#: Tiles for every task that runs at a time, if masses are few; their queries are cut for it.
+TILES_PER_CORE = 4
+
 #: Masses whose block counts are broadcast: 100 MB as a hash table.
 BROADCAST_KEYS = 2_000_000
 
@@ -68,36 +77,53 @@ def unmatched_queries(queries: DataFrame, library: DataFrame) -> DataFrame:
     return queries.join(masses, "mass_key", "left_anti")
 
 
+def _block_rows(library: DataFrame) -> int:
+    """Rows per side of a tile, from the length of one of the library's vectors."""
+    vector = library.where(F.col("embedding").isNotNull()).select(F.size("embedding")).first()
+    fit = BLOCK_BYTES // (8 * max(1, vector[0] if vector else 1))
+    return max(TILE_ROWS, min(BLOCK_ROWS, fit))
+
+
 def _block_counts(queries: DataFrame, library: DataFrame, tile_rows: int):
     """Per matched mass: candidates and the blocks of either side, from the keys alone, and the
-    number of buckets for masses of one block.
+    number of buckets for masses of few rows.
 
     A row moves to at most :data:`BLOCKS` tiles while a mass has no more than that many times
-    :data:`MOST_ROWS` rows.  The table is written and counted.  Up to :data:`BROADCAST_KEYS` masses it is broadcast,
-    which saves moving the embeddings once only to learn their blocks; beyond that it is
-    joined like any other table.
+    ``tile_rows`` or :data:`MOST_ROWS` rows.  The table is written and counted.  Up to
+    :data:`BROADCAST_KEYS` masses it is broadcast, which saves moving the embeddings once only to
+    learn their blocks; beyond that it is joined like any other table.
     """
+    spark = queries.sparkSession
+    packed = min(tile_rows, TILE_ROWS)
 
-    def blocks_of(n: str):
+    def rows_of(n: str):
         most = F.lit(max(tile_rows, MOST_ROWS))
-        rows = F.greatest(F.lit(tile_rows), F.least(F.ceil(F.col(n) / BLOCKS), most))
+        return F.greatest(F.lit(tile_rows), F.least(F.ceil(F.col(n) / BLOCKS), most))
+
+    def blocks_of(n: str, rows):
         return F.ceil(F.col(n) / rows).cast("int")
 
     q_sizes = queries.groupBy("mass_key").agg(F.count(F.lit(1)).alias("_nq"))
     l_sizes = library.groupBy("mass_key").agg(F.count(F.lit(1)).alias("n_candidates"))
-    blocks = q_sizes.join(l_sizes, "mass_key").select(
+    sizes = q_sizes.join(l_sizes, "mass_key").select("mass_key", "_nq", "n_candidates")
+    sizes = write_table(sizes, shared_path(spark, "blocks"))
+    small = (F.col("_nq") <= packed) & (F.col("n_candidates") <= packed)
+    rows = F.when(small, F.col("_nq") + F.col("n_candidates")).otherwise(0)
+    pairs = F.col("_nq").cast("double") * F.col("n_candidates")
+    n_masses, n_rows, n_pairs = sizes.agg(F.count(F.lit(1)), F.sum(rows), F.sum(pairs)).first()
+    buckets = max(1, -(-(n_rows or 0) // packed))
+    # A tile's share of all pairs.  More blocks of queries repeat library rows only, where more
+    # blocks of the library would repeat queries and their candidates.
+    share = (n_pairs or 0.0) / (TILES_PER_CORE * spark.sparkContext.defaultParallelism)
+    facing = F.least(F.col("n_candidates"), rows_of("n_candidates"))
+    dealt = F.greatest(F.lit(packed), F.ceil(F.col("_nq") / BLOCKS), F.ceil(F.lit(share) / facing))
+    blocks = sizes.select(
         "mass_key",
-        "_nq",
         "n_candidates",
-        blocks_of("_nq").alias("_qb"),
-        blocks_of("n_candidates").alias("_lb"),
+        small.alias("_small"),
+        blocks_of("_nq", F.least(rows_of("_nq"), dealt)).alias("_qb"),
+        blocks_of("n_candidates", rows_of("n_candidates")).alias("_lb"),
     )
-    blocks = write_table(blocks, shared_path(queries.sparkSession, "blocks"))
-    small = (F.col("_qb") == 1) & (F.col("_lb") == 1)
-    rows = F.when(small, F.col("_nq") + F.col("n_candidates")).otherwise(0)
-    n_masses, n_rows = blocks.agg(F.count(F.lit(1)), F.sum(rows)).first()
-    buckets = max(1, -(-(n_rows or 0) // tile_rows))
-    blocks = blocks.drop("_nq")
     return (F.broadcast(blocks) if n_masses <= BROADCAST_KEYS else blocks), buckets
 
 
@@ -105,16 +131,14 @@ def _tiles(queries: DataFrame, library: DataFrame, tile_rows: int):
     """Both sides with ``tile = (_tile, _q, _l)``: a bucket of masses, or a mass with the blocks
     of either side; rows repeat only for the blocks they face."""
     blocks, buckets = _block_counts(queries, library, tile_rows)
-    small = (F.col("_qb") == 1) & (F.col("_lb") == 1)
     bucket = F.pmod(F.xxhash64("mass_key"), F.lit(buckets))
     # Buckets and masses of their own have different signs of _q.
-    tile = F.when(small, bucket).otherwise(F.col("mass_key"))
+    tile = F.when(F.col("_small"), bucket).otherwise(F.col("mass_key"))
 
     def spread(side: DataFrame, id_column: str, own: str, own_n: str, other: str, other_n: str):
         block = F.pmod(F.xxhash64(id_column), F.col(own_n)).cast("int")
         faced = F.explode(F.sequence(F.lit(0), F.col(other_n) - 1))
-        rows = side.select("*", tile.alias("_tile"), small.alias("_small"),
-                           block.alias(own), faced.alias(other))
+        rows = side.select("*", tile.alias("_tile"), block.alias(own), faced.alias(other))
         return rows.withColumn("_q", F.when(F.col("_small"), -1).otherwise(F.col("_q"))).drop(
             "_qb", "_lb", "_small"
         )
@@ -145,7 +169,7 @@ def _tile_ranker(
         valid = vectors.is_valid().to_numpy(zero_copy_only=False)
         dense[valid] = flat.reshape(len(lengths), width)
         with np.errstate(divide="ignore", invalid="ignore"):
-            return dense / np.linalg.norm(dense, axis=1, keepdims=True)
+            return np.divide(dense, np.linalg.norm(dense, axis=1, keepdims=True), out=dense)
 
     def product(q: np.ndarray, lib: np.ndarray) -> np.ndarray:
         """Rounded cosines of rows, or of rows of each of a stack; -2, below any cosine, where
@@ -246,7 +270,7 @@ def top_candidates(
     n: int = 5,
     query_columns: tuple[str, ...] = (),
     library_columns: tuple[str, ...] = ("smile", "inchikey"),
-    tile_rows: int = TILE_ROWS,
+    tile_rows: int | None = None,
 ) -> DataFrame:
     """The best ``n`` candidates of each query by cosine, with ``rank`` from 1.
 
@@ -254,15 +278,17 @@ def top_candidates(
     unique ``library_id, mass_key, embedding``; the named columns of either side go along, as
     does ``n_candidates``.  Equal cosines rank by the library columns in their order, null
     cosines last: those of vectors that are null, zero or hold a null.  Queries without a
-    candidate have no rows.
+    candidate have no rows.  ``tile_rows`` is the number of rows per side of a tile, as many as
+    a task can hold vectors of unless it is given.
 
-    The keys of both frames are read ahead of the rest, when this is called.  Pass written
-    tables when the frames are costly.
+    The keys of both frames and one vector of the library are read ahead of the rest, when this
+    is called.  Pass written tables when the frames are costly.
     """
     order = _tie_columns(library, library_columns)
     later = [c for c in library_columns if c not in order]
     kept = ["library_id", *order] if later else order
-    best = _best_of_tiles(queries, library, n, order, kept, tile_rows)
+    rows = tile_rows or _block_rows(library)
+    best = _best_of_tiles(queries, library, n, order, kept, rows)
     ranked = _ranked(best, n, order)
     if query_columns:
         ranked = ranked.join(queries.select("spectrum_id", *query_columns), "spectrum_id")
@@ -406,9 +432,11 @@ def top_of_laid_out(
     if asked.where(tiled).limit(1).count():
         masses = asked.where(tiled).select("mass_key")
         large = spark.read.parquet(f"{path}/large")
-        rows = large.unionByName(library.drop(SLOT)).join(masses, "mass_key", "left_semi")
+        molecules = large.unionByName(library.drop(SLOT))
+        rows = molecules.join(masses, "mass_key", "left_semi")
         own = q.join(masses, "mass_key", "left_semi")
-        parts.append(_best_of_tiles(own, rows, n, order, kept, facts.tile_rows))
+        block_rows = max(facts.tile_rows, _block_rows(molecules))
+        parts.append(_best_of_tiles(own, rows, n, order, kept, block_rows))
     if not parts:
         none = q.limit(0).join(sizes, "mass_key")
         parts = [_best_of_groups(none.withColumns({SLOT: F.lit(0).cast("bigint"), "_q": F.lit(-1)}),

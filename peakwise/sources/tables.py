@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +51,28 @@ def finished(spark: SparkSession, path: str) -> bool:
     return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
 
 
+#: Spark's setting that removes the shuffle files of a job when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Jobs started within remove their shuffle files when they end.
+
+    For those that write a table, which is read back from then on.  Otherwise the files stay
+    until the driver happens to collect its garbage, beside those of all later jobs.
+    """
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
 def write_table(
     df: DataFrame, path: str, apart_by: str | None = None, resume: bool = False
 ) -> DataFrame:
@@ -65,7 +88,8 @@ def write_table(
         writer = df.write.mode("overwrite" if resume else "errorifexists")
         if apart_by:
             writer = writer.partitionBy(apart_by)
-        writer.parquet(path)
+        with shuffles_removed(df.sparkSession):
+            writer.parquet(path)
     back = df.sparkSession.read.schema(df.schema).parquet(path)
     return back.select(*[F.col(f"`{c}`") for c in df.columns]) if apart_by else back
 

@@ -132,6 +132,42 @@ def test_rows_of_a_growing_mass_move_no_more_often(spark):
         assert pairs == n * n  # each pair meets once
 
 
+def test_blocks_are_as_large_as_a_task_holds(spark, monkeypatch):
+    """Rows of a mass move once while its vectors fit, whatever their number."""
+    monkeypatch.setattr(matching, "TILE_ROWS", 16)
+    monkeypatch.setattr(matching, "BLOCK_ROWS", 1000)
+    vector = F.sequence(F.lit(1), F.lit(64)).cast("array<float>").alias("embedding")
+    mass = F.when(F.col("id") < 40, 1).otherwise(F.col("id") + 1).cast("bigint").alias("mass_key")
+
+    def side(name, n):
+        return spark.range(n).select(F.concat(F.lit(name), "id").alias(f"{name}_id"), mass, vector)
+
+    monkeypatch.setattr(matching, "TILES_PER_CORE", 1 / spark.sparkContext.defaultParallelism)
+    q, lib = side("spectrum", 60), side("library", 50)
+    for blocks, block_bytes in ((1, 64 * 64 * 8), (3, 16 * 64 * 8)):
+        monkeypatch.setattr(matching, "BLOCK_BYTES", block_bytes)
+        found_q, found_lib = matching._tiles(q, lib, matching._block_rows(lib))
+        found_q, found_lib = (f.where("mass_key = 1") for f in (found_q, found_lib))
+        assert found_q.count() == 40 * blocks and found_lib.count() == 40 * blocks
+        assert found_q.join(found_lib, ["_tile", "_q", "_l"]).count() == 40 * 40
+    # Few masses are cut among the tasks, by their queries.
+    monkeypatch.setattr(matching, "BLOCK_BYTES", 64 * 64 * 8)
+    monkeypatch.setattr(matching, "TILES_PER_CORE", 4)
+    found_q, found_lib = matching._tiles(q, lib, matching._block_rows(lib))
+    found_q, found_lib = (f.where("mass_key = 1") for f in (found_q, found_lib))
+    assert found_q.count() == 40 and found_lib.count() == 40 * 3
+
+
+def test_large_blocks_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(matching, "TILE_ROWS", 8)
+    queries, library = data()
+    for rows in (8, 20, 1000):
+        monkeypatch.setattr(matching, "BLOCK_ROWS", rows)
+        got = matching.top_candidates(
+            spark.createDataFrame(queries, QUERY), spark.createDataFrame(library, LIBRARY))
+        same(ranked(got), brute(queries, library, 5))
+
+
 @pytest.mark.parametrize("bucket", [-1, 0])
 def test_a_tile_is_ranked_in_little_memory(bucket):
     import tracemalloc

@@ -273,3 +273,31 @@ def test_tasks_of_annotated_files_follow_the_input(spark, work, monkeypatch):
     assert again == in_order and same_rows == rows
     assert files <= 8 < more_files
     assert tasks <= 8 < more_tasks
+
+
+def test_msp_files_take_one_shuffle_of_rows(spark, work):
+    """Lines of spectra that repeat, have no id or no peaks, and of peaks without a spectrum."""
+    from workload import views
+
+    rows = [(0, "A", 100.5, "+"), (2, "B", 2.0, None), (2, "B", 2.0, None), (4, "D", 4.0, "+"),
+            (7, None, 7.0, "+"), (None, "N", 9.0, "+")]
+    spectra = spark.createDataFrame(rows, "spectrum_id long, id string, precursor double, adduct string")
+    peaks = spark.createDataFrame(
+        [(2, 60.0, 1.0), (0, 51.0, 3.0), (0, 50.0, 2.0), (0, 50.0, 1.0), (4, None, 1.0),
+         (9, 1.0, 1.0), (None, 1.0, 1.0)], "spectrum_id long, mz double, intensity double")
+    plan = views._msp_lines(
+        views._msp_rows(spectra, peaks).repartitionByRange(3, "spectrum_id"), "Name:"
+    )._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Exchange rangepartitioning" in plan
+    path = views.write_msp(spectra, peaks, "Name:", work)
+    files = sorted(spark.read.text(path).inputFiles())
+    text = "".join(spark.read.text(f, wholetext=True).first()[0] for f in files)
+    assert text.split("\n") == [
+        "Name: N", "Precursor: 9.0", "Adduct: +", "Num Peaks: 0",
+        "# exported by a tool",
+        "Name: A", "Precursor: 100.5", "Adduct: +", "Num Peaks: 3", "50.0 1.0", "50.0 2.0", "51.0 3.0",
+        "  Name: B", "  Name: B", "Precursor: 2.0", "Precursor: 2.0", "", "", "Num Peaks: 1",
+        "Num Peaks: 1", "60.0 1.0",
+        "Name: D\r", "Precursor: 4.0\r", "Adduct: +\r", "Num Peaks: 1\r", "",
+        "", "Precursor: x7.0\r", "Adduct: +\r", "Num Peaks: 0\r", "",
+    ]

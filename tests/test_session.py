@@ -1,9 +1,10 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from peakwise.session import release, shared_path
-from peakwise.sources.tables import write_table
+from peakwise.sources.tables import CLEANUP, write_table
 
 
 class FakeContext:
@@ -44,3 +45,13 @@ def test_a_run_s_tables_are_removed(spark):
     assert release(spark) == 1
     assert not os.path.exists(path.removeprefix("file:"))
     assert release(spark) == 0
+
+
+def test_writing_a_table_leaves_no_shuffle_files(spark, work):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    before = files.getAllFiles().size()
+    grouped = spark.range(20_000).groupBy((F.col("id") % 5000).alias("key")).count()
+    table = write_table(grouped.repartition(16, "count"), f"{work}/grouped")
+    assert files.getAllFiles().size() <= before
+    assert table.count() == 5000
+    assert spark.conf.get(CLEANUP, None) in (None, "false")

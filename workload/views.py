@@ -7,11 +7,12 @@ from collections.abc import Callable
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from peakwise.functions.binning import grid_size
 from peakwise.functions.rounding import PROTON_MASS
 from peakwise.session import shared_path
-from peakwise.sources.tables import dealt_tasks, spread
+from peakwise.sources.tables import dealt_tasks, shuffles_removed, spread
 
 N_BINS = grid_size(0.01, 700)
 WIDTH = 64
@@ -174,51 +175,66 @@ class NegatedWeights(VectorWeights):
         return lambda bins: -predict(bins)
 
 
-def _msp_lines(spectra: DataFrame, peaks: DataFrame, id_tag: str) -> DataFrame:
-    counts = peaks.groupBy("spectrum_id").agg(F.count(F.lit(1)).alias("n_peaks"))
+def _msp_rows(spectra: DataFrame, peaks: DataFrame) -> DataFrame:
+    """The rows that lines are made of, by ``section``: the title (-1), headers (0), peaks (4)."""
+    kinds = dict(spectra.dtypes) | dict(peaks.dtypes)
+
+    def row(section: int, *own: str) -> list:
+        others = ("id", "precursor", "adduct", "mz", "intensity")
+        nulls = [F.lit(None).cast(kinds[c]).alias(c) for c in others if c not in own]
+        return ["spectrum_id", F.lit(section).alias("section"), *own, *nulls]
+
+    head = spectra.select(*row(0, "id", "precursor", "adduct"))
+    body = peaks.where(F.col("spectrum_id").isNotNull()).select(*row(4, "mz", "intensity"))
+    number = F.lit(-1).cast(kinds["spectrum_id"]).alias("spectrum_id")
+    title = spectra.sparkSession.range(1).select(number).select(*row(-1))
+    return head.unionByName(body).unionByName(title)
+
+
+def _msp_lines(rows: DataFrame, id_tag: str) -> DataFrame:
+    """Lines of the rows of :func:`_msp_rows`, all rows of a spectrum in one task, in its order.
+    Peaks without a spectrum have none."""
+    group = Window.partitionBy("spectrum_id")
+    rows = rows.withColumns({
+        "n_peaks": F.count_if(F.col("section") == 4).over(group),
+        "n_heads": F.count_if(F.col("section") == 0).over(group),
+    }).where((F.col("section") != 4) | (F.col("n_heads") > 0))
     headers = [
         F.concat(F.when(F.col("spectrum_id") % 5 == 2, "  ").otherwise(""),
                  F.lit(f"{id_tag} "), F.col("id")),
         F.concat(F.lit("Precursor: "), F.when(F.col("spectrum_id") % 50 == 7, "x").otherwise(""),
                  F.col("precursor")),
         F.concat(F.lit("Adduct: "), F.col("adduct")),
-        F.concat(F.lit("Num Peaks: "), F.coalesce("n_peaks", F.lit(0))),
+        F.concat(F.lit("Num Peaks: "), F.col("n_peaks")),
     ]
-    head = spectra.join(counts, "spectrum_id", "left").select(
-        "spectrum_id",
-        F.posexplode(F.array(*headers)).alias("section", "value"),
-        F.lit(0.0).alias("mz"),
-        F.lit(0.0).alias("intensity"),
-    )
-    body = peaks.join(spectra.select("spectrum_id"), "spectrum_id", "left_semi").select(
-        "spectrum_id",
-        F.lit(len(headers)).alias("section"),
-        F.concat(F.col("mz"), F.lit(" "), F.col("intensity")).alias("value"),
-        "mz",
-        "intensity",
+    texts = (
+        F.when(F.col("section") == 0, F.array(*headers))
+        .when(F.col("section") == -1, F.array(F.lit("# exported by a tool")))
+        .otherwise(F.array(F.lit(None).cast("string")))
     )
-    title = head.sparkSession.createDataFrame(
-        [(-1, 0, "# exported by a tool", 0.0, 0.0)], head.schema
-    )
-    lines = head.unionByName(body).unionByName(title)
+    peak = F.concat(F.col("mz"), F.lit(" "), F.col("intensity"))
     crlf = F.when(F.col("spectrum_id") % 3 == 1, "\r").otherwise("")
-    return lines.withColumn("value", F.concat("value", crlf))
+    return (
+        rows.select("spectrum_id", "section", "mz", "intensity",
+                    F.posexplode(texts).alias("line", "text"))
+        .sortWithinPartitions("spectrum_id", F.greatest("section", "line"), "mz", "intensity")
+        .select(F.concat(F.when(F.col("section") == 4, peak).otherwise(F.col("text")), crlf)
+                .alias("value"))
+    )
 
 
 def write_msp(spectra: DataFrame, peaks: DataFrame, id_tag: str, path: str) -> str:
     """Write ``(spectrum_id, id, precursor, adduct)`` and peak rows as MSP files in id order.
 
     As found in the wild: a line ahead of the first block, some blocks with CRLF, some id lines
-    indented, and some precursors that are no numbers.  Lines are sorted, not gathered: no task holds the peaks of a spectrum in memory.
+    indented, and some precursors that are no numbers.  Rows are shuffled once, a spectrum's and
+    its peaks' to one task, and become text there.  Lines are sorted, not gathered: no task holds
+    the peaks of a spectrum in memory.
     """
     tasks = dealt_tasks(peaks)
-    (
-        _msp_lines(spread(spectra, "spectrum_id", like=peaks), peaks, id_tag)
-        .repartitionByRange(*[tasks] * (tasks > 0), "spectrum_id")
-        .sortWithinPartitions("spectrum_id", "section", "mz", "intensity")
-        .select("value")
-        .write.text(path)
-    )
+    rows = _msp_rows(spectra, peaks).repartitionByRange(*[tasks] * (tasks > 0), "spectrum_id")
+    with shuffles_removed(spectra.sparkSession):
+        _msp_lines(rows, id_tag).write.text(path)
     return path
 
 
