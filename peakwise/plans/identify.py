@@ -348,7 +348,8 @@ def evaluate_models(
     """:func:`evaluate_retrieval` of several models, every result with a column ``model``.
 
     Spectra are parsed, cleaned and encoded once, and their true structures and mass keys are
-    looked up once; each model then embeds the written features and ranks its own library.
+    looked up once; each model then embeds the written features and ranks its own library, whose
+    best are written before the next model's turn: the shuffles of one model lie on disk at a time.
     """
     by = ("model",)
     resume = settings.parts > 0
@@ -369,6 +370,7 @@ def evaluate_models(
             evaluation.MAX_RANK,
             library_columns=("smile", "inchikey", "precursor_mz", "fp_bits"),
         )
+        ranked = write_table(ranked, f"{work_path}/ranked-{number}", resume=resume)
         parts.append(ranked.withColumn("model", F.lit(name)))
     known = truth.select("spectrum_id", F.col("fp_bits").alias("ground_fp"))
     ranked = evaluation.with_tanimoto(reduce(DataFrame.unionByName, parts).join(known, "spectrum_id"))

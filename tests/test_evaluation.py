@@ -1,6 +1,9 @@
+import pytest
 from pyspark.sql import functions as F
 
 from peakwise.operators import evaluation
+from peakwise.plans import identify
+from peakwise.sources import msp
 
 RANKED = (
     "spectrum_id string, rank int, smile string, inchikey string, precursor_mz double, "
@@ -68,3 +71,54 @@ def test_tanimoto_of_missing_fingerprints_is_null(spark):
         [([1, 2], [2, 1]), (None, [1]), ([], [])], "ground_fp array<int>, fp_bits array<int>"
     )
     assert [r.tanimoto for r in evaluation.with_tanimoto(frame).select(F.col("tanimoto")).collect()] == [1.0, None, None]
+
+
+def summing_model(sign):
+    def load():
+        import numpy as np
+
+        return lambda bins: np.array([[sign * float(b[0] + 1), 1.0] for b in bins])
+
+    return load
+
+
+LIBRARY = [(i, f"C{i}", f"{i:014}-K", 100.0 + i % 3, [float(i), 1.0], [i % 4, 9]) for i in range(30)]
+LIBRARY_COLUMNS = (
+    "library_id long, smile string, inchikey string, exact_mass double, embedding array<float>, "
+    "fp_bits array<int>"
+)
+
+
+@pytest.fixture()
+def rankings(monkeypatch):
+    """How many rankings each written table runs."""
+    found, write = [], identify.write_table
+
+    def spy(df, *args, **options):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        found.append(plan.count("FlatMapCoGroupsInArrow"))
+        return write(df, *args, **options)
+
+    monkeypatch.setattr(identify, "write_table", spy)
+    return found
+
+
+def test_models_are_ranked_one_after_another(spark, work, tmp_path, rankings):
+    (tmp_path / "in.msp").write_text("".join(
+        f"smile: C{i % 30}\nPrecursor: {101 + i % 3}.007\n{20 + i % 7}.5 5\n50.0 {i + 1}\n"
+        for i in range(60)))
+    spectra = msp.read_annotated(spark, str(tmp_path / "in.msp"))
+    library = spark.createDataFrame(LIBRARY, LIBRARY_COLUMNS)
+    molecules = library.select("smile", "inchikey", "exact_mass", "fp_bits")
+    models = {n: identify.Model(summing_model(s), library, {"dense": False})
+              for n, s in (("a", 1.0), ("b", -1.0))}
+    got = identify.evaluate_models(spectra, molecules, models, f"{work}/both")
+    assert sum(rankings) == 2 and max(rankings) == 1
+    columns = ("spectrum_id", "rank", "smile", "cosine", "tanimoto")
+    for name, model in models.items():
+        alone = identify.evaluate_retrieval(
+            spectra, molecules, library, model.load, f"{work}/{name}", dense=False).ranked
+        own = got.ranked.where(F.col("model") == name)
+        assert own.count() > 100
+        assert sorted(map(tuple, own.select(*columns).collect())) == sorted(
+            map(tuple, alone.select(*columns).collect()))
