@@ -235,10 +235,12 @@ def identify_by_mode(
     """Unannotated spectra of both ion modes in one job, each with its mode's model and masses.
 
     ``spectra`` come from :func:`peakwise.sources.msp.union_ion_modes`, ``loaders`` are by
-    mode.  The result has ``ion_mode``.
+    mode.  The result has ``ion_mode``.  A mode's ranking is written, below the session's shared
+    folder, before the next mode's turn: the shuffles of one mode lie on disk at a time.
     """
-    ranked = [
-        identify_unannotated(
+    ranked = []
+    for mode, load in loaders.items():
+        best = identify_unannotated(
             spectra.where(F.col("ion_mode") == mode),
             library,
             load,
@@ -247,9 +249,9 @@ def identify_by_mode(
             settings,
             key_mode,
             **model,
-        ).withColumn("ion_mode", F.lit(mode))
-        for mode, load in loaders.items()
-    ]
+        )
+        best = write_table(best, shared_path(spectra.sparkSession, "ranked"))
+        ranked.append(best.withColumn("ion_mode", F.lit(mode)))
     return reduce(DataFrame.unionByName, ranked)
 
 

@@ -122,3 +122,23 @@ def test_models_are_ranked_one_after_another(spark, work, tmp_path, rankings):
         assert own.count() > 100
         assert sorted(map(tuple, own.select(*columns).collect())) == sorted(
             map(tuple, alone.select(*columns).collect()))
+
+
+def test_ion_modes_are_ranked_one_after_another(spark, work, tmp_path, rankings):
+    library = spark.createDataFrame(LIBRARY, LIBRARY_COLUMNS).drop("fp_bits")
+    spectra, loaders = {}, {}
+    for mode, shift, sign in (("+", 1.007, 1.0), ("-", -1.007, -1.0)):
+        path = tmp_path / f"in{sign}.msp"
+        path.write_text("".join(
+            f"Name: n{mode}{i}\nPrecursor: {100 + i % 3 + shift:.3f}2\n{20 + i % 7}.5 5\n50.0 {i + 1}\n"
+            for i in range(30)))
+        spectra[mode], loaders[mode] = msp.read_named(spark, str(path)), summing_model(sign)
+    both = msp.union_ion_modes(spectra["+"], spectra["-"])
+    got = identify.identify_by_mode(both, library, loaders, f"{work}/both", dense=False)
+    assert sum(rankings) == 2 and max(rankings) == 1
+    assert "FlatMapCoGroupsInArrow" not in got._jdf.queryExecution().optimizedPlan().toString()
+    rows = sorted(map(tuple, got.drop("ion_mode").collect()))
+    assert {r.ion_mode for r in got.collect()} == {"+", "-"}
+    alone = [tuple(r) for m in "+-" for r in identify.identify_unannotated(
+        spectra[m], library, loaders[m], f"{work}/{'np'[m == '+']}", m, dense=False).collect()]
+    assert rows == sorted(alone) and len(rows) == 300
