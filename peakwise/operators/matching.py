@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from peakwise.session import shared_path
-from peakwise.sources.tables import write_table
+from peakwise.sources.tables import shuffles_removed, write_table
 
 #: Rows of masses packed into a bucket, and the fewest per side of a tile.  Two blocks of 384
 #: doubles take 25 MB, their products 134 MB per 4096 x 4096 tile, computed a strip of queries
@@ -361,14 +361,15 @@ def write_by_mass(
     buckets = min(slots, buckets or partitions)
     write_table(keyed.join(large, "mass_key", "left_semi"), f"{path}/large")
     ordinary = keyed.join(large, "mass_key", "left_anti").withColumn(SLOT, _slot(slots))
-    (
-        ordinary.repartition(buckets, SLOT)
-        .write.format("parquet")
-        .bucketBy(buckets, SLOT)
-        .sortBy(SLOT, "mass_key")
-        .option("path", f"{path}/ordinary")
-        .saveAsTable(_table_name(path))
-    )
+    with shuffles_removed(spark):
+        (
+            ordinary.repartition(buckets, SLOT)
+            .write.format("parquet")
+            .bucketBy(buckets, SLOT)
+            .sortBy(SLOT, "mass_key")
+            .option("path", f"{path}/ordinary")
+            .saveAsTable(_table_name(path))
+        )
     facts = [(slots, buckets, tile_rows, ordinary.schema.json())]
     facts = spark.createDataFrame(facts, "slots bigint, buckets int, tile_rows int, schema string")
     facts.coalesce(1).write.parquet(f"{path}/layout")
