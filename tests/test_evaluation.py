@@ -142,3 +142,29 @@ def test_ion_modes_are_ranked_one_after_another(spark, work, tmp_path, rankings)
     alone = [tuple(r) for m in "+-" for r in identify.identify_unannotated(
         spectra[m], library, loaders[m], f"{work}/{'np'[m == '+']}", m, dense=False).collect()]
     assert rows == sorted(alone) and len(rows) == 300
+
+
+def shuffled(spark):
+    """Bytes of the shuffle files that lie on disk."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    found = [files.apply(i) for i in range(files.size())]
+    return sum(f.length() for f in found if f.getName().startswith("shuffle_"))
+
+
+def spectra_text(tag, n=2000):
+    return "".join(
+        f"{tag} C{i % 1500}\nPrecursor: {101 + i % 3}.0074\n"
+        + "".join(f"{20 + (i * k) % 701 / 10} {i % 17 + k}\n" for k in range(1, 6))
+        for i in range(n))
+
+
+def test_unannotated_spectra_leave_no_shuffles_of_written_tables(spark, work, tmp_path):
+    for i in range(12):
+        (tmp_path / f"{i}.msp").write_text(spectra_text("Name:", 1000 + i * 100))
+    spectra = msp.read_named(spark, str(tmp_path))
+    library = spark.createDataFrame(LIBRARY, LIBRARY_COLUMNS)
+    before = shuffled(spark)
+    ranked = identify.identify_unannotated(
+        spectra, library, summing_model(1.0), f"{work}/job", dense=False)
+    assert shuffled(spark) - before < 10_000  # those of single rows
+    assert ranked.count() == 1500 * 5  # of the first of its id
