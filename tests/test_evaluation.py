@@ -168,3 +168,17 @@ def test_unannotated_spectra_leave_no_shuffles_of_written_tables(spark, work, tm
         spectra, library, summing_model(1.0), f"{work}/job", dense=False)
     assert shuffled(spark) - before < 10_000  # those of single rows
     assert ranked.count() == 1500 * 5  # of the first of its id
+
+
+def test_an_evaluation_leaves_no_shuffles_of_written_tables(spark, work, tmp_path):
+    (tmp_path / "in.msp").write_text(spectra_text("smile:"))
+    spectra = msp.read_annotated(spark, str(tmp_path / "in.msp"))
+    library = spark.createDataFrame(
+        [(i, f"C{i}", f"{i:014}-K", 100.0 + i % 3, [float(i), 1.0], [i % 4, 9]) for i in range(1500)],
+        LIBRARY_COLUMNS)
+    molecules = library.select("smile", "inchikey", "exact_mass", "fp_bits")
+    before = shuffled(spark)
+    detail = identify.evaluate_retrieval(
+        spectra, molecules, library, summing_model(1.0), f"{work}/job", dense=False).detail
+    assert shuffled(spark) - before < 10_000
+    assert detail.count() == 1500
